@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.common import load
-from sparkloom.llm import pii, splitting
+from sparkloom.llm import ocr, pii, splitting
 
 
 def p1_pieces(spark: SparkSession, d: str) -> DataFrame:
@@ -49,7 +49,31 @@ def p2_masked(spark: SparkSession, d: str) -> DataFrame:
     return pii.mask(_texts(spark, d), ["record_table", "record_key"], key="replace this key")
 
 
-QUERIES = {"p2_found": p2_found, "p2_masked": p2_masked, "p1_found": p1_found, "p1_pieces": p1_pieces, "p1_coverage": p1_coverage}
+def _pages(spark: SparkSession, d: str) -> DataFrame:
+    chunks = load(spark, d, "chunks").where("unit_type = 'page'").select(
+        F.lit("chunks").alias("record_table"), F.col("chunk_id").alias("record_key"), F.col("content_sha256").alias("doc"),
+        F.col("unit_sequence").alias("page_no"), "text",
+    )
+    pages = load(spark, d, "vision_pages").select(
+        F.lit("vision_pages").alias("record_table"), F.concat_ws(":", "content_sha256", F.col("number").cast("string")).alias("record_key"),
+        F.col("content_sha256").alias("doc"), F.col("number").alias("page_no"), F.col("extraction.visible_text").alias("text"),
+    )
+    return chunks.unionByName(pages)
+
+
+def _trusted_words(spark: SparkSession, d: str) -> dict[str, int]:
+    return ocr.lexicon(load(spark, d, "chunks").where("unit_type <> 'page'"))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return ocr.page_noise(_pages(spark, d), _trusted_words(spark, d))
+
+
+def p6_paragraphs(spark: SparkSession, d: str) -> DataFrame:
+    return ocr.repaired_pages(_pages(spark, d), _trusted_words(spark, d))
+
+
+QUERIES = {"p6_found": p6_found, "p6_paragraphs": p6_paragraphs, "p2_found": p2_found, "p2_masked": p2_masked, "p1_found": p1_found, "p1_pieces": p1_pieces, "p1_coverage": p1_coverage}
 
 ORACLES = {
     "p1_found": """
