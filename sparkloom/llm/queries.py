@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.common import load
-from sparkloom.llm import ocr, pii, splitting
+from sparkloom.llm import dedup, ocr, pii, splitting
 
 
 def p1_pieces(spark: SparkSession, d: str) -> DataFrame:
@@ -73,7 +73,11 @@ def p6_paragraphs(spark: SparkSession, d: str) -> DataFrame:
     return ocr.repaired_pages(_pages(spark, d), _trusted_words(spark, d))
 
 
-QUERIES = {"p6_found": p6_found, "p6_paragraphs": p6_paragraphs, "p2_found": p2_found, "p2_masked": p2_masked, "p1_found": p1_found, "p1_pieces": p1_pieces, "p1_coverage": p1_coverage}
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return dedup.dedup_batches(load(spark, d, "documents")).where("doc_id_a < doc_id_b").select("doc_id_a", "doc_id_b")
+
+
+QUERIES = {"p7_found": p7_found, "p6_found": p6_found, "p6_paragraphs": p6_paragraphs, "p2_found": p2_found, "p2_masked": p2_masked, "p1_found": p1_found, "p1_pieces": p1_pieces, "p1_coverage": p1_coverage}
 
 ORACLES = {
     "p1_found": """
