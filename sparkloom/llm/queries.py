@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.common import load
-from sparkloom.llm import dedup, ocr, pii, splitting
+from sparkloom.llm import dedup, ocr, pii, reading, splitting
 
 
 def p1_pieces(spark: SparkSession, d: str) -> DataFrame:
@@ -77,7 +77,22 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return dedup.dedup_batches(load(spark, d, "documents")).where("doc_id_a < doc_id_b").select("doc_id_a", "doc_id_b")
 
 
-QUERIES = {"p7_found": p7_found, "p6_found": p6_found, "p6_paragraphs": p6_paragraphs, "p2_found": p2_found, "p2_masked": p2_masked, "p1_found": p1_found, "p1_pieces": p1_pieces, "p1_coverage": p1_coverage}
+def p10_bands(spark: SparkSession, d: str) -> DataFrame:
+    return reading.reading_bands(load(spark, d, "documents"), load(spark, d, "reading_labels"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return p10_bands(spark, d).where(f"running and n_words >= {reading.MIN_WORDS} and band = 4").select("doc_id")
+
+
+def p10_profile(spark: SparkSession, d: str) -> DataFrame:
+    """Documents and words by source and band, for running English text."""
+    sources = load(spark, d, "documents").select("doc_id", F.coalesce("source", F.lit("(none)")).alias("source"))
+    bands = p10_bands(spark, d).where("running").join(sources, "doc_id")
+    return bands.groupBy("source", "band").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_words").alias("n_words"))
+
+
+QUERIES = {"p10_found": p10_found, "p10_bands": p10_bands, "p10_profile": p10_profile, "p7_found": p7_found, "p6_found": p6_found, "p6_paragraphs": p6_paragraphs, "p2_found": p2_found, "p2_masked": p2_masked, "p1_found": p1_found, "p1_pieces": p1_pieces, "p1_coverage": p1_coverage}
 
 ORACLES = {
     "p1_found": """
