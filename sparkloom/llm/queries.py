@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.common import load
-from sparkloom.llm import dedup, ocr, pii, reading, splitting
+from sparkloom.llm import dedup, mixing, ocr, packing, pii, reading, splitting
 
 
 def p1_pieces(spark: SparkSession, d: str) -> DataFrame:
@@ -92,7 +92,31 @@ def p10_profile(spark: SparkSession, d: str) -> DataFrame:
     return bands.groupBy("source", "band").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_words").alias("n_words"))
 
 
-QUERIES = {"p10_found": p10_found, "p10_bands": p10_bands, "p10_profile": p10_profile, "p7_found": p7_found, "p6_found": p6_found, "p6_paragraphs": p6_paragraphs, "p2_found": p2_found, "p2_masked": p2_masked, "p1_found": p1_found, "p1_pieces": p1_pieces, "p1_coverage": p1_coverage}
+def p8_packed(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack_documents(load(spark, d, "documents"), load(spark, d, "pack_settings"))
+
+
+def p8_packed_each(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack_documents(load(spark, d, "documents"), load(spark, d, "pack_settings"), jointly=False)
+
+
+def p8_unused(spark: SparkSession, d: str) -> DataFrame:
+    return packing.unused_space(p8_packed(spark, d))
+
+
+def p8_unused_each(spark: SparkSession, d: str) -> DataFrame:
+    return packing.unused_space(p8_packed_each(spark, d))
+
+
+def p9_mixed(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix_documents(load(spark, d, "documents"), load(spark, d, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix_shares(p9_mixed(spark, d), load(spark, d, "mix_targets"))
+
+
+QUERIES = {"p8_packed": p8_packed, "p8_packed_each": p8_packed_each, "p8_unused": p8_unused, "p8_unused_each": p8_unused_each, "p9_mixed": p9_mixed, "p9_shares": p9_shares, "p10_found": p10_found, "p10_bands": p10_bands, "p10_profile": p10_profile, "p7_found": p7_found, "p6_found": p6_found, "p6_paragraphs": p6_paragraphs, "p2_found": p2_found, "p2_masked": p2_masked, "p1_found": p1_found, "p1_pieces": p1_pieces, "p1_coverage": p1_coverage}
 
 ORACLES = {
     "p1_found": """
