@@ -113,8 +113,10 @@ def incremental_refresh(
     return {"changed": len(changed)}
 
 
-def read_result(spark: SparkSession, state_path: str) -> DataFrame:
-    """The current result, without markers."""
+def read_result(spark: SparkSession, state_path: str, schema: str | None = None) -> DataFrame:
+    """The current result, without markers. Where nothing was ever written, no rows of ``schema``."""
+    if schema is not None and not _exists(spark, state_path):
+        return spark.createDataFrame([], schema)
     return spark.read.parquet(state_path).where(F.col(MARK).isNull()).drop(MARK, BUCKET)
 
 
@@ -159,4 +161,4 @@ def pending_work(queue: DataFrame, entries: DataFrame, seals: DataFrame, state_p
         return wanted.join(state, [BUCKET, *keys], "left_anti").select(BUCKET, *keys, F.col("wanted").alias("route_fingerprint"))
 
     incremental_refresh({"queue": q, "entries": e}, compute, state_path)
-    return read_result(spark, state_path)
+    return read_result(spark, state_path, "scope_id string, content_hexdigest string, route string, route_fingerprint string")

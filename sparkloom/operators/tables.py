@@ -17,7 +17,7 @@ INTEGER_LIKE = r"^[+-]?[0-9]+(_[0-9]+)*$"
 def is_int(c: Column) -> Column:
     """True if the text is a whole number within 64 bits, written as it would be written back. ``0012`` is not."""
     s = strip(c)
-    return s.rlike(INTEGER) & s.try_cast("bigint").isNotNull()
+    return F.when(s.isNotNull(), s.rlike(INTEGER) & s.try_cast("bigint").isNotNull())
 
 
 def parses_int(c: Column) -> Column:
@@ -57,7 +57,7 @@ def infer_types(cells: DataFrame) -> DataFrame:
     c = cells.select("table_name", "name", v.alias("v"))
     flags = c.select(
         "table_name", "name", "v", is_int(F.col("v")).alias("i"), parses_int(F.col("v")).alias("p"),
-        F.when(is_int(F.col("v")), True).otherwise(is_float(F.col("v"))).alias("f"), F.col("v").try_cast("double").isNotNull().alias("d"),
+        F.when(is_int(F.col("v")), True).otherwise(is_float(F.col("v"))).alias("f"), F.when(F.col("v").isNotNull(), F.col("v").try_cast("double").isNotNull()).alias("d"),
     )
     agg = flags.groupBy("table_name", "name").agg(
         F.count("v").alias("n_values"), F.sum(F.col("v").isNull().cast("int")).alias("null_count"),

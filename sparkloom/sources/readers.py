@@ -111,7 +111,7 @@ class _Html(HTMLParser):
         self.tables += tag == "table"
         if tag in self.BLOCKS:
             self.parts.append("\n")
-        elif tag in ("td", "th"):
+        elif tag in ("td", "th") and self.parts and not self.parts[-1].endswith("\n"):
             self.parts.append(" ")
 
     def handle_endtag(self, tag):
