@@ -36,7 +36,7 @@ _WORD = re.compile(r"[a-z]+(?:['’-][a-z]+)*(?![/a-z])")
 _REF = re.compile(r"\d(?:[^\s.!?;।]|\.(?=\d))*")
 _END = re.compile(r"(?<=[.!?;।])[\"')\]]*\s+|\n\s*\n")
 _STRUNG = re.compile(r"\b(?:and|but|so)\s+then\b")
-_SILENT = re.compile(r"(?:[^laeiouy]es|[^dt]ed|[^laeiouy]e)$")
+_SILENT = re.compile(r"(?:[^laeiouysxzhcg]es|[^dt]ed|[^laeiouy]e)$")
 _VOWELS = re.compile(r"[aeiouy]{1,2}")
 _SPLIT_VOWELS = re.compile(r"(?:i[ao]|eo|ua|ui)(?![aeiouy])(?<!tio)(?<!cia)(?<!sio)(?<!tia)(?<!gio)(?<!qua)(?<!qui)(?<!gui)")
 _LEDGER = re.compile(r"\b(?:Dr|Cr)\.?\s*$", re.M)
