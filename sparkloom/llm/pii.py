@@ -195,7 +195,7 @@ def _find_ids(t: str, windows: list[tuple[int, int]]) -> Iterator[Item]:
     for m in _TAX_TAIL.finditer(t):
         if (h := _TAX_HEAD.search(t, max(0, m.start() - 7), m.start())) is not None:
             tail = m.group(0)
-            if h.group(2) == tail[4:-1]:
+            if bool(h.group(2)) == bool(tail[4:-1]):
                 yield h.start(), m.end(), "id", (h.group(1) + tail[:4] + tail[-1]).upper()
     for lo, hi in windows:
         for m in PASSPORT.finditer(t, lo, hi):
@@ -213,9 +213,10 @@ def _find_addresses(t: str) -> Iterator[Item]:
         lo = max(0, m.start() - 180)
         if not any(k in t[lo : m.start()] for k in _ADDRESS_KEYS):
             continue
-        hit = None
-        for hit in ADDRESS.finditer(t, lo, m.end()):
-            pass
+        # The address begins after the last cue before its code.
+        hit, pos = None, lo
+        while h := ADDRESS.search(t, pos, m.end()):
+            hit, pos = h, h.start() + 1
         if hit is not None and hit.end() == m.end():
             yield hit.start(1), hit.end(1), "address", re.sub(r"\D", "", hit.group(2))
 
