@@ -64,7 +64,7 @@ def main(argv: list[str] | None = None) -> int:
         return int(not tables["records"].where("status = 'failed'").isEmpty())
     scopes = catalog.discover_scopes(corpus.corpus_files(spark, args.root), []).withColumn("scope_id", catalog.scope_id(F.col("category"), F.col("client")))
     index = pipeline.build_index(tables["chunks"]).join(scopes.select("scope_id", "client", "category"), "scope_id")
-    pipeline.ask(spark, index, args.question, settings["search"]["k"], client=args.client, category=args.category).select("score", "client", "unit_ref", "text").show(truncate=120)
+    pipeline.ask(index, args.question, settings["search"]["k"], client=args.client, category=args.category).select("score", "client", "unit_ref", "text").show(truncate=120)
     return 0
 
 

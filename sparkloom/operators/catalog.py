@@ -92,29 +92,37 @@ def resolve_paths(paths: DataFrame, scopes: DataFrame, path: str = "relative_pat
     return distinct.join(hits, path, "left")
 
 
+def content_paths(sources: DataFrame) -> DataFrame:
+    """(scope_id, content_sha256, relative_path, ord): every path of every content of a scope once, with its first ord. Rows without scope or content are left out."""
+    real = sources.where("scope_id is not null and content_sha256 is not null")
+    return real.groupBy("scope_id", "content_sha256", "relative_path").agg(F.min("ord").alias("ord"))
+
+
 def dedup_in_scope(sources: DataFrame) -> DataFrame:
-    """(scope_id, content_sha256, first_ord, first_path, n_paths, n_duplicates, paths) per content of a scope.
+    """(scope_id, content_sha256, first_ord, first_path, n_paths, n_duplicates) per content of a scope.
 
     The first path by ord wins; a path repeated with the same content counts
-    once; the same content in another scope is another item. All paths are
-    kept, sorted, without repeats. Rows without scope or content are left out.
+    once; the same content in another scope is another item. The paths
+    themselves stay rows (content_paths), so one content under a third of all paths is no giant row.
     """
-    real = sources.where("scope_id is not null and content_sha256 is not null")
-    per_path = real.groupBy("scope_id", "content_sha256", "relative_path").agg(F.min("ord").alias("ord"))
-    return per_path.groupBy("scope_id", "content_sha256").agg(
+    return content_paths(sources).groupBy("scope_id", "content_sha256").agg(
         F.min("ord").alias("first_ord"), F.min_by("relative_path", "ord").alias("first_path"), F.count(F.lit(1)).alias("n_paths"),
-        (F.count(F.lit(1)) - 1).alias("n_duplicates"), F.sort_array(F.collect_list("relative_path")).alias("paths"),
+        (F.count(F.lit(1)) - 1).alias("n_duplicates"),
     )
 
 
 def dedup_outcomes(sources: DataFrame) -> DataFrame:
-    """(scope_id, content_sha256, relative_path, ord, outcome): first, duplicate or repeat, by ord within scope and content."""
-    by_path = Window.partitionBy("scope_id", "content_sha256", "relative_path").orderBy("ord")
-    by_item = Window.partitionBy("scope_id", "content_sha256").orderBy("ord")
-    s = sources.where("scope_id is not null and content_sha256 is not null").dropDuplicates(["ord"])
-    s = s.withColumn("_p", F.row_number().over(by_path)).withColumn("_i", F.row_number().over(by_item))
-    outcome = F.when(F.col("_i") == 1, "first").when(F.col("_p") > 1, "repeat").otherwise("duplicate")
-    return s.select("scope_id", "content_sha256", "relative_path", "ord", outcome.alias("outcome"))
+    """(scope_id, content_sha256, relative_path, ord, outcome): first, duplicate or repeat, by ord within scope and content.
+
+    Told from the smallest ords of the content and of the path, which are
+    aggregates; no content's rows are sorted in one task.
+    """
+    s = sources.where("scope_id is not null and content_sha256 is not null").dropDuplicates(["ord"]).select("scope_id", "content_sha256", "relative_path", "ord")
+    item = s.groupBy("scope_id", "content_sha256").agg(F.min("ord").alias("_i"))
+    path = s.groupBy("scope_id", "content_sha256", "relative_path").agg(F.min("ord").alias("_p"))
+    both = s.join(item, ["scope_id", "content_sha256"]).join(path, ["scope_id", "content_sha256", "relative_path"])
+    outcome = F.when(F.col("ord") == F.col("_i"), "first").when(F.col("ord") > F.col("_p"), "repeat").otherwise("duplicate")
+    return both.select("scope_id", "content_sha256", "relative_path", "ord", outcome.alias("outcome"))
 
 
 def bundle_roots(paths: DataFrame, marker: str = ".keystore", companion: str = ".properties", path: str = "relative_path") -> DataFrame:

@@ -26,8 +26,6 @@ from sparkloom.common import cut
 
 #: Two columns hold the same content from this cosine of their value features on.
 SAME_CONTENT = 0.35
-#: Features kept per column name when names are compared; all rows are counted, only rare features of a name fall away.
-TOP_FEATURES = 400
 
 
 def register_cells(register: DataFrame) -> DataFrame:
@@ -90,26 +88,22 @@ def value_features(value: Column) -> Column:
 
 
 def name_features(cells: DataFrame) -> DataFrame:
-    """(name, vec): unit vector (a map) of each column name's value features over all files."""
+    """(name, f, w): the value features of each column name over all files, as components of a unit vector."""
     counts = (
         cells.where("value is not null")
         .select("name", F.explode(value_features(F.col("value"))).alias("f"))
         .groupBy("name", "f")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    rank = Window.partitionBy("name").orderBy(F.desc("n"), "f")
-    top = counts.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= TOP_FEATURES)
-    weight = F.sqrt("n")
-    norm = F.sqrt(F.sum("n").over(Window.partitionBy("name")))
-    return top.select("name", "f", (weight / norm).alias("w")).groupBy("name").agg(
-        F.map_from_entries(F.collect_list(F.struct("f", "w"))).alias("vec")
-    )
+    total = counts.groupBy("name").agg(F.sum("n").alias("t"))
+    return counts.join(total, "name").select("name", "f", F.sqrt(F.col("n") / F.col("t")).alias("w"))
 
 
-def _dot(a: Column, b: Column) -> Column:
-    return F.aggregate(
-        F.map_entries(a), F.lit(0.0), lambda s, e: s + e["value"] * F.coalesce(F.element_at(b, e["key"]), F.lit(0.0))
-    )
+def likeness(names: DataFrame, features: DataFrame) -> DataFrame:
+    """names (name, prev_name) with ``cosine`` of their value features, where they share any."""
+    a = names.join(features.withColumnRenamed("w", "wa"), "name")
+    b = features.select(F.col("name").alias("prev_name"), "f", F.col("w").alias("wb"))
+    return a.join(b, ["prev_name", "f"]).groupBy("name", "prev_name").agg(F.sum(F.col("wa") * F.col("wb")).alias("cosine"))
 
 
 def _spelling(c: Column) -> Column:
@@ -143,15 +137,13 @@ def rescue_and_match(tables: DataFrame, columns: DataFrame, register: DataFrame)
     # Promotion: only fields rescued from the same file are compared with the columns that file left empty,
     # and names are compared once, however many files they meet in.
     meet = rescued.join(empty, ids)
-    names = meet.select("name", "prev_name").distinct()
-    vecs = name_features(register_cells(register))
+    names = cut(meet.select("name", "prev_name").distinct(), "drift-names")
+    features = cut(name_features(register_cells(register)), "drift-features")
     scores = (
-        names.join(vecs, "name", "left")
-        .join(vecs.select(F.col("name").alias("prev_name"), F.col("vec").alias("prev_vec")), "prev_name", "left")
+        names.join(likeness(names, features), ["name", "prev_name"], "left")
         .select(
             "name", "prev_name",
-            F.when(_spelling(F.col("name")) == _spelling(F.col("prev_name")), 1.0)
-            .otherwise(F.coalesce(_dot(F.col("vec"), F.col("prev_vec")), F.lit(0.0))).alias("score"),
+            F.when(_spelling(F.col("name")) == _spelling(F.col("prev_name")), 1.0).otherwise(F.coalesce("cosine", F.lit(0.0))).alias("score"),
         )
         .where(F.col("score") >= SAME_CONTENT)
     )

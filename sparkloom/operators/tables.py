@@ -103,13 +103,17 @@ def typed_table(cells: DataFrame, types: dict[str, str], keys: list[str]) -> Dat
 
 
 def key_jaccard(records: DataFrame) -> DataFrame:
-    """(group_id, n_records, mean_jaccard) over pairs of a group's first 50 key sets (group_id, ord, keys): at most 1225 pairs a group, by the rule."""
-    first = records.where("ord < 50")
-    a = first.select("group_id", F.col("ord").alias("i"), F.col("keys").alias("ka"))
-    b = first.select("group_id", F.col("ord").alias("j"), F.col("keys").alias("kb"))
-    j = F.size(F.array_intersect("ka", "kb")) / F.greatest(F.size(F.array_union("ka", "kb")), F.lit(1))
-    pairs = a.join(b, "group_id").where("i < j")
-    return pairs.groupBy("group_id").agg(F.count(F.lit(1)).alias("n_pairs"), F.round(F.avg(j), 9).alias("mean_jaccard"))
+    """(group_id, n_pairs, mean_jaccard) over pairs of a group's first 50 key sets (group_id, ord, keys).
+
+    The rule looks at 50 sets a group, so a group is one short array, and its
+    pairs are compared inside the row.
+    """
+    sets = records.where("ord < 50").groupBy("group_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("ord", "keys"))), lambda x: x["keys"]).alias("s"))
+    likeness = lambda a, b: F.size(F.array_intersect(a, b)) / F.greatest(F.size(F.array_union(a, b)), F.lit(1))
+    pairs = F.flatten(F.transform("s", lambda a, i: F.transform(F.slice("s", i + 2, F.greatest(F.size("s") - i - 1, F.lit(0))), lambda b: likeness(a, b))))
+    return sets.withColumn("p", pairs).where(F.size("p") > 0).select(
+        "group_id", F.size("p").cast("bigint").alias("n_pairs"), F.round(F.aggregate("p", F.lit(0.0), lambda x, y: x + y) / F.size("p"), 9).alias("mean_jaccard")
+    )
 
 
 def is_collection(elements: Column) -> Column:

@@ -51,31 +51,43 @@ def embed(chunks: DataFrame, encode: Callable[[list[str]], list[list[float]]], t
     return chunks.withColumn("vector", vectors(F.col(text)))
 
 
-def index_rows(chunks: DataFrame) -> DataFrame:
-    """chunks with ``row_no`` from 0 within their scope, by content and seq (ties: chunk_id)."""
-    w = Window.partitionBy("scope_id").orderBy("content_sha256", "seq", "chunk_id")
-    return chunks.withColumn("row_no", F.row_number().over(w) - 1)
+def index_rows(chunks: DataFrame, digits: int = 3) -> DataFrame:
+    """chunks with ``row_no`` from 0 within their scope, by content and seq (ties: chunk_id).
+
+    Numbered in two steps, so that a scope that holds a third of all rows is
+    no single task: within each of the 16^digits ranges of content hashes,
+    then shifted by the sizes of the ranges before.
+    """
+    ranged = chunks.withColumn("_p", F.substring("content_sha256", 1, digits))
+    sizes = ranged.groupBy("scope_id", "_p").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("scope_id").orderBy("_p")
+    offsets = sizes.select("scope_id", "_p", (F.sum("_n").over(before) - F.col("_n")).alias("_o"))
+    inner = Window.partitionBy("scope_id", "_p").orderBy("content_sha256", "seq", "chunk_id")
+    numbered = ranged.withColumn("_r", F.row_number().over(inner) - 1).join(offsets, ["scope_id", "_p"])
+    return numbered.withColumn("row_no", F.col("_r") + F.col("_o")).drop("_p", "_r", "_o")
 
 
-def guard_dimension(vectors: DataFrame, query: DataFrame, vector: str = "vector", q: str = "q") -> DataFrame:
-    """vectors x the query rows; a vector of another dimension raises, it is never skipped.
+def scored(vectors: DataFrame, query: list[float], vector: str = "vector") -> DataFrame:
+    """vectors with their ``score`` against one question's vector, which is part of the plan.
 
-    The queries are a handful of rows given by the caller; they are the side that is sent out.
+    A vector of another dimension raises, it is never skipped.
     """
-    both = vectors.crossJoin(F.broadcast(query.limit(1000)))
-    same = F.size(vector) == F.size(q)
-    return both.withColumn(vector, F.when(same, F.col(vector)).otherwise(F.raise_error(F.lit("the index and the query have different dimensions")).cast(vectors.schema[vector].dataType)))
+    q = F.array(*[F.lit(float(x)) for x in query])
+    right = F.when(F.size(vector) == len(query), F.col(vector)).otherwise(
+        F.raise_error(F.lit("the index and the query have different dimensions")).cast(vectors.schema[vector].dataType)
+    )
+    return vectors.withColumn("score", inner_product(right, q))
 
 
 def search(
-    vectors: DataFrame, query: DataFrame, k: int = 5, scope_id: str | None = None, client: str | None = None, category: str | None = None,
+    vectors: DataFrame, query: list[float], k: int = 5, scope_id: str | None = None, client: str | None = None, category: str | None = None,
     scope: str = "scope_id", key: str = "chunk_id",
 ) -> DataFrame:
     """The k best rows over all scopes by inner product: filters first, k per scope, then k of all; ties by key.
 
     client and category match as case-insensitive substrings, scope_id exactly.
-    The first cut per scope is a partial top-k in which each task keeps k rows
-    of a scope; a scope that holds a third of all rows is first cut per salt.
+    Rows are cut to k per scope and salt before they are cut to k per scope,
+    so a scope that holds a third of all rows is spread over the salts.
     """
     v = vectors
     if scope_id is not None:
@@ -83,10 +95,10 @@ def search(
     for name, want in (("client", client), ("category", category)):
         if want is not None:
             v = v.where(F.lower(name).contains(want.lower()))
-    scored = guard_dimension(v, query).withColumn("score", inner_product(F.col("vector"), F.col("q"))).drop("q", "vector")
+    rows = scored(v, query).drop("vector")
     salt = F.pmod(F.xxhash64(key), F.lit(32))
     order = [F.desc("score"), F.asc(key)]
-    cut = scored.withColumn("_s", salt).withColumn("_r", F.row_number().over(Window.partitionBy(scope, "_s").orderBy(*order))).where(F.col("_r") <= k)
+    cut = rows.withColumn("_s", salt).withColumn("_r", F.row_number().over(Window.partitionBy(scope, "_s").orderBy(*order))).where(F.col("_r") <= k)
     per = cut.withColumn("_r", F.row_number().over(Window.partitionBy(scope).orderBy(*order))).where(F.col("_r") <= k)
     return per.drop("_r", "_s").orderBy(*order).limit(k)
 

@@ -92,13 +92,12 @@ def prior_outcome(work: DataFrame, latest: DataFrame, alternative: dict[str, str
 def seal_body(entries: DataFrame) -> DataFrame:
     """Per scope: number of entries and the hash of its manifest body, entries sorted by content, route and run.
 
-    The body is hashed in two levels, per content and over the contents'
-    hashes, so that no scope's entries are joined into one text in one task.
+    The body is hashed as a tree over the contents' hash prefixes, so that a
+    scope of any size is never joined into one text in one task: a node has at most 256 children above the leaves.
     """
     line = F.to_json(F.struct("content_hexdigest", "route", "route_fingerprint", "version_id", "run_ordinal", "status", F.col("source_paths")))
-    per = entries.select("scope_id", "content_hexdigest", line.alias("l")).groupBy("scope_id", "content_hexdigest").agg(
-        F.sha2(F.array_join(F.sort_array(F.collect_list("l")), "\n"), 256).alias("h"), F.count(F.lit(1)).alias("n")
-    )
-    bucket = F.substring("content_hexdigest", 1, 2)
-    mid = per.groupBy("scope_id", bucket.alias("b")).agg(F.sha2(F.array_join(F.sort_array(F.collect_list("h")), "\n"), 256).alias("h"), F.sum("n").alias("n"))
-    return mid.groupBy("scope_id").agg(F.sum("n").alias("n_entries"), F.sha2(F.array_join(F.sort_array(F.collect_list("h")), "\n"), 256).alias("body_sha256"))
+    node = lambda c: F.sha2(F.array_join(F.sort_array(F.collect_list(c)), "\n"), 256)
+    level = entries.select("scope_id", F.col("content_hexdigest").alias("b"), line.alias("h")).groupBy("scope_id", "b").agg(node("h").alias("h"), F.count(F.lit(1)).alias("n"))
+    for digits in (5, 3, 1, 0):
+        level = level.groupBy("scope_id", F.substring("b", 1, digits).alias("b")).agg(node("h").alias("h"), F.sum("n").alias("n"))
+    return level.select("scope_id", F.col("n").alias("n_entries"), F.col("h").alias("body_sha256"))

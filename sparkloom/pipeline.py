@@ -73,10 +73,9 @@ def build_index(chunks: DataFrame, encode=None) -> DataFrame:
     return vectors.embed(rows, encode or vectors.character_embedder())
 
 
-def ask(spark: SparkSession, index: DataFrame, question: str, k: int = 5, encode=None, **filters) -> DataFrame:
+def ask(index: DataFrame, question: str, k: int = 5, encode=None, **filters) -> DataFrame:
     """The k passages nearest to a question, with scores."""
-    q = spark.createDataFrame([((encode or vectors.character_embedder())([question])[0],)], "q array<float>")
-    return vectors.search(index, q, k, **filters)
+    return vectors.search(index, (encode or vectors.character_embedder())([question])[0], k, **filters)
 
 
 def next_version(entries: DataFrame, seals: DataFrame) -> str:

@@ -71,7 +71,7 @@ FROM p GROUP BY 1, 2
 
 @query(_DEDUP)
 def scope_dedup(spark, d):
-    return catalog.dedup_in_scope(load(spark, d, "sources")).drop("paths")
+    return catalog.dedup_in_scope(load(spark, d, "sources"))
 
 
 @query("""
@@ -341,12 +341,30 @@ def non_data_names(spark, d):
     return docs.select("doc_id", name.alias("name")).withColumn("class", routing.non_data_class(F.col("name"), catalog.extension(F.col("name"))))
 
 
-@query()
+_EVEN = "(len(ls) >= 2 AND list_min(list_transform(ls, lambda x: length(x) - length(replace(x, {c}, '')))) >= 1 AND list_min(list_transform(ls, lambda x: length(x) - length(replace(x, {c}, '')))) = list_max(list_transform(ls, lambda x: length(x) - length(replace(x, {c}, '')))))"
+
+
+@query("""
+WITH t AS (SELECT doc_id, regexp_replace(text, '^[\\x{feff} \\t\\r\\n]+', '') AS s FROM documents WHERE text IS NOT NULL),
+l AS (SELECT doc_id, s, lower(substr(s, 1, 512)) AS head, list_filter(regexp_split_to_array(s, '\\r\\n|\\r|\\n')[1:8], lambda x: trim(x, ' ') <> '') AS ls FROM t)
+SELECT doc_id, CASE WHEN s = '' THEN 'plain_text' WHEN regexp_matches(s, '^[{\\[]') AND (json_valid(s) OR NOT regexp_matches(rtrim(s), '[}\\]]$')) THEN 'json'
+  WHEN starts_with(s, '<') THEN CASE WHEN starts_with(head, '<!doctype html') OR contains(head, '<html') THEN 'html' ELSE 'xml' END
+  WHEN regexp_matches(head, '^(from|received|return-path|message-id):') THEN 'email'
+  WHEN """ + " OR ".join(_EVEN.format(c=c) for c in ("','", "';'", "chr(9)", "'|'")) + """ THEN 'delimited_text' ELSE 'plain_text' END AS family FROM l
+""")
 def detect_text_family(spark, d):
     return load(spark, d, "documents").where("text is not null").select("doc_id", routing.text_family(F.col("text")).alias("family"))
 
 
-@query()
+def _print_sql(section: str) -> str:
+    body = """'{"minimum":' || min_chunk_characters || ',"overlap":' || chunk_overlap || ',"size":' || chunk_size || '}'""" if section == "chunking" else "'{}'"
+    return f"substr(sha256('{section}:' || {body}), 1, 16)"
+
+
+@query(" UNION ALL ".join(
+    f"SELECT extraction_config_version, '{route}' AS route, substr(sha256({' || chr(0) || '.join(_print_sql(s) for s in sections)}), 1, 16) AS fingerprint FROM chunking_settings"
+    for route, sections in routing.ROUTE_SECTIONS.items()
+))
 def route_fingerprint(spark, d):
     """Fingerprints of the routes under each chunking setting (a fixed table)."""
     rows = []
@@ -358,10 +376,11 @@ def route_fingerprint(spark, d):
 
 # --- text ---------------------------------------------------------------------------------------
 
-_WS = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-
-
-@query()
+@query("""
+SELECT doc_id, sha256(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '\\r\\n|\\r', chr(10), 'g'), '[ \\t]{2,}', ' ', 'g'), '(?m)[ \\t]+$', '', 'g'),
+       '\\n{3,}', chr(10) || chr(10), 'g'), '^[\\s\\x{1c}-\\x{1f}\\x{85}\\x{a0}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{3000}]+|[\\s\\x{1c}-\\x{1f}\\x{85}\\x{a0}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{3000}]+$', '', 'g')) AS sha
+FROM documents WHERE text IS NOT NULL
+""")
 def normalise_ws(spark, d):
     return load(spark, d, "documents").where("text is not null").select("doc_id", F.sha2(T.normalise(F.col("text")), 256).alias("sha"))
 
@@ -385,7 +404,7 @@ def _units(spark, d) -> DataFrame:
 
 
 @query()
-def chunk_texts(spark, d):
+def chunks(spark, d):
     return chunking.number_chunks(chunking.split_units(_units(spark, d)), "cfg")
 
 
@@ -393,7 +412,7 @@ def chunk_texts(spark, d):
 def chunk_offsets(spark, d):
     """Every chunk stands at its offset in its unit, none is longer than the size, and ids are unique."""
     u = _units(spark, d).select("scope_id", "content_sha256", F.col("text").alias("whole"))
-    c = chunk_texts(spark, d).join(u, ["scope_id", "content_sha256"])
+    c = chunks(spark, d).join(u, ["scope_id", "content_sha256"])
     at = F.expr("substring(whole, char_start + 1, char_end - char_start)") == F.col("text")
     return c.agg(F.bool_and(at).alias("located"), F.bool_and(F.length("text") <= 1000).alias("within"), (F.count_distinct("chunk_id") == F.count("chunk_id")).alias("unique_ids"))
 
@@ -624,11 +643,11 @@ def json_paths(spark, d):
 _Q = "(SELECT embedding AS q FROM embeddings WHERE vec_id = (SELECT min(vec_id) FROM embeddings))"
 
 
-def _vectors(spark, d) -> tuple[DataFrame, DataFrame]:
+def _vectors(spark, d) -> tuple[DataFrame, list[float]]:
+    """The index, and one question: the vector of the smallest id."""
     e = load(spark, d, "embeddings")
     v = e.select(F.col("vec_id").alias("chunk_id"), F.concat(F.lit("scope-"), "label").alias("scope_id"), F.concat(F.lit("Client "), "label").alias("client"), F.lit("All").alias("category"), F.col("embedding").alias("vector"))
-    q = e.agg(F.min_by("embedding", "vec_id").alias("q"))
-    return v, q
+    return v, e.agg(F.min_by("embedding", "vec_id").alias("q")).first().q
 
 
 @query(f"SELECT vec_id AS chunk_id, label, list_dot_product(embedding::DOUBLE[], q::DOUBLE[]) AS score FROM embeddings, {_Q} ORDER BY score DESC, vec_id LIMIT 10")
@@ -655,7 +674,7 @@ def filtered_search(spark, d):
 @query(f"SELECT count(*) AS n_checked FROM embeddings, {_Q} WHERE len(embedding) = len(q)")
 def dim_guard(spark, d):
     v, q = _vectors(spark, d)
-    return vectors.guard_dimension(v, q).where(F.size("vector") > 0).agg(F.count(F.lit(1)).alias("n_checked"))
+    return vectors.scored(v, q).where("score >= -2").agg(F.count(F.lit(1)).alias("n_checked"))
 
 
 @query("SELECT client_scope_id AS scope_id, chunk_id, row_number() OVER (PARTITION BY client_scope_id ORDER BY content_sha256, seq, chunk_id) - 1 AS row_no FROM (SELECT DISTINCT client_scope_id, chunk_id, content_sha256, seq FROM chunks)")

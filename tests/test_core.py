@@ -29,8 +29,9 @@ def test_longest_root_wins(spark):
 
 def test_dedup_keeps_paths(spark):
     src = spark.createDataFrame([("s", "h", "a", 1), ("s", "h", "b", 2), ("s", "h", "a", 3), ("t", "h", "a", 4), ("s", None, "z", 5)], "scope_id string, content_sha256 string, relative_path string, ord bigint")
-    got = {(r.scope_id, r.first_path, r.n_duplicates, tuple(r.paths)) for r in catalog.dedup_in_scope(src).collect()}
-    assert got == {("s", "a", 1, ("a", "b")), ("t", "a", 0, ("a",))}
+    got = {(r.scope_id, r.first_path, r.n_duplicates) for r in catalog.dedup_in_scope(src).collect()}
+    assert got == {("s", "a", 1), ("t", "a", 0)}
+    assert {(r.scope_id, r.relative_path) for r in catalog.content_paths(src).collect()} == {("s", "a"), ("s", "b"), ("t", "a")}
     assert [r.outcome for r in catalog.dedup_outcomes(src).orderBy("ord").collect()] == ["first", "duplicate", "repeat", "first"]
 
 
@@ -122,10 +123,26 @@ def test_typing(spark):
     assert tables.column_names(["A", "A", "A_1", ""]) == ["A", "A_1", "A_1_1", "column_3"]
 
 
+def test_rows_are_numbered_without_gaps(spark):
+    rows = [(f"c{i}", "hot" if i % 3 else "b", f"{i * 7919 % 4096:03x}", i % 2) for i in range(300)]
+    got = vectors.index_rows(spark.createDataFrame(rows, "chunk_id string, scope_id string, content_sha256 string, seq int"), 1).collect()
+    for scope in ("hot", "b"):
+        own = sorted((r for r in got if r.scope_id == scope), key=lambda r: (r.content_sha256, r.seq, r.chunk_id))
+        assert [r.row_no for r in own] == list(range(len(own)))
+
+
+def test_seal_follows_every_entry(spark):
+    schema = "scope_id string, content_hexdigest string, route string, route_fingerprint string, version_id string, run_ordinal int, status string, source_paths array<string>"
+    rows = [("s", f"{i * 7919 % 65536:064x}"[::-1], "r", "f", "v", 1, "success", ["p"]) for i in range(50)]
+    seal = lambda r: tuple(versioning.seal_body(spark.createDataFrame(r, schema)).first())
+    assert seal(rows) == seal(rows[::-1]) and seal(rows)[1] == 50
+    assert seal(rows) != seal([*rows[:-1], ("s", rows[-1][1], "r", "f", "v", 1, "partial", ["p"])])
+
+
 def test_search(spark):
     v = spark.createDataFrame([(1, "a", "Acme", "X", [1.0, 0.0]), (2, "a", "Acme", "X", [1.0, 0.0]), (3, "b", "Zed", "Y", [0.0, 1.0])], "chunk_id bigint, scope_id string, client string, category string, vector array<float>")
-    q = spark.createDataFrame([([1.0, 0.5],)], "q array<float>")
+    q = [1.0, 0.5]
     assert [r.chunk_id for r in vectors.search(v, q, 2).collect()] == [1, 2]
     assert [r.chunk_id for r in vectors.search(v, q, 2, client="zE").collect()] == [3]
     with pytest.raises(Exception, match="different dimensions"):
-        vectors.search(v, spark.createDataFrame([([1.0],)], "q array<float>"), 1).collect()
+        vectors.search(v, [1.0], 1).collect()

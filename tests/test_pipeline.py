@@ -40,7 +40,7 @@ def test_run(spark, root, tmp_path):
     pipeline.publish(t, out, 1)
     with pytest.raises(Exception, match="already exists"):
         pipeline.publish(t, out, 1)
-    hits = pipeline.ask(spark, pipeline.build_index(t["chunks"]), "The quick brown fox", 2).collect()
+    hits = pipeline.ask(pipeline.build_index(t["chunks"]), "The quick brown fox", 2).collect()
     assert "quick" in hits[0].text
 
 
