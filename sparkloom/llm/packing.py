@@ -127,7 +127,7 @@ def ranked_by_size(items: DataFrame, size: str, ids: list[str], buckets: int) ->
     return salted.withColumn("_r", F.row_number().over(inner) - 1).join(offsets, [size, "_b"]).withColumn("_rank", F.col("_r") + F.col("_o")).drop("_r", "_o", "_b")
 
 
-def pack(items: DataFrame, capacities: list[int], ids: list[str], size: str = "n_tokens", buckets: int = 64) -> DataFrame:
+def pack(items: DataFrame, capacities: list[int], ids: list[str], size: str = "n_tokens", buckets: int | None = None) -> DataFrame:
     """ids, piece_no, n_tokens, container_no (from 1) and capacity of each item.
 
     An item larger than the largest capacity comes as pieces (from 0): full
@@ -136,6 +136,8 @@ def pack(items: DataFrame, capacities: list[int], ids: list[str], size: str = "n
     rows are items of their own. No items, no rows.
     """
     caps = sorted({int(c) for c in capacities if c and c > 0})
+    # Enough buckets that a size shared by a third of all items is ranked by as many tasks as there are.
+    buckets = buckets or max(64, 4 * int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     if not caps or caps[-1] > MAX_CAPACITY:
         raise ValueError(f"capacities must lie between 1 and {MAX_CAPACITY}")
     top = F.lit(caps[-1])

@@ -17,6 +17,7 @@ import re
 from collections.abc import Iterator
 
 import ahocorasick
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -221,6 +222,9 @@ def _find_addresses(t: str) -> Iterator[Item]:
             yield hit.start(1), hit.end(1), "address", re.sub(r"\D", "", hit.group(2))
 
 
+_ENDS = re.compile(r"\s*(?:[,;.:()<\n|]|$)|\s+(?:can\s+be|will\s+collect|about|on\s+\d|is\s+held|during|has\s+not)\b")
+
+
 def _clean_name(t: str, start: int, end: int) -> tuple[int, int] | None:
     """Cut a name candidate to the words that can be a name; None if nothing is left or it is a firm's.
 
@@ -233,8 +237,10 @@ def _clean_name(t: str, start: int, end: int) -> tuple[int, int] | None:
         if keep and "\n" in t[keep[-1][1] : a]:
             line_end = t.find("\n", a)
             line = t[a : line_end if line_end >= 0 else len(t)]
-            if len(keep) >= 2 and "," not in t[keep[-1][1] : a] or word in _NOT_NAMES or any(w.lower().rstrip(".") in FIRM_WORDS for w in line.split()[:5]):
+            if len(keep) >= 2 and keep[-1][1] - keep[-1][0] > 2 and "," not in t[keep[-1][1] : a] or word in _NOT_NAMES or any(w.lower().rstrip(".") in FIRM_WORDS for w in line.split()[:5]):
                 break
+        if not keep and (word in TITLES or word in ("cr", "dr")):
+            continue  # a title, or the side column of a listing
         if word in _NOT_NAMES:
             break
         if word in FIRM_WORDS:
@@ -243,6 +249,9 @@ def _clean_name(t: str, start: int, end: int) -> tuple[int, int] | None:
             keep.append((a, b - 1))
             break
         keep.append((a, b))
+    # More than a given and a family name only where the mention ends there: the next sentence begins with a capital too.
+    while sum(b - a > 2 for a, b in keep) > 2 and not _ENDS.match(t, keep[-1][1]):
+        keep.pop()
     while keep and keep[-1][1] - keep[-1][0] <= 2 and len(keep) > 1 and not t[keep[-1][0] : keep[-1][1]].endswith("."):
         keep.pop()
     if not keep or not any(b - a > 2 for a, b in keep):
@@ -418,9 +427,9 @@ def assign_surrogates(entities: DataFrame, key: str) -> DataFrame:
     """
     secret = key.encode()
 
-    @F.udf("string")
-    def draw(kind: str, canon: str, gender: str, attempt: int) -> str:
-        return surrogate(secret, kind, canon, gender or "", attempt)
+    @F.pandas_udf("string")
+    def draw(kind: pd.Series, canon: pd.Series, gender: pd.Series, attempt: pd.Series) -> pd.Series:
+        return pd.Series([surrogate(secret, *row) for row in zip(kind, canon, gender, attempt, strict=True)], dtype=object)
 
     pending, done, attempt = entities.select("kind", "canon", "gender"), None, 0
     real = entities.select("kind", F.col("canon").alias("surrogate"))
@@ -448,9 +457,9 @@ def mask(records: DataFrame, keys: list[str], key: str, text: str = "text") -> D
     base = records.select(*keys, F.col(text).alias("_text")).dropDuplicates()
     base = base.withColumn("_rid", F.sha2(F.concat_ws("\x00", *[F.coalesce(F.col(k).cast("string"), F.lit("\x01")) for k in keys], F.coalesce("_text", F.lit("\x01"))), 256))
 
-    @F.udf("string")
-    def canon(kind: str, value: str) -> str:
-        return canonical(kind, value)
+    @F.pandas_udf("string")
+    def canon(kind: pd.Series, value: pd.Series) -> pd.Series:
+        return pd.Series([canonical(*row) for row in zip(kind, value, strict=True)], dtype=object)
 
     found = cut(detect(base, ["_rid"], "_text").withColumn("canon", canon("kind", "value")), "pii-mentions")
     initial = F.regexp_extract("canon", r"^(\w)\. ", 1)
@@ -470,9 +479,9 @@ def mask(records: DataFrame, keys: list[str], key: str, text: str = "text") -> D
     entities = found.select("kind", "canon").distinct().join(gender, ["kind", "canon"], "left")
     named = assign_surrogates(entities, key).select("kind", "canon", "surrogate")
 
-    @F.udf("string")
-    def show(kind: str, value: str, surface: str, replaced: str) -> str:
-        return render(kind, value, surface, replaced)
+    @F.pandas_udf("string")
+    def show(kind: pd.Series, value: pd.Series, surface: pd.Series, replaced: pd.Series) -> pd.Series:
+        return pd.Series([render(*row) for row in zip(kind, value, surface, replaced, strict=True)], dtype=object)
 
     items = found.join(named, ["kind", "canon"]).select("_rid", "start", "end", show("kind", "value", "surface", "surrogate").alias("put"))
     lists = items.groupBy("_rid").agg(F.sort_array(F.collect_set(F.struct("start", "end", "put"))).alias("_items"))

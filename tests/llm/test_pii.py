@@ -31,6 +31,11 @@ def test_decoys():
     assert found(None) == found("") == set()
 
 
+def test_names_end_where_they_should():
+    t = "1,204 | Cr\nShri Arun Bose can be reached: 5512345678. Prepared by Neha\nVarma\n(sd/-) Ms Rao, Asha Save where it falls. Name: Neha K.\nVarma; we met Asha Rao\nBalance carried over"
+    assert {v for k, v in found(t) if k == "name"} == {"arun bose", "neha varma", "rao, asha", "neha k. varma", "asha rao"}
+
+
 def test_positions_are_the_text(spark):
     t = "😀 Prepared by Shri Arun Bose; 55123 45678"
     assert [t[a:b] for a, b, _, _ in pii.find_all(t)] == ["Arun Bose", "55123 45678"]
