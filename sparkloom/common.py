@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -31,9 +32,26 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+_MADE: list[str] = []
+
+
 def work_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder, removed when the driver ends: results may be read until then."""
+    if not _MADE:
+        atexit.register(_clean, spark)
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def _clean(spark: SparkSession) -> None:
+    try:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _MADE:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
+    except Exception:  # noqa: BLE001 - the session may have ended before the driver did
+        pass
 
 
 def cut(df: DataFrame, label: str = "stage") -> DataFrame:

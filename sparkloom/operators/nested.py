@@ -111,21 +111,21 @@ def walk(value, arrays: frozenset[str] | set[str]) -> Iterator[tuple[str, str, s
     A lone object under a member of ``arrays`` counts as an array of one.
     Objects under other members belong to the row around them.
     """
-    todo = [(ROOT, ROOT, ROOT, ROOT, value)]
+    todo = [(ROOT, ROOT, ROOT, ROOT, False, value)]
     while todo:
-        name, path, kind, parent, v = todo.pop()
+        name, path, kind, parent, element, v = todo.pop()
         v = as_array(v)
         if isinstance(v, dict):
-            if name in arrays and name != ROOT and not path.endswith("]"):
-                path, kind = f"{path}[0]", f"{kind}[]"
-            if path.endswith("]"):
+            if name in arrays and name != ROOT and not element:
+                path, kind, element = f"{path}[0]", f"{kind}[]", True
+            if element:
                 yield path, parent, kind, v
                 parent = path
             for k, x in reversed(list(v.items())):
-                todo.append((k, f"{path}.{k}", f"{kind}.{k}", parent, x))
+                todo.append((k, f"{path}.{k}", f"{kind}.{k}", parent, False, x))
         elif isinstance(v, list):
             for i in range(len(v) - 1, -1, -1):
-                todo.append((name, f"{path}[{i}]", f"{kind}[]", parent, v[i]))
+                todo.append((name, f"{path}[{i}]", f"{kind}[]", parent, True, v[i]))
 
 
 def array_vocabulary(records: DataFrame, payload: str = "payload") -> list[str]:

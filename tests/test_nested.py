@@ -50,7 +50,7 @@ def test_variants_and_typed_tables(spark):
     assert s.count() == 3
 
 
-JSON = st.recursive(st.none() | st.integers() | st.text(max_size=3), lambda x: st.lists(x, max_size=3) | st.dictionaries(st.sampled_from("abc"), x, max_size=3), max_leaves=12)
+JSON = st.recursive(st.none() | st.integers() | st.text(max_size=3), lambda x: st.lists(x, max_size=3) | st.dictionaries(st.sampled_from(["a", "b", "c]"]), x, max_size=3), max_leaves=12)
 
 
 @given(JSON)
@@ -58,6 +58,22 @@ JSON = st.recursive(st.none() | st.integers() | st.text(max_size=3), lambda x: s
 def test_state_names_the_shape(v):
     assert nested.state(v) == nested.state(json.loads(json.dumps(v)))
     arrays = nested.array_members(v)
-    found = [p for p, *_ in nested.walk(v, arrays)]
-    assert len(found) == len(set(found))
-    assert all(p.endswith("]") for p in found)
+    found = [(p, parent) for p, parent, *_ in nested.walk(v, arrays)]
+    assert len(found) == len(set(found)) and set(found) == set(plain(v, arrays))
+
+
+def plain(v, arrays, path="$", parent="$", name=None, element=False):
+    """The definition, said recursively."""
+    v = nested.as_array(v)
+    if isinstance(v, list):
+        return [r for i, x in enumerate(v) for r in plain(x, arrays, f"{path}[{i}]", parent, name, True)]
+    if not isinstance(v, dict):
+        return []
+    if not element and name in arrays:
+        path, element = path + "[0]", True
+    own = [(path, parent)] if element else []
+    return own + [r for k, x in v.items() for r in plain(x, arrays, f"{path}.{k}", path if element else parent, k)]
+
+
+def test_member_names_that_look_like_indexes():
+    assert list(nested.walk({"x]": {"y": 1}}, set())) == []
