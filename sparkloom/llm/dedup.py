@@ -37,8 +37,8 @@ ROWS = 4
 SAME = 0.72
 #: Fewest words of a record that is checked, and of one that is indexed.
 MIN_WORDS, MIN_INDEXED = 50, 30
-#: Beyond this many words order is checked on shingles that occur once instead of on all words.
-LONG = 20_000
+#: Words of one record whose order is compared at a time; the result does not depend on it.
+BLOCK = 8192
 
 _WORD = re.compile(r"[^\W_]+")
 _FOLD = str.maketrans({"0": "o", "1": "l", "i": "l", "5": "s", "9": "g", "q": "g", "6": "b", "8": "b", "@": "a", "!": "l"})
@@ -117,39 +117,40 @@ class Signer:
 
 
 def common_in_order(a: np.ndarray, b: np.ndarray) -> int:
-    """Length of the longest common subsequence (of words; for very long records, of unique shingles, scaled to words)."""
-    if max(len(a), len(b)) > LONG:
-        return _common_long(a, b)
-    at: dict[int, int] = {}
-    for i, w in enumerate(a.tolist()):
-        at[w] = at.get(w, 0) | 1 << i
-    full = (1 << len(a)) - 1
-    v = full
-    for w in b.tolist():
-        u = v & at.get(w, 0)
-        v = ((v + u) | (v - u)) & full
-    return len(a) - v.bit_count()
-
-
-def _common_long(a: np.ndarray, b: np.ndarray) -> int:
-    import bisect
-
-    def once(x: np.ndarray) -> dict[bytes, int]:
-        out: dict[bytes, int] = {}
-        raw = x.astype(np.uint32).tobytes()
-        for i in range(len(x) - SHINGLE + 1):
-            k = raw[4 * i : 4 * (i + SHINGLE)]
-            out[k] = -1 if k in out else i
-        return {k: i for k, i in out.items() if i >= 0}
-
-    pa_, pb = once(a), once(b)
-    if not pa_ or not pb:
-        return 0
-    tails: list[int] = []
-    for i in (pb[k] for k in sorted(pa_, key=pa_.get) if k in pb):
-        j = bisect.bisect_left(tails, i)
-        tails[j : j + 1] = [i]
-    return int(len(tails) / max(len(pa_), len(pb)) * max(len(a), len(b)))
+    """Length of the longest common subsequence of words, exact at every length.
+
+    What the records begin and end with alike is common. The rest is counted
+    bit-parallel in blocks of BLOCK words of a; the carries of a block's
+    additions, one a word of b, go into the next block.
+    """
+    n = min(len(a), len(b))
+    head = _alike(a[:n], b[:n])
+    a, b = a[head:], b[head:]
+    n = min(len(a), len(b))
+    tail = _alike(a[len(a) - n :][::-1], b[len(b) - n :][::-1])
+    a, b = a[: len(a) - tail].tolist(), b[: len(b) - tail].tolist()
+    common, carries = head + tail, bytearray(len(b))
+    for start in range(0, len(a), BLOCK):
+        part = a[start : start + BLOCK]
+        at: dict[int, int] = {}
+        for i, w in enumerate(part):
+            at[w] = at.get(w, 0) | 1 << i
+        size = len(part)
+        full = (1 << size) - 1
+        v = full
+        for j, w in enumerate(b):
+            u = v & at.get(w, 0)
+            total = v + u + carries[j]
+            carries[j] = total >> size
+            v = (total | (v - u)) & full
+        common += size - v.bit_count()
+    return common
+
+
+def _alike(a: np.ndarray, b: np.ndarray) -> int:
+    """How many words two sequences of one length begin with alike."""
+    other = a != b
+    return int(other.argmax()) if other.any() else len(a)
 
 
 ENTRY = "doc_id bigint, scope_id string, batch_no int, n_words int, class_key bigint, class_key2 bigint, keys array<bigint>, words binary"

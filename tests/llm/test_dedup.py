@@ -80,3 +80,33 @@ def test_long_records():
     a = rng.integers(0, 60_000, 30_000).astype(np.uint16)
     b = np.delete(a, range(0, 300))
     assert dedup.same_text(a.tobytes(), b.tobytes()) and not dedup.same_text(a.tobytes(), a[::-1].tobytes())
+
+
+def test_long_near_copies_are_compared_by_words():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    a = rng.integers(0, 60_000, 25_000).astype(np.uint16)
+    for share in (0.06, 0.08):
+        b = a.copy()
+        at = rng.random(len(b)) < share
+        b[at] = rng.integers(60_000, 65_000, int(at.sum()))
+        assert dedup.common_in_order(a, b) == len(a) - at.sum() and dedup.same_text(a.tobytes(), b.tobytes())
+
+
+def test_order_in_blocks_is_the_plain_longest_common_subsequence(monkeypatch):
+    import numpy as np
+
+    def plain(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last = 0
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
+        return row[-1]
+
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(dedup, "BLOCK", 7)
+    for _ in range(60):
+        a, b = (rng.integers(0, 6, rng.integers(0, 40)).astype(np.uint16) for _ in range(2))
+        assert dedup.common_in_order(a, b) == plain(a, b)
