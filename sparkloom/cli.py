@@ -60,8 +60,9 @@ def main(argv: list[str] | None = None) -> int:
     tables = pipeline.run(spark, args.root, **settings["chunking"])
     if args.command == "run":
         pipeline.publish(tables, args.out, args.ordinal)
-        tables["records"].groupBy("status").count().orderBy("status").show()
-        return int(not tables["records"].where("status = 'failed'").isEmpty())
+        told = tables["records"].select("status").unionByName(tables["member_records"].select("status"))
+        told.groupBy("status").count().orderBy("status").show()
+        return int(not told.where("status = 'failed'").isEmpty())
     scopes = catalog.discover_scopes(corpus.corpus_files(spark, args.root), []).withColumn("scope_id", catalog.scope_id(F.col("category"), F.col("client")))
     index = pipeline.build_index(tables["chunks"]).join(scopes.select("scope_id", "client", "category"), "scope_id")
     pipeline.ask(index, args.question, settings["search"]["k"], client=args.client, category=args.category).select("score", "client", "unit_ref", "text").show(truncate=120)

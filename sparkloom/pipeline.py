@@ -15,25 +15,33 @@ def run(spark: SparkSession, root: str, scopes: DataFrame | None = None, whole_c
     """Walk a corpus, identify, deduplicate within scopes, route and read.
 
     Returns the tables ``records`` (one row per file: scope, content, route,
-    status, error), ``members`` (of archives), ``units``, ``cells``, ``pages``
-    and ``chunks``. Every file has a record, unscoped, empty and unreadable
-    ones too; one bad file never stops the others.
+    status, error), ``members`` (of archives), ``member_records`` (as records,
+    one row per member at every depth, path ``archive!member``), ``units``,
+    ``cells``, ``pages`` and ``chunks``. Members take the scope of their
+    archive and are identified, deduplicated, routed and read with the files,
+    which come first, then members by depth. Every file and member has a record,
+    unscoped, empty and unreadable ones too; one bad file never stops the others.
     """
     files = corpus.corpus_files(spark, root)
     scopes = catalog.discover_scopes(files, whole_categories or []).withColumn("scope_id", catalog.scope_id(F.col("category"), F.col("client"))) if scopes is None else scopes
-    content = cut(corpus.with_content(files, root), "run-content")
-    probes = detect.detect_files(content)
-    routed = routing.select_routes(probes).join(content.select("path", "content_sha256"), "path")
-    owned = routed.join(catalog.resolve_paths(files, scopes).select(F.col("relative_path").alias("path"), F.col("resolved_scope").alias("scope_id")), "path", "left")
+    content = cut(corpus.with_content(files, root), "run-content").withColumns({"name": F.col("path"), "depth": F.lit(0)})
+    scope_of = catalog.resolve_paths(files, scopes).select(F.col("relative_path").alias("path"), F.col("resolved_scope").alias("scope_id"))
+    owned = _identified(content).join(scope_of, "path", "left").withColumns({"archive_path": F.lit(None).cast("string"), "member_path": F.lit(None).cast("string")})
+    owned = cut(owned, "run-files")
+    # Archives are opened once, to their full depth under one budget; an archive inside one is a member like the others.
+    roots = _with_first(owned).where("path = first_path and route = 'archive'")
+    found = cut(archives.archive_contents(roots.select("path").join(content, "path")), "run-members")
+    members = found.select(*[c.split()[0] for c in archives.MEMBERS.split(", ")])
+    inner = found.where("failure is null").select(F.col("file_path").alias("path"), "content", "content_sha256", "name", "depth")
+    lineage = found.where("failure is null").select(F.col("file_path").alias("path"), F.col("path").alias("archive_path"), "member_path")
+    inside = _identified(inner).join(lineage, "path").join(owned.select(F.col("path").alias("archive_path"), "scope_id"), "archive_path")
     # The first path of a content in a scope is read, the others are duplicates: before any reader runs.
-    first = owned.where("scope_id is not null").groupBy("scope_id", "content_sha256").agg(F.min("path").alias("first_path"))
-    known = cut(owned.join(first, ["scope_id", "content_sha256"], "left"), "run-routed")
+    known = cut(_with_first(owned.unionByName(inside)), "run-routed")
     fresh = known.where("path = first_path").select("path", "scope_id", "content_sha256", "family", "route")
-    work = fresh.join(content.select("path", "content"), "path")
+    work = fresh.join(content.select("path", "content").unionByName(inner.select("path", "content")), "path")
     units = cut(readers.read_units(work.where(F.col("route").isin("text_extract", "structured"))), "run-units")
     cells = cut(readers.read_cells(work.where("route = 'tabular_parquet'")), "run-cells")
     pages = cut(readers.read_pages(work.where("route = 'pdf_text'")), "run-pages")
-    members = cut(archives.archive_members(work.where("route = 'archive'")), "run-members")
     text_pages = pages.where("error_category is null and character_count >= 120").select(
         "path", F.lit("page").alias("unit_type"), F.format_string("page:%d", "number").alias("unit_ref"), F.col("number").alias("unit_sequence"), "text"
     )
@@ -44,7 +52,13 @@ def run(spark: SparkSession, root: str, scopes: DataFrame | None = None, whole_c
     for t in (units, cells, pages):
         e = t.where("error_category is not null").select("path", "error_category", "error_message")
         errors = e if errors is None else errors.unionByName(e)
-    broken = members.where("failure is not null").groupBy("path").agg(F.count(F.lit(1)).alias("_n"))
+    # A failure counts for the archive and for every archive inside it that holds the member.
+    steps = F.split(F.col("file_path"), "!")
+    holders = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda n: F.array_join(F.slice(steps, 1, n), "!"))
+    broken = (
+        found.where("failure is not null").select(F.col("path").alias("_root"), F.explode(holders).alias("path"))
+        .where(F.length("path") >= F.length("_root")).groupBy("path").agg(F.count(F.lit(1)).alias("_n"))
+    )
     status = (
         F.when(F.col("scope_id").isNull(), "failed").when(F.col("path") != F.col("first_path"), "skipped_duplicate").when(F.col("terminal_status").isNotNull(), F.col("terminal_status"))
         .when(F.col("_e.error_category") == "NO_COMPATIBLE_READER", "no_reader").when(F.col("_e.error_category").isNotNull(), "failed").when(F.col("_n").isNotNull(), "partial")
@@ -52,10 +66,24 @@ def run(spark: SparkSession, root: str, scopes: DataFrame | None = None, whole_c
     )
     category = F.when(F.col("scope_id").isNull(), "UNSCOPED_PATH").otherwise(F.coalesce("error_category", "_e.error_category"))
     one = errors.groupBy("path").agg(F.min(F.struct("error_category", "error_message")).alias("_e"))
-    records = known.join(one, "path", "left").join(broken, "path", "left").select(
-        "path", "scope_id", "content_sha256", "family", "route", status.alias("status"), category.alias("error_category"), F.col("_e.error_message").alias("error_message")
+    told = known.join(one, "path", "left").join(broken, "path", "left").select(
+        "path", "scope_id", "content_sha256", "family", "route", status.alias("status"), category.alias("error_category"), F.col("_e.error_message").alias("error_message"),
+        "archive_path", "member_path", "depth",
     )
-    return {"records": records, "members": members, "units": units, "cells": cells, "pages": pages, "chunks": chunks}
+    records, member_records = told.where("depth = 0").drop("archive_path", "member_path", "depth"), told.where("depth > 0")
+    return {"records": records, "members": members, "member_records": member_records, "units": units, "cells": cells, "pages": pages, "chunks": chunks}
+
+
+def _identified(content: DataFrame) -> DataFrame:
+    """Probe, route, hash and depth of each row of content (path, name, content, content_sha256, depth); the name is the file's own, without its archive."""
+    probes = detect.detect_files(content, "name")
+    return routing.select_routes(probes).join(content.select("path", "content_sha256", "depth"), "path")
+
+
+def _with_first(owned: DataFrame) -> DataFrame:
+    """owned with ``first_path``: the path of least depth (ties: path) that holds the content in the scope."""
+    first = owned.where("scope_id is not null").groupBy("scope_id", "content_sha256").agg(F.min_by("path", F.struct("depth", "path")).alias("first_path"))
+    return owned.join(first, ["scope_id", "content_sha256"], "left")
 
 
 def publish(tables: dict[str, DataFrame], out: str, ordinal: int) -> None:

@@ -14,8 +14,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from sparkloom.operators.catalog import RESERVED_NAMES
+from sparkloom.sources.detect import detect
 
 BLOCK = 256 * 1024
+#: Bytes of members' contents that leave a task in one batch.
+BATCH_BYTES = 64 * 1024 * 1024
+# Families that are opened inside an archive, and their leading bytes.
+NESTED = ("archive_zip", "archive_gzip", "archive_7z")
+NESTED_MAGIC = (b"PK", b"\x1f\x8b", b"7z")
 
 
 @dataclass
@@ -31,6 +37,7 @@ class Limits:
 class Found:
     members: list[tuple] = field(default_factory=list)
     failures: list[tuple] = field(default_factory=list)
+    names: list[str] = field(default_factory=list)
     bytes: int = 0
 
 
@@ -107,7 +114,8 @@ def expand(raw: bytes, limits: Limits | None = None) -> Found:
                     continue
                 full = "!".join((*chain, path))
                 found.members.append((full, depth, hashlib.sha256(content).hexdigest(), len(content), content))
-                if content[:4] == b"PK\x03\x04" and not re.search(rb"\[Content_Types\]\.xml", content[:4096]):
+                found.names.append(path)
+                if content.startswith(NESTED_MAGIC) and detect(path, content).family in NESTED:
                     if depth >= limits.depth:
                         found.failures.append((full, depth, "ARCHIVE_DEPTH_LIMIT_EXCEEDED", "nested deeper than the limit"))
                     else:
@@ -142,3 +150,42 @@ def archive_members(files: DataFrame, limits: Limits | None = None) -> DataFrame
             yield df
 
     return files.select("path", "content").mapInPandas(run, MEMBERS)
+
+
+CONTENTS = f"{MEMBERS}, file_path string, name string, content binary"
+
+
+def archive_contents(files: DataFrame, limits: Limits | None = None) -> DataFrame:
+    """The rows of archive_members with each member's content, its own name, and ``file_path``: archive path, ``!`` and member path.
+
+    A member path that occurs again in its archive gets ``#`` and a number in
+    file_path, so that every member is a file of its own.
+    """
+    columns = [x.split()[0] for x in CONTENTS.split(", ")]
+
+    def frame(rows: list[tuple]) -> pd.DataFrame:
+        df = pd.DataFrame(rows, columns=columns)
+        df["bytes"] = df["bytes"].astype("Int64")
+        return df
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows, held = [], 0
+            for path, raw in zip(b["path"], b["content"], strict=True):
+                data = bytes(raw or b"")
+                whole, found, seen = hashlib.sha256(data).hexdigest(), expand(data, limits), set()
+                for (p, d, h, n, content), name in zip(found.members, found.names, strict=True):
+                    unique, again = p, 1
+                    while unique in seen:
+                        again += 1
+                        unique = f"{p}#{again}"
+                    seen.add(unique)
+                    rows.append((path, whole, p, d, n, h, None, None, f"{path}!{unique}", name, content))
+                    held += n
+                    if held > BATCH_BYTES:
+                        yield frame(rows)
+                        rows, held = [], 0
+                rows.extend((path, whole, p, d, None, None, c, m, f"{path}!{p}", None, None) for p, d, c, m in found.failures)
+            yield frame(rows)
+
+    return files.select("path", "content").mapInPandas(run, CONTENTS)

@@ -61,3 +61,24 @@ def test_stream_dedup(spark, tmp_path):
     stream = spark.readStream.schema(src.schema).parquet(f"file://{tmp_path}/in")
     incremental.append_batches(incremental.first_seen(stream), f"file://{tmp_path}/out", f"file://{tmp_path}/cp").awaitTermination(120)
     assert spark.read.parquet(f"file://{tmp_path}/out").count() == 4
+
+
+def test_members_of_archives_are_files(spark, tmp_path):
+    docx = mk.make_docx("intro\n## Head\nOnly inside the archive")
+    deep = mk.zipped({"l2.zip": mk.zipped({"l3.txt": b"Words at depth three"}), "table.csv": b"PAN,Amount\n0077,5\n0078,6\n"})
+    twice = mk.zipped({"sub/report.docx": docx, "l1.zip": deep, "loose.txt.gz": gzip.compress(b"Words inside gzip"), "copy.txt": b"Words outside as well", "Thumbs.db": b"x"})
+    for name, raw in {"Audit/North/b.zip": twice, "Audit/North/out.txt": b"Words outside as well", "Audit/South/c.gz": gzip.compress(b"Words outside as well"), "loose.zip": twice}.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(raw)
+    t = pipeline.run(spark, str(tmp_path))
+    rec = {r.path: r for r in t["member_records"].collect()}
+    b = "Audit/North/b.zip!"
+    assert {p: r.status for p, r in rec.items()} == {
+        f"{b}sub/report.docx": "success", f"{b}l1.zip": "success", f"{b}l1.zip!l2.zip": "success", f"{b}l1.zip!l2.zip!l3.txt": "success", f"{b}l1.zip!table.csv": "success",
+        f"{b}loose.txt.gz": "success", f"{b}loose.txt.gz!content": "success", f"{b}copy.txt": "skipped_duplicate", f"{b}Thumbs.db": "excluded_non_data", "Audit/South/c.gz!content": "success",
+    }
+    assert rec[f"{b}l1.zip!l2.zip!l3.txt"].depth == 3 and {r.archive_path for r in rec.values()} == {"Audit/North/b.zip", "Audit/South/c.gz"}
+    assert {r.path: r.status for r in t["records"].collect()} == {"Audit/North/b.zip": "success", "Audit/North/out.txt": "success", "Audit/South/c.gz": "success", "loose.zip": "failed"}
+    texts = " ".join(c.text for c in t["chunks"].collect())
+    assert all(x in texts for x in ("Only inside the archive", "Words at depth three", "Words inside gzip")) and texts.count("Words outside as well") == 2
+    assert {r.text for r in t["cells"].where(f"path = '{b}l1.zip!table.csv'").collect()} >= {"0077", "0078"}
