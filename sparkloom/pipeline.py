@@ -2,25 +2,39 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.common import cut
-from sparkloom.functions.text import is_blank
+from sparkloom.functions.text import is_blank, token_jaccard
 from sparkloom.operators import catalog, chunking, routing, vectors, versioning
+from sparkloom.operators import pages as page_ops
 from sparkloom.sources import archives, corpus, detect, readers
 
+Render = Callable[[bytes, int], bytes]
+Send = Callable[[bytes], tuple[int, str, str]]
+
 
-def run(spark: SparkSession, root: str, scopes: DataFrame | None = None, whole_categories: list[str] | None = None, config: str = "cfg", size: int = 1000, overlap: int = 120) -> dict[str, DataFrame]:
+def run(spark: SparkSession, root: str, scopes: DataFrame | None = None, whole_categories: list[str] | None = None, config: str = "cfg", size: int = 1000, overlap: int = 120, vision: tuple[Render, Send] | None = None) -> dict[str, DataFrame]:
     """Walk a corpus, identify, deduplicate within scopes, route and read.
 
     Returns the tables ``records`` (one row per file: scope, content, route,
     status, error), ``members`` (of archives), ``member_records`` (as records,
     one row per member at every depth, path ``archive!member``), ``units``,
-    ``cells``, ``pages`` and ``chunks``. Members take the scope of their
+    ``cells``, ``pages`` (with their kind), ``vision`` and ``chunks``. Members take the scope of their
     archive and are identified, deduplicated, routed and read with the files,
     which come first, then members by depth. Every file and member has a record,
     unscoped, empty and unreadable ones too; one bad file never stops the others.
+
+    A PDF with a scanned or mixed page takes the route pdf_vision. ``vision``
+    is the injected pair that draws a page (PDF, page number) and sends the
+    image; the replies are in the table vision, a page's own text beside them
+    where they do not say the same. A page that fails makes its file partial,
+    and without vision the file is partial and its record names the pages.
+    The text layer of every page goes into chunks, transcriptions do not.
     """
     files = corpus.corpus_files(spark, root)
     scopes = catalog.discover_scopes(files, whole_categories or []).withColumn("scope_id", catalog.scope_id(F.col("category"), F.col("client"))) if scopes is None else scopes
@@ -41,8 +55,12 @@ def run(spark: SparkSession, root: str, scopes: DataFrame | None = None, whole_c
     work = fresh.join(content.select("path", "content").unionByName(inner.select("path", "content")), "path")
     units = cut(readers.read_units(work.where(F.col("route").isin("text_extract", "structured"))), "run-units")
     cells = cut(readers.read_cells(work.where("route = 'tabular_parquet'")), "run-cells")
-    pages = cut(readers.read_pages(work.where("route = 'pdf_text'")), "run-pages")
-    text_pages = pages.where("error_category is null and character_count >= 120").select(
+    read = readers.read_pages(work.where("route = 'pdf_text'"))
+    pages = cut(read.withColumn("kind", F.when(F.col("error_category").isNull(), page_ops.page_kind(F.col("character_count"), F.col("image_coverage")))), "run-pages")
+    seen = cut(_transcribed(pages.where(F.col("kind").isin("scanned", "mixed")), work, vision), "run-vision")
+    unseen = F.sort_array(F.collect_list(F.when(F.col("failure").isNotNull(), F.col("number"))))
+    sighted = seen.groupBy("path").agg(unseen.alias("_unseen"), F.min_by("failure", F.when(F.col("failure").isNotNull(), F.col("number"))).alias("_why"))
+    text_pages = pages.where("error_category is null").select(
         "path", F.lit("page").alias("unit_type"), F.format_string("page:%d", "number").alias("unit_ref"), F.col("number").alias("unit_sequence"), "text"
     )
     all_units = units.where("error_category is null").select("path", "unit_type", "unit_ref", F.col("sequence").alias("unit_sequence"), "text").unionByName(text_pages)
@@ -62,16 +80,19 @@ def run(spark: SparkSession, root: str, scopes: DataFrame | None = None, whole_c
     status = (
         F.when(F.col("scope_id").isNull(), "failed").when(F.col("path") != F.col("first_path"), "skipped_duplicate").when(F.col("terminal_status").isNotNull(), F.col("terminal_status"))
         .when(F.col("_e.error_category") == "NO_COMPATIBLE_READER", "no_reader").when(F.col("_e.error_category").isNotNull(), "failed").when(F.col("_n").isNotNull(), "partial")
-        .when(F.col("route") == "vision_image", "partial").otherwise("success")
+        .when(F.size("_unseen") > 0, "partial").when(F.col("route") == "vision_image", "partial").otherwise("success")
     )
-    category = F.when(F.col("scope_id").isNull(), "UNSCOPED_PATH").otherwise(F.coalesce("error_category", "_e.error_category"))
+    category = F.when(F.col("scope_id").isNull(), "UNSCOPED_PATH").otherwise(F.coalesce("error_category", "_e.error_category", F.when(F.size("_unseen") > 0, "API_ERROR")))
+    pages_left = F.when(F.size("_unseen") > 0, F.concat(F.lit("pages without transcription: "), F.array_join(F.col("_unseen").cast("array<string>"), ", "), F.lit(": "), F.col("_why")))
+    route = F.when(F.col("_unseen").isNotNull(), "pdf_vision").otherwise(F.col("route"))
     one = errors.groupBy("path").agg(F.min(F.struct("error_category", "error_message")).alias("_e"))
-    told = known.join(one, "path", "left").join(broken, "path", "left").select(
-        "path", "scope_id", "content_sha256", "family", "route", status.alias("status"), category.alias("error_category"), F.col("_e.error_message").alias("error_message"),
+    told = known.join(one, "path", "left").join(broken, "path", "left").join(sighted, "path", "left").select(
+        "path", "scope_id", "content_sha256", "family", route.alias("route"), status.alias("status"), category.alias("error_category"),
+        F.coalesce("_e.error_message", pages_left).alias("error_message"),
         "archive_path", "member_path", "depth",
     )
     records, member_records = told.where("depth = 0").drop("archive_path", "member_path", "depth"), told.where("depth > 0")
-    return {"records": records, "members": members, "member_records": member_records, "units": units, "cells": cells, "pages": pages, "chunks": chunks}
+    return {"records": records, "members": members, "member_records": member_records, "units": units, "cells": cells, "pages": pages, "vision": seen, "chunks": chunks}
 
 
 def _identified(content: DataFrame) -> DataFrame:
@@ -86,6 +107,34 @@ def _with_first(owned: DataFrame) -> DataFrame:
     return owned.join(first, ["scope_id", "content_sha256"], "left")
 
 
+VISION = "path string, number int, kind string, reply string, native_text string, failure string"
+
+
+def _transcribed(wanted: DataFrame, work: DataFrame, vision: tuple[Render, Send] | None) -> DataFrame:
+    """VISION of pages (path, number, kind, text): the reply, the page's own text where the reply does not say the same, or why there is none."""
+    if vision is None:
+        none = F.lit(None).cast("string")
+        return wanted.select("path", "number", "kind", none.alias("reply"), F.nullif("text", F.lit("")).alias("native_text"), F.lit("the vision route is disabled").alias("failure"))
+    render, send = vision
+
+    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for path, numbers, raw in zip(b["path"], b["numbers"], b["content"], strict=True):
+                for n in numbers:
+                    try:
+                        image, failure = render(bytes(raw), int(n)), None
+                    except Exception as e:  # noqa: BLE001 - the boundary of one page
+                        image, failure = None, f"{type(e).__name__}: {e}"[:500]
+                    yield pd.DataFrame({"path": [path], "number": [n], "image_id": [f"{n}:{path}"], "payload": [image], "undrawn": [failure]})
+
+    asked = wanted.groupBy("path").agg(F.sort_array(F.collect_list("number")).alias("numbers")).join(work.select("path", "content"), "path")
+    images = cut(asked.select("path", "numbers", "content").mapInPandas(draw, "path string, number int, image_id string, payload binary, undrawn string"), "run-images")
+    replies = page_ops.transcribe(images.where("payload is not null"), send).select("image_id", "reply", "failure")
+    both = wanted.join(images.drop("payload"), ["path", "number"]).join(replies, "image_id", "left")
+    same = token_jaccard(F.col("text"), F.coalesce(F.get_json_object("reply", "$.visible_text"), F.lit("")))
+    return both.select("path", "number", "kind", "reply", page_ops.keep_native(F.col("text"), same).alias("native_text"), F.coalesce("undrawn", "failure").alias("failure"))
+
+
 def publish(tables: dict[str, DataFrame], out: str, ordinal: int) -> None:
     """Write a run's tables as version r%06d below ``out``; nothing that exists is written over. The seal comes last."""
     version = f"r{ordinal:06d}"

@@ -44,6 +44,45 @@ def test_run(spark, root, tmp_path):
     assert "quick" in hits[0].text
 
 
+def scanned_pdf(*pages):
+    """A PDF whose pages have the given text under an image that covers them."""
+    out = b"%PDF-1.4\n"
+    for i, (text, image) in enumerate(pages):
+        data = (b"600 0 0 780 0 0 cm /Im0 Do " if image else b"") + b"BT (" + text.encode() + b") Tj ET"
+        out += b"%d 0 obj << /Type /Page /MediaBox [0 0 612 792] /Contents %d 0 R >> endobj\n%d 0 obj << /Length 9 >> stream\n%s\nendstream endobj\n" % (2 * i + 1, 2 * i + 2, 2 * i + 2, data)
+    return out
+
+
+def test_scanned_pages_are_never_a_silent_success(spark, tmp_path):
+    import json
+
+    long = "plain words of a text page " * 8
+    files = {"scan.pdf": scanned_pdf(("", True), ("", True)), "mixed.pdf": scanned_pdf((long, False), ("A short note of one line", False), ("", True)), "text.pdf": scanned_pdf((long + "x", False), ("tail", False))}
+    for name, raw in files.items():
+        (tmp_path / "Audit/North").mkdir(parents=True, exist_ok=True)
+        (tmp_path / "Audit/North" / name).write_bytes(raw)
+    t = pipeline.run(spark, str(tmp_path))
+    got = {r.path.rsplit("/", 1)[-1]: r for r in t["records"].collect()}
+    assert {n: (r.route, r.status) for n, r in got.items()} == {"scan.pdf": ("pdf_vision", "partial"), "mixed.pdf": ("pdf_vision", "partial"), "text.pdf": ("pdf_text", "success")}
+    assert got["scan.pdf"].error_message.startswith("pages without transcription: 1, 2: ") and "2, 3" in got["mixed.pdf"].error_message
+    texts = [c.text for c in t["chunks"].collect()]
+    assert "A short note of one line" in texts and "tail" in texts
+
+    def render(raw, number):
+        if number == 3:
+            raise ValueError("cannot be drawn")
+        return b"page %d" % number
+
+    def send(payload):
+        return 200, json.dumps({"document_type": "note", "summary": "", "visible_text": f"seen {payload.decode()}", "fields": [], "tables": [], "uncertainties": []}), "stop"
+
+    t = pipeline.run(spark, str(tmp_path), vision=(render, send))
+    got = {r.path.rsplit("/", 1)[-1]: (r.route, r.status) for r in t["records"].collect()}
+    assert got == {"scan.pdf": ("pdf_vision", "success"), "mixed.pdf": ("pdf_vision", "partial"), "text.pdf": ("pdf_text", "success")}
+    seen = {(r.path.rsplit("/", 1)[-1], r.number): r for r in t["vision"].collect()}
+    assert "seen page 2" in seen["scan.pdf", 2].reply and seen["mixed.pdf", 2].native_text == "A short note of one line" and "cannot be drawn" in seen["mixed.pdf", 3].failure
+
+
 def test_settings(tmp_path):
     f = tmp_path / "s.toml"
     f.write_text("[chunking]\nsize = 500\n")
