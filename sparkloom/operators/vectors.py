@@ -5,9 +5,18 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DoubleType, StructField, StructType
+
+from sparkloom.common import cut
+
+#: Questions that are scored in one pass, and rows that are scored against them at a time.
+QUERY_BLOCK, ROW_BLOCK = 1024, 256
 
 
 def inner_product(a: Column, b: Column) -> Column:
@@ -79,6 +88,16 @@ def scored(vectors: DataFrame, query: list[float], vector: str = "vector") -> Da
     return vectors.withColumn("score", inner_product(right, q))
 
 
+def _filtered(vectors: DataFrame, scope_id: str | None, client: str | None, category: str | None, scope: str) -> DataFrame:
+    v = vectors
+    if scope_id is not None:
+        v = v.where(F.col(scope) == scope_id)
+    for name, want in (("client", client), ("category", category)):
+        if want is not None:
+            v = v.where(F.lower(name).contains(want.lower()))
+    return v
+
+
 def search(
     vectors: DataFrame, query: list[float], k: int = 5, scope_id: str | None = None, client: str | None = None, category: str | None = None,
     scope: str = "scope_id", key: str = "chunk_id",
@@ -89,19 +108,76 @@ def search(
     Rows are cut to k per scope and salt before they are cut to k per scope,
     so a scope that holds a third of all rows is spread over the salts.
     """
-    v = vectors
-    if scope_id is not None:
-        v = v.where(F.col(scope) == scope_id)
-    for name, want in (("client", client), ("category", category)):
-        if want is not None:
-            v = v.where(F.lower(name).contains(want.lower()))
-    rows = scored(v, query).drop("vector")
+    rows = scored(_filtered(vectors, scope_id, client, category, scope), query).drop("vector")
     salt = F.pmod(F.xxhash64(key), F.lit(32))
     order = [F.desc("score"), F.asc(key)]
-    cut = rows.withColumn("_s", salt).withColumn("_r", F.row_number().over(Window.partitionBy(scope, "_s").orderBy(*order))).where(F.col("_r") <= k)
-    per = cut.withColumn("_r", F.row_number().over(Window.partitionBy(scope).orderBy(*order))).where(F.col("_r") <= k)
+    some = rows.withColumn("_s", salt).withColumn("_r", F.row_number().over(Window.partitionBy(scope, "_s").orderBy(*order))).where(F.col("_r") <= k)
+    per = some.withColumn("_r", F.row_number().over(Window.partitionBy(scope).orderBy(*order))).where(F.col("_r") <= k)
     return per.drop("_r", "_s").orderBy(*order).limit(k)
 
 
+def search_set(
+    vectors: DataFrame, queries: DataFrame, k: int = 5, scope_id: str | None = None, client: str | None = None, category: str | None = None,
+    scope: str = "scope_id", key: str = "chunk_id",
+) -> DataFrame:
+    """``query_id`` with each of the k best rows of every question of queries (query_id, vector), as ``search`` finds them; ties by key.
+
+    QUERY_BLOCK questions are sent to the tasks at a time, whatever their
+    number. A task passes on only rows that reach the k best it has met (ties
+    included); those are cut to k per question and salt, then k per question.
+    Scores are summed in the vectors' order, so they are those of ``search``.
+    """
+    rows = _filtered(vectors, scope_id, client, category, scope)
+    kept = [f for f in rows.schema.fields if f.name != "vector"]
+    id_field = queries.schema["query_id"]
+    out_type = StructType([id_field, *kept, StructField("score", DoubleType())])
+    found = rows.sparkSession.createDataFrame([], out_type)
+    for ids, block in _query_blocks(queries):
+        shared = rows.sparkSession.sparkContext.broadcast((ids, block))
+        best = rows.select(*[f.name for f in kept], "vector").mapInArrow(_best_rows(shared, k, to_arrow_type(id_field.dataType)), out_type)
+        found = found.unionByName(cut(_cut_to(_cut_to(best, k, key, F.pmod(F.xxhash64(key), F.lit(32))), k, key), "search-block"))
+    return found
+
+
+def _query_blocks(queries: DataFrame) -> Iterator[tuple[list, np.ndarray]]:
+    ids, held = [], []
+    for r in queries.select("query_id", "vector").toLocalIterator():
+        ids.append(r.query_id)
+        held.append(r.vector)
+        if len(ids) == QUERY_BLOCK:
+            yield ids, np.array(held, np.float64)
+            ids, held = [], []
+    if ids:
+        yield ids, np.array(held, np.float64)
+
+
+def _cut_to(rows: DataFrame, k: int, key: str, *within: Column) -> DataFrame:
+    w = Window.partitionBy("query_id", *within).orderBy(F.desc("score"), F.asc(key))
+    return rows.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r")
+
+
+def _best_rows(shared, k: int, id_type: pa.DataType):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, q = shared.value
+        best = np.full((len(ids), k), -np.inf)
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROW_BLOCK):
+                b = batch.slice(at, ROW_BLOCK)
+                v = b.column(b.num_columns - 1)
+                if v.null_count or set(v.value_lengths().to_pylist()) != {q.shape[1]}:
+                    raise ValueError("the index and the query have different dimensions")
+                x = v.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(b.num_rows, -1).T.copy()
+                score = np.zeros((len(ids), b.num_rows))
+                for i in range(len(x)):
+                    score += q[:, i, None] * x[i][None, :]
+                best = np.partition(np.concatenate([best, score], axis=1), -k, axis=1)[:, -k:]
+                of, row = np.nonzero(score >= best.min(axis=1)[:, None])
+                take = pa.array(row, pa.int64())
+                named = dict(zip(b.schema.names[:-1], (c.take(take) for c in b.columns[:-1]), strict=True))
+                yield pa.RecordBatch.from_pydict({"query_id": pa.array(ids, id_type).take(pa.array(of, pa.int64()))} | named | {"score": pa.array(score[of, row])})
+
+    return run
+
+
 def citation(client: Column, path: Column, unit_ref: Column) -> Column:
     return F.concat(client, F.lit(" - "), path, F.lit(" ["), unit_ref, F.lit("]"))

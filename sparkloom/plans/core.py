@@ -671,6 +671,36 @@ def filtered_search(spark, d):
     return vectors.search(v, q, 5, scope_id="scope-3", client="CLIENT 3").select("chunk_id", "scope_id", "score")
 
 
+#: Every row whose id is divisible by 50 as a question, against all rows.
+_SET = (
+    "SELECT {columns} FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS r FROM (SELECT q.vec_id AS query_id, e.vec_id AS chunk_id, e.label, "
+    "'scope-' || e.label AS scope_id, list_dot_product(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) AS score FROM embeddings e, embeddings q WHERE q.vec_id % 50 = 0 {where})) WHERE r <= {k}"
+)
+
+
+def _questions(spark, d) -> tuple[DataFrame, DataFrame]:
+    e = load(spark, d, "embeddings")
+    return _vectors(spark, d)[0], e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+
+
+@query(_SET.format(columns="query_id, chunk_id, label, score", where="", k=10))
+def vector_topk_set(spark, d):
+    v, q = _questions(spark, d)
+    return vectors.search_set(v, q, 10).select("query_id", "chunk_id", F.regexp_extract("scope_id", r"\d+", 0).cast("int").alias("label"), "score")
+
+
+@query(_SET.format(columns="query_id, chunk_id, scope_id, score", where="", k=5))
+def search_scoped_set(spark, d):
+    v, q = _questions(spark, d)
+    return vectors.search_set(v, q, 5).select("query_id", "chunk_id", "scope_id", "score")
+
+
+@query(_SET.format(columns="query_id, chunk_id, scope_id, score", where="AND e.label = 3", k=5))
+def filtered_search_set(spark, d):
+    v, q = _questions(spark, d)
+    return vectors.search_set(v, q, 5, scope_id="scope-3", client="CLIENT 3").select("query_id", "chunk_id", "scope_id", "score")
+
+
 @query(f"SELECT count(*) AS n_checked FROM embeddings, {_Q} WHERE len(embedding) = len(q)")
 def dim_guard(spark, d):
     v, q = _vectors(spark, d)

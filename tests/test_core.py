@@ -146,3 +146,23 @@ def test_search(spark):
     assert [r.chunk_id for r in vectors.search(v, q, 2, client="zE").collect()] == [3]
     with pytest.raises(Exception, match="different dimensions"):
         vectors.search(v, [1.0], 1).collect()
+
+
+def test_search_answers_every_question(spark, monkeypatch):
+    import random
+
+    rng = random.Random(4)
+    rows = [(i, f"s{i % 3}", f"Client {i % 3}", "X", [float(rng.randint(-2, 2)) for _ in range(4)]) for i in range(400)]
+    v = spark.createDataFrame(rows, "chunk_id int, scope_id string, client string, category string, vector array<float>").repartition(5)
+    q = v.where("chunk_id % 50 = 0").select(F.col("chunk_id").alias("query_id"), "vector")
+    monkeypatch.setattr(vectors, "QUERY_BLOCK", 3)
+    for only in (None, "s1"):
+        got = {(r.query_id, r.chunk_id, r.score) for r in vectors.search_set(v, q, 4, scope_id=only).collect()}
+        want = set()
+        for i in range(0, 400, 50):
+            score = lambda r: sum(x * y for x, y in zip(r[4], rows[i][4], strict=True))  # noqa: B023, E731
+            want |= {(i, r[0], score(r)) for r in sorted((r for r in rows if only in (None, r[1])), key=lambda r: (-score(r), r[0]))[:4]}
+        assert got == want and len(got) == 32
+    assert vectors.search_set(v, q.limit(0), 4).count() == 0
+    with pytest.raises(Exception, match="different dimensions"):
+        vectors.search_set(v, q.selectExpr("query_id", "slice(vector, 1, 2) as vector"), 1).collect()
