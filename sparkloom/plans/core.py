@@ -622,6 +622,26 @@ def header_detect(spark, d):
     return tables.has_header(n.unionByName(m))
 
 
+_HEADER_OF = """
+SELECT table_id AS table_name, bool_and(v <> '') AND count(v) = count(DISTINCT v) AND NOT bool_or(regexp_full_match(v, '[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?')) AS header_detected
+FROM (SELECT table_id, regexp_replace(coalesce(x, ''), '^\\s+|\\s+$', '', 'g') AS v FROM (SELECT table_id, unnest({values}) AS x FROM first)) GROUP BY 1
+"""
+
+
+@query("""
+WITH first AS (SELECT table_id, arg_min(payload, row_no) AS payload FROM raw_register GROUP BY 1),
+k AS (""" + _HEADER_OF.format(values="json_keys(payload)") + """), r AS (""" + _HEADER_OF.format(values="list_transform(json_keys(payload), lambda n: payload ->> n)") + """)
+SELECT k.table_name, k.header_detected AS key_row, r.header_detected AS first_row FROM k JOIN r USING (table_name)
+""")
+def header_detect_register(spark, d):
+    """The header test on the key row and on the first delivered row of every table."""
+    fields = F.map_entries(F.from_json("payload", "map<string,string>"))
+    first = load(spark, d, "raw_register").groupBy(F.col("table_id").alias("table_name")).agg(F.min_by("payload", "row_no").alias("payload"))
+    cells = first.select("table_name", F.lit(0).alias("row_no"), F.explode(fields).alias("f"))
+    keys, values = (tables.has_header(cells.select("table_name", "row_no", F.col(f"f.{c}").alias("value"))) for c in ("key", "value"))
+    return keys.withColumnRenamed("header_detected", "key_row").join(values.withColumnRenamed("header_detected", "first_row"), "table_name")
+
+
 @query("""
 WITH k AS (SELECT table_id, row_no AS ord, json_keys(any_value(payload)) AS keys FROM raw_register WHERE row_no < 50 GROUP BY 1, 2)
 SELECT a.table_id AS group_id, count(*) AS n_pairs, round(avg(CAST(len(list_intersect(a.keys, b.keys)) AS DOUBLE) / greatest(len(list_distinct(list_concat(a.keys, b.keys))), 1)), 9) AS mean_jaccard

@@ -166,3 +166,12 @@ def test_search_answers_every_question(spark, monkeypatch):
     assert vectors.search_set(v, q.limit(0), 4).count() == 0
     with pytest.raises(Exception, match="different dimensions"):
         vectors.search_set(v, q.selectExpr("query_id", "slice(vector, 1, 2) as vector"), 1).collect()
+
+
+def test_header_test_sees_every_table_of_the_register(spark, tmp_path):
+    from sparkloom.plans import core
+
+    rows = [(1, 0, '{"PAN": "A1", "Name": "x"}'), (1, 0, '{"PAN": "A1", "Name": "x"}'), (2, 3, '{"PAN": "7", "Name": "x"}'), (2, 5, '{"PAN": "A", "Name": "x"}'), (3, 0, '{"2024": "a", "b": null}')]
+    spark.createDataFrame(rows, "table_id bigint, row_no bigint, payload string").write.parquet(f"file://{tmp_path}/raw_register.parquet")
+    got = {tuple(r) for r in core.header_detect_register(spark, f"file://{tmp_path}").collect()}
+    assert got == {(1, True, True), (2, True, False), (3, False, False)}
