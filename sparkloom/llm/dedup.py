@@ -8,7 +8,8 @@ again: the index also holds each record's words as 16-bit hashes, in order,
 which is what candidates are verified on.
 
 Words are folded so that layout, case, punctuation, digits and misread
-characters do not matter; shingles are five words. Copies of one text in one
+characters do not matter; shingles are five words. Where few words are left
+beside numbers, the numbers count as words. Copies of one text in one
 scope and batch are one entry from the start, so a group of copies that holds
 a third of all rows costs one entry. Within a bucket a new record is compared
 with the bucket's leader (its smallest id) first; only where that is not a
@@ -18,6 +19,7 @@ comparison per record and bucket, and no member is left out.
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -35,8 +37,10 @@ BANDS = 20
 ROWS = 4
 #: A record repeats another if so much of either's wording is there again in the same order.
 SAME = 0.72
-#: Fewest words of a record that is checked, and of one that is indexed.
+#: Fewest words of a record that is checked, and fewest folded words that are compared without the numbers between them.
 MIN_WORDS, MIN_INDEXED = 50, 30
+#: Records of fewer folded words than this are compared with their numbers too: one of MIN_INDEXED may repeat one of this many at most.
+FEW_WORDS = math.ceil(MIN_INDEXED / SAME)
 #: Words of one record whose order is compared at a time; the result does not depend on it.
 BLOCK = 8192
 
@@ -70,17 +74,20 @@ class Signer:
         self.poly = rng.integers(1, 2**63, SHINGLE, dtype=np.uint64) | np.uint64(1)
         self.seen: dict[str, int] = {}
 
-    def sequence(self, text: str) -> np.ndarray:
-        """32-bit hashes of the text's words, in order; numbers are left out."""
-        if len(self.seen) > 500_000:
-            self.seen.clear()
+    def _words(self, text: str) -> list[str]:
         if not text.isascii():
             text = unicodedata.normalize("NFKC", text)
         text = text.lower()
         if "@" in text or "!" in text:
             text = _MARKS.sub(lambda m: "a" if m.group(0) == "@" else "l", text)
+        return _WORD.findall(text)
+
+    def sequence(self, text: str) -> np.ndarray:
+        """32-bit hashes of the text's words, in order; numbers are left out."""
+        if len(self.seen) > 500_000:
+            self.seen.clear()
         seen, out = self.seen, []
-        for w in _WORD.findall(text):
+        for w in self._words(text):
             h = seen.get(w)
             if h is None:
                 f = fold(w)
@@ -89,6 +96,10 @@ class Signer:
                 out.append(h)
         return np.array(out, dtype=np.uint32)
 
+    def with_numbers(self, text: str) -> np.ndarray:
+        """As sequence, with the numbers in their places."""
+        return np.array([xxhash.xxh32_intdigest(w.translate(_FOLD)) for w in self._words(text)], dtype=np.uint32)
+
     def minima(self, seq: np.ndarray) -> np.ndarray:
         """The BANDS * ROWS smallest permuted shingle hashes."""
         x = seq.astype(np.uint64)
@@ -161,8 +172,9 @@ def sign(docs: DataFrame) -> DataFrame:
     """The entry of each record that can repeat or be repeated: ids, number of words, class, band keys, words.
 
     class_key and class_key2 are one for all copies of a text in a scope.
-    Records without text, scope, batch or id and records of fewer than
-    MIN_INDEXED folded words are left out: nothing of 50 words repeats them.
+    Records of fewer than FEW_WORDS folded words are signed with their numbers
+    (too, if they have MIN_INDEXED words). Left out are records without text,
+    scope, batch or id and those that no record of MIN_WORDS words can repeat.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,23 +183,31 @@ def sign(docs: DataFrame) -> DataFrame:
             take, n, hi, lo, keys, words = [], [], [], [], [], []
             scopes = b.column(1).to_pylist()
             for i, t in enumerate(b.column(3).to_pylist()):
-                s = signer.sequence(t)
-                if len(s) < MIN_INDEXED:
-                    continue
+                s, count, numbered = signer.sequence(t), counted_words(t), None
+                if len(s) < FEW_WORDS:
+                    numbered = signer.with_numbers(t)
+                    if len(s) < MIN_INDEXED:
+                        s = s[:0]
+                        if len(numbered) < SHINGLE or count < MIN_WORDS and len(numbered) < SAME * MIN_WORDS:
+                            continue
                 take.append(i)
-                n.append(counted_words(t))
-                digest = xxhash.xxh128_digest(scopes[i].encode() + b"\0" + s.tobytes())
+                n.append(count)
+                exact = s.tobytes() if numbered is None else b"\1" + len(s).to_bytes(2, "little") + s.tobytes() + numbered.tobytes()
+                digest = xxhash.xxh128_digest(scopes[i].encode() + b"\0" + exact)
                 hi.append(int.from_bytes(digest[:8], "big", signed=True))
                 lo.append(int.from_bytes(digest[8:], "big", signed=True))
-                keys.append(signer.keys(s, scopes[i]))
-                words.append((s & np.uint32(0xFFFF)).astype(np.uint16).tobytes())
+                own = [signer.keys(s, scopes[i])] if len(s) else []
+                own += [] if numbered is None else [signer.keys(numbered, scopes[i] + "\0numbers")]
+                keys.append(np.concatenate(own))
+                words.append(_packed(s, numbered))
             idx = pa.array(take, pa.int64())
             flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
+            ends = np.cumsum([0, *map(len, keys)])
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": b.column(0).take(idx), "scope_id": b.column(1).take(idx), "batch_no": b.column(2).take(idx), "n_words": pa.array(n, pa.int32()),
                     "class_key": pa.array(hi, pa.int64()), "class_key2": pa.array(lo, pa.int64()),
-                    "keys": pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, BANDS), pa.int32()), pa.array(flat, pa.int64())),
+                    "keys": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64())),
                     "words": pa.array(words, pa.binary()),
                 }
             )
@@ -196,11 +216,28 @@ def sign(docs: DataFrame) -> DataFrame:
     return ready.select(F.col("doc_id").cast("bigint"), "scope_id", F.col("batch_no").cast("int"), "text").mapInArrow(run, ENTRY)
 
 
+def _packed(words: np.ndarray, numbered: np.ndarray | None) -> bytes:
+    """16-bit hashes of the words; with numbers: a byte (so the length is odd), how many words, the words, the words with numbers."""
+    short = lambda x: (x & np.uint32(0xFFFF)).astype(np.uint16).tobytes()
+    return short(words) if numbered is None else b"\1" + len(words).to_bytes(2, "little") + short(words) + short(numbered)
+
+
+def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The words, and the words with numbers; what is not compared is empty."""
+    if len(packed) % 2 == 0:
+        return np.frombuffer(packed, np.uint16), np.zeros(0, np.uint16)
+    end = 3 + 2 * int.from_bytes(packed[1:3], "little")
+    return np.frombuffer(packed[3:end], np.uint16), np.frombuffer(packed[end:], np.uint16)
+
+
 def same_text(a: bytes, b: bytes) -> bool:
-    """True if nearly all words of either record are there again in the other, in nearly the same order."""
-    x, y = np.frombuffer(a, np.uint16), np.frombuffer(b, np.uint16)
+    """True if nearly all words of either record are there again in the other, in nearly the same order; where few are words, numbers count as such."""
+    return any(_same(x, y) for x, y in zip(_unpacked(a), _unpacked(b), strict=True))
+
+
+def _same(x: np.ndarray, y: np.ndarray) -> bool:
     most, least = max(len(x), len(y)), min(len(x), len(y))
-    return least >= SAME * most and common_in_order(x, y) >= SAME * most
+    return least > 0 and least >= SAME * most and common_in_order(x, y) >= SAME * most
 
 
 def verify(pairs: DataFrame) -> DataFrame:

@@ -110,3 +110,19 @@ def test_order_in_blocks_is_the_plain_longest_common_subsequence(monkeypatch):
     for _ in range(60):
         a, b = (rng.integers(0, 6, rng.integers(0, 40)).astype(np.uint16) for _ in range(2))
         assert dedup.common_in_order(a, b) == plain(a, b)
+
+
+def test_listings_of_numbers_are_compared(spark):
+    rng = random.Random(6)
+    line = lambda: [f"{rng.randint(1, 28):02d}", rng.choice(["cash", "bank", "rent"]), str(rng.randint(1000, 99999)), f"INV{rng.randint(1000, 9999)}"]
+    make = lambda n: [w for _ in range(n) for w in line()]
+    a, other = make(16), make(16)
+    near = list(a)
+    near[10] = "4711"
+    # Words enough on one side of the bound and one too few on the other.
+    edge = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}x" for i in range(30)] + [str(1000 + i) for i in range(40)]
+    rows = [(1, " ".join(a), "s", 0), (2, " ".join(a), "s", 1), (3, " ".join(near), "s", 1), (4, " ".join(other), "s", 1), (5, " ".join(edge), "s", 0), (6, " ".join(edge[1:]), "s", 1), (7, "1 2 3", "s", 1)]
+    signer = dedup.Signer()
+    assert len(signer.sequence(rows[0][1])) < dedup.MIN_INDEXED and [len(signer.sequence(r[1])) for r in rows[4:6]] == [30, 29]
+    got = dedup.dedup_batches(spark.createDataFrame(rows, "doc_id bigint, text string, scope_id string, batch_no int"))
+    assert {(r.doc_id_a, r.doc_id_b) for r in got.collect()} == {(1, 2), (1, 3), (5, 6)}
