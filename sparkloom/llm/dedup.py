@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from sparkloom.common import cut, work_path
 
 SHINGLE = 5
-BANDS = 20
+BANDS = 32
 ROWS = 4
 #: A record repeats another if so much of either's wording is there again in the same order.
 SAME = 0.72

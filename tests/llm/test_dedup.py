@@ -126,3 +126,14 @@ def test_listings_of_numbers_are_compared(spark):
     assert len(signer.sequence(rows[0][1])) < dedup.MIN_INDEXED and [len(signer.sequence(r[1])) for r in rows[4:6]] == [30, 29]
     got = dedup.dedup_batches(spark.createDataFrame(rows, "doc_id bigint, text string, scope_id string, batch_no int"))
     assert {(r.doc_id_a, r.doc_id_b) for r in got.collect()} == {(1, 2), (1, 3), (5, 6)}
+
+
+def test_pairs_of_half_the_shingles_meet_in_a_band():
+    import numpy as np
+
+    rng, signer, met = np.random.default_rng(9), dedup.Signer(), 0
+    for _ in range(300):
+        a = rng.integers(0, 2**32, 300, dtype=np.uint32)
+        b = np.concatenate([a[:200], rng.integers(0, 2**32, 100, dtype=np.uint32)])
+        met += bool(set(signer.keys(a, "s").tolist()) & set(signer.keys(b, "s").tolist()))
+    assert met / 300 > 0.8  # 0.87 is expected of 32 bands of 4, 0.72 of 20
