@@ -74,7 +74,8 @@ ADDRESS = re.compile(
 
 _WORD = r"(?:[A-Z][a-z]+|[A-Z]{2,})(?![\w@])(?!\.\w)(?!\s?(?:@|[\[({]\s?at\b))"
 _NAME = rf"(?:(?:{_WORD}|[A-Z]\.)(?:\s+(?:[A-Z]\.\s*)*{_WORD}){{0,3}}(?:,\s+{_WORD}(?:\s+[A-Z]\.)?)?)"
-_TITLE = r"(?:(?:Mr|Mrs|Ms|Miss|Smt|Shri|Sri|Dr|CA|CS|Prof|Adv|Er|Kum)\b\.?)"
+_TITLE_WORDS = ("Mr", "Mrs", "Ms", "Miss", "Smt", "Shri", "Sri", "Dr", "CA", "CS", "Prof", "Adv", "Er", "Kum")
+_TITLE = rf"(?:(?:{'|'.join(_TITLE_WORDS)})\b\.?)"
 _BEFORE = (
     r"(?:[Cc]ontact\s+person\s*[-:]|[Nn]ame(?:\s+of\s+(?:the\s+)?[a-z]+)?\s*:|[Aa]s\s+told\s+by|belongs\s+to|[Rr]eviewed(?:\s+by)?\s*:|[Pp]repared\s+by:?|[Cc]hecked\s+by:?|"
     r"[Nn]ominee:?|handed\s+to|[Ww]e\s+met|[Ss]igned\s+before\s+me\s+by|[Ss]igned\s+by|\(?[Ss]d/-\)?|[Ss]alary\s+of|[Aa]ttn:?|c/o|C/o)"
@@ -84,15 +85,12 @@ NAME_AFTER_CUE = re.compile(rf"(?<!\w){_BEFORE}\s+({_TITLE}\s+)?({_NAME})")
 #: A bare title at the end of a line is a column of a listing (debit side), not a title.
 NAME_AFTER_TITLE = re.compile(rf"(?<![\w@.])(?:{_TITLE}(?<=\.)\s+|{_TITLE}[ \t]+)({_NAME})")
 NAME_BEFORE_CUE = re.compile(rf"(?<![\w@.,-])({_TITLE}\s+)?({_NAME}){_AFTER}")
-#: Literals one of which stands near every name, address and passport number that the patterns can find.
+#: Literals one of which stands in every cue of the patterns for names, addresses and passport numbers: parts of single words, so that no white space breaks them.
 _NAME_KEYS = (
-    "person", "ame:", "ame of", "told by", "told\nby", "belongs", "eviewed", "repared", "hecked by", "ominee", "handed", "we met", "We met", "we\nmet", "igned before",
-    "igned by", "igned\nbefore", "me by", "sd/-", "Sd/-", "alary of", "alary\nof", "Attn", "attn", "c/o", "C/o", "be reached", "be\nreached", "will collect", "will\ncollect", "not signed",
-    "Mr.", "Mr ", "Ms.", "Ms ", "Mrs", "Miss ", "Smt", "Shri", "Sri ", "Dr. ", "Dr.\n", "CA ", "CS ", "Prof.", "Adv.", "Kum.",
-)
-_ADDRESS_KEYS = (
-    "ddress", "DDRESS", "esid", "served", "papers", "hifted", "oved", "ives at", "iving at", "ouse", "ome", "eliver", "sent", "osted", "taying", "r/o", "पता",
+    "person", "ame", "told", "belongs", "eviewed", "repared", "hecked", "ominee", "handed", "met", "igned", "d/-", "alary", "ttn", "c/o", "C/o", "reached", "collect", *_TITLE_WORDS,
 )
+#: Of the case-folded text.
+_ADDRESS_KEYS = ("address", "resid", "served", "papers", "shifted", "moved", "lives", "living", "house", "home", "deliver", "sent", "posted", "staying", "r/o", "पता")
 _KEYS = ahocorasick.Automaton()
 for _k in _NAME_KEYS:
     _KEYS.add_word(_k, "n")
@@ -212,7 +210,8 @@ def _find_addresses(t: str) -> Iterator[Item]:
         if t[m.start() - 1 : m.start()] in ("/", ".", ",") or t[m.start() - 1 : m.start()].isalnum():
             continue
         lo = max(0, m.start() - 180)
-        if not any(k in t[lo : m.start()] for k in _ADDRESS_KEYS):
+        before = t[lo : m.start()].casefold().replace("ı", "i")
+        if not any(k in before for k in _ADDRESS_KEYS):
             continue
         # The address begins after the last cue before its code.
         hit, pos = None, lo

@@ -67,3 +67,27 @@ def test_collisions_are_drawn_again(spark, monkeypatch):
     e = spark.createDataFrame([("name", f"p{'x' * (i % 3)}{i}", "") for i in range(12)], "kind string, canon string, gender string")
     got = [r.surrogate for r in pii.assign_surrogates(e, "k").collect()]
     assert len(got) == 12 and len(set(got)) == 12
+
+
+def test_the_filter_loses_no_match_of_the_bare_patterns():
+    from sparkloom.llm import pii
+
+    cues = (
+        "Contact person -", "contact person:", "Name :", "name of the holder :", "Name of client:", "As told by", "belongs to", "Reviewed by :", "reviewed:", "Prepared by", "Checked by", "checked by:",
+        "Nominee", "handed to", "We met", "we met", "Signed before me by", "Signed by", "signed by", "(Sd/-)", "sd/-", "Salary of", "Attn", "attn:", "c/o", "C/o",
+    )
+    titles = [x + dot for x in ("Mr", "Mrs", "Ms", "Miss", "Smt", "Shri", "Sri", "Dr", "CA", "CS", "Prof", "Adv", "Er", "Kum") for dot in ("", ".")]
+    texts = [f"{x} Ramesh Mehta" for x in (*cues, *titles)] + [f"Ramesh Mehta {x}" for x in ("can be reached", "will collect", "has not signed")]
+    for text in texts:
+        for t in (text, text.replace(" ", "\n"), text.replace(" ", "\t ")):
+            for rx in (pii.NAME_AFTER_CUE, pii.NAME_AFTER_TITLE, pii.NAME_BEFORE_CUE):
+                for m in rx.finditer(t):
+                    assert any(a <= m.start() and m.end() <= b for a, b in pii._windows(t)["n"]), t
+    places = (
+        "address:", "address of firm -", "resides at", "resident of", "residence is", "residing at", "served at", "papers to", "shifted to", "moved to", "lives at", "living at", "house:", "home -",
+        "deliver to", "delivered to", "sent to", "posted to", "staying at", "r/o",
+    )
+    for cue in places:
+        for c in (cue, cue.upper(), cue.title(), cue.capitalize(), cue.replace(" ", "\n")):
+            t = f"{c} Flat 12, Lake Road, Pune 411001"
+            assert pii.ADDRESS.search(t) and [x[3] for x in pii._find_addresses(t)] == ["411001"], t
