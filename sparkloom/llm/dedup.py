@@ -1,20 +1,24 @@
 """Deduplicating new batches against all history.
 
-Method: a persisted index of minwise band keys with the accepted records'
-words, partitioned by hash. A new batch is signed once, its band keys are
-looked up in the matching buckets only, candidates are verified, and the keys
-of the records that repeat nothing are appended. History is never tokenised
-again: the index also holds each record's words as 16-bit hashes, in order,
-which is what candidates are verified on.
+Method: a persisted index of minwise band keys with the records' words as
+signatures, both in buckets by hash. A new batch is tokenised once; its band
+keys are shuffled to the buckets of the index and meet only the same bucket
+there, candidates are verified on their words, and the batch's keys are
+appended. History is never tokenised, signed, grouped or shuffled again.
 
 Words are folded so that layout, case, punctuation, digits and misread
-characters do not matter; shingles are five words. Where few words are left
-beside numbers, the numbers count as words. Copies of one text in one
-scope and batch are one entry from the start, so a group of copies that holds
-a third of all rows costs one entry. Within a bucket a new record is compared
-with the bucket's leader (its smallest id) first; only where that is not a
-match are the other members tried, so a large group of near copies costs one
-comparison per record and bucket, and no member is left out.
+characters do not matter. Where few words are left beside numbers, the numbers
+count as words. Two families of bands find candidates: shingles of five words
+(whole passages that moved or came in between), and words in their eighth of
+the text (edits scattered over all of it, which break most shingles). What
+decides is the share of words that are there again in the same order.
+
+Copies of one text in one scope and batch are one entry from the start, so a
+group of copies that holds a third of all rows costs one entry. The first
+record of a bucket leads it; a new record is compared with the leaders it
+meets, at most one for each of its bands. Only where a leader is no match the
+bucket's followers are tried, spread over tasks by a salt, so no member is left
+out and no task holds a group.
 """
 
 from __future__ import annotations
@@ -22,19 +26,23 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkloom.common import cut, work_path
 
 SHINGLE = 5
-BANDS = 32
-ROWS = 4
+#: Bands of five-word shingles, bands of words in their place, rows of either.
+SHINGLE_BANDS, PLACE_BANDS, ROWS = 12, 20, 4
+BANDS = SHINGLE_BANDS + PLACE_BANDS
+#: Parts of a text within which a word keeps its place.
+PLACES = 8
 #: A record repeats another if so much of either's wording is there again in the same order.
 SAME = 0.72
 #: Fewest words of a record that is checked, and fewest folded words that are compared without the numbers between them.
@@ -43,11 +51,15 @@ MIN_WORDS, MIN_INDEXED = 50, 30
 FEW_WORDS = math.ceil(MIN_INDEXED / SAME)
 #: Words of one record whose order is compared at a time; the result does not depend on it.
 BLOCK = 8192
+#: Records of the first batch that one bucket of the index is made for.
+BUCKET_RECORDS = 25_000
+#: Parts into which a bucket's followers are spread.
+SALTS = 16
 
 _WORD = re.compile(r"[^\W_]+")
 _FOLD = str.maketrans({"0": "o", "1": "l", "i": "l", "5": "s", "9": "g", "q": "g", "6": "b", "8": "b", "@": "a", "!": "l"})
 _MARKS = re.compile(r"(?<=[^\W\d_])[@!](?=[^\W\d_])")
-_BARE = re.compile(r"(?<!\S)[^\w\s]+(?!\S)")
+_BARE = re.compile(r"[^\w\s]+")
 
 
 def fold(word: str) -> str | None:
@@ -58,9 +70,17 @@ def fold(word: str) -> str | None:
     return word.translate(_FOLD)
 
 
-def counted_words(text: str) -> int:
-    """Blank-separated words that are more than punctuation."""
-    return len(text.split()) - len(_BARE.findall(text))
+def has_words(text: str, least: int = MIN_WORDS) -> bool:
+    """True if the text has at least so many blank-separated words that are more than punctuation."""
+    words = text.split()
+    if len(words) < least:
+        return False
+    n = 0
+    for w in words:
+        n += w[0].isalnum() or not _BARE.fullmatch(w)
+        if n >= least:
+            return True
+    return False
 
 
 class Signer:
@@ -72,6 +92,7 @@ class Signer:
         self.mul = rng.integers(1, 2**32, k, dtype=np.uint32) | np.uint32(1)
         self.add = rng.integers(0, 2**32, k, dtype=np.uint32)
         self.poly = rng.integers(1, 2**63, SHINGLE, dtype=np.uint64) | np.uint64(1)
+        self.place = rng.integers(1, 2**63, PLACES, dtype=np.uint64)
         self.seen: dict[str, int] = {}
 
     def _words(self, text: str) -> list[str]:
@@ -86,41 +107,46 @@ class Signer:
         """32-bit hashes of the text's words, in order; numbers are left out."""
         if len(self.seen) > 500_000:
             self.seen.clear()
-        seen, out = self.seen, []
-        for w in self._words(text):
-            h = seen.get(w)
-            if h is None:
-                f = fold(w)
-                h = seen[w] = -1 if f is None else xxhash.xxh32_intdigest(f)
-            if h >= 0:
-                out.append(h)
-        return np.array(out, dtype=np.uint32)
+        seen, words = self.seen, self._words(text)
+        got = [*map(seen.get, words)]
+        if None in got:
+            for i, h in enumerate(got):
+                if h is None:
+                    f = fold(words[i])
+                    got[i] = seen[words[i]] = -1 if f is None else xxhash.xxh32_intdigest(f)
+        out = np.array(got, dtype=np.int64)
+        return out[out >= 0].astype(np.uint32)
 
     def with_numbers(self, text: str) -> np.ndarray:
         """As sequence, with the numbers in their places."""
         return np.array([xxhash.xxh32_intdigest(w.translate(_FOLD)) for w in self._words(text)], dtype=np.uint32)
 
-    def minima(self, seq: np.ndarray) -> np.ndarray:
-        """The BANDS * ROWS smallest permuted shingle hashes."""
-        x = seq.astype(np.uint64)
-        n = len(x) - SHINGLE + 1
-        if n < 1:
-            return np.zeros(len(self.mul), np.uint32)
-        sh = np.zeros(n, dtype=np.uint64)
-        for i in range(SHINGLE):
-            sh = sh * np.uint64(0x9E3779B97F4A7C15) + x[i : i + n] * self.poly[i]
-        sh ^= sh >> np.uint64(31)
-        low = np.unique((sh * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)).astype(np.uint32))
-        best = np.full(len(self.mul), 2**32 - 1, dtype=np.uint32)
-        for at in range(0, len(low), 4096):
-            part = low[at : at + 4096, None] * self.mul[None, :] + self.add[None, :]
+    def _minima(self, tokens: np.ndarray, of: slice) -> np.ndarray:
+        mul, add = self.mul[of], self.add[of]
+        tokens = tokens ^ tokens >> np.uint64(31)
+        low = (tokens * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)).astype(np.uint32)
+        best = np.full(len(mul), 2**32 - 1, dtype=np.uint32)
+        for at in range(0, len(low), 1024):
+            part = low[at : at + 1024, None] * mul
+            part += add
             np.minimum(best, part.min(axis=0), out=best)
         return best
 
-    def keys(self, seq: np.ndarray, scope: str) -> np.ndarray:
-        """One key per band: scope, band number and the band's minima."""
-        m = self.minima(seq).reshape(BANDS, ROWS).astype(np.uint64)
-        k = np.full(BANDS, xxhash.xxh64_intdigest(scope), np.uint64) + np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    def keys(self, words: np.ndarray, salt: int) -> np.ndarray:
+        """One key for each band: salt (the scope), band number and the band's minima. words: hashes of 16 bits or more, at least one."""
+        x = words.astype(np.uint64)
+        n = len(x)
+        tokens = x * self.poly[0] + self.place[np.arange(n) * PLACES // n]
+        minima = [self._minima(tokens, slice(SHINGLE_BANDS * ROWS, None))]
+        first = SHINGLE_BANDS
+        if n >= SHINGLE:
+            tokens = np.zeros(n - SHINGLE + 1, dtype=np.uint64)
+            for i in range(SHINGLE):
+                tokens = tokens * np.uint64(0x9E3779B97F4A7C15) + x[i : n - SHINGLE + 1 + i] * self.poly[i]
+            minima.insert(0, self._minima(tokens, slice(0, SHINGLE_BANDS * ROWS)))
+            first = 0
+        m = np.concatenate(minima).reshape(-1, ROWS).astype(np.uint64)
+        k = np.full(len(m), salt & 0xFFFFFFFFFFFFFFFF, np.uint64) + np.arange(first, BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         for r in range(ROWS):
             k = (k ^ m[:, r]) * np.uint64(0xFF51AFD7ED558CCD)
             k ^= k >> np.uint64(32)
@@ -164,15 +190,14 @@ def _alike(a: np.ndarray, b: np.ndarray) -> int:
     return int(other.argmax()) if other.any() else len(a)
 
 
-ENTRY = "doc_id bigint, scope_id string, batch_no int, n_words int, class_key bigint, class_key2 bigint, keys array<bigint>, words binary"
-ENTRY_COLUMNS = [f.split()[0] for f in ENTRY.split(", ")]
+ENTRY = "doc_id bigint, class_key bigint, class_key2 bigint, scope_key bigint, checked boolean, words binary, batch_no int"
 
 
 def sign(docs: DataFrame) -> DataFrame:
-    """The entry of each record that can repeat or be repeated: ids, number of words, class, band keys, words.
+    """The entry of each record that can repeat or be repeated: its class, its scope's hash, whether it has MIN_WORDS words, its words.
 
     class_key and class_key2 are one for all copies of a text in a scope.
-    Records of fewer than FEW_WORDS folded words are signed with their numbers
+    Records of fewer than FEW_WORDS folded words are kept with their numbers
     (too, if they have MIN_INDEXED words). Left out are records without text,
     scope, batch or id and those that no record of MIN_WORDS words can repeat.
     """
@@ -180,35 +205,31 @@ def sign(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = Signer()
         for b in batches:
-            take, n, hi, lo, keys, words = [], [], [], [], [], []
+            take, checked, hi, lo, salts, words = [], [], [], [], [], []
             scopes = b.column(1).to_pylist()
             for i, t in enumerate(b.column(3).to_pylist()):
-                s, count, numbered = signer.sequence(t), counted_words(t), None
+                s, numbered = signer.sequence(t), None
+                enough = has_words(t)
                 if len(s) < FEW_WORDS:
                     numbered = signer.with_numbers(t)
                     if len(s) < MIN_INDEXED:
                         s = s[:0]
-                        if len(numbered) < SHINGLE or count < MIN_WORDS and len(numbered) < SAME * MIN_WORDS:
+                        if len(numbered) < SHINGLE or not enough and len(numbered) < SAME * MIN_WORDS:
                             continue
                 take.append(i)
-                n.append(count)
+                checked.append(enough)
                 exact = s.tobytes() if numbered is None else b"\1" + len(s).to_bytes(2, "little") + s.tobytes() + numbered.tobytes()
-                digest = xxhash.xxh128_digest(scopes[i].encode() + b"\0" + exact)
+                scope = scopes[i].encode()
+                digest = xxhash.xxh128_digest(scope + b"\0" + exact)
                 hi.append(int.from_bytes(digest[:8], "big", signed=True))
                 lo.append(int.from_bytes(digest[8:], "big", signed=True))
-                own = [signer.keys(s, scopes[i])] if len(s) else []
-                own += [] if numbered is None else [signer.keys(numbered, scopes[i] + "\0numbers")]
-                keys.append(np.concatenate(own))
+                salts.append(xxhash.xxh64_intdigest(scope) - 2**63)
                 words.append(_packed(s, numbered))
             idx = pa.array(take, pa.int64())
-            flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-            ends = np.cumsum([0, *map(len, keys)])
             yield pa.RecordBatch.from_pydict(
                 {
-                    "doc_id": b.column(0).take(idx), "scope_id": b.column(1).take(idx), "batch_no": b.column(2).take(idx), "n_words": pa.array(n, pa.int32()),
-                    "class_key": pa.array(hi, pa.int64()), "class_key2": pa.array(lo, pa.int64()),
-                    "keys": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64())),
-                    "words": pa.array(words, pa.binary()),
+                    "doc_id": b.column(0).take(idx), "class_key": pa.array(hi, pa.int64()), "class_key2": pa.array(lo, pa.int64()),
+                    "scope_key": pa.array(salts, pa.int64()), "checked": pa.array(checked, pa.bool_()), "words": pa.array(words, pa.binary()), "batch_no": b.column(2).take(idx),
                 }
             )
 
@@ -240,6 +261,29 @@ def _same(x: np.ndarray, y: np.ndarray) -> bool:
     return least > 0 and least >= SAME * most and common_in_order(x, y) >= SAME * most
 
 
+def band(entries: DataFrame) -> DataFrame:
+    """(key, doc_id, n): the band keys of entries (doc_id, scope_key, words) with the number of words they stand for."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        signer = Signer()
+        for b in batches:
+            ids, salts = b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_pylist()
+            keys, size, n = [], [], []
+            for salt, packed in zip(salts, b.column(2).to_pylist(), strict=True):
+                of = 0
+                for numbers, words in enumerate(_unpacked(packed)):
+                    if len(words):
+                        keys.append(signer.keys(words, salt + numbers * 0x5851F42D4C957F2D))
+                        of += len(keys[-1])
+                        n.append(np.full(len(keys[-1]), len(words), np.int32))
+                size.append(of)
+            flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
+            lengths = np.concatenate(n) if n else np.zeros(0, np.int32)
+            yield pa.RecordBatch.from_pydict({"key": pa.array(flat, pa.int64()), "doc_id": pa.array(np.repeat(ids, size), pa.int64()), "n": pa.array(lengths, pa.int32())})
+
+    return entries.select("doc_id", "scope_key", "words").mapInArrow(run, "key bigint, doc_id bigint, n int")
+
+
 def verify(pairs: DataFrame) -> DataFrame:
     """(b, a) of the candidate pairs (b, a, words_b, words_a) that hold."""
 
@@ -253,121 +297,124 @@ def verify(pairs: DataFrame) -> DataFrame:
     return pairs.select("b", "a", "words_b", "words_a").mapInArrow(run, "b bigint, a bigint")
 
 
-#: Bits of the fixed-size filter that keeps the words of records that are no candidates out of the shuffle.
-FILTER_BITS = 1 << 24
-
-
-def only_ids(entries: DataFrame, ids: DataFrame) -> DataFrame:
-    """entries whose doc_id may be among ``ids`` (column id): a bitmap of fixed size, so it can be sent to every task."""
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(FILTER_BITS // 8, np.uint8)
-        for b in batches:
-            h = _bit(b.column(0).to_numpy(zero_copy_only=False))
-            np.bitwise_or.at(bits, h >> 3, (1 << (h & 7)).astype(np.uint8))
-        where = np.flatnonzero(bits)
-        yield pa.RecordBatch.from_pydict({"at": pa.array(where, pa.int32()), "bits": pa.array(bits[where].astype(np.int16), pa.int16())})
-
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
-    merged = ids.mapInArrow(mark, "at int, bits smallint").groupBy("at").agg(F.bit_or("bits").alias("bits"))
-    for r in merged.toLocalIterator():  # at most FILTER_BITS / 8 rows
-        bits[r["at"]] = r["bits"]
-    shared = entries.sparkSession.sparkContext.broadcast(bits)
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            h = _bit(b.column(0).to_numpy(zero_copy_only=False))
-            yield b.filter(pa.array((shared.value[h >> 3] >> (h & 7)) & 1 == 1))
-
-    return entries.select("doc_id", "words").mapInArrow(keep, "doc_id bigint, words binary")
-
-
-def _bit(ids: np.ndarray) -> np.ndarray:
-    return (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) % FILTER_BITS
+#: How a record stands in a bucket: its first record, a later one, a later one with a smaller id than the bucket's first.
+LEADER, FOLLOWER, EARLIER = range(3)
+KEYS = "key bigint, doc_id bigint, n int, a bigint, n_a int, batch_no int, standing int"
 
 
 class HistoryIndex:
-    """Entries and accepted records' band keys, in files partitioned by hash in the shared folder."""
+    """All records of the batches so far, in a folder: entries in buckets by id, band keys in buckets by key, both partitioned by batch.
+
+    Every record of an earlier batch counts, whether it was accepted or
+    repeats another: what repeats it repeats "a document of an earlier batch".
+    The records that ``probe`` returns are the batch's repeats; all others are
+    accepted. ``buckets`` should be the history's size over what a task can
+    hold (by default one for BUCKET_RECORDS records of the first batch, 8 at
+    least); it is fixed when the index is made. A batch whose run broke off
+    can be run again: it only looks at earlier batches, and repeated rows change nothing.
+    """
 
-    def __init__(self, spark: SparkSession, path: str, partitions: int = 8):
-        self.spark, self.path, self.partitions = spark, path, partitions
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 8):
+        self.spark, self.path = spark, path
+        name = f"sparkloom_{uuid.uuid4().hex}"
+        self.entries_table, self.keys_table = f"{name}_entries", f"{name}_keys"
+        for table, schema, by, parts, folder in (
+            (self.entries_table, ENTRY, "doc_id", "batch_no", "entries"), (self.keys_table, KEYS, "key", "batch_no, standing", "keys"),
+        ):
+            spark.sql(f"CREATE TABLE {table} ({schema}) USING parquet PARTITIONED BY ({parts}) CLUSTERED BY ({by}) INTO {int(buckets)} BUCKETS LOCATION '{path}/{folder}'")
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}")
+            if where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+                spark.catalog.recoverPartitions(table)
+        self.buckets = buckets
 
     def entries(self) -> DataFrame:
-        return self.spark.read.schema(ENTRY).parquet(f"{self.path}/entries")
+        return self.spark.table(self.entries_table)
+
+    def keys(self) -> DataFrame:
+        return self.spark.table(self.keys_table)
 
     def submit(self, docs: DataFrame) -> None:
-        """Sign records once and keep their entries. They become part of the history by ``accept``."""
-        sign(docs).write.mode("append").parquet(f"{self.path}/entries")
-
-    def accept(self, reps: DataFrame) -> None:
-        """Append the band keys of records (doc_id, batch_no, keys) to the history, by key hash."""
-        part = F.pmod(F.xxhash64("key"), F.lit(self.partitions)).cast("int")
-        _keys(reps).withColumn("part", part).write.mode("append").partitionBy("part").parquet(f"{self.path}/keys")
-
-    def history(self) -> DataFrame:
-        return self.spark.read.schema("key bigint, doc_id bigint, batch_no int, part int").parquet(f"{self.path}/keys").drop("part")
-
-    def repeats(self, reps: DataFrame, history: DataFrame | None = None) -> DataFrame:
-        """(b, a): the smallest id of an earlier batch that each record of reps (doc_id, batch_no, keys) repeats, for those that repeat one."""
-        history = self.history() if history is None else history
-        keys = _keys(reps).select("key", F.col("doc_id").alias("b"), F.col("batch_no").alias("batch_b"))
-        leaders = history.groupBy("key", "batch_no").agg(F.min("doc_id").alias("a"))
-        first = keys.join(leaders, "key").where("batch_no < batch_b").groupBy("b", "batch_b", "key").agg(F.min("a").alias("a"))
-        first = cut(first, "dedup-first")
-        tried = first.select("b", "a").distinct()
-        held = self._held(tried)
-        # Buckets whose leader is no match: their other members, as far as they could be an earlier match than the one found.
+        """Sign records once and keep their entries, by batch."""
+        sign(docs).repartition(self.buckets, "doc_id").write.insertInto(self.entries_table)
+
+    def representatives(self, batch: int) -> DataFrame:
+        """One record (doc_id, the smallest) for each text of a scope in a batch."""
+        return self.entries().where(F.col("batch_no") == batch).groupBy("class_key", "class_key2").agg(F.min("doc_id").alias("doc_id"))
+
+    def add(self, batch: int) -> None:
+        """Look up the band keys of a submitted batch and append them with the leader each met (a, of n_a words; null where it met none)."""
+        own = self.entries().where(F.col("batch_no") == batch).join(self.representatives(batch).select("doc_id"), "doc_id", "left_semi")
+        fresh = band(own).repartition(self.buckets, "key")
+        leaders = self.keys().where((F.col("batch_no") < batch) & (F.col("standing") == LEADER)).select("key", F.col("doc_id").alias("a"), F.col("n").alias("n_a"))
+        met = fresh.join(leaders.hint("shuffle_hash"), "key", "left")
+        first = F.min("doc_id").over(Window.partitionBy("key"))
+        met = met.withColumn("standing", F.when(F.col("a") > F.col("doc_id"), EARLIER).when(F.col("a").isNotNull() | (first < F.col("doc_id")), FOLLOWER).otherwise(LEADER))
+        met.select("key", "doc_id", "n", "a", "n_a", F.lit(batch).alias("batch_no"), "standing").write.insertInto(self.keys_table)
+
+    def probe(self, batch: int) -> DataFrame:
+        """(b, a): the smallest id of an earlier batch that each text of a batch repeats, for those that repeat one. b: its representative."""
+        fits = F.least("n", "n_a") >= SAME * F.greatest("n", "n_a")
+        new = self.keys().where((F.col("batch_no") == batch) & F.col("a").isNotNull()).select("key", F.col("doc_id").alias("b"), "n", "a", "n_a")
+        tried = cut(new.where(fits).select("b", "a").distinct(), "dedup-tried")
+        held = self._held(tried, batch)
+        # Buckets whose leader is no match: their followers; other buckets: those that came later but have a smaller id.
+        # Without followers in the index there is nothing more to try.
+        followers = self.keys().where((F.col("batch_no") < batch) & (F.col("standing") != LEADER))
+        if not any(f"standing={LEADER}" not in r[0] and int(r[0].split("/")[0].partition("=")[2]) < batch for r in self.spark.sql(f"SHOW PARTITIONS {self.keys_table}").collect()):
+            return held.groupBy("b").agg(F.min("a").alias("a"))
+        below = held.withColumn("below", F.col("a"))
         best = held.groupBy("b").agg(F.min("a").alias("best"))
-        open_ = first.join(held, ["b", "a"], "left_anti").join(best, "b", "left").where("best is null or a < best")
-        more = (
-            open_.select("b", "batch_b", "key", F.col("a").alias("leader"), "best").join(history.withColumnRenamed("doc_id", "a"), "key")
-            .where("batch_no < batch_b and a > leader and (best is null or a < best)").select("b", "a").distinct().join(tried, ["b", "a"], "left_anti")
-        )
-        more = cut(more, "dedup-more")
+        open_ = new.join(below, ["b", "a"], "left").join(best, "b", "left").select("key", "b", "n", "below", "best")
+        more = cut(self._followers(open_, followers).join(tried, ["b", "a"], "left_anti"), "dedup-more")
         if not more.isEmpty():
-            held = held.unionByName(self._held(more))
+            held = held.unionByName(self._held(more, batch))
         return held.groupBy("b").agg(F.min("a").alias("a"))
 
-    def _held(self, candidates: DataFrame) -> DataFrame:
-        """The candidates (b, a) that hold; only the words of records that are candidates are shuffled."""
-        ids = candidates.select(F.col("b").alias("id")).unionByName(candidates.select(F.col("a").alias("id"))).distinct()
-        some = cut(only_ids(self.entries(), ids), "dedup-words")
-        b = some.select(F.col("doc_id").alias("b"), F.col("words").alias("words_b"))
-        a = some.select(F.col("doc_id").alias("a"), F.col("words").alias("words_a"))
-        return cut(verify(candidates.join(b, "b").join(a, "a")), "dedup-held")
-
-
-def _keys(reps: DataFrame) -> DataFrame:
-    return reps.select(F.explode("keys").alias("key"), "doc_id", "batch_no")
-
-
-def dedup_batches(docs: DataFrame, partitions: int = 8) -> DataFrame:
-    """(doc_id_a, doc_id_b, batch_no): each record of a later batch with the earliest record of its scope and an earlier batch that it repeats.
-
-    The first batch is the accepted history. The later ones are looked up in
-    its index in one pass; those that repeat nothing there are compared with
-    one another, each with earlier batches only, and what repeats nothing at
-    all is appended to the index. Copies inside one batch do not count as
+    def _followers(self, open_: DataFrame, followers: DataFrame) -> DataFrame:
+        """(b, a), once: open records (key, b, n, below, best) with the followers of their buckets; each bucket's are spread over SALTS tasks."""
+        salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
+        met = followers.join(open_.select("key").distinct(), "key", "left_semi").select("key", F.col("doc_id").alias("a"), F.col("n").alias("n_a"), (F.col("standing") == EARLIER).alias("earlier"), salt.alias("salt"))
+        salted = open_.withColumn("salt", F.explode(F.array([F.lit(k) for k in range(SALTS)])))
+        pairs = salted.join(met, ["key", "salt"]).where(F.least("n", "n_a") >= SAME * F.greatest("n", "n_a"))
+        return pairs.where("(below is null or earlier and a < below) and (best is null or a < best)").select("b", "a").distinct()
+
+    def _held(self, candidates: DataFrame, batch: int) -> DataFrame:
+        """The candidates (b, a) that hold. Only words of candidates leave their buckets; a record with very many candidates is split by adaptive execution."""
+        ids = candidates.select(F.col("b").alias("doc_id")).unionByName(candidates.select(F.col("a").alias("doc_id"))).distinct()
+        words = cut(self.entries().where(F.col("batch_no") <= batch).select("doc_id", "words").join(ids, "doc_id", "left_semi"), "dedup-words")
+        for side in ("b", "a"):
+            candidates = candidates.join(words.select(F.col("doc_id").alias(side), F.col("words").alias(f"words_{side}")), side)
+        return cut(verify(candidates).distinct(), "dedup-held")
+
+
+def dedup_batches(docs: DataFrame, path: str | None = None, buckets: int | None = None) -> DataFrame:
+    """(doc_id_a, doc_id_b, batch_no): each record of a later batch with the earliest (smallest doc_id) record of its scope and an earlier batch that it repeats.
+
+    The batches go through one HistoryIndex (at ``path``, else in the shared
+    folder) in order: the first is history, every later one is looked up in
+    what came before and then appended. Copies inside one batch do not count as
     repeats of each other. Records of fewer than MIN_WORDS words are never
     reported. Repeated rows of one doc_id count once. Null text, scope or
     batch: not compared. No records, no rows.
     """
     spark = docs.sparkSession
-    index = HistoryIndex(spark, work_path(spark, "dedup-index"), partitions)
+    numbers = docs.where("batch_no is not null").groupBy(F.col("batch_no").cast("int").alias("k")).agg(F.count(F.lit(1)).alias("n")).orderBy("k").collect()  # one row a batch
+    schema = "doc_id_a bigint, doc_id_b bigint, batch_no int"
+    if not numbers:
+        return spark.createDataFrame([], schema)
+    index = HistoryIndex(spark, path or work_path(spark, "dedup-index"), buckets or max(8, math.ceil(numbers[0].n / BUCKET_RECORDS)))
     index.submit(docs)
-    entries = index.entries()
-    start = entries.agg(F.min("batch_no")).first()[0]
-    if start is None:
-        return spark.createDataFrame([], "doc_id_a bigint, doc_id_b bigint, batch_no int")
-    # Copies are one class per batch: the first stands for all of them.
+    found = None
+    for i, row in enumerate(numbers):
+        index.add(row.k)
+        if i:
+            got = index.probe(row.k).select("b", "a", F.lit(row.k).alias("batch_no"))
+            found = got if found is None else found.unionByName(got)
+    if found is None:
+        return spark.createDataFrame([], schema)
+    # Copies inside a batch are one class: what its representative repeats, all repeat.
+    lean = index.entries().select("doc_id", "class_key", "class_key2", "batch_no", "checked")
     classes = ["class_key", "class_key2", "batch_no"]
-    reps = cut(entries.groupBy(*classes).agg(F.min(F.struct("doc_id", "keys")).alias("r")).select(*classes, "r.doc_id", "r.keys"), "dedup-classes")
-    index.accept(reps.where(F.col("batch_no") == start))
-    fresh = reps.where(F.col("batch_no") > start)
-    known = cut(index.repeats(fresh), "dedup-known")
-    left = cut(fresh.join(known.select(F.col("b").alias("doc_id")), "doc_id", "left_anti").select("doc_id", "batch_no", "keys"), "dedup-left")
-    among = cut(index.repeats(left, _keys(left)), "dedup-among")
-    index.accept(left.join(among.select(F.col("b").alias("doc_id")), "doc_id", "left_anti"))
-    found = known.unionByName(among).join(reps.select(F.col("doc_id").alias("b"), *classes), "b")
-    rows = entries.where(F.col("n_words") >= MIN_WORDS).select("doc_id", *classes).join(found.select(*classes, "a"), classes)
+    of = found.join(lean.select(F.col("doc_id").alias("b"), *classes), ["b", "batch_no"]).groupBy(*classes).agg(F.min("a").alias("a"))
+    rows = lean.where("checked").join(of, classes)
     return rows.select(F.col("a").alias("doc_id_a"), F.col("doc_id").alias("doc_id_b"), "batch_no").distinct()
