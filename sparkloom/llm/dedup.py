@@ -60,6 +60,8 @@ _WORD = re.compile(r"[^\W_]+")
 _FOLD = str.maketrans({"0": "o", "1": "l", "i": "l", "5": "s", "9": "g", "q": "g", "6": "b", "8": "b", "@": "a", "!": "l"})
 _MARKS = re.compile(r"(?<=[^\W\d_])[@!](?=[^\W\d_])")
 _BARE = re.compile(r"[^\w\s]+")
+#: ASCII letters in lower case and digits; everything else separates words.
+_ASCII = bytes(c if chr(c).isalnum() else 32 for c in (ord(chr(b).lower()) for b in range(128))) + b" " * 128
 
 
 def fold(word: str) -> str | None:
@@ -73,14 +75,12 @@ def fold(word: str) -> str | None:
 def has_words(text: str, least: int = MIN_WORDS) -> bool:
     """True if the text has at least so many blank-separated words that are more than punctuation."""
     words = text.split()
-    if len(words) < least:
-        return False
     n = 0
-    for w in words:
+    for i, w in enumerate(words):
         n += w[0].isalnum() or not _BARE.fullmatch(w)
-        if n >= least:
-            return True
-    return False
+        if n >= least or n + len(words) - i <= least - 1:
+            break
+    return n >= least
 
 
 class Signer:
@@ -98,6 +98,8 @@ class Signer:
     def _words(self, text: str) -> list[str]:
         if not text.isascii():
             text = unicodedata.normalize("NFKC", text)
+        elif "@" not in text and "!" not in text:
+            return text.encode().translate(_ASCII).decode().split()
         text = text.lower()
         if "@" in text or "!" in text:
             text = _MARKS.sub(lambda m: "a" if m.group(0) == "@" else "l", text)
