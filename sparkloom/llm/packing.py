@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from sparkloom.common import cut
 from sparkloom.llm.tokens import VOCABULARY, count_tokens
 
-#: Histogram sizes on the driver are bounded by this capacity.
-MAX_CAPACITY = 4_000_000
+#: Entries of the histogram on the driver. Beyond that capacity sizes are planned in units of several tokens, rounded up.
+MAX_SIZES = 4_000_000
 
 
 def fill(first: int, capacity: int, sizes: list[int], counts: dict[int, int]) -> dict[int, int]:
@@ -133,32 +133,38 @@ def pack(items: DataFrame, capacities: list[int], ids: list[str], size: str = "n
     An item larger than the largest capacity comes as pieces (from 0): full
     ones and a rest; every other item is one piece, never split. Items
     without tokens take no room and are spread over the containers. Ties and repeated
-    rows are items of their own. No items, no rows.
+    rows are items of their own. No items, no rows. Above MAX_SIZES tokens of
+    capacity, sizes are rounded up to whole units of capacity / MAX_SIZES
+    tokens for the plan (an item that fills the largest container stays whole);
+    capacities below a unit are then not used.
     """
     caps = sorted({int(c) for c in capacities if c and c > 0})
     # Enough buckets that a size shared by a third of all items is ranked by as many tasks as there are.
     buckets = buckets or max(64, 4 * int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    if not caps or caps[-1] > MAX_CAPACITY:
-        raise ValueError(f"capacities must lie between 1 and {MAX_CAPACITY}")
+    if not caps:
+        raise ValueError("capacities must be at least 1")
+    unit = -(-caps[-1] // MAX_SIZES)
+    real = {c // unit: c for c in caps if c >= unit}
+    units = sorted(real)
     top = F.lit(caps[-1])
     n = F.greatest(F.coalesce(F.col(size), F.lit(0)), F.lit(0)).cast("bigint")
     last = F.greatest(F.ceil(n / top) - 1, F.lit(0)).cast("int")
     pieces = items.select(*ids, n.alias("_n"), last.alias("_last")).select(*ids, "_n", "_last", F.explode(F.sequence(F.lit(0), F.col("_last"))).alias("piece_no"))
     pieces = pieces.select(*ids, "piece_no", F.when(F.col("piece_no") < F.col("_last"), top).otherwise(F.col("_n") - F.col("_last") * top).cast("bigint").alias("n_tokens"))
+    pieces = pieces.withColumn("_size", F.least(F.ceil(F.col("n_tokens") / unit), F.lit(units[-1])).cast("bigint"))
     pieces = cut(pieces, "pack-pieces")
-    histogram = {r.n_tokens: r.n for r in pieces.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most the largest capacity + 1 rows
-    steps = plan({s: k for s, k in histogram.items() if s > 0}, caps)
+    histogram = {r["_size"]: r.n for r in pieces.groupBy("_size").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most MAX_SIZES + 1 rows
+    steps = plan({s: k for s, k in histogram.items() if s > 0}, units)
     bases = np.concatenate([[0], np.cumsum([t for _, t, _ in steps])]).astype(np.int64) if steps else np.zeros(1, np.int64)
     places: dict[int, list[tuple[int, int, int, int]]] = {}
     taken: dict[int, int] = {}
     for base, (cap, times, held) in zip(bases.tolist(), steps, strict=False):
         for s, k in held.items():
-            places.setdefault(s, []).append((taken.get(s, 0), k, base, cap))
+            places.setdefault(s, []).append((taken.get(s, 0), k, base, real[cap]))
             taken[s] = taken.get(s, 0) + k * times
     lookup = {s: tuple(np.array(c, dtype=np.int64) for c in zip(*rows, strict=True)) for s, rows in places.items()}
     containers = max(1, int(bases[-1]))
-    small = caps[0]
-    step_caps = np.array([c for c, _, _ in steps] or [small], dtype=np.int64)
+    step_caps = np.array([real[c] for c, _, _ in steps] or [caps[0]], dtype=np.int64)
     shared = items.sparkSession.sparkContext.broadcast((lookup, bases, step_caps))
     schema = ", ".join(f"`{k}` {items.schema[k].dataType.simpleString()}" for k in ids) + ", piece_no int, n_tokens bigint, container_no bigint, capacity bigint"
     width = len(ids)
@@ -166,8 +172,8 @@ def pack(items: DataFrame, capacities: list[int], ids: list[str], size: str = "n
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, starts, capacity = shared.value
         for b in batches:
-            size_of = b.column(width + 1).to_numpy(zero_copy_only=False)
-            rank = b.column(width + 2).to_numpy(zero_copy_only=False)
+            size_of = b.column(width + 2).to_numpy(zero_copy_only=False)
+            rank = b.column(width + 3).to_numpy(zero_copy_only=False)
             no, cap = np.zeros(len(rank), np.int64), np.zeros(len(rank), np.int64)
             for s in np.unique(size_of):
                 here = size_of == s
@@ -184,8 +190,8 @@ def pack(items: DataFrame, capacities: list[int], ids: list[str], size: str = "n
             cols = {b.schema.names[i]: b.column(i) for i in range(width + 2)}
             yield pa.RecordBatch.from_pydict(cols | {"container_no": pa.array(no + 1, pa.int64()), "capacity": pa.array(cap, pa.int64())})
 
-    ranked = ranked_by_size(pieces, "n_tokens", [*ids, "piece_no"], buckets)
-    return ranked.select(*ids, "piece_no", "n_tokens", F.col("_rank").cast("bigint").alias("_rank")).mapInArrow(place, schema)
+    ranked = ranked_by_size(pieces, "_size", [*ids, "piece_no"], buckets)
+    return ranked.select(*ids, "piece_no", "n_tokens", "_size", F.col("_rank").cast("bigint").alias("_rank")).mapInArrow(place, schema)
 
 
 def pack_documents(docs: DataFrame, settings: DataFrame, path: str = VOCABULARY, jointly: bool = True) -> DataFrame:

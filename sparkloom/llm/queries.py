@@ -29,6 +29,32 @@ def p1_coverage(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def p1_rebuilt(spark: SparkSession, d: str) -> DataFrame:
+    """The hash of every cut chunk's text, put together again from its pieces without their overlaps."""
+    own = F.expr("aggregate(array_sort(collect_set(struct(piece_no, substring(text, overlap_chars + 1) as t))), '', (a, x) -> concat(a, x.t))")
+    return p1_pieces(spark, d).groupBy("chunk_id", "n_pieces").agg(own.alias("t")).select("chunk_id", F.sha2("t", 256).alias("text_sha256"))
+
+
+def p1_overlaps(spark: SparkSession, d: str) -> DataFrame:
+    """Per settings version: chunks cut, characters that neighbours have in common (each neighbour begins so many before its predecessor ends), longest piece's size kept."""
+    pieces = p1_pieces(spark, d)
+    ids = load(spark, d, "chunks").select("chunk_id", "extraction_config_version").distinct()
+    sizes = splitting.with_settings(ids, load(spark, d, "chunking_settings"))
+    joined = pieces.join(sizes, "chunk_id")
+    per = joined.groupBy("extraction_config_version", "chunk_id", "_overlap", "_size").agg(
+        F.sum(F.when(F.col("piece_no") > 0, F.col("overlap_chars"))).alias("shared"), F.max("piece_no").alias("joints"), F.max(F.length("text")).alias("longest")
+    )
+    ok = (F.col("shared") == F.col("joints") * F.col("_overlap")) & (F.col("longest") <= F.col("_size"))
+    return per.groupBy("extraction_config_version").agg(F.count(F.lit(1)).alias("n_chunks"), F.count(F.when(ok, 1)).alias("n_right"))
+
+
+def p1_ends(spark: SparkSession, d: str) -> DataFrame:
+    """Pieces (but the last of each chunk) by the boundary they end at."""
+    t = F.col("text")
+    kind = F.when(t.rlike(r"\n[ \t\r]{0,2}\n\z"), "blank line").when(t.rlike(r"\n\z"), "line").when(t.rlike(r"""[.!?।॥][)"'’”]?\s\z"""), "sentence").when(t.rlike(r"[;:,]\s\z"), "clause").when(t.rlike(r"[\s|]\z"), "word").otherwise("character")
+    return p1_pieces(spark, d).where("piece_no < n_pieces - 1").groupBy(kind.alias("boundary")).agg(F.count(F.lit(1)).alias("n_pieces"))
+
+
 def _texts(spark: SparkSession, d: str) -> DataFrame:
     """record_table, record_key, text of chunks and of transcribed pages."""
     chunks = load(spark, d, "chunks").select(F.lit("chunks").alias("record_table"), F.col("chunk_id").alias("record_key"), "text")
@@ -108,6 +134,33 @@ def p8_unused_each(spark: SparkSession, d: str) -> DataFrame:
     return packing.unused_space(p8_packed_each(spark, d))
 
 
+def p8_whole(spark: SparkSession, d: str) -> DataFrame:
+    """For each document with text its pieces in the packing, by number: one, unless it is larger than the largest capacity; containers over their capacity count as well."""
+    packed = p8_packed(spark, d)
+    over = packed.groupBy("container_no").agg((F.sum("n_tokens") > F.max("capacity")).alias("over"))
+    top = load(spark, d, "pack_settings").agg(F.max("capacity_tokens")).first()[0] or 0  # a table of settings
+    per = packed.join(over, "container_no").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.sum("n_tokens").alias("t"), F.max(F.col("over").cast("int")).cast("bigint").alias("n_over"))
+    right = (F.col("n") == F.greatest(F.ceil(F.col("t") / top), F.lit(1))).cast("bigint")
+    return per.select("doc_id", right.alias("n_right"), "n_over")
+
+
+def p9_reached(spark: SparkSession, d: str) -> DataFrame:
+    """The share of each source of a mix that has documents: the target's if the tokens lie within two documents of it, else as reached; and whether the cap is kept."""
+    targets = load(spark, d, "mix_targets")
+    chosen = p9_mixed(spark, d)
+    report = mixing.mix_shares(chosen, targets).where("n_docs > 0")
+    mixes = chosen.groupBy("mix_name").agg(F.max("n_tokens").alias("_longest"))
+    whole = report.groupBy("mix_name").agg(F.sum("target_share").alias("_whole"), F.sum("n_tokens").alias("_tokens"))
+    report = report.join(whole, "mix_name").join(mixes, "mix_name").withColumn("_target", F.col("target_share") / F.col("_whole"))
+    met = F.abs(F.col("n_tokens") - F.col("_target") * F.col("_tokens")) <= 2 * F.col("_longest")
+    share = F.when(met, F.col("_target")).otherwise(F.col("reached_share"))
+    return report.select("mix_name", "source", F.round(share, 3).alias("share"), (F.col("most_copies") <= F.col("max_repeats")).alias("cap_kept"))
+
+
+def p9_balance(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix_balance(mixing.plan_mixes(load(spark, d, "documents"), load(spark, d, "mix_targets"))[1], spark)
+
+
 def p9_mixed(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix_documents(load(spark, d, "documents"), load(spark, d, "mix_targets"))
 
@@ -116,7 +169,7 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix_shares(p9_mixed(spark, d), load(spark, d, "mix_targets"))
 
 
-QUERIES = {"p8_packed": p8_packed, "p8_packed_each": p8_packed_each, "p8_unused": p8_unused, "p8_unused_each": p8_unused_each, "p9_mixed": p9_mixed, "p9_shares": p9_shares, "p10_found": p10_found, "p10_bands": p10_bands, "p10_profile": p10_profile, "p7_found": p7_found, "p6_found": p6_found, "p6_paragraphs": p6_paragraphs, "p2_found": p2_found, "p2_masked": p2_masked, "p1_found": p1_found, "p1_pieces": p1_pieces, "p1_coverage": p1_coverage}
+QUERIES = {"p8_packed": p8_packed, "p8_packed_each": p8_packed_each, "p8_unused": p8_unused, "p8_unused_each": p8_unused_each, "p9_mixed": p9_mixed, "p9_shares": p9_shares, "p10_found": p10_found, "p10_bands": p10_bands, "p10_profile": p10_profile, "p7_found": p7_found, "p6_found": p6_found, "p6_paragraphs": p6_paragraphs, "p2_found": p2_found, "p2_masked": p2_masked, "p1_found": p1_found, "p1_pieces": p1_pieces, "p1_coverage": p1_coverage, "p1_rebuilt": p1_rebuilt, "p1_overlaps": p1_overlaps, "p1_ends": p1_ends, "p8_whole": p8_whole, "p9_reached": p9_reached, "p9_balance": p9_balance}
 
 ORACLES = {
     "p1_found": """
@@ -131,5 +184,24 @@ WITH o AS (SELECT DISTINCT c.chunk_id, c.extraction_config_version, length(c.tex
            WHERE length(c.text) > s.chunk_size)
 SELECT extraction_config_version, count(*) AS n_chunks, CAST(sum(n) AS BIGINT) AS chars_in, CAST(sum(n) AS BIGINT) AS chars_out
 FROM o GROUP BY 1
+""",
+    "p1_rebuilt": """
+SELECT DISTINCT c.chunk_id, sha256(c.text) AS text_sha256 FROM chunks c
+JOIN (SELECT extraction_config_version, min(chunk_size) AS chunk_size FROM chunking_settings GROUP BY 1) s
+  ON c.extraction_config_version = s.extraction_config_version
+WHERE length(c.text) > s.chunk_size
+""",
+    "p1_overlaps": """
+SELECT extraction_config_version, count(DISTINCT chunk_id) AS n_chunks, count(DISTINCT chunk_id) AS n_right
+FROM chunks c JOIN chunking_settings s USING (extraction_config_version)
+WHERE length(c.text) > s.chunk_size GROUP BY 1
+""",
+    "p8_whole": "SELECT DISTINCT doc_id, 1 AS n_right, 0 AS n_over FROM documents",
+    "p9_reached": """
+WITH t AS (SELECT mix_name, regexp_replace(lower(trim(source)), '[ _-]+', '_', 'g') AS source, max(target_share) AS share, max(max_repeats) AS cap
+           FROM mix_targets WHERE target_share > 0 AND max_repeats >= 1 GROUP BY 1, 2),
+     have AS (SELECT DISTINCT regexp_replace(lower(trim(source)), '[ _-]+', '_', 'g') AS source FROM documents WHERE text IS NOT NULL AND text <> ''),
+     live AS (SELECT * FROM t SEMI JOIN have USING (source))
+SELECT mix_name, source, round(share / sum(share) OVER (PARTITION BY mix_name), 3) AS share, true AS cap_kept FROM live
 """,
 }

@@ -49,3 +49,14 @@ def test_a_hot_size_is_ranked_without_gaps(spark):
     rows = packing.ranked_by_size(df, "n_tokens", ["doc_id"], 8).collect()
     for s, n in ((7, 334), (5, 666)):
         assert sorted(r["_rank"] for r in rows if r.n_tokens == s) == list(range(n))
+
+
+def test_capacities_beyond_the_histogram(spark, monkeypatch):
+    monkeypatch.setattr(packing, "MAX_SIZES", 10)
+    items = spark.createDataFrame([(i, n) for i, n in enumerate([95, 96, 5, 40, 41, 17, 0, 250, 9, 9])], "doc_id bigint, n_tokens bigint")
+    rows = packing.pack(items, [96, 48], ["doc_id"]).collect()
+    held = {}
+    for r in rows:
+        held.setdefault((r.container_no, r.capacity), []).append(r.n_tokens)
+    assert all(sum(v) <= c for (_, c), v in held.items()) and len(rows) == 12
+    assert {r.doc_id: r.n_tokens for r in rows if r.doc_id < 7} == dict(enumerate([95, 96, 5, 40, 41, 17, 0]))
