@@ -18,7 +18,7 @@ Render = Callable[[bytes, int], bytes]
 Send = Callable[[bytes], tuple[int, str, str]]
 
 
-def run(spark: SparkSession, root: str, scopes: DataFrame | None = None, whole_categories: list[str] | None = None, config: str = "cfg", size: int = 1000, overlap: int = 120, vision: tuple[Render, Send] | None = None) -> dict[str, DataFrame]:
+def run(spark: SparkSession, root: str, scopes: DataFrame | None = None, whole_categories: list[str] | None = None, config: str = "cfg", size: int = 1000, overlap: int = 120, vision: tuple[Render, Send] | None = None, limit: int = corpus.CONTENT_LIMIT) -> dict[str, DataFrame]:
     """Walk a corpus, identify, deduplicate within scopes, route and read.
 
     Returns the tables ``records`` (one row per file: scope, content, route,
@@ -28,6 +28,8 @@ def run(spark: SparkSession, root: str, scopes: DataFrame | None = None, whole_c
     archive and are identified, deduplicated, routed and read with the files,
     which come first, then members by depth. Every file and member has a record,
     unscoped, empty and unreadable ones too; one bad file never stops the others.
+    Files of more than ``limit`` bytes are hashed and identified where they lie
+    and recorded as CONTENT_TOO_LARGE.
 
     A PDF with a scanned or mixed page takes the route pdf_vision. ``vision``
     is the injected pair that draws a page (PDF, page number) and sends the
@@ -38,7 +40,10 @@ def run(spark: SparkSession, root: str, scopes: DataFrame | None = None, whole_c
     """
     files = corpus.corpus_files(spark, root)
     scopes = catalog.discover_scopes(files, whole_categories or []).withColumn("scope_id", catalog.scope_id(F.col("category"), F.col("client"))) if scopes is None else scopes
-    content = cut(corpus.with_content(files, root), "run-content").withColumns({"name": F.col("path"), "depth": F.lit(0)})
+    content = cut(corpus.with_content(files, root, limit), "run-content").withColumns({"name": F.col("path"), "depth": F.lit(0)})
+    # Files that could not be walked or opened: a record each, nothing else.
+    unread = files.where("failure is not null").select(F.col("relative_path").alias("path"), "failure").unionByName(content.where("failure is not null").select("path", "failure"))
+    content = content.where("failure is null").drop("failure")
     scope_of = catalog.resolve_paths(files, scopes).select(F.col("relative_path").alias("path"), F.col("resolved_scope").alias("scope_id"))
     owned = _identified(content).join(scope_of, "path", "left").withColumns({"archive_path": F.lit(None).cast("string"), "member_path": F.lit(None).cast("string")})
     owned = cut(owned, "run-files")
@@ -46,13 +51,16 @@ def run(spark: SparkSession, root: str, scopes: DataFrame | None = None, whole_c
     roots = _with_first(owned).where("path = first_path and route = 'archive'")
     found = cut(archives.archive_contents(roots.select("path").join(content, "path")), "run-members")
     members = found.select(*[c.split()[0] for c in archives.MEMBERS.split(", ")])
-    inner = found.where("failure is null").select(F.col("file_path").alias("path"), "content", "content_sha256", "name", "depth")
+    inner = found.where("failure is null").select(F.col("file_path").alias("path"), "content", "content_sha256", F.lit(None).cast("string").alias("location"), "name", "depth")
     lineage = found.where("failure is null").select(F.col("file_path").alias("path"), F.col("path").alias("archive_path"), "member_path")
     inside = _identified(inner).join(lineage, "path").join(owned.select(F.col("path").alias("archive_path"), "scope_id"), "archive_path")
     # The first path of a content in a scope is read, the others are duplicates: before any reader runs.
     known = cut(_with_first(owned.unionByName(inside)), "run-routed")
     fresh = known.where("path = first_path").select("path", "scope_id", "content_sha256", "family", "route")
     work = fresh.join(content.select("path", "content").unionByName(inner.select("path", "content")), "path")
+    large = fresh.join(content.where("content is null").select("path"), "path").where(~F.col("route").isin("no_reader", "non_data"))
+    large = large.select("path", F.lit("CONTENT_TOO_LARGE").alias("error_category"), F.lit(f"more than {limit} bytes; identified and recorded, not read").alias("error_message"))
+    work = work.where("content is not null")
     units = cut(readers.read_units(work.where(F.col("route").isin("text_extract", "structured"))), "run-units")
     cells = cut(readers.read_cells(work.where("route = 'tabular_parquet'")), "run-cells")
     read = readers.read_pages(work.where("route = 'pdf_text'"))
@@ -66,10 +74,9 @@ def run(spark: SparkSession, root: str, scopes: DataFrame | None = None, whole_c
     all_units = units.where("error_category is null").select("path", "unit_type", "unit_ref", F.col("sequence").alias("unit_sequence"), "text").unionByName(text_pages)
     ready = all_units.join(fresh.select("path", "scope_id", "content_sha256"), "path")
     chunks = chunking.number_chunks(chunking.split_units(ready, size, overlap), config)
-    errors = None
+    errors = large
     for t in (units, cells, pages):
-        e = t.where("error_category is not null").select("path", "error_category", "error_message")
-        errors = e if errors is None else errors.unionByName(e)
+        errors = errors.unionByName(t.where("error_category is not null").select("path", "error_category", "error_message"))
     # A failure counts for the archive and for every archive inside it that holds the member.
     steps = F.split(F.col("file_path"), "!")
     holders = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda n: F.array_join(F.slice(steps, 1, n), "!"))
@@ -92,12 +99,17 @@ def run(spark: SparkSession, root: str, scopes: DataFrame | None = None, whole_c
         "archive_path", "member_path", "depth",
     )
     records, member_records = told.where("depth = 0").drop("archive_path", "member_path", "depth"), told.where("depth > 0")
+    none = {c: F.lit(None).cast("string") for c in ("content_sha256", "family")}
+    records = records.unionByName(unread.join(scope_of, "path", "left").select(
+        "path", "scope_id", *[c.alias(n) for n, c in none.items()], F.lit("no_reader").alias("route"), F.lit("failed").alias("status"),
+        F.lit("FILE_ACCESS_ERROR").alias("error_category"), F.col("failure").alias("error_message"),
+    ))
     return {"records": records, "members": members, "member_records": member_records, "units": units, "cells": cells, "pages": pages, "vision": seen, "chunks": chunks}
 
 
 def _identified(content: DataFrame) -> DataFrame:
     """Probe, route, hash and depth of each row of content (path, name, content, content_sha256, depth); the name is the file's own, without its archive."""
-    probes = detect.detect_files(content, "name")
+    probes = detect.detect_files(content, "name", "location")
     return routing.select_routes(probes).join(content.select("path", "content_sha256", "depth"), "path")
 
 

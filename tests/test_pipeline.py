@@ -121,3 +121,12 @@ def test_members_of_archives_are_files(spark, tmp_path):
     texts = " ".join(c.text for c in t["chunks"].collect())
     assert all(x in texts for x in ("Only inside the archive", "Words at depth three", "Words inside gzip")) and texts.count("Words outside as well") == 2
     assert {r.text for r in t["cells"].where(f"path = '{b}l1.zip!table.csv'").collect()} >= {"0077", "0078"}
+
+
+def test_large_files_are_recorded(spark, tmp_path):
+    for name, raw in {"Audit/North/big.txt": b"words " * 200, "Audit/North/small.txt": b"words", "Audit/North/big.exe": b"MZ" * 900}.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(raw)
+    t = pipeline.run(spark, str(tmp_path), limit=1000)
+    got = {r.path.rsplit("/", 1)[-1]: (r.family, r.status, r.error_category) for r in t["records"].collect()}
+    assert got == {"big.txt": ("plain_text", "failed", "CONTENT_TOO_LARGE"), "small.txt": ("plain_text", "success", None), "big.exe": ("executable", "excluded_non_data", "EXECUTABLE_NOT_PROCESSED")}

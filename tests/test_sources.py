@@ -78,3 +78,50 @@ def test_corpus_walk(spark, tmp_path):
     files = corpus.corpus_files(spark, str(tmp_path))
     assert {r.relative_path for r in files.collect()} == {"A/.hidden", "A/B/none", "A/B/empty.txt", "top.txt"}
     assert corpus.with_content(files, str(tmp_path)).count() == 4
+
+
+def ole(names, sector=512):
+    """A compound file whose directory holds the names."""
+    entries = b""
+    for i, n in enumerate(["Root Entry", *names]):
+        raw = n.encode("utf-16-le") + b"\0\0"
+        entries += raw.ljust(64, b"\0") + struct.pack("<HB", len(raw), 5 if i == 0 else 2) + b"\0" * 61
+    entries = entries.ljust(-(-len(entries) // sector) * sector, b"\0")
+    n = len(entries) // sector
+    table = [0xFFFFFFFD] + [k + 2 for k in range(n - 1)] + [0xFFFFFFFE]
+    header = b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1" + b"\0" * 16 + struct.pack("<HHHHH", 62, 3, 0xFFFE, 9, 6) + b"\0" * 10
+    header += struct.pack("<II", 1, 1) + b"\0" * 24 + struct.pack("<109I", 0, *[0xFFFFFFFF] * 108)
+    return header + struct.pack(f"<{sector // 4}I", *table, *[0xFFFFFFFF] * (sector // 4 - len(table))) + entries
+
+
+def test_compound_files():
+    many = [f"Stream{i}" for i in range(9)]
+    cases = {"EncryptedPackage": "encrypted_ooxml", "Workbook": "spreadsheet_biff", "Book": "spreadsheet_biff", "WordDocument": "word_ole", "Catalog": "non_data_artifact", "EncryptionInfo": "encrypted_ole", "Else": "unknown"}
+    for name, family in cases.items():
+        assert detect.detect("x.doc", ole([*many, name])).family == family, name
+    assert detect.detect("x.doc", ole(["Workbook"])[:600]).family == "unknown" and detect.detect("x.doc", ole(["Workbook"])[:40]).family == "unknown"
+
+
+def test_text_forms():
+    long = '{"a": [' + ", ".join(f'"item {i}"' for i in range(9000)) + "]}"
+    cases = [
+        (long.encode(), "json"), (b'{"a": 1, }', "plain_text"), (b"[not json", "plain_text"), ("﻿<html>".encode(), "html"), (b"  <!DOCTYPE html><p>", "html"), (b"<a><html/></a>", "html"),
+        ("Received: x\nwords".encode(), "email"), ("wide text, two bytes a character".encode("utf-16-le"), "plain_text"), ("wide".encode("utf-16"), "plain_text"), (b"a;b\n1;2\n\n3;4", "delimited_text"),
+        (b"a,b\n1,2,3", "plain_text"), (b"one line, only", "plain_text"), (b"a\0b\0\0\x01\x02" * 50, "unknown"), ("déjà vu ".encode("cp1252") * 9, "plain_text"), (b"x" * 65_535 + "₹".encode(), "plain_text"),
+    ]
+    for raw, family in cases:
+        assert detect.detect("f", raw).family == family, (raw[:30], family)
+    assert detect.detect("f.csv", b"a;b\n1;2").subtype == "delimiter=';'"
+
+
+def test_large_and_lost_files(spark, tmp_path):
+    for name, raw in {"A/big.txt": b"words of a text " * 100, "A/big.docx": mk.make_docx(TEXT * 30), "A/gone.txt": b"x", "A/ok.txt": b"ok"}.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(raw)
+    files = spark.createDataFrame(corpus.corpus_files(spark, str(tmp_path)).collect(), corpus.FILES)
+    (tmp_path / "A/gone.txt").unlink()
+    content = corpus.with_content(files, str(tmp_path), limit=500)
+    rows = {r.path: r for r in content.collect()}
+    assert rows["A/gone.txt"].failure.startswith("FILE_ACCESS_ERROR") and rows["A/big.txt"].content is None and len(rows["A/big.txt"].content_sha256) == 64 and bytes(rows["A/ok.txt"].content) == b"ok"
+    found = {r.path: r.family for r in detect.detect_files(content.where("failure is null"), location="location").collect()}
+    assert found == {"A/big.txt": "plain_text", "A/big.docx": "word_ooxml", "A/ok.txt": "plain_text"}
