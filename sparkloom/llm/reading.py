@@ -1,11 +1,19 @@
 """Reading level of each document.
 
-Method: classic readability formulas from sentence length and syllable counts,
-combined by the median of several grade estimates. Syllables are counted with
-hyphenation-style rules. Sentences are cut into T-units, so that main clauses
-strung together with "and then" are as easy as they would be one by one. Each
-estimate is put on the scale of the ratings by three cut points, fitted on a
-bounded sample of rated documents; the median of the estimates is the band.
+Method: classic readability formulas, combined by the median of their grade
+estimates: Flesch-Kincaid, Gunning Fog, SMOG, Coleman-Liau and the Automated
+Readability Index, from words per sentence, syllables per word, share of words
+of three syllables or more, and letters per word. Syllables come from
+hyphenation: patterns of letters and digits, made from rules, whose highest
+digit at a place says whether a word is divided there.
+
+As the formulas' authors did with their graded passages, each formula's
+weights are fitted by least squares, here on a bounded sample of documents
+rated by readers and on the logarithms of the formula's own measures: texts
+are demanding where sentences are long and words are, not where one makes up
+for the other. Cut points then put each formula on the readers' scale.
+Sentences are cut into T-units, so that main clauses strung together with "and
+then" are as easy as they would be one by one.
 """
 
 from __future__ import annotations
@@ -15,20 +23,33 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.common import cut
 
-#: Most rated documents the cut points are fitted on (the smallest hashes of their ids).
+#: Most rated documents the weights and cut points are fitted on (the smallest hashes of their ids).
 FIT_SAMPLE = 20_000
-#: Estimates and the cut points between bands 1|2, 2|3 and 3|4 that hold without ratings.
-ESTIMATES = {
-    "strain": (13.0, 27.0, 47.5),
-    "linsear": (11.0, 20.5, 40.5),
-    "typical": (12.5, 27.5, 48.5),
-    "letters": (45.0, 92.0, 147.0),
-    "kincaid": (3.5, 10.0, 17.0),
+#: Fewest rated documents for a fit, and for a cut point in each of its two bands.
+LEAST_RATED = 30
+MEASURES = ("words_per_sentence", "syllables_per_word", "hard_share", "letters_per_word")
+#: Grades between bands where there are no ratings: what the published formulas give at the ends of primary, middle and secondary school.
+GRADES = (6.0, 9.0, 13.0)
+# The published formulas, over MEASURES.
+FORMULAS = {
+    "flesch_kincaid": lambda w, y, h, c: 0.39 * w + 11.8 * y - 15.59,
+    "gunning_fog": lambda w, y, h, c: 0.4 * (w + 100 * h),
+    "smog": lambda w, y, h, c: 1.043 * (30 * h * w) ** 0.5 + 3.1291,
+    "coleman_liau": lambda w, y, h, c: 5.88 * c - 29.6 / w - 15.8,
+    "automated_readability": lambda w, y, h, c: 4.71 * c + 0.5 * w - 21.43,
+}
+#: The measures of each formula; ``log`` is the logarithm of the library the values are in.
+LOGS = {
+    "flesch_kincaid": lambda w, y, h, c, log: (log(w), log(y)),
+    "gunning_fog": lambda w, y, h, c, log: (log(w), log(h + 0.02)),
+    "smog": lambda w, y, h, c, log: (log(h * w + 0.3),),
+    "coleman_liau": lambda w, y, h, c, log: (log(c), log(1 / w)),
+    "automated_readability": lambda w, y, h, c, log: (log(c), log(w)),
 }
 MIN_WORDS = 80
 
@@ -36,9 +57,6 @@ _WORD = re.compile(r"[a-z]+(?:['’-][a-z]+)*(?![/a-z])")
 _REF = re.compile(r"\d(?:[^\s.!?;।]|\.(?=\d))*")
 _END = re.compile(r"(?<=[.!?;।])[\"')\]]*\s+|\n\s*\n")
 _STRUNG = re.compile(r"\b(?:and|but|so)\s+then\b")
-_SILENT = re.compile(r"(?:[^laeiouysxzhcg]es|[^dt]ed|[^laeiouy]e)$")
-_VOWELS = re.compile(r"[aeiouy]{1,2}")
-_SPLIT_VOWELS = re.compile(r"(?:i[ao]|eo|ua|ui)(?![aeiouy])(?<!tio)(?<!cia)(?<!sio)(?<!tia)(?<!gio)(?<!qua)(?<!qui)(?<!gui)")
 _LEDGER = re.compile(r"\b(?:Dr|Cr)\.?\s*$", re.M)
 _SIDE = re.compile(r"\b(?:Dr|Cr)\b(?!\.?\s+[A-Z][a-z])")
 _LATIN = re.compile(r"[A-Za-z]")
@@ -46,14 +64,61 @@ _OTHER = re.compile(r"[^\W\d_A-Za-z]")
 _FIELD = re.compile(r"^\s*[\w.]+\.\d+\.[\w.]+\s*:", re.M)
 
 
+# Beginnings of syllables, vowels that stand apart, and vowels that do not although a rule would part them.
+ONSETS = "bl br ch chr cl cr dr fl fr gh gl gn gr kn ph phr pl pr qu sc sch scr sh shr sk sl sm sn sp spl spr st str sw th thr tr tw wh wr".split()
+APART = "i1a i1o i1u e1o u1a u1i u1o y1a y1i y1o e1u o1e a1o".split()
+TOGETHER = "ti4on si4on ci4on gi4on ti4al ci4al ti4a ci4a ti4ous ci4ous gi4ous ti4en ci4en si4a qu4a qu4i qu4o gu4i gu4a ai4o e4ou e4o. eo4p eo4r".split()
+
+
+def hyphenation() -> dict[str, list[int]]:
+    """Letters of each pattern (. is a word's end) with the digits between them."""
+    consonants, vowels = "bcdfghjklmnpqrstvwxz", "aeiouy"
+    rules = [f"1{c}{v}" for c in consonants for v in vowels]
+    rules += ["3" + "4".join(o) + v for o in ONSETS for v in vowels]
+    rules += APART + TOGETHER
+    # A final e is silent, also before s and d, but not after a consonant with l and not where the ending is heard.
+    rules += [r for c in consonants for r in (f"4{c}e.", f"4{c}es.") if c != "l"] + [f"4{c}ed." for c in consonants if c not in "td"]
+    rules += [f"5{c}6le{end}." for c in "bcdfgkptz" for end in ("", "s", "d")] + [f"{v}4le{end}." for v in vowels for end in ("", "s")]
+    rules += [f"7{c}es." for c in "sxzcg"] + ["7ch8es.", "7sh8es."]
+    out = {}
+    for rule in rules:
+        digits = [0]
+        for c in rule:
+            if c.isdigit():
+                digits[-1] = int(c)
+            else:
+                digits.append(0)
+        out[re.sub(r"\d", "", rule)] = digits
+    return out
+
+
+PATTERNS = hyphenation()
+_LONGEST = max(map(len, PATTERNS))
+_VOWEL = re.compile("[aeiouy]")
+
+
+def hyphenate(word: str) -> list[str]:
+    """A lower-case word divided into its syllables; a part without a vowel is no syllable."""
+    s, digits = f".{word}.", [0] * (len(word) + 3)
+    for i in range(len(s)):
+        for n in range(2, min(_LONGEST, len(s) - i) + 1):
+            for k, d in enumerate(PATTERNS.get(s[i : i + n], ())):
+                digits[i + k] = max(digits[i + k], d)
+    parts = [word[:1]]
+    for i, c in enumerate(word[1:], 1):
+        if digits[i + 1] % 2 and _VOWEL.search(parts[-1]) and _VOWEL.search(word, i):
+            parts.append("")
+        parts[-1] += c
+    return parts
+
+
 def syllables(word: str, seen: dict[str, int]) -> int:
-    """Syllables of a lower-case word: vowel groups, without silent endings, split vowels counted twice."""
+    """Syllables of a lower-case word, at least one in each of its parts between hyphens and apostrophes that has a vowel."""
     n = seen.get(word)
     if n is None:
         if len(seen) > 200_000:
             seen.clear()
-        core = _SILENT.sub("", word) if len(word) > 3 else word
-        n = seen[word] = max(1, len(_VOWELS.findall(core)) + len(_SPLIT_VOWELS.findall(core)) // 2)
+        n = seen[word] = max(1, sum(len(hyphenate(p)) for p in re.split("['’-]", word) if _VOWEL.search(p)))
     return n
 
 
@@ -76,7 +141,7 @@ def is_running_english(text: str) -> bool:
 
 
 def measure(text: str, seen: dict[str, int]) -> tuple[float, ...] | None:
-    """The estimates of ESTIMATES, in order, or None if the text has no words."""
+    """MEASURES of a text, in order, or None if it has no words."""
     units = []
     for sentence in _END.split(_REF.sub(" ", text.lower())):
         for unit in _STRUNG.split(sentence) if " then " in sentence else (sentence,):
@@ -87,27 +152,17 @@ def measure(text: str, seen: dict[str, int]) -> tuple[float, ...] | None:
     full = [u for u in units if len(u) >= 3] or units
     if not full:
         return None
-    counts = [[seen.get(w) or syllables(w, seen) for w in u] for u in full]
-    n_words = sum(map(len, full))
-    total = sum(map(sum, counts))
-    per_unit = sorted(sum(c) for c in counts)
-    mid = per_unit[len(per_unit) // 2] if len(per_unit) % 2 else (per_unit[len(per_unit) // 2 - 1] + per_unit[len(per_unit) // 2]) / 2
-    hard = sum(1 for c in counts for x in c if x >= 3)
-    n = len(full)
-    return (
-        total / n,
-        (n_words + 2 * hard) / n,
-        float(mid),
-        sum(len(w) for u in full for w in u) / n,
-        0.39 * n_words / n + 11.8 * total / n_words - 15.59,
-    )
+    words = [w for u in full for w in u]
+    counts = [seen.get(w) or syllables(w, seen) for w in words]
+    n = len(words)
+    return n / len(full), sum(counts) / n, sum(c >= 3 for c in counts) / n, sum(map(len, words)) / n
 
 
-FEATURES = "doc_id bigint, n_words int, running boolean, " + ", ".join(f"{k} double" for k in ESTIMATES)
+MEASURED = "doc_id bigint, n_words int, running boolean, " + ", ".join(f"{k} double" for k in MEASURES)
 
 
-def estimates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_words (blank-separated), running (English running text) and the estimates of each text with words."""
+def measures(docs: DataFrame) -> DataFrame:
+    """doc_id, n_words (blank-separated), running (English running text) and MEASURES of each text with words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, int] = {}
@@ -121,13 +176,13 @@ def estimates(docs: DataFrame) -> DataFrame:
                 n.append(len(t.split()))
                 running.append(is_running_english(t))
                 rows.append(m)
-            cols = list(zip(*rows, strict=True)) if rows else [()] * len(ESTIMATES)
+            cols = list(zip(*rows, strict=True)) if rows else [()] * len(MEASURES)
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": b.column(0).take(pa.array(take, pa.int64())), "n_words": pa.array(n, pa.int32()), "running": pa.array(running, pa.bool_())}
-                | {k: pa.array(c, pa.float64()) for k, c in zip(ESTIMATES, cols, strict=True)}
+                | {k: pa.array(c, pa.float64()) for k, c in zip(MEASURES, cols, strict=True)}
             )
 
-    return docs.where("text is not null and doc_id is not null").select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, FEATURES)
+    return docs.where("text is not null and doc_id is not null").select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, MEASURED)
 
 
 def rated_bands(labels: DataFrame) -> DataFrame:
@@ -137,34 +192,57 @@ def rated_bands(labels: DataFrame) -> DataFrame:
     return last.groupBy("doc_id").agg(F.expr("percentile_disc(0.5) within group (order by g)").cast("int").alias("band"))
 
 
-def fit_cuts(measured: DataFrame, labels: DataFrame, sample: int = FIT_SAMPLE) -> dict[str, tuple[float, ...]]:
-    """Cut points of each estimate: those that split the rated documents with the fewest errors.
+def fit(measured: DataFrame, labels: DataFrame, sample: int = FIT_SAMPLE) -> dict[str, tuple[list[float] | None, tuple[float, ...]]]:
+    """For each formula the weights of its measures' logarithms (and a constant), and the three cut points between bands.
 
-    At most ``sample`` rated documents come to the driver. A cut between bands
-    of which one has fewer than five documents keeps its default.
+    At most ``sample`` rated documents come to the driver. With fewer than
+    LEAST_RATED of them the published formulas and GRADES hold (weights None);
+    a cut between bands of which one has fewer than five documents lies where
+    the fitted scale has it, half way between the bands.
     """
     rated = measured.where(f"running and n_words >= {MIN_WORDS // 2}").join(rated_bands(labels), "doc_id")
-    rows = rated.orderBy(F.xxhash64("doc_id")).limit(sample).select("band", *ESTIMATES).collect()
-    cuts = dict(ESTIMATES)
-    band = np.array([r.band for r in rows], dtype=int)
-    for k in ESTIMATES:
-        x = np.array([r[k] for r in rows], dtype=float)
-        got = []
-        for j, default in enumerate(ESTIMATES[k]):
-            near = (band == j + 1) | (band == j + 2) if len(band) else np.zeros(0, bool)
-            high, v = band[near] > j + 1, x[near]
-            if high.sum() < 5 or (~high).sum() < 5:
-                got.append(default)
-                continue
-            order = np.argsort(v, kind="stable")
-            v, high = v[order], high[order]
-            errors = np.concatenate([[0], np.cumsum(high)]) + np.concatenate([np.cumsum((~high)[::-1])[::-1], [0]])
-            best = np.flatnonzero(errors == errors.min())
-            at = int(best[len(best) // 2])
-            lo, hi = v[max(0, at - 1)], v[min(len(v) - 1, at)]
-            got.append(float((lo + hi) / 2))
-        cuts[k] = tuple(np.maximum.accumulate(got).tolist())
-    return cuts
+    rows = rated.orderBy(F.xxhash64("doc_id")).limit(sample).select("band", *MEASURES).collect()
+    if len(rows) < LEAST_RATED:
+        return {k: (None, GRADES) for k in FORMULAS}
+    band = np.array([r.band for r in rows], dtype=float)
+    x = [np.array([r[k] for r in rows], dtype=float) for k in MEASURES]
+    out = {}
+    for name, logs in LOGS.items():
+        a = np.column_stack([*logs(*x, np.log), np.ones(len(band))])
+        weights = np.linalg.lstsq(a, band, rcond=None)[0]
+        out[name] = (weights.tolist(), cut_points(a @ weights, band))
+    return out
+
+
+def cut_points(values: np.ndarray, band: np.ndarray) -> tuple[float, ...]:
+    """Values between bands 1|2, 2|3 and 3|4 at which a document is as likely in the one as in the other (logistic regression)."""
+    got = []
+    for j in (1, 2, 3):
+        near = (band == j) | (band == j + 1)
+        high, v = (band[near] > j).astype(float), values[near]
+        if high.sum() < 5 or (1 - high).sum() < 5:
+            got.append(j + 0.5)
+            continue
+        mean, spread = v.mean(), max(v.std(), 1e-9)
+        a, w = np.column_stack([(v - mean) / spread, np.ones(len(v))]), np.zeros(2)
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-np.clip(a @ w, -50, 50)))
+            step = np.linalg.solve(a.T @ (a * (p * (1 - p))[:, None]) + 0.01 * np.eye(2), a.T @ (p - high) + 0.01 * w)
+            w = w - step * min(1.0, 5 / np.abs(step).max()) if step.any() else w
+        got.append(float(mean - spread * w[1] / w[0]) if w[0] > 1e-6 else j + 0.5)
+    return tuple(np.maximum.accumulate(got).tolist())
+
+
+def estimate(name: str, weights: list[float] | None, cuts: tuple[float, ...]) -> Column:
+    """A formula's level on the scale of the bands: 1.5, 2.5 and 3.5 at its cut points, straight lines between and beyond them."""
+    m = [F.col(k) for k in MEASURES]
+    if weights is None:
+        x = FORMULAS[name](*m)
+    else:
+        x = sum((F.lit(w) * c for w, c in zip(weights, LOGS[name](*m, F.log), strict=False)), F.lit(weights[-1]))
+    a, b, c = cuts
+    low, high = max(b - a, 1e-6), max(c - b, 1e-6)
+    return F.when(x < b, F.lit(1.5) + (x - a) / low).otherwise(F.lit(2.5) + (x - b) / high)
 
 
 def reading_bands(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -175,17 +253,12 @@ def reading_bands(docs: DataFrame, labels: DataFrame) -> DataFrame:
     ``running`` false says that the formulas were not made for them.
     """
     # Measured once: the fit and the bands read the same small table.
-    measured = cut(estimates(docs), "reading").dropDuplicates(["doc_id"])
-    cuts = fit_cuts(measured, labels)
-    scaled = []
-    for k, (a, b, c) in cuts.items():
-        x = F.col(k)
-        wide = lambda lo, hi: max(hi - lo, 1e-6)
-        scaled.append(
-            F.when(x < a, F.lit(1.5) - (a - x) / wide(0, a))
-            .when(x < b, F.lit(1.5) + (x - a) / wide(a, b))
-            .when(x < c, F.lit(2.5) + (x - b) / wide(b, c))
-            .otherwise(F.lit(3.5) + (x - c) / wide(b, c))
-        )
-    level = F.greatest(F.lit(0.5), F.least(F.lit(4.49), F.sort_array(F.array(*scaled))[len(scaled) // 2]))
+    measured = cut(measures(docs), "reading").dropDuplicates(["doc_id"])
+    return banded(measured, fit(measured, labels))
+
+
+def banded(measured: DataFrame, fitted: dict[str, tuple[list[float] | None, tuple[float, ...]]]) -> DataFrame:
+    """The median of the formulas' levels and its band, for measured documents."""
+    levels = [estimate(name, *f) for name, f in fitted.items()]
+    level = F.greatest(F.lit(0.5), F.least(F.lit(4.49), F.sort_array(F.array(*levels))[len(levels) // 2]))
     return measured.select("doc_id", "n_words", "running", F.round(level, 6).alias("level"), F.greatest(F.lit(1), F.floor(level + 0.5)).cast("int").alias("band"))
