@@ -2,11 +2,13 @@
 
 Detection works on one text at a time with patterns for what personal items
 look like and for the words around them. Method of replacement: surrogate
-generation. Every distinct item gets a keyed replacement of its own type that
-keeps the item's format (digit groups, case, script, title and with it
-gender). Surrogates are checked for collisions over the whole corpus and drawn
-again until all are distinct, and every mention of one item, in whatever form
-it is written, gets the same one, so that the text still tells who is who.
+generation. Every distinct item of a scope gets a keyed replacement of its own
+type that keeps the item's format (digit groups, case, script, title and with
+it gender). Surrogates are checked for collisions and drawn again until all of
+a scope are distinct, and every mention of one item in the scope, in whatever
+form it is written, gets the same one, so that the text still tells who is who.
+Scopes have surrogates of their own: the masked texts of two clients cannot be
+joined by the people in them.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import ahocorasick
@@ -41,7 +44,7 @@ FIRM_WORDS = (
 TITLES = {
     "mr": "m", "shri": "m", "sri": "m", "sh": "m", "kumar": "m", "ms": "f", "mrs": "f", "smt": "f", "miss": "f", "kum": "f", "kumari": "f",
     "dr": "", "ca": "", "cs": "", "prof": "", "adv": "", "er": "",
-    "श्री": "m", "श्रीमती": "f", "डॉ": "", "कुमारी": "f",
+    "श्री": "m", "श्रीमती": "f", "सुश्री": "f", "डॉ": "", "कुमारी": "f",
 }
 
 _AT = r"(?:\s?@\s?|\s?[\(\[\{]\s?at\s?[\)\]\}]\s?)"
@@ -51,7 +54,7 @@ EMAIL = re.compile(rf"(?<![\w.+-])([\w][\w.+-]*){_AT}([A-Za-z0-9][\w-]*(?:{_DOT}
 #: Digits with the separators numbers are written with; what it stands for is told from its parts and neighbours.
 RUN = re.compile(r"\d[\d\s.()-]{8,17}\d")
 _CODE = re.compile(r"\(?(?:\+\s?91|0091)\)?[\s.-]{0,2}$|\($")
-_PHONE_BODY = re.compile(r"^\(?0?[1-9]\d{4}[\s.-]?\d{5}$|^0?[1-9]\d{2}[.\s-]\d{3}[.\s-]\d{4}$|^0?[1-9]\d{3}[.\s-]\d{3}[.\s-]\d{3}$|^0?\d{2,4}[\s-]\d{6,8}$|^0?[1-9]\d[\s.-]\d{4}[\s.-]\d{4}$")
+_PHONE_BODY = re.compile(r"^\(?[1-9]\d{2}\)\s?\d{3}[\s.-]\d{4}$|^\(?0?[1-9]\d{4}[\s.-]?\d{5}$|^0?[1-9]\d{2}[.\s-]\d{3}[.\s-]\d{4}$|^0?[1-9]\d{3}[.\s-]\d{3}[.\s-]\d{3}$|^0?\d{2,4}[\s-]\d{6,8}$|^0?[1-9]\d[\s.-]\d{4}[\s.-]\d{4}$")
 _NATIONAL = re.compile(r"^\d{4}([\s-]?)\d{4}\1\d{4}$")
 _PAPER_BEFORE = re.compile(
     r"(?:\b(?:" + "|".join(re.escape(w) for w in PAPER_WORDS) + r")s?\b\.?\s*(?:(?:no|number|nos|num|id)\b\.?)?\s*[:#-]?\s*)$", re.I
@@ -64,16 +67,18 @@ PASSPORT = re.compile(r"(?<![A-Za-z0-9/-])([A-Za-z])(\s?)(\d{7})(?![A-Za-z0-9/-]
 _PASSPORT_BEFORE = re.compile(r"(?:passport|\bpp|पासपोर्ट)\s*(?:(?:no|number|num)\b)?\.?\s*[:#-]?\s*$", re.I)
 
 _ADDRESS_CUES = (
-    r"address(?:\s+of\s+\w+)?\s*[:-]|resid(?:es|ing|ent|ence)\s+(?:at|of|is)|served\s+(?:at|on)|papers\s+to|shifted\s+to|moved\s+to|lives\s+at|living\s+at|"
-    r"house\s*[:-]|home\s*[:-]|deliver(?:ed)?\s+to|sent\s+to|posted\s+to|staying\s+at|r/o|पता\s*[:-]"
+    r"address(?:\s+of\s+\w+)?\s*[:-]|resid(?:es|ing|ent|ence)\s+(?:at|of|in|is)|served\s+(?:at|on)|papers\s+to|shifted\s+to|moved\s+to|lives\s+(?:at|in)|living\s+(?:at|in)|"
+    r"house\s*(?:[:-]|\bis\b)|home\s*(?:[:-]|\bis\b)|deliver(?:ed)?\s+to|sent\s+to|posted\s+to|stay(?:s|ing)\s+(?:at|in)|r/o|पता\s*[:-]"
 )
+ADDRESS_CUE = re.compile(rf"(?<!\w)(?:{_ADDRESS_CUES})\s+(?=(?:Flat|Plot|H\.?\s?No|House|No|Door|Shop|\d|[A-Z]))", re.I)
+#: From a cue to a postal code, however far, but not past the end of a sentence (a stop after a word of four letters or more), an empty line, a cell or a listed field.
 ADDRESS = re.compile(
-    rf"(?<!\w)(?:{_ADDRESS_CUES})\s+((?:Flat|Plot|H\.?\s?No|House|No|Door|Shop|\d|[A-Z])[^@|\t;]{{4,150}}?(?<![\d/.,])([1-9]\d{{2}}\s?\d{{3}}))(?![\d/]|,\d)",
-    re.I,
+    r"((?:[^@|\t;.!?\n]|[.!?](?!(?<=[a-z]{4}[.!?])\s)|\n(?!\s*\n|\w+\.\d+\.)){5,}?(?<![\d/.,])([1-9]\d{2}\s?\d{3}))(?![\d/]|,\d)", re.I,
 )
 
-_WORD = r"(?:[A-Z][a-z]+|[A-Z]{2,})(?![\w@])(?!\.\w)(?!\s?(?:@|[\[({]\s?at\b))"
-_NAME = rf"(?:(?:{_WORD}|[A-Z]\.)(?:\s+(?:[A-Z]\.\s*)*{_WORD}){{0,3}}(?:,\s+{_WORD}(?:\s+[A-Z]\.)?)?)"
+_UPPER, _LOWER = "A-ZÀ-ÖØ-ÞĀ-ž", "a-zà-öø-ÿĀ-ž"
+_WORD = rf"(?:[{_UPPER}][{_LOWER}]+|[{_UPPER}]{{2,}})(?![\w@])(?!\.\w)(?!\s?(?:@|[\[({{]\s?at\b))"
+_NAME = rf"(?:(?:{_WORD}|[{_UPPER}]\.)(?:\s+(?:[{_UPPER}]\.\s*)*{_WORD}){{0,3}}(?:,\s+{_WORD}(?:\s+[{_UPPER}]\.)?)?)"
 _TITLE_WORDS = ("Mr", "Mrs", "Ms", "Miss", "Smt", "Shri", "Sri", "Dr", "CA", "CS", "Prof", "Adv", "Er", "Kum")
 _TITLE = rf"(?:(?:{'|'.join(_TITLE_WORDS)})\b\.?)"
 _BEFORE = (
@@ -85,15 +90,27 @@ NAME_AFTER_CUE = re.compile(rf"(?<!\w){_BEFORE}\s+({_TITLE}\s+)?({_NAME})")
 #: A bare title at the end of a line is a column of a listing (debit side), not a title.
 NAME_AFTER_TITLE = re.compile(rf"(?<![\w@.])(?:{_TITLE}(?<=\.)\s+|{_TITLE}[ \t]+)({_NAME})")
 NAME_BEFORE_CUE = re.compile(rf"(?<![\w@.,-])({_TITLE}\s+)?({_NAME}){_AFTER}")
+# Nouns and verbs that go with people. Before a name the nouns may have an owner ("his brother"), after it stand the verbs.
+_KIN = "brother|sister|father|mother|wife|husband|son|daughter|uncle|aunt|friend|colleague|neighbour|neighbor|tenant|trustee|guardian|witness|nephew|niece|cousin"
+_ACTS = "called|calls|lives|resides|said|says|wrote|writes|phoned|thanked|joined"
+_TWO = rf"(?:(?:{_WORD}|[{_UPPER}]\.)(?:\s+(?:[{_UPPER}]\.\s*)*{_WORD}){{1,2}})"
+NAME_OF_KIN = re.compile(rf"(?<!\w)(?:(?:[Mm]y|[Hh]is|[Hh]er|[Oo]ur|[Tt]heir|[Yy]our)\s+(?:{_KIN})|[Tt]hank|[Dd]ear)\s+({_TITLE}\s+)?({_TWO})")
+NAME_THAT_ACTS = re.compile(rf"(?<![\w@.,-])({_TITLE}\s+)?({_TWO})(?=\s+(?:{_ACTS})\b|['’]s\s+(?:home|house|wife|husband|mobile|phone|father|mother)\b)")
+_DEVANAGARI = r"[\u0900-\u0963\u0970-\u097f]+"
+# Words that end a Hindi name.
+_AFTER_HINDI = frozenset("ने को का की के से में पर द्वारा जी और व तथा या है हैं था थी थे हो हुआ हुई किया कि भी ही तो यह वह इस उस एक नहीं जो साहब".split())
+NAME_IN_HINDI = re.compile(rf"(?<![\w\u0900-\u097f])(?:(?:श्रीमती|सुश्री|श्री|डॉ\.?|कुमारी)\s+|(?:नाम|हस्ताक्षरकर्ता)\s*[:-]\s*)({_DEVANAGARI}(?:[ \t]+{_DEVANAGARI}){{0,3}})")
 #: Literals one of which stands in every cue of the patterns for names, addresses and passport numbers: parts of single words, so that no white space breaks them.
 _NAME_KEYS = (
-    "person", "ame", "told", "belongs", "eviewed", "repared", "hecked", "ominee", "handed", "met", "igned", "d/-", "alary", "ttn", "c/o", "C/o", "reached", "collect", *_TITLE_WORDS,
+    "person", "ame", "told", "belongs", "eviewed", "repared", "hecked", "ominee", "handed", "met", "igned", "d/-", "alary", "ttn", "c/o", "C/o", "reached", "collect", *_TITLE_WORDS, *_KIN.split("|"), "hank", "ear ", "ear\n", "ear\t", *_ACTS.split("|"), "'s", "’s",
 )
 #: Of the case-folded text.
 _ADDRESS_KEYS = ("address", "resid", "served", "papers", "shifted", "moved", "lives", "living", "house", "home", "deliver", "sent", "posted", "staying", "r/o", "पता")
 _KEYS = ahocorasick.Automaton()
 for _k in _NAME_KEYS:
     _KEYS.add_word(_k, "n")
+for _k in ("श्री", "डॉ", "कुमारी", "नाम", "हस्ताक्षरकर्ता"):
+    _KEYS.add_word(_k, "h")
 _KEYS.add_word("assport", "p")
 _KEYS.add_word("ASSPORT", "p")
 _KEYS.add_word("PP", "p")
@@ -113,16 +130,22 @@ _NOT_NAMES = frozenset(
 
 
 Item = tuple[int, int, str, str]
-#: Characters before and after a key within which an item that belongs to it lies.
-_REACH = {"n": (110, 150), "e": (80, 80), "p": (4, 40)}
+#: Words before and after a key among which an item that belongs to it lies: more than its pattern can take.
+_REACH = {"n": (12, 16), "e": (12, 40), "p": (6, 8), "h": (2, 8)}
+_WORDS = re.compile(r"\S+")
 
 
 def _windows(t: str) -> dict[str, list[tuple[int, int]]]:
-    """Merged stretches of the text around its keys, by kind of item."""
-    out: dict[str, list[tuple[int, int]]] = {"n": [], "e": [], "p": []}
+    """Merged stretches of the text around its keys, by kind of item. They begin and end between words, however long the words are."""
+    out: dict[str, list[tuple[int, int]]] = {"n": [], "e": [], "p": [], "h": []}
+    starts: list[int] | None = None
     for end, kind in _KEYS.iter(t):
+        if starts is None:
+            starts = [m.start() for m in _WORDS.finditer(t)]
         back, ahead = _REACH[kind]
-        a, b = max(0, end - back), min(len(t), end + ahead)
+        at = bisect_right(starts, end)
+        a = starts[max(0, at - back)] if starts else 0
+        b = starts[at + ahead] if at + ahead < len(starts) else len(t)
         rows = out[kind]
         if rows and rows[-1][1] >= a:
             rows[-1] = (rows[-1][0], b)
@@ -196,29 +219,34 @@ def _find_ids(t: str, windows: list[tuple[int, int]]) -> Iterator[Item]:
             tail = m.group(0)
             if bool(h.group(2)) == bool(tail[4:-1]):
                 yield h.start(), m.end(), "id", (h.group(1) + tail[:4] + tail[-1]).upper()
+    if "ssn" in (low := t.lower()) or "social" in low:
+        for m in _SOCIAL.finditer(t):
+            yield m.start(1), m.end(3), "id", "".join(m.groups())
     for lo, hi in windows:
         for m in PASSPORT.finditer(t, lo, hi):
             if _PASSPORT_BEFORE.search(t, max(0, m.start() - 24), m.start()):
                 yield m.start(), m.end(), "id", (m.group(1) + m.group(3)).upper()
 
 
-_CODE_TAIL = re.compile(r"[1-9]\d{2}\s?\d{3}(?![\d/]|,\d)")
+_SOCIAL = re.compile(r"(?:ssn|social\s+security)(?:\s*(?:no|number))?\.?\s*(?:is\s+)?[:#-]?\s*(\d{3})[- ]?(\d{2})[- ]?(\d{4})(?!\d)", re.I)
 
 
 def _find_addresses(t: str) -> Iterator[Item]:
-    for m in _CODE_TAIL.finditer(t):
-        if t[m.start() - 1 : m.start()] in ("/", ".", ",") or t[m.start() - 1 : m.start()].isalnum():
+    low = t.casefold()
+    if not any(k in low for k in _ADDRESS_KEYS):
+        return
+    last: Item | None = None
+    for cue in ADDRESS_CUE.finditer(t):
+        m = ADDRESS.match(t, cue.end())
+        if m is None:
             continue
-        lo = max(0, m.start() - 180)
-        before = t[lo : m.start()].casefold().replace("ı", "i")
-        if not any(k in before for k in _ADDRESS_KEYS):
-            continue
-        # The address begins after the last cue before its code.
-        hit, pos = None, lo
-        while h := ADDRESS.search(t, pos, m.end()):
-            hit, pos = h, h.start() + 1
-        if hit is not None and hit.end() == m.end():
-            yield hit.start(1), hit.end(1), "address", re.sub(r"\D", "", hit.group(2))
+        item = (m.start(1), m.end(1), "address", re.sub(r"\D", "", m.group(2)))
+        # An address begins after the last cue before its code.
+        if last is not None and last[1] != item[1]:
+            yield last
+        last = item
+    if last is not None:
+        yield last
 
 
 _ENDS = re.compile(r"\s*(?:[,;.:()<\n|]|$)|\s+(?:can\s+be|will\s+collect|about|on\s+\d|is\s+held|during|has\s+not)\b")
@@ -229,7 +257,7 @@ def _clean_name(t: str, start: int, end: int) -> tuple[int, int] | None:
 
     A name may run over a line end, but not once it is complete.
     """
-    words = [(start + w.start(), start + w.end()) for w in re.finditer(r"[A-Za-z]+\.?", t[start:end])]
+    words = [(start + w.start(), start + w.end()) for w in re.finditer(r"[^\W\d_]+\.?", t[start:end])]
     keep: list[tuple[int, int]] = []
     for a, b in words:
         word = t[a:b].rstrip(".").lower()
@@ -265,11 +293,13 @@ def _clean_name(t: str, start: int, end: int) -> tuple[int, int] | None:
 def _find_names(t: str, windows: list[tuple[int, int]], taken: list[Item]) -> Iterator[Item]:
     spans: list[tuple[int, int]] = []
     for lo, hi in windows:
-        for rx, g in ((NAME_AFTER_CUE, 2), (NAME_BEFORE_CUE, 2), (NAME_AFTER_TITLE, 1)):
+        for rx, g in ((NAME_AFTER_CUE, 2), (NAME_BEFORE_CUE, 2), (NAME_AFTER_TITLE, 1), (NAME_OF_KIN, 2), (NAME_THAT_ACTS, 2)):
             pos = lo
             while m := rx.search(t, pos, hi):
                 end = min([m.end(g), *(x[0] for x in taken if m.start(g) < x[0] < m.end(g))])
                 span = _clean_name(t, m.start(g), end)
+                if span and rx is NAME_THAT_ACTS and span[1] != m.end(g):
+                    span = None  # what acts is not the name
                 # What was cut off may be the start of the next mention.
                 pos = max(span[1], m.start() + 1) if span else m.start(g) + 1
                 if span and not any(a < span[1] and span[0] < b for a, b in spans):
@@ -278,24 +308,46 @@ def _find_names(t: str, windows: list[tuple[int, int]], taken: list[Item]) -> It
         yield a, b, "name", " ".join(t[a:b].lower().split())
 
 
+def _find_hindi_names(t: str, windows: list[tuple[int, int]]) -> Iterator[Item]:
+    """Names in Devanagari after a title or the word for name: up to three words, until a word that goes on with the sentence."""
+    for lo, hi in windows:
+        for m in NAME_IN_HINDI.finditer(t, lo, hi):
+            end = m.start(1)
+            for w in list(re.finditer(_DEVANAGARI, m.group(1)))[:4]:
+                if w.group() in _AFTER_HINDI or end > m.start(1) and m.group(1)[: w.start()].count(" ") > 2:
+                    break
+                end = m.start(1) + w.end()
+            if end > m.start(1):
+                yield m.start(1), end, "name", " ".join(t[m.start(1) : end].split())
+
+
 def find_all(t: str | None) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, value) of the personal items of a text, without overlaps, in order."""
     if not t:
         return []
     near = _windows(t)
     found: list[Item] = []
-    for items in (_find_emails(t, near["e"]), _find_addresses(t), _find_ids(t, near["p"]), _find_numbers(t), _find_names(t, near["n"], found)):
+    for items in (_find_emails(t, near["e"]), _find_addresses(t), _find_ids(t, near["p"]), _find_numbers(t), _find_names(t, near["n"], found), _find_hindi_names(t, near["h"])):
         for item in items:
             if not any(item[0] < b and a < item[1] for a, b, _, _ in found):
                 found.append(item)
     return sorted(found)
 
 
-MENTIONS = "kind string, value string, start int, end int, surface string"
+_LAST_WORD = re.compile(r"([^\W\d_\u0900-\u097f]+|[\u0900-\u097f]+)\.?\s+$")
+
+
+def title_before(t: str, start: int) -> str:
+    """m, f or nothing: what the title right before a name says."""
+    m = _LAST_WORD.search(t, max(0, start - 24), start)
+    return TITLES.get(m.group(1).lower(), "") if m else ""
+
+
+MENTIONS = "kind string, value string, start int, end int, surface string, gender string"
 
 
 def detect(records: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-    """One row per personal item: keys, kind, value, start and end (code points) and the text as written.
+    """One row per personal item: keys, kind, value, start and end (code points), the text as written and the gender a name's title tells.
 
     kind is email, phone, id, address or name; value is its normal form.
     Overlapping finds are settled in that order. Null and empty texts give no
@@ -311,14 +363,14 @@ def detect(records: DataFrame, keys: list[str], text: str = "text") -> DataFrame
             for i, t in enumerate(b.column(len(keys)).to_pylist()):
                 for a, e, kind, value in find_all(t):
                     take.append(i)
-                    rows.append((kind, value, a, e, t[a:e]))
+                    rows.append((kind, value, a, e, t[a:e], title_before(t, a) if kind == "name" else ""))
             if rows:
                 idx = pa.array(take, pa.int64())
                 cols = {k: b.column(n).take(idx) for n, k in enumerate(keys)}
-                kinds, values, starts, ends, surfaces = zip(*rows, strict=True)
+                kinds, values, starts, ends, surfaces, genders = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_pydict(
                     cols | {"kind": pa.array(kinds, pa.string()), "value": pa.array(values, pa.string()), "start": pa.array(starts, pa.int32()),
-                            "end": pa.array(ends, pa.int32()), "surface": pa.array(surfaces, pa.string())}
+                            "end": pa.array(ends, pa.int32()), "surface": pa.array(surfaces, pa.string()), "gender": pa.array(genders, pa.string())}
                 )
 
     return records.select(*keys, F.col(text).alias("_text")).where("_text is not null").mapInArrow(scan, schema)
@@ -328,18 +380,20 @@ def detect(records: DataFrame, keys: list[str], text: str = "text") -> DataFrame
 
 _ONSETS = ("b", "ch", "d", "g", "h", "j", "k", "l", "m", "n", "p", "r", "s", "t", "v", "y")
 _VOWELS = ("a", "e", "i", "o", "u")
+_HINDI_ONSETS = ("क", "ग", "च", "ज", "ट", "ड", "त", "द", "न", "प", "ब", "म", "य", "र", "ल", "व")
+_HINDI_VOWELS = ("", "ा", "ि", "ु", "े")
 
 
 def _draw(key: bytes, what: str) -> int:
     return int.from_bytes(hmac.new(key, what.encode(), hashlib.sha256).digest(), "big")
 
 
-def _syllables(n: int, count: int) -> tuple[str, int]:
+def _syllables(n: int, count: int, onsets: tuple[str, ...] = _ONSETS, vowels: tuple[str, ...] = _VOWELS) -> tuple[str, int]:
     out = ""
     for _ in range(count):
-        n, a = divmod(n, len(_ONSETS))
-        n, b = divmod(n, len(_VOWELS))
-        out += _ONSETS[a] + _VOWELS[b]
+        n, a = divmod(n, len(onsets))
+        n, b = divmod(n, len(vowels))
+        out += onsets[a] + vowels[b]
     return out, n
 
 
@@ -358,6 +412,12 @@ def canonical(kind: str, value: str) -> str:
 def surrogate(key: bytes, kind: str, value: str, gender: str, attempt: int) -> str:
     """The keyed replacement of an item's canonical value: same kind and format, no trace of the value."""
     n = _draw(key, f"{kind}|{value}|{attempt}")
+    if kind == "name" and "\u0900" <= value[0] <= "\u097f":
+        words = []
+        for k in range(min(2, value.count(" ") + 1)):
+            word, n = _syllables(n, 3, _HINDI_ONSETS, _HINDI_VOWELS)
+            words.append(word + ({"f": "ी", "m": "न"}.get(gender, "र") if k == 0 else "ल"))
+        return " ".join(words)
     if kind == "name":
         given, n = _syllables(n, 2)
         given += {"f": "ni", "m": "sh"}.get(gender, "r")
@@ -418,75 +478,92 @@ def render(kind: str, value: str, surface: str, replaced: str) -> str:
 
 
 def assign_surrogates(entities: DataFrame, key: str) -> DataFrame:
-    """(kind, canon, gender) with a surrogate each, distinct within a kind and unlike every real item.
+    """(scope, kind, canon, gender) with a surrogate each, distinct within a kind of a scope and unlike every real item of the kind.
 
     Draws again, with the next attempt, for all but the first holder of a
-    surrogate (in the order of the items), until no two items share one. Each round works on the losers of
-    the one before, which are few: the space of surrogates is wide.
+    surrogate (in the order of the items), until no two items of a scope share
+    one. Each round works on the losers of the one before, which are few: the
+    space of surrogates is wide.
     """
     secret = key.encode()
 
     @F.pandas_udf("string")
-    def draw(kind: pd.Series, canon: pd.Series, gender: pd.Series, attempt: pd.Series) -> pd.Series:
-        return pd.Series([surrogate(secret, *row) for row in zip(kind, canon, gender, attempt, strict=True)], dtype=object)
+    def draw(scope: pd.Series, kind: pd.Series, canon: pd.Series, gender: pd.Series, attempt: pd.Series) -> pd.Series:
+        out = [surrogate(hmac.new(secret, s.encode(), hashlib.sha256).digest(), *row) for s, *row in zip(scope, kind, canon, gender, attempt, strict=True)]
+        return pd.Series(out, dtype=object)
 
-    pending, done, attempt = entities.select("kind", "canon", "gender"), None, 0
-    real = entities.select("kind", F.col("canon").alias("surrogate"))
+    own = ["scope", "kind", "canon"]
+    pending, done, attempt = entities.select(*own, F.coalesce("gender", F.lit("")).alias("gender")), None, 0
+    real = entities.select("kind", F.col("canon").alias("surrogate")).distinct()
     while True:
-        drawn = cut(pending.withColumn("surrogate", draw("kind", "canon", F.coalesce("gender", F.lit("")), F.lit(attempt))), "pii-drawn")
-        taken = real if done is None else real.unionByName(done.select("kind", "surrogate"))
-        free = drawn.join(taken.distinct(), ["kind", "surrogate"], "left_anti")
-        rank = F.row_number().over(Window.partitionBy("kind", "surrogate").orderBy("canon"))
+        drawn = cut(pending.withColumn("surrogate", draw("scope", "kind", "canon", "gender", F.lit(attempt))), "pii-drawn")
+        free = drawn.join(real, ["kind", "surrogate"], "left_anti")
+        if done is not None:
+            free = free.join(done.select("scope", "kind", "surrogate"), ["scope", "kind", "surrogate"], "left_anti")
+        rank = F.row_number().over(Window.partitionBy("scope", "kind", "surrogate").orderBy("canon"))
         won = cut(free.withColumn("_r", rank).where("_r = 1").drop("_r"), "pii-won")
         done = won if done is None else done.unionByName(won)
-        pending = drawn.join(won.select("kind", "canon"), ["kind", "canon"], "left_anti").select("kind", "canon", "gender")
+        pending = drawn.join(won.select(*own), own, "left_anti").select(*own, "gender")
         if pending.isEmpty():
             return done
         attempt += 1
 
 
-def mask(records: DataFrame, keys: list[str], key: str, text: str = "text") -> DataFrame:
-    """keys and ``masked_text``: every personal item replaced by ``[TYPE: surrogate]``.
+def replacements(records: DataFrame, keys: list[str], key: str, text: str = "text", scope: str | None = None, document: str | None = None) -> DataFrame:
+    """One row for each mention of a personal item: keys, kind, value, start, end and ``put``, the placeholder that replaces it.
 
-    One item has one surrogate in the whole corpus, in each mention's own
-    format; a name written with an initial takes the surrogate of the full
-    name if exactly one full name fits it. Texts without items come out as
-    they are, null texts as null; repeated records (same keys and text) once.
+    One item has one surrogate in its scope (one scope if none is named), in
+    each mention's own format. A name written with an initial takes the
+    surrogate of the full name if exactly one full name of its scope and
+    document (or of its scope, if no document is named) fits it. Null scopes
+    and documents are one each. Repeated records count once.
     """
-    base = records.select(*keys, F.col(text).alias("_text")).dropDuplicates()
-    base = base.withColumn("_rid", F.sha2(F.concat_ws("\x00", *[F.coalesce(F.col(k).cast("string"), F.lit("\x01")) for k in keys], F.coalesce("_text", F.lit("\x01"))), 256))
+    # Text does not travel: only its mentions do.
+    place = [F.coalesce(F.col(c), F.lit("")).alias(n) if c else F.lit("").alias(n) for c, n in ((scope, "_scope"), (document, "_doc"))]
+    found = detect(records.select(*keys, *place, F.col(text).alias("_text")), [*keys, "_scope", "_doc"], "_text")
 
     @F.pandas_udf("string")
     def canon(kind: pd.Series, value: pd.Series) -> pd.Series:
         return pd.Series([canonical(*row) for row in zip(kind, value, strict=True)], dtype=object)
 
-    found = cut(detect(base, ["_rid"], "_text").withColumn("canon", canon("kind", "value")), "pii-mentions")
+    found = cut(found.withColumn("canon", canon("kind", "value")), "pii-mentions")
+    where = ["_scope", "_doc"]
+    # Names with an initial, and the full names of the same place that fit: small tables of names, not of mentions.
+    names = found.where("kind = 'name' and canon like '% %'").select(*where, "canon").distinct()
     initial = F.regexp_extract("canon", r"^(\w)\. ", 1)
-    full = found.where("kind = 'name' and canon like '% %'").where(initial == "").select("canon").distinct()
     short = F.concat(F.substring("canon", 1, 1), F.lit(". "), F.regexp_extract("canon", r"(\S+)$", 1))
-    fits = full.groupBy(short.alias("short")).agg(F.min("canon").alias("full"), F.count(F.lit(1)).alias("n")).where("n = 1").select("short", "full")
-    found = found.join(fits, (F.col("kind") == "name") & (F.col("canon") == F.col("short")), "left").withColumn("canon", F.coalesce("full", "canon")).drop("short", "full")
-    before = F.lower(F.substring_index(F.col("_lead"), " ", -1))
-    lead = base.select("_rid", F.col("_text").alias("_t"))
-    titles = found.where("kind = 'name'").join(lead, "_rid").withColumn("_lead", F.rtrim(F.expr("substring(_t, greatest(start - 12, 0) + 1, least(start, 12))")))
-    female = [t for t, g in TITLES.items() if g == "f"]
-    male = [t for t, g in TITLES.items() if g == "m"]
-    title = F.regexp_replace(F.regexp_replace(before, r"[.]$", ""), r"^.*\s", "")
-    gender = titles.groupBy(F.lit("name").alias("kind"), "canon").agg(
-        F.sum(F.when(title.isin(female), 1).when(title.isin(male), -1).otherwise(0)).alias("g")
-    ).select("kind", "canon", F.when(F.col("g") > 0, "f").when(F.col("g") < 0, "m").otherwise("").alias("gender"))
-    entities = found.select("kind", "canon").distinct().join(gender, ["kind", "canon"], "left")
-    named = assign_surrogates(entities, key).select("kind", "canon", "surrogate")
+    fits = names.where(initial == "").groupBy(*where, short.alias("short")).agg(F.min("canon").alias("full"), F.count(F.lit(1)).alias("n")).where("n = 1")
+    same = names.where(initial != "").withColumnRenamed("canon", "short").join(fits, [*where, "short"]).select(*where, F.col("short").alias("canon"), "full")
+    found = found.join(same, [*where, "canon"], "left").withColumn("canon", F.coalesce("full", "canon")).drop("full")
+    vote = F.sum(F.when(F.col("gender") == "f", 1).when(F.col("gender") == "m", -1).otherwise(0))
+    entities = found.groupBy(F.col("_scope").alias("scope"), "kind", "canon").agg(vote.alias("_g"))
+    entities = entities.withColumn("gender", F.when(F.col("_g") > 0, "f").when(F.col("_g") < 0, "m").otherwise(""))
+    named = assign_surrogates(cut(entities, "pii-entities"), key).select(F.col("scope").alias("_scope"), "kind", "canon", "surrogate")
 
     @F.pandas_udf("string")
     def show(kind: pd.Series, value: pd.Series, surface: pd.Series, replaced: pd.Series) -> pd.Series:
         return pd.Series([render(*row) for row in zip(kind, value, surface, replaced, strict=True)], dtype=object)
 
-    items = found.join(named, ["kind", "canon"]).select("_rid", "start", "end", show("kind", "value", "surface", "surrogate").alias("put"))
+    return found.join(named, ["_scope", "kind", "canon"]).select(*keys, "kind", "value", "start", "end", show("kind", "value", "surface", "surrogate").alias("put")).distinct()
+
+
+def mask(records: DataFrame, keys: list[str], key: str, text: str = "text", scope: str | None = None, document: str | None = None) -> DataFrame:
+    """keys and ``masked_text``: every personal item replaced by ``[TYPE: surrogate]``, as ``replacements`` says.
+
+    Texts without items come out as they are, null texts as null; repeated
+    records (same keys and text) once. Texts are shuffled once, to where their
+    replacements go.
+    """
+    rid = F.sha2(F.concat_ws("\x00", *[F.coalesce(F.col(k).cast("string"), F.lit("\x01")) for k in keys], F.coalesce(F.col(text), F.lit("\x01"))), 256)
+    more = [c for c in (scope, document) if c]
+    base = records.select(*dict.fromkeys([*keys, *more]), F.col(text).alias("_text"), rid.alias("_rid"))
+    items = replacements(base, ["_rid"], key, "_text", scope, document)
     lists = items.groupBy("_rid").agg(F.sort_array(F.collect_set(F.struct("start", "end", "put"))).alias("_items"))
-    joined = base.join(lists, "_rid", "left")
+    joined = base.select(*keys, "_text", "_rid").dropDuplicates(["_rid"]).join(lists, "_rid", "left")
+    # Pieces of the text between the items, by position; no text grows item by item.
+    ends = "transform(_items, x -> x.end)"
     built = F.expr(
-        "aggregate(_items, named_struct('t', cast('' as string), 'p', 0), (a, x) -> named_struct('t', concat(a.t, substring(_text, a.p + 1, x.start - a.p), x.put), 'p', x.end),"
-        " a -> concat(a.t, substring(_text, a.p + 1)))"
+        "concat(array_join(transform(_items, (x, i) -> concat(substring(_text, if(i = 0, 0, _items[i - 1].end) + 1, x.start - if(i = 0, 0, _items[i - 1].end)), x.put)), ''),"
+        f" substring(_text, array_max({ends}) + 1))"
     )
     return joined.select(*keys, F.when(F.col("_items").isNull(), F.col("_text")).otherwise(built).alias("masked_text"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,23 +58,36 @@ def p1_ends(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _texts(spark: SparkSession, d: str) -> DataFrame:
-    """record_table, record_key, text of chunks and of transcribed pages."""
-    chunks = load(spark, d, "chunks").select(F.lit("chunks").alias("record_table"), F.col("chunk_id").alias("record_key"), "text")
+    """record_table, record_key, scope, document, text of chunks and of transcribed pages."""
+    chunks = load(spark, d, "chunks").select(
+        F.lit("chunks").alias("record_table"), F.col("chunk_id").alias("record_key"), F.col("client_scope_id").alias("scope"), F.col("content_sha256").alias("document"), "text"
+    )
     pages = load(spark, d, "vision_pages").select(
-        F.lit("vision_pages").alias("record_table"),
-        F.concat_ws(":", "content_sha256", F.col("number").cast("string")).alias("record_key"),
-        F.col("extraction.visible_text").alias("text"),
+        F.lit("vision_pages").alias("record_table"), F.concat_ws(":", "content_sha256", F.col("number").cast("string")).alias("record_key"),
+        F.col("scope_id").alias("scope"), F.col("content_sha256").alias("document"), F.col("extraction.visible_text").alias("text"),
     )
     return chunks.unionByName(pages)
 
 
+def _pii_key(spark: SparkSession) -> str:
+    """The secret of the surrogates: the setting spark.sparkloom.pii.key, else drawn for this session (surrogates then differ between sessions)."""
+    key = spark.conf.get("spark.sparkloom.pii.key", None)
+    if not key:
+        key = secrets.token_hex(32)
+        spark.conf.set("spark.sparkloom.pii.key", key)
+    return key
+
+
+def _replacements(spark: SparkSession, d: str) -> DataFrame:
+    return pii.replacements(_texts(spark, d), ["record_table", "record_key"], _pii_key(spark), scope="scope", document="document")
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    found = pii.detect(_texts(spark, d), ["record_table", "record_key"])
-    return found.select("record_table", "record_key", F.col("kind").alias("pii_kind"), F.col("value").alias("value_key")).distinct()
+    return _replacements(spark, d).select("record_table", "record_key", F.col("kind").alias("pii_kind"), F.col("value").alias("value_key")).distinct()
 
 
 def p2_masked(spark: SparkSession, d: str) -> DataFrame:
-    return pii.mask(_texts(spark, d), ["record_table", "record_key"], key="replace this key")
+    return pii.mask(_texts(spark, d), ["record_table", "record_key"], _pii_key(spark), scope="scope", document="document")
 
 
 def _pages(spark: SparkSession, d: str) -> DataFrame:

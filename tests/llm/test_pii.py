@@ -64,9 +64,9 @@ def test_masking(spark):
 def test_collisions_are_drawn_again(spark, monkeypatch):
     narrow = lambda key, kind, value, gender, attempt: str((len(value) + attempt * 7) % 11) + f"-{attempt // 4}"
     monkeypatch.setattr(pii, "surrogate", narrow)
-    e = spark.createDataFrame([("name", f"p{'x' * (i % 3)}{i}", "") for i in range(12)], "kind string, canon string, gender string")
-    got = [r.surrogate for r in pii.assign_surrogates(e, "k").collect()]
-    assert len(got) == 12 and len(set(got)) == 12
+    e = spark.createDataFrame([(s, "name", f"p{'x' * (i % 3)}{i}", "") for i in range(12) for s in "ab"], "scope string, kind string, canon string, gender string")
+    got = [(r.scope, r.surrogate) for r in pii.assign_surrogates(e, "k").collect()]
+    assert len(got) == 24 and len(set(got)) == 24
 
 
 def test_the_filter_loses_no_match_of_the_bare_patterns():
@@ -90,4 +90,63 @@ def test_the_filter_loses_no_match_of_the_bare_patterns():
     for cue in places:
         for c in (cue, cue.upper(), cue.title(), cue.capitalize(), cue.replace(" ", "\n")):
             t = f"{c} Flat 12, Lake Road, Pune 411001"
-            assert pii.ADDRESS.search(t) and [x[3] for x in pii._find_addresses(t)] == ["411001"], t
+            assert pii.ADDRESS_CUE.search(t) and [x[3] for x in pii._find_addresses(t)] == ["411001"], t
+
+
+def test_names_and_homes_without_phrases_of_forms():
+    cases = {
+        "Ravi Sharma called his brother Arun Bose yesterday.": {("name", "ravi sharma"), ("name", "arun bose")},
+        "Please thank José Álvarez": {("name", "josé álvarez")},
+        "श्री राम शर्मा ने हस्ताक्षर किए": {("name", "राम शर्मा")},
+        "नाम: सीता देवी": {("name", "सीता देवी")},
+        "My colleague Priya Nair lives at 12 Park Street, Kolkata 700016": {("name", "priya nair"), ("address", "700016")},
+        "Priya Nair's home is 12 Park Street, Kolkata 700016.": {("name", "priya nair"), ("address", "700016")},
+        "call 212-555-0123 or (212) 555-0199; SSN 123-45-6789": {("phone", "2125550123"), ("phone", "2125550199"), ("id", "123456789")},
+        "Norvo Agro LLP called; Annual Accounts\nShe said yes. The office moved to another floor.\n\nHSN 549826 at 18%": set(),
+    }
+    for text, want in cases.items():
+        assert found(text) == want, text
+
+
+def test_items_of_any_length():
+    far = "resides at Flat 3A, " + "Old Mill Compound, " * 30 + "Rishpur 411085"
+    gap = "Prepared by" + " " * 5000 + "Asha" + "\n" * 3000 + "Verma; " + "x" * 3000 + "@" + "mail." * 100 + "test"
+    assert found(far) == {("address", "411085")} and {k for k, _ in found(gap)} == {"name", "email"}
+    assert found("lives at 5 " + "road. Word " * 20_000 + "411085") == set()
+
+
+def test_nothing_found_survives_and_distinct_stay_distinct(spark):
+    import random
+
+    rng = random.Random(3)
+    given, family = ["Asha", "Ravi", "Neha", "Arun", "Kiran"], ["Verma", "Bose", "Rao", "Nair"]
+    rows = []
+    for i in range(120):
+        g, f = rng.choice(given), rng.choice(family)
+        forms = [f"Prepared by {g} {f}", f"Name: {f.upper()}, {g.upper()}", f"we met Shri {g} {f} about it", f"handed to {g[0]}. {f} today"]
+        rows.append((i, f"s{i % 3}", f"d{i % 7}", f"{rng.choice(forms)}; call {rng.choice(['55123 4567', '55123 4568'])}{i % 10} or {g}.{f}@mail.test. श्री राम शर्मा ने कहा"))
+    df = spark.createDataFrame(rows, "k int, scope string, doc string, text string")
+    out = {r.k: r.masked_text for r in pii.mask(df, ["k"], "key", scope="scope", document="doc").collect()}
+    put = pii.replacements(df, ["k"], "key", scope="scope", document="doc").collect()
+    for r in rows:
+        for a, b, _, _ in pii.find_all(r[3]):
+            assert r[3][a:b] not in out[r[0]]
+    real = {(r.kind, r.value.lower()) for r in put}
+    assert all((r.kind, r.put.split(": ")[1][:-1].lower()) not in real for r in put)
+    scope = {k: s for k, s, _, _ in rows}
+    by, back = {}, {}
+    for r in put:
+        if r.kind in ("phone", "email"):
+            shown = r.put.split(": ")[1].replace(" ", "")
+            by.setdefault((scope[r.k], r.kind, r.value), set()).add(shown)
+            back.setdefault((scope[r.k], r.kind, shown), set()).add(r.value)
+    assert all(len(v) == 1 for v in by.values()) and all(len(v) == 1 for v in back.values())
+    # One person has other surrogates in other scopes; a Hindi name stays Hindi.
+    assert len({next(iter(v)) for k, v in by.items() if k[2] == "asha.rao@mail.test"}) == len([k for k in by if k[2] == "asha.rao@mail.test"])
+    assert all("\u0900" <= r.put.split(": ")[1][0] <= "\u097f" for r in put if r.value == "राम शर्मा")
+
+
+def test_initials_go_with_the_full_name_of_their_document(spark):
+    rows = [(1, "a", "Prepared by Neha Varma"), (2, "a", "we met N. Varma"), (3, "b", "we met N. Varma"), (4, "b", "Prepared by Neha Varma"), (5, "b", "Prepared by Nita Varma")]
+    put = {r.k: r.put for r in pii.replacements(spark.createDataFrame(rows, "k int, doc string, text string"), ["k"], "key", document="doc").collect()}
+    assert put[1] == put[2] and put[3] not in (put[4], put[5])
