@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import secrets
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -102,7 +103,7 @@ def _pages(spark: SparkSession, d: str) -> DataFrame:
     return chunks.unionByName(pages)
 
 
-def _trusted_words(spark: SparkSession, d: str) -> dict[str, int]:
+def _trusted_words(spark: SparkSession, d: str) -> ocr.Lexicon:
     return ocr.lexicon(load(spark, d, "chunks").where("unit_type <> 'page'"))
 
 
@@ -111,9 +112,34 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_paragraphs(spark: SparkSession, d: str) -> DataFrame:
+    return ocr.paragraphs(_pages(spark, d), _trusted_words(spark, d))
+
+
+def p6_pages(spark: SparkSession, d: str) -> DataFrame:
     return ocr.repaired_pages(_pages(spark, d), _trusted_words(spark, d))
 
 
+def p6_left_over(spark: SparkSession, d: str) -> DataFrame:
+    """How the paragraphs read: their number, those over a page break, words, and the shares of words that are in the lexicon before and after the repair."""
+    pages, words = _pages(spark, d).where("text is not null"), _trusted_words(spark, d)
+    known = spark.sparkContext.broadcast(words.frequent)
+
+    @F.pandas_udf("struct<words:bigint,known:bigint>")
+    def count(texts: pd.Series) -> pd.DataFrame:
+        rows = []
+        for t in texts:
+            tokens = [x for w in t.lower().split() if (x := w.strip(ocr.PUNCT)) and x.isalpha() and x.isascii()]
+            rows.append((len(tokens), sum(x in known.value for x in tokens)))
+        return pd.DataFrame(rows, columns=["words", "known"])
+
+    made = ocr.paragraphs(pages, words)
+    after = made.select(F.lit("after").alias("stage"), count("text").alias("c"), (F.col("last_page") > F.col("first_page")).cast("int").alias("over"))
+    before = pages.dropDuplicates(ocr.KEYS).select(F.lit("before").alias("stage"), count("text").alias("c"), F.lit(0).alias("over"))
+    return before.unionByName(after).groupBy("stage").agg(
+        F.count(F.lit(1)).alias("n_texts"), F.sum("over").alias("n_over_pages"), F.sum("c.words").alias("n_words"), F.round(F.sum("c.known") / F.sum("c.words"), 6).alias("known_share")
+    )
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return dedup.dedup_batches(load(spark, d, "documents")).where("doc_id_a < doc_id_b").select("doc_id_a", "doc_id_b")
 
@@ -184,7 +210,7 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix_shares(p9_mixed(spark, d), load(spark, d, "mix_targets"))
 
 
-QUERIES = {"p8_packed": p8_packed, "p8_packed_each": p8_packed_each, "p8_unused": p8_unused, "p8_unused_each": p8_unused_each, "p9_mixed": p9_mixed, "p9_shares": p9_shares, "p10_found": p10_found, "p10_bands": p10_bands, "p10_profile": p10_profile, "p7_found": p7_found, "p6_found": p6_found, "p6_paragraphs": p6_paragraphs, "p2_found": p2_found, "p2_masked": p2_masked, "p1_found": p1_found, "p1_pieces": p1_pieces, "p1_coverage": p1_coverage, "p1_rebuilt": p1_rebuilt, "p1_overlaps": p1_overlaps, "p1_ends": p1_ends, "p8_whole": p8_whole, "p9_reached": p9_reached, "p9_balance": p9_balance}
+QUERIES = {"p8_packed": p8_packed, "p8_packed_each": p8_packed_each, "p8_unused": p8_unused, "p8_unused_each": p8_unused_each, "p9_mixed": p9_mixed, "p9_shares": p9_shares, "p10_found": p10_found, "p10_bands": p10_bands, "p10_profile": p10_profile, "p7_found": p7_found, "p6_found": p6_found, "p6_paragraphs": p6_paragraphs, "p6_pages": p6_pages, "p6_left_over": p6_left_over, "p2_found": p2_found, "p2_masked": p2_masked, "p1_found": p1_found, "p1_pieces": p1_pieces, "p1_coverage": p1_coverage, "p1_rebuilt": p1_rebuilt, "p1_overlaps": p1_overlaps, "p1_ends": p1_ends, "p8_whole": p8_whole, "p9_reached": p9_reached, "p9_balance": p9_balance}
 
 ORACLES = {
     "p1_found": """
