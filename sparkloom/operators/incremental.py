@@ -1,6 +1,9 @@
 """Processing only new or changed records.
 
-Method: rows are hashed into a fixed number of key buckets. Each bucket of the
+Method: rows are hashed into key buckets, whose number grows with the data in
+steps of four (a state of another number is built anew beside the old one).
+Buckets of one scope lie together, so what a day changes in a few scopes
+touches their buckets only; a hot scope has many. Each bucket of the
 input has a fingerprint, its row count with two additive row hashes, which is
 order-free and merges map-side. A bucket is recomputed only when its
 fingerprint differs from the one stored with its last result, and it is
@@ -26,9 +29,27 @@ MARK = "_fingerprint"
 RETRY_STATUSES = ("partial", "failed", "locked")
 
 
+#: Rows that one bucket is made for.
+BUCKET_ROWS = 250_000
+
+
 def key_bucket(keys: list[Column], buckets: int) -> Column:
-    """Bucket of a record: by its full key, so that a hot scope spreads over all buckets."""
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    """Bucket of a record: a group by the first key (the scope), a place in the group by the full key.
+
+    A scope lies in one group of about the square root of ``buckets`` buckets,
+    so that a change in it redoes only those, and a hot scope is split over all of them.
+    """
+    inner = 1 << (buckets.bit_length() - 1) // 2
+    outer = max(1, buckets // inner)
+    return (F.pmod(F.xxhash64(keys[0]), F.lit(outer)) * inner + F.pmod(F.xxhash64(F.lit(1), *keys), F.lit(inner))).cast("int")
+
+
+def bucket_count(rows: int, least: int = 64) -> int:
+    """Buckets for so many rows: ``least``, times four until a bucket holds BUCKET_ROWS at most on average."""
+    n = least
+    while rows > n * BUCKET_ROWS:
+        n *= 4
+    return n
 
 
 def _row_hash(df: DataFrame, seed: int) -> Column:
@@ -120,7 +141,7 @@ def read_result(spark: SparkSession, state_path: str, schema: str | None = None)
     return spark.read.parquet(state_path).where(F.col(MARK).isNull()).drop(MARK, BUCKET)
 
 
-def pending_work(queue: DataFrame, entries: DataFrame, seals: DataFrame, state_path: str, buckets: int = 64) -> DataFrame:
+def pending_work(queue: DataFrame, entries: DataFrame, seals: DataFrame, state_path: str, buckets: int | None = None) -> DataFrame:
     """Work of ``queue`` that still has to be done, once each.
 
     A piece of work is (scope_id, lower-case content_hexdigest, route). It is
@@ -132,8 +153,16 @@ def pending_work(queue: DataFrame, entries: DataFrame, seals: DataFrame, state_p
     ``discovered_at`` (ties: the greatest fingerprint) is in force; if several
     entries of the same latest run disagree, work is settled when one of them
     settles it (a null fingerprint or status settles nothing). Extra columns are ignored. Empty tables give empty results.
+    ``buckets``: by default as many as the data need.
     """
+    return refresh_pending(queue, entries, seals, state_path, buckets)[0]
+
+
+def refresh_pending(queue: DataFrame, entries: DataFrame, seals: DataFrame, state_path: str, buckets: int | None = None) -> tuple[DataFrame, dict[str, int]]:
+    """pending_work, and how many buckets there are and were redone."""
     spark = queue.sparkSession
+    buckets = buckets or bucket_count(queue.count() + entries.count())
+    state_path = f"{state_path}/buckets={buckets}"
     keys = ["scope_id", "content_hexdigest", "route"]
     norm = lambda df: df.withColumn("content_hexdigest", F.lower("content_hexdigest"))
     bucket = key_bucket([F.col(k) for k in keys], buckets)
@@ -160,5 +189,5 @@ def pending_work(queue: DataFrame, entries: DataFrame, seals: DataFrame, state_p
         )
         return wanted.join(state, [BUCKET, *keys], "left_anti").select(BUCKET, *keys, F.col("wanted").alias("route_fingerprint"))
 
-    incremental_refresh({"queue": q, "entries": e}, compute, state_path)
-    return read_result(spark, state_path, "scope_id string, content_hexdigest string, route string, route_fingerprint string")
+    told = incremental_refresh({"queue": q, "entries": e}, compute, state_path)
+    return read_result(spark, state_path, "scope_id string, content_hexdigest string, route string, route_fingerprint string"), told | {"buckets": buckets}

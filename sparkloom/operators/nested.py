@@ -10,15 +10,18 @@ own members to subtype tables with typed columns; the supertype table of a kind
 that all its variants share, with the keys and the link to the parent row.
 
 Two passes over the payloads: the first finds which members hold an array
-somewhere (a vocabulary of member names, bounded by the schema and checked),
-the second writes the rows. Each payload is handled on its own, so no group of
-rows is ever brought together, and a hot scope needs no treatment.
+somewhere, the second writes the rows. Each payload is handled on its own, so
+no group of rows is ever brought together, and a hot scope needs no treatment.
+Values are parsed, normalised, classified and walked with explicit stacks: any
+depth of nesting is handled, and every state is computed once.
 """
 
 from __future__ import annotations
 
+import copy
 import hashlib
 import json
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,7 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: More distinct array members than this is not a schema but data used as member names.
+from sparkloom.common import cut
+
+#: Names of array members that are sent to all tasks. More than this is data used as member names: each record then looks up its own.
 MAX_ARRAY_MEMBERS = 100_000
 #: Members of arrays of arrays and of the top level have no name of their own.
 ROOT = "$"
@@ -35,23 +40,113 @@ ROOT = "$"
 def as_array(value):
     """The value as the records mean it: text that itself is a JSON array counts as that array."""
     if isinstance(value, str) and value.lstrip(" \t\r\n")[:1] == "[":
-        try:
-            inner = json.loads(value, parse_constant=_no_constant)
-        except (ValueError, RecursionError):
-            return value
+        inner = parse(value)
         if isinstance(inner, list):
             return inner
     return value
 
 
 def parse(payload):
-    """The payload's value, or None if it is null or not valid JSON (or nested beyond the parser's depth)."""
+    """The payload's value, or None if it is null or not valid JSON."""
+    return parsed(payload)[0]
+
+
+def parsed(payload) -> tuple[object, str | None]:
+    """(value, why there is none). Payloads nested beyond the fast parser's stack are parsed with a stack of their own."""
     if payload is None:
-        return None
+        return None, "null"
     try:
-        return json.loads(payload, parse_constant=_no_constant)
-    except (ValueError, RecursionError):
-        return None
+        return json.loads(payload, parse_constant=_no_constant), None
+    except RecursionError:
+        pass
+    except ValueError as e:
+        return None, str(e)[:200]
+    try:
+        return parse_deep(payload), None
+    except ValueError as e:
+        return None, str(e)[:200]
+
+
+_SPACE = re.compile(r"[ \t\n\r]*")
+_SCALAR = re.compile(r'"(?:[^"\\\x00-\x1f]|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*"|-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false|null')
+
+
+def parse_deep(text: str):
+    """A JSON text of any depth. Raises ValueError like the standard parser."""
+    stack: list[tuple[list | dict, str | None]] = []  # open containers, each with the member it is at
+    at, done, value = 0, False, None
+    here: list | dict | None = None
+    name: str | None = None
+
+    def bad(where: int):
+        raise ValueError(f"not JSON at character {where}")
+
+    def scalar(where: int):
+        m = _SCALAR.match(text, where)
+        if m is None:
+            bad(where)
+        return json.loads(m.group()), m.end()
+
+    while True:
+        at = _SPACE.match(text, at).end()
+        c = text[at : at + 1]
+        if done:
+            # A value is complete: it goes into the container that is open, or it is the whole.
+            if here is None:
+                return value if not c else bad(at)
+            if isinstance(here, dict):
+                here[name] = value
+            else:
+                here.append(value)
+            if c == ",":
+                at = _SPACE.match(text, at + 1).end()
+            elif c == ("}" if isinstance(here, dict) else "]"):
+                value = here
+                here, name = stack.pop()
+                at += 1
+                continue
+            else:
+                bad(at)
+            done = False
+        elif c in ("{", "["):
+            stack.append((here, name))
+            here, name = ({}, None) if c == "{" else ([], None)
+            at = _SPACE.match(text, at + 1).end()
+            if text[at : at + 1] == ("}" if c == "{" else "]"):
+                value, done = here, True
+                here, name = stack.pop()
+                at += 1
+                continue
+        else:
+            value, at = scalar(at)
+            done = True
+            continue
+        if isinstance(here, dict):
+            if text[at : at + 1] != '"':
+                bad(at)
+            name, at = scalar(at)
+            at = _SPACE.match(text, at).end()
+            if text[at : at + 1] != ":":
+                bad(at)
+            at += 1
+
+
+def normalised(value):
+    """The value with every text that is a JSON array replaced by that array, in place where it can be."""
+    value = as_array(value)
+    todo = [value]
+    while todo:
+        v = todo.pop()
+        pairs = v.items() if isinstance(v, dict) else enumerate(v) if isinstance(v, list) else ()
+        for k, x in pairs:
+            if isinstance(x, str):
+                y = as_array(x)
+                if y is x:
+                    continue
+                v[k] = x = y
+            if isinstance(x, (dict, list)):
+                todo.append(x)
+    return value
 
 
 def _no_constant(name):
@@ -59,11 +154,10 @@ def _no_constant(name):
 
 
 def array_members(value) -> set[str]:
-    """Names of the members that hold an array somewhere in the value."""
+    """Names of the members that hold an array somewhere in the (normalised) value."""
     found, todo = set(), [(ROOT, value)]
     while todo:
         name, v = todo.pop()
-        v = as_array(v)
         if isinstance(v, dict):
             todo.extend(v.items())
         elif isinstance(v, list):
@@ -72,41 +166,62 @@ def array_members(value) -> set[str]:
     return found
 
 
+def lone_members(value) -> set[str]:
+    """Names of the members that hold a lone object somewhere in the (normalised) value: those that another record may show to be arrays."""
+    found, todo = set(), [value]
+    while todo:
+        v = todo.pop()
+        if isinstance(v, dict):
+            found.update(k for k, x in v.items() if isinstance(x, dict))
+            todo.extend(v.values())
+        elif isinstance(v, list):
+            todo.extend(v)
+    return found
+
+
+_SCALAR_STATES = {type(None): "n", bool: "b", int: "i", float: "f"}
+
+
+def states(value) -> tuple[str, dict[int, str]]:
+    """State of the tree automaton for a normalised value, and of every object and array in it by identity: one bottom-up pass.
+
+    Equal states mean equal structure: scalars by type, arrays by the set of
+    their elements' states, objects by their members with the members' states.
+    """
+    known: dict[int, str] = {}
+    names: dict[str, str] = {}
+
+    def of(v) -> str:
+        return known[id(v)] if isinstance(v, (dict, list)) else _SCALAR_STATES.get(type(v), "s")
+
+    order, todo = [], [value]
+    while todo:
+        v = todo.pop()
+        if isinstance(v, (dict, list)):
+            order.append(v)
+            todo.extend(v.values() if isinstance(v, dict) else v)
+    for v in reversed(order):
+        if isinstance(v, dict):
+            inner = ",".join([f"{names.get(k) or names.setdefault(k, json.dumps(k))}:{of(x)}" for k, x in sorted(v.items())])
+            known[id(v)] = "o" + hashlib.blake2b(inner.encode(), digest_size=8).hexdigest()
+        else:
+            inner = "|".join(sorted({of(x) for x in v}))
+            known[id(v)] = f"[{inner}]" if len(inner) < 200 else "[" + hashlib.blake2b(inner.encode(), digest_size=8).hexdigest() + "]"
+    return of(value), known
+
+
 def state(value) -> str:
-    """State of the tree automaton for the value: equal states mean equal structure."""
-    value = as_array(value)
-    if isinstance(value, dict):
-        inner = ",".join(f"{json.dumps(k)}:{state(v)}" for k, v in sorted(value.items()))
-        return "o" + hashlib.blake2b(inner.encode(), digest_size=8).hexdigest()
-    if isinstance(value, list):
-        return "[" + "|".join(sorted({state(v) for v in value})) + "]"
-    if value is None:
-        return "n"
-    if isinstance(value, bool):
-        return "b"
-    return {int: "i", float: "f"}.get(type(value), "s")
-
-
-def _safe_state(value) -> str:
-    """The state, or ``deep`` for an object nested beyond the interpreter's stack."""
-    try:
-        return state(value)
-    except RecursionError:
-        return "deep"
+    """State of the tree automaton for any value."""
+    return states(normalised(copy.deepcopy(value)))[0]
 
 
-def own_shape(value: dict) -> tuple[tuple[str, str], ...]:
+def own_shape(members: dict) -> list[tuple[str, str]]:
     """An object's scalar members with their types (sorted): what its subtype table has as columns."""
-    out = []
-    for k, v in sorted(value.items()):
-        s = state(v)
-        if s[0] not in "o[":
-            out.append((k, s))
-    return tuple(out)
+    return [(k, _SCALAR_STATES.get(type(v), "s")) for k, v in sorted(members.items())]
 
 
 def walk(value, arrays: frozenset[str] | set[str]) -> Iterator[tuple[str, str, str, dict]]:
-    """(path, parent path, kind, object) of each object that is a row.
+    """(path, parent path, kind, object) of each object of a normalised value that is a row.
 
     A lone object under a member of ``arrays`` counts as an array of one.
     Objects under other members belong to the row around them.
@@ -114,7 +229,6 @@ def walk(value, arrays: frozenset[str] | set[str]) -> Iterator[tuple[str, str, s
     todo = [(ROOT, ROOT, ROOT, ROOT, False, value)]
     while todo:
         name, path, kind, parent, element, v = todo.pop()
-        v = as_array(v)
         if isinstance(v, dict):
             if name in arrays and name != ROOT and not element:
                 path, kind, element = f"{path}[0]", f"{kind}[]", True
@@ -128,8 +242,8 @@ def walk(value, arrays: frozenset[str] | set[str]) -> Iterator[tuple[str, str, s
                 todo.append((name, f"{path}[{i}]", f"{kind}[]", parent, True, v[i]))
 
 
-def array_vocabulary(records: DataFrame, payload: str = "payload") -> list[str]:
-    """Distinct names of array members over all payloads, found by a distributed pass."""
+def array_vocabulary(records: DataFrame, payload: str = "payload") -> DataFrame:
+    """Distinct names of array members over all payloads (column member), found by a distributed pass."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[str] = set()
@@ -137,14 +251,32 @@ def array_vocabulary(records: DataFrame, payload: str = "payload") -> list[str]:
             for p in b.column(0).to_pylist():
                 v = parse(p)
                 if v is not None:
-                    seen |= array_members(v)
+                    seen |= array_members(normalised(v))
+            if len(seen) > MAX_ARRAY_MEMBERS:
+                yield pa.RecordBatch.from_pydict({"member": pa.array(sorted(seen), pa.string())})
+                seen.clear()
         yield pa.RecordBatch.from_pydict({"member": pa.array(sorted(seen), pa.string())})
 
-    names = records.select(payload).mapInArrow(find, "member string").distinct()
-    got = [r.member for r in names.limit(MAX_ARRAY_MEMBERS + 1).collect()]
-    if len(got) > MAX_ARRAY_MEMBERS:
-        raise ValueError("member names grow with the data; they are no schema")
-    return sorted(got)
+    return records.select(payload).mapInArrow(find, "member string").distinct()
+
+
+def _own_arrays(distinct: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """distinct with ``_arrays``: which of a payload's lone members are array members somewhere. For vocabularies too large to send."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            take, names = [], []
+            for i, p in enumerate(b.column(1).to_pylist()):
+                v = parse(p)
+                mine = lone_members(normalised(v)) if v is not None else ()
+                take += [i] * len(mine)
+                names += mine
+            yield pa.RecordBatch.from_pydict({"_hash": b.column(0).take(pa.array(take, pa.int64())), "member": pa.array(names, pa.string())})
+
+    keyed = distinct.withColumn("_hash", F.sha2("_payload", 256))
+    asked = keyed.select("_hash", "_payload").mapInArrow(ask, "_hash string, member string").distinct()
+    own = asked.join(vocabulary, "member", "left_semi").groupBy("_hash").agg(F.collect_list("member").alias("_arrays"))
+    return keyed.join(own, "_hash", "left").drop("_hash")
 
 
 ROWS = T.StructType(
@@ -168,24 +300,42 @@ def flatten_records(records: DataFrame, keys: list[str], payload: str = "payload
     cut-off and otherwise invalid payloads give none; null and empty members
     give none. Extra columns are ignored, an empty table gives none.
     """
-    arrays = frozenset(array_vocabulary(records, payload))
+    vocabulary = cut(array_vocabulary(records, payload), "array-members")
+    known = vocabulary.limit(MAX_ARRAY_MEMBERS + 1).collect()
     schema = T.StructType([*[records.schema[k] for k in keys], *ROWS.fields])
+    distinct = records.select(*keys, F.col(payload).alias("_payload")).dropDuplicates()
+    if len(known) > MAX_ARRAY_MEMBERS:
+        shared, distinct = None, _own_arrays(distinct, vocabulary)
+    else:
+        shared, distinct = frozenset(r.member for r in known), distinct.withColumn("_arrays", F.lit(None).cast("array<string>"))
+    columns = [*keys, "_payload", "_arrays"]
 
     def flatten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shapes: dict[str, str] = {}
         for b in batches:
             take, cols = [], {f.name: [] for f in ROWS}
-            for i, p in enumerate(b.column(len(keys)).to_pylist()):
+            for i, (p, own) in enumerate(zip(b.column(len(keys)).to_pylist(), b.column(len(keys) + 1).to_pylist(), strict=True)):
                 v = parse(p)
                 if v is None:
                     continue
+                v = normalised(v)
+                arrays = shared if shared is not None else array_members(v) | set(own or ())
+                variants = states(v)[1]
                 for path, parent, kind, obj in walk(v, arrays):
                     flat = _own_members(obj, arrays)
                     take.append(i)
                     cols["child_path"].append(path)
                     cols["parent_path"].append(parent)
                     cols["kind"].append(kind)
-                    cols["variant"].append(_safe_state(obj))
-                    cols["shape"].append(json.dumps(own_shape(flat)))
+                    variant = variants[id(obj)]
+                    cols["variant"].append(variant)
+                    # Objects of one state have the same members at any place with the same array names.
+                    shape = shapes.get(variant) if shared is not None else None
+                    if shape is None:
+                        if len(shapes) > 100_000:
+                            shapes.clear()
+                        shape = shapes[variant] = json.dumps(own_shape(flat))
+                    cols["shape"].append(shape)
                     cols["members"].append(json.dumps(flat, ensure_ascii=False))
                     if len(take) >= 20_000:
                         yield _batch(b, take, cols, len(keys))
@@ -193,8 +343,21 @@ def flatten_records(records: DataFrame, keys: list[str], payload: str = "payload
             if take:
                 yield _batch(b, take, cols, len(keys))
 
-    distinct = records.select(*keys, F.col(payload).alias("_payload")).dropDuplicates()
-    return distinct.mapInArrow(flatten, schema)
+    return distinct.select(*columns).mapInArrow(flatten, schema)
+
+
+def rejected_records(records: DataFrame, keys: list[str], payload: str = "payload") -> DataFrame:
+    """keys and reason of the records whose payload gives no rows because it is null or not valid JSON, once each."""
+    schema = T.StructType([*[records.schema[k] for k in keys], T.StructField("reason", T.StringType())])
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            why = [parsed(p)[1] for p in b.column(len(keys)).to_pylist()]
+            idx = pa.array([i for i, w in enumerate(why) if w], pa.int64())
+            kept = {b.schema.names[k]: b.column(k).take(idx) for k in range(len(keys))}
+            yield pa.RecordBatch.from_pydict(kept | {"reason": pa.array([w for w in why if w], pa.string())})
+
+    return records.select(*keys, F.col(payload).alias("_payload")).mapInArrow(look, schema).distinct()
 
 
 def _batch(b: pa.RecordBatch, take: list[int], cols: dict, n: int) -> pa.RecordBatch:
@@ -209,7 +372,6 @@ def _own_members(obj: dict, arrays: frozenset[str]) -> dict:
     while todo:
         head, o = todo.pop()
         for k, v in o.items():
-            v = as_array(v)
             if isinstance(v, dict):
                 if k not in arrays:
                     todo.append((f"{head}{k}.", v))
@@ -271,3 +433,12 @@ def supertype_table(rows: DataFrame, kind: str, common: list[str], keys: list[st
         taken.add(alias.lower())
         cols.append(F.get_json_object("members", "$['" + name.replace("'", "\\'") + "']").alias(alias))
     return rows.where(F.col("kind") == kind).select(*keys, "child_path", "parent_path", "variant", *cols, "members")
+
+
+def subtype_tables(rows: DataFrame, path: str, keys: list[str]) -> dict[tuple[str, str], DataFrame]:
+    """Every variant's typed table by (kind, shape). Rows are routed once, by one write in partitions by kind and shape below ``path``; a table reads its own partition."""
+    routed = rows.withColumn("_to", F.substring(F.sha2(F.concat_ws("\0", "kind", "shape"), 256), 1, 16))
+    routed.repartition("_to", F.pmod(F.xxhash64(*keys, "child_path"), F.lit(8))).write.partitionBy("_to").parquet(path)
+    stored = rows.sparkSession.read.parquet(path)
+    made = rows.sparkSession.read.parquet(path).select("kind", "shape", "_to").distinct().orderBy("kind", "shape").collect()  # one row for each variant of the schema
+    return {(r.kind, r.shape): subtype_table(stored.where(F.col("_to") == r["_to"]), r.kind, r.shape, keys) for r in made}

@@ -210,21 +210,42 @@ def steady_columns(matches: DataFrame) -> DataFrame:
         nodes = nodes.drop("moved")
 
 
+def _targets(matches: DataFrame, ids: DataFrame) -> DataFrame:
+    """(feed_id, column_id, column, target): each steady column under the name and type of its latest file; names that come twice get the id behind them."""
+    latest = matches.where("name is not null").join(ids, ["feed_id", "table_id", "name"]).groupBy("feed_id", "column_id").agg(
+        F.max(F.struct("file_no", "name", "type")).alias("t")
+    ).select("feed_id", "column_id", F.col("t.name").alias("column"), F.col("t.type").alias("target"))
+    dup = Window.partitionBy("feed_id", "column").orderBy("column_id")
+    return latest.withColumn("column", F.when(F.row_number().over(dup) > 1, F.concat_ws("#", "column", "column_id")).otherwise(F.col("column")))
+
+
+def feed_schemas(tables: DataFrame, columns: DataFrame, register: DataFrame) -> DataFrame:
+    """(feed_id, column, target): the steady columns of each feed's table and their types."""
+    matches = cut(rescue_and_match(tables, columns, register), "drift-match")
+    return _targets(matches, steady_columns(matches)).select("feed_id", "column", "target")
+
+
+def _json(value: Column) -> Column:
+    """A text as a JSON string."""
+    return F.regexp_extract(F.to_json(F.struct(value.alias("v"))), r'(?s)^\{"v":(.*)\}$', 1)
+
+
 def ingest_feeds(tables: DataFrame, columns: DataFrame, register: DataFrame, approved: DataFrame | None = None) -> DataFrame:
-    """One consistent table for all feeds: (feed_id, file_no, table_id, row_no, values, rescued).
+    """One consistent table for all feeds: (feed_id, file_no, table_id, row_no, values, typed, rescued).
 
     ``values`` maps steady columns to text in the column's target type, the
     type of its latest file: numbers without separators and percent signs,
-    booleans as true/false, dates as yyyy-MM-dd. ``rescued`` is a JSON object of the fields that are in no
-    profile, are not in ``approved`` (feed_id, column; None approves all) or do not cast to the target type. No field is lost.
+    booleans as true/false, dates as yyyy-MM-dd. ``typed`` is the same as a
+    JSON object with numbers and booleans as such, from which ``feed_table``
+    reads a feed's typed columns. ``rescued`` is a JSON object of the fields
+    that are in no profile, are not in ``approved`` (feed_id, column; None
+    approves all) or do not cast to the target type. No field of a file that
+    counts is lost; of several deliveries of one file the latest counts
+    (file_pairs).
     """
     matches = cut(rescue_and_match(tables, columns, register), "drift-match")
     ids = steady_columns(matches)
-    latest = matches.where("name is not null").join(ids, ["feed_id", "table_id", "name"]).groupBy("feed_id", "column_id").agg(
-        F.max(F.struct("file_no", "name", "type")).alias("t")
-    ).select("feed_id", "column_id", F.col("t.name").alias("column"), F.col("t.type").alias("target"))
-    dup = Window.partitionBy("feed_id", "column").orderBy("column_id")
-    latest = latest.withColumn("column", F.when(F.row_number().over(dup) > 1, F.concat_ws("#", "column", "column_id")).otherwise(F.col("column")))
+    latest = _targets(matches, ids)
     if approved is not None:
         latest = latest.join(approved.select("feed_id", "column").distinct(), ["feed_id", "column"], "left_semi")
     plan = ids.join(latest, ["feed_id", "column_id"], "left").select("feed_id", "table_id", "name", "column", "target")
@@ -232,12 +253,40 @@ def ingest_feeds(tables: DataFrame, columns: DataFrame, register: DataFrame, app
     cells = register_cells(register).join(files, "table_id").join(plan, ["feed_id", "table_id", "name"], "left")
     typed = replay(F.col("value"), F.col("target"))
     fits = F.col("column").isNotNull() & (typed.isNotNull() | F.col("value").isNull())
-    return cells.groupBy("feed_id", "file_no", "table_id", "row_no").agg(
-        F.map_from_entries(F.collect_list(F.when(fits & F.col("value").isNotNull(), F.struct("column", typed)))).alias("values"),
-        F.to_json(F.map_from_entries(F.collect_list(F.when(~fits, F.struct("name", "value"))))).alias("rescued"),
+    bare = F.when(F.col("target").isin("int64", "double", "bool"), typed).otherwise(_json(typed))
+    entry = F.when(fits & F.col("value").isNotNull(), F.struct("column", typed.alias("text"), F.concat(_json(F.col("column")), F.lit(":"), bare).alias("json")))
+    made = cells.groupBy("feed_id", "file_no", "table_id", "row_no").agg(
+        F.sort_array(F.collect_list(entry)).alias("e"), F.to_json(F.map_from_entries(F.collect_list(F.when(~fits, F.struct("name", "value"))))).alias("rescued"),
+    )
+    return made.select(
+        "feed_id", "file_no", "table_id", "row_no", F.map_from_entries(F.transform("e", lambda x: F.struct(x["column"], x["text"]))).alias("values"),
+        F.concat(F.lit("{"), F.array_join(F.transform("e", lambda x: x["json"]), ","), F.lit("}")).alias("typed"), "rescued",
     )
 
 
+_SPARK_TYPES = {"int64": "bigint", "double": "double", "bool": "boolean"}
+
+
+def feed_table(rows: DataFrame, feed_id: int, schema: list[tuple[str, str]]) -> DataFrame:
+    """The typed table of one feed: file_no, row_no and a typed column for each of ``schema`` (column, target), from rows of ingest_feeds.
+
+    Rows written partitioned by feed_id are read for this feed only. Columns
+    whose names clash (with file_no, row_no, or one another but for case) get a number.
+    """
+    taken, fields = {"file_no", "row_no"}, []
+    for name, target in schema:
+        kind = "date" if target.startswith("timestamp") else _SPARK_TYPES.get(target, "string")
+        alias, k = name, 1
+        while alias.lower() in taken:
+            k += 1
+            alias = f"{name}_{k}"
+        taken.add(alias.lower())
+        quoted = name.replace("`", "``")
+        text = F.col("values")[name] if kind in ("string", "date") else F.from_json("typed", f"`{quoted}` {kind}")[name]
+        fields.append((text.try_cast("date") if kind == "date" else text).alias(alias))
+    return rows.where(F.col("feed_id") == feed_id).select("file_no", "row_no", *fields)
+
+
 def replay(value: Column, target: Column) -> Column:
     """A rescued text in its column's type, or null if it does not cast."""
     v = F.trim(value)

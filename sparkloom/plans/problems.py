@@ -14,9 +14,17 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_feed_rows(spark: SparkSession, d: str) -> DataFrame:
+    t, c, r = (load(spark, d, n) for n in ("table_profile", "column_profile", "raw_register"))
+    return schema_drift.ingest_feeds(t, c, r).select("feed_id", "file_no", "table_id", "row_no", F.col("typed").alias("typed_values"), "rescued")
+
+
+def p3_feed_columns(spark: SparkSession, d: str) -> DataFrame:
+    """The steady columns of every feed's table with their types, and in how many of its rows they have a value."""
     t, c, r = (load(spark, d, n) for n in ("table_profile", "column_profile", "raw_register"))
     rows = schema_drift.ingest_feeds(t, c, r)
-    return rows.select("feed_id", "file_no", "table_id", "row_no", F.to_json("values").alias("typed_values"), "rescued")
+    per = rows.select("feed_id", F.explode(F.map_keys("values")).alias("column")).groupBy("feed_id", "column").agg(F.count(F.lit(1)).alias("n_values"))
+    plan = schema_drift.feed_schemas(t, c, r)
+    return plan.join(per, ["feed_id", "column"], "left").na.fill({"n_values": 0})
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -34,6 +42,19 @@ def p4_pending_after_more_runs(spark: SparkSession, d: str) -> DataFrame:
     return incremental.pending_work(queue, entries, seals, state)
 
 
+def p4_redone(spark: SparkSession, d: str) -> DataFrame:
+    """Buckets redone by runs over a growing history: all at first, those that changed after, none when nothing did; and what is pending then."""
+    queue, entries, seals = (load(spark, d, n) for n in ("work_queue", "manifest_entries", "run_seals"))
+    state, rows = work_path(spark, "pending-redone"), []
+    # One scope's new entries, then the rest of the last runs, then nothing new.
+    one = entries.where("run_ordinal > 35").agg(F.min("scope_id")).first()[0]
+    steps = [("first", entries.where("run_ordinal <= 35")), ("one scope", entries.where((F.col("run_ordinal") <= 35) | (F.col("scope_id") == one))), ("all", entries), ("nothing new", entries)]
+    for k, (step, seen) in enumerate(steps):
+        pending, told = incremental.refresh_pending(queue, seen, seals, state)
+        rows.append((k, step, told["buckets"], told["changed"], pending.count()))
+    return spark.createDataFrame(rows, "step_no int, step string, n_buckets int, n_redone int, n_pending bigint")
+
+
 def p5_rows(spark: SparkSession, d: str) -> DataFrame:
     return nested.flatten_records(load(spark, d, "raw_returns"), ["return_id"])
 
@@ -42,6 +63,21 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return p5_rows(spark, d).select("return_id", "child_path", "parent_path").distinct()
 
 
+def p5_rejected(spark: SparkSession, d: str) -> DataFrame:
+    return nested.rejected_records(load(spark, d, "raw_returns"), ["return_id"]).select("return_id").distinct()
+
+
+def p5_subtypes(spark: SparkSession, d: str) -> DataFrame:
+    """The typed tables of all variants, one under the other: kind, keys, links, and the typed columns as JSON with their types."""
+    out = None
+    for (kind, _), t in nested.subtype_tables(p5_rows(spark, d), work_path(spark, "subtypes"), ["return_id"]).items():
+        own = [c for c in t.columns if c not in ("return_id", "child_path", "parent_path")]
+        types = ", ".join(f"{c} {k}" for c, k in t.dtypes if c in own)
+        row = t.select(F.lit(kind).alias("kind"), "return_id", "child_path", "parent_path", (F.to_json(F.struct(*[F.col(f"`{c}`") for c in own])) if own else F.lit("{}")).alias("typed"), F.lit(types).alias("types"))
+        out = row if out is None else out.unionByName(row)
+    return out if out is not None else spark.createDataFrame([], "kind string, return_id bigint, child_path string, parent_path string, typed string, types string")
+
+
 def p5_variants(spark: SparkSession, d: str) -> DataFrame:
     v = nested.variant_catalog(p5_rows(spark, d))
     return v.select("kind", "shape", "n_rows", F.array_join("common_members", ",").alias("common_members"))
@@ -50,11 +86,15 @@ def p5_variants(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "p3_found": p3_found,
     "p3_feed_rows": p3_feed_rows,
+    "p3_feed_columns": p3_feed_columns,
     "p4_found": p4_found,
     "p4_pending_after_more_runs": p4_pending_after_more_runs,
+    "p4_redone": p4_redone,
     "p5_found": p5_found,
     "p5_rows": p5_rows,
     "p5_variants": p5_variants,
+    "p5_rejected": p5_rejected,
+    "p5_subtypes": p5_subtypes,
 }
 
 _P4 = """

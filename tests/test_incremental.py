@@ -66,3 +66,18 @@ def test_fingerprint_sees_repeats_and_nulls(spark):
     assert mark([("p", None)]) != mark([(None, "p")])
     assert mark([("p", "q")]) != mark([("p", "q"), ("p", "q")])
     assert mark([("p", "q"), ("r", "s")]) == mark([("r", "s"), ("p", "q")])
+
+
+def test_buckets_grow_and_a_scope_touches_its_own(spark, tmp_path):
+    assert [inc.bucket_count(n) for n in (0, 64 * inc.BUCKET_ROWS, 64 * inc.BUCKET_ROWS + 1, 10**9)] == [64, 64, 256, 4096]
+    queue = [(f"s{i % 40}" if i % 3 else "hot", f"h{i}", "r", "f1") for i in range(900)]
+    entries = [(s, h, r, f, 1, "success") for s, h, r, f in queue[:500]]
+    seals = [(1, T), (2, T)]
+    path = f"file://{tmp_path}/st"
+    first, told = inc.refresh_pending(*frames(spark, queue, entries, seals), path)
+    assert first.count() == 400 and told == {"changed": 64, "buckets": 64}
+    more = [(s, h, r, f, 2, "success") for s, h, r, f in queue[500:] if s == "s7"]
+    now, told = inc.refresh_pending(*frames(spark, queue, entries + more, seals), path)
+    assert now.count() == 400 - len(more) and 0 < told["changed"] <= 8
+    again, told = inc.refresh_pending(*frames(spark, queue, entries + more, seals), path)
+    assert again.count() == 400 - len(more) and told["changed"] == 0

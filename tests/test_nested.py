@@ -31,7 +31,7 @@ def test_paths(spark):
 
 
 def test_repeats_deep_and_empty(spark):
-    deep = "[" * 5000 + "]" * 5000
+    deep = "[" * 5000 + "]" * 5000  # valid, without an object
     one = json.dumps({"a": [{"b": 1}]})
     df = spark.createDataFrame([(1, "x", one), (1, "x", one), (2, "x", deep)], SCHEMA)
     assert nested.flatten_records(df, ["return_id"]).count() == 1
@@ -56,7 +56,8 @@ JSON = st.recursive(st.none() | st.integers() | st.text(max_size=3), lambda x: s
 @given(JSON)
 @settings(max_examples=150, deadline=None)
 def test_state_names_the_shape(v):
-    assert nested.state(v) == nested.state(json.loads(json.dumps(v)))
+    assert nested.state(v) == nested.state(json.loads(json.dumps(v))) and nested.parse_deep(json.dumps(v)) == v
+    v = nested.normalised(v)
     arrays = nested.array_members(v)
     found = [(p, parent) for p, parent, *_ in nested.walk(v, arrays)]
     assert len(found) == len(set(found)) and set(found) == set(plain(v, arrays))
@@ -77,3 +78,51 @@ def plain(v, arrays, path="$", parent="$", name=None, element=False):
 
 def test_member_names_that_look_like_indexes():
     assert list(nested.walk({"x]": {"y": 1}}, set())) == []
+
+
+def test_any_depth(spark):
+    depth = 5000
+    payload = '{"a": [' * depth + '{"b": 1}' + "]}" * depth
+    got = rows(spark, [payload, payload[:-1]]).collect()
+    assert len(got) == depth and {r.return_id for r in got} == {0} and len({r.variant for r in got}) == depth and "deep" not in {r.variant for r in got}
+    assert max(got, key=lambda r: len(r.child_path)).child_path == "$" + ".a[0]" * depth
+    assert [r.return_id for r in nested.rejected_records(spark.createDataFrame([(0, payload), (1, payload[:-1]), (2, None), (3, "{"), (3, "{"), (4, "1")], "return_id bigint, payload string"), ["return_id"]).orderBy("return_id").collect()] == [1, 2, 3]
+
+
+def test_deep_parser_agrees_with_the_standard_one():
+    texts = ['{"a": [1, -2.5e3, "x\\n\\u00e9", true, null], "b": {}}', "[]", " [ ] ", '"x"', "3", "[1,]", "{,}", '{"a"}', '{"a":}', "[1 2]", "[1]]", "", "[", '{"a":1', "[NaN]", "01", '{"a":1,"a":2}', "[[[]]]", '["\t"]']
+    for t in texts:
+        try:
+            want = json.loads(t, parse_constant=nested._no_constant)
+        except ValueError:
+            want = ValueError
+        try:
+            got = nested.parse_deep(t)
+        except ValueError:
+            got = ValueError
+        assert got == want, t
+
+
+def test_a_state_is_computed_once():
+    import time
+
+    v = {"x": 1}
+    for _ in range(100_000):
+        v = {"a": [v], "n": 2}
+    began = time.time()
+    assert len(nested.states(v)[1]) == 200_001 and time.time() - began < 5
+
+
+def test_member_names_that_are_data(spark, monkeypatch):
+    payloads = [json.dumps({f"k{i}": [{"n": i}], f"k{i + 1}": {"n": 2}, "lone": {"z": 1}}) for i in range(12)]
+    want = paths(spark, payloads)
+    monkeypatch.setattr(nested, "MAX_ARRAY_MEMBERS", 5)
+    assert paths(spark, payloads) == want and len(want) == 23
+
+
+def test_subtype_tables_hold_every_row(spark, tmp_path):
+    r = rows(spark, [json.dumps({"P": [{"Id": 1}, {"Id": "x", "Q": [{"v": 1.5}, {"v": None}]}]}), json.dumps({"P": {"Id": 3}})])
+    made = nested.subtype_tables(r, f"file://{tmp_path}/t", ["return_id"])
+    assert sum(t.count() for t in made.values()) == 5
+    assert {(k, dict(t.dtypes).get("Id")) for (k, s), t in made.items() if k == "$.P[]"} == {("$.P[]", "bigint"), ("$.P[]", "string")}
+    assert sorted(x.Id for (k, _), t in made.items() if k == "$.P[]" and dict(t.dtypes)["Id"] == "bigint" for x in t.collect()) == [1, 3]

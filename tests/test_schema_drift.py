@@ -57,3 +57,15 @@ def test_empty_and_null(spark, feed):
     assert sd.schema_changes(t.limit(0), c.limit(0), r.limit(0)).count() == 0
     nulls = spark.createDataFrame([(None, None, None, None, None)], T)
     assert sd.schema_changes(nulls.unionByName(t), c, r.unionByName(spark.createDataFrame([(1, 9, None), (1, 10, "[1]")], R))).count() == 7
+
+
+def test_a_feeds_table_has_typed_columns(spark, feed):
+    schema = [(r.column, r.target) for r in sd.feed_schemas(*feed).where("feed_id = 1").orderBy("column").collect()]
+    rows = sd.ingest_feeds(*feed)
+    t = sd.feed_table(rows, 1, schema)
+    kinds, got = dict(t.dtypes), {(r.file_no, r.row_no): r for r in t.collect()}
+    assert kinds["quantity"] == "bigint" and set(kinds) == {"file_no", "row_no", *[c for c, _ in schema]}
+    assert got[(2, 0)].quantity == 5 and got[(2, 0)].Place == "Rishpur" and got[(4, 0)].quantity is None and len(got) == 9
+    odd = spark.createDataFrame([(7, 1, 1, 0, {'a"b': 'x\n"y"', "row_no": "3"}, '{"a\\"b":"x\\n\\"y\\"","row_no":3}', "{}")], "feed_id bigint, file_no bigint, table_id bigint, row_no bigint, values map<string,string>, typed string, rescued string")
+    r = sd.feed_table(odd, 7, [('a"b', "string"), ("row_no", "int64")]).first()
+    assert r['a"b'] == 'x\n"y"' and r["row_no_2"] == 3
