@@ -12,6 +12,8 @@ from sparkloom.functions.text import strip
 INTEGER = r"^(0|-?[1-9][0-9]*)$"
 #: What Python reads as a whole number, whether or not it would write it so.
 INTEGER_LIKE = r"^[+-]?[0-9]+(_[0-9]+)*$"
+#: What may be a number at all; only such texts are looked at one by one.
+NUMBER_LIKE = r"(?i)^[+-]?([0-9][0-9_]*\.?[0-9_]*|\.[0-9_]+)(e[+-]?[0-9]+)?$|^[+-]?(inf|infinity|nan)$"
 
 
 def is_int(c: Column) -> Column:
@@ -57,7 +59,7 @@ def infer_types(cells: DataFrame) -> DataFrame:
     c = cells.select("table_name", "name", v.alias("v"))
     flags = c.select(
         "table_name", "name", "v", is_int(F.col("v")).alias("i"), parses_int(F.col("v")).alias("p"),
-        F.when(is_int(F.col("v")), True).otherwise(is_float(F.col("v"))).alias("f"), F.when(F.col("v").isNotNull(), F.col("v").try_cast("double").isNotNull()).alias("d"),
+        F.when(F.col("v").isNotNull(), is_int(F.col("v")) | F.coalesce(is_float(F.when(F.col("v").rlike(NUMBER_LIKE), F.col("v"))), F.lit(False))).alias("f"), F.when(F.col("v").isNotNull(), F.col("v").try_cast("double").isNotNull()).alias("d"),
     )
     agg = flags.groupBy("table_name", "name").agg(
         F.count("v").alias("n_values"), F.sum(F.col("v").isNull().cast("int")).alias("null_count"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.common import load
 from sparkloom.functions import text as T
+from sparkloom.plans import format_sql
 from sparkloom.operators import catalog, chunking, pages, routing, tables, vectors, versioning
 
 QUERIES: dict = {}
@@ -470,7 +471,7 @@ def citations(spark, d):
     return c.select("chunk_id", vectors.citation(F.col("client"), F.col("source_relpath"), F.col("unit_ref")).alias("citation")).distinct()
 
 
-@query()
+@query("SELECT DISTINCT chunk_id, substr(regexp_replace(regexp_replace(text, '" + format_sql._SPACES + "', ' ', 'g'), '^ | $', '', 'g'), 1, 300) AS snippet FROM chunks")
 def snippets(spark, d):
     return load(spark, d, "chunks").select("chunk_id", T.snippet(F.col("text")).alias("snippet")).distinct()
 
@@ -545,13 +546,36 @@ def format_doc(spark, d):
     return load(spark, d, "scopes").select("scope_id", pages.markdown_row(F.array("category", "client")).alias("md")).distinct()
 
 
-@query()
+_CELL = r"regexp_replace(replace(replace(coalesce({x}, ''), chr(92), chr(92) || chr(92)), '|', chr(92) || '|'), '\r\n|\r|\n', ' ', 'g')"
+_ROW = "'| ' || array_to_string(list_transform({r}, lambda c: " + _CELL.format(x="c") + "), ' | ') || ' |'"
+_TABLE = (
+    "array_to_string(list_concat([" + _ROW.format(r='t."columns"') + ", '| ' || array_to_string(list_transform(t.\"columns\", lambda c: '---'), ' | ') || ' |'], "
+    "list_transform(t.\"rows\", lambda r: " + _ROW.format(r="list_resize(r, len(t.\"columns\"), '')") + ")), chr(10))"
+)
+
+
+@query(f"""
+SELECT DISTINCT content_sha256, number, concat_ws(chr(10) || chr(10), '## Page ' || number, '_Page failed: ' || failure || '_', nullif(extraction.visible_text, ''),
+  nullif(array_to_string(list_transform(extraction.tables, lambda t: concat_ws(chr(10) || chr(10), '### ' || t.caption, {_TABLE})), chr(10) || chr(10)), ''),
+  '### Native text' || chr(10) || chr(10) || nullif(native_text, '')) AS md
+FROM vision_pages
+""")
 def vision_markdown(spark, d):
     v = load(spark, d, "vision_pages")
     return v.select("content_sha256", "number", pages.page_markdown(F.col("number"), F.col("extraction"), F.col("native_text"), F.col("failure")).alias("md")).dropDuplicates(["content_sha256", "number"])
 
 
-@query()
+_MISSING = ", ".join(f"CASE WHEN e.{k} IS NULL THEN '{k}' END" for k in pages.REPLY_KEYS)
+
+
+@query(f"""
+WITH v AS (SELECT content_sha256, number, extraction AS e FROM vision_pages),
+m AS (SELECT *, list_filter([{_MISSING}], lambda k: k IS NOT NULL) AS missing,
+        list_filter(list_transform(e.fields, lambda f: CASE WHEN f IS NULL OR f.label IS NULL OR f.value IS NULL THEN 'bad field' WHEN f.confidence NOT IN ('high', 'medium', 'low') THEN 'bad confidence' END), lambda x: x IS NOT NULL)[1] AS f_error,
+        list_filter(e.tables, lambda t: t IS NULL OR t."columns" IS NULL OR t."rows" IS NULL OR len(list_filter(t."rows", lambda r: r IS NULL)) > 0) AS t_bad FROM v)
+SELECT DISTINCT content_sha256, number, CASE WHEN e IS NULL THEN 'not JSON' WHEN len(missing) > 0 THEN 'missing ' || array_to_string(missing, ',') WHEN f_error IS NOT NULL THEN f_error WHEN len(t_bad) > 0 THEN 'bad table'
+  WHEN regexp_replace(e.visible_text, '{format_sql._SPACES}', '', 'g') = '' AND len(e.fields) = 0 AND len(e.tables) = 0 THEN 'no content' END AS error FROM m
+""")
 def reply_validate(spark, d):
     """Replies rebuilt from stored transcriptions; a null extraction has no reply."""
     v = load(spark, d, "vision_pages")
@@ -593,13 +617,23 @@ def infer_int(spark, d):
     return c.groupBy("name").agg(F.when(F.bool_and(tables.is_int(F.col("value"))), "int64").otherwise("string").alias("type"))
 
 
-@query()
+@query("SELECT p_partkey, v AS value, CAST(CAST(v AS DOUBLE) AS VARCHAR) = v AS round_trips FROM (SELECT p_partkey, printf('%.2f', p_retailprice) AS v FROM part)")
 def infer_float(spark, d):
     p = load(spark, d, "part").select("p_partkey", F.format_string("%.2f", "p_retailprice").alias("value"))
     return p.withColumn("round_trips", tables.is_float(F.col("value")))
 
 
-@query()
+@query(r"""
+WITH c AS (SELECT DISTINCT table_id, row_no, payload FROM raw_register WHERE payload IS NOT NULL),
+v AS (SELECT CAST(c.table_id AS VARCHAR) AS table_name, j.key AS name, nullif(regexp_replace(j.value ->> '$', '^\s+|\s+$', '', 'g'), '') AS v FROM c, json_each(c.payload) j),
+f AS (SELECT *, CASE WHEN v IS NOT NULL THEN regexp_full_match(v, '0|-?[1-9][0-9]*') AND try_cast(v AS BIGINT) IS NOT NULL END AS i, regexp_full_match(v, '[+-]?[0-9]+(_[0-9]+)*') AS p,
+             regexp_full_match(v, '[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?') AS d FROM v),
+g AS (SELECT *, i OR d AND CAST(try_cast(v AS DOUBLE) AS VARCHAR) = v AS r FROM f)
+SELECT table_name, name, count(v) AS n_values, count(*) - count(v) AS null_count,
+       CASE WHEN count(v) = 0 THEN 'string' WHEN bool_and(i) THEN 'int64' WHEN bool_and(r) THEN 'double' ELSE 'string' END AS type,
+       CASE WHEN count(v) = 0 OR bool_and(i) OR bool_and(r) THEN NULL WHEN bool_and(p) THEN 'integers that do not round-trip' WHEN bool_and(d) THEN 'numbers that do not round-trip' END AS rejected_reason
+FROM g GROUP BY 1, 2
+""")
 def column_profile(spark, d):
     """Types told from the delivered rows of every file."""
     from sparkloom.operators.schema_drift import register_cells

@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.common import load, work_path
+from sparkloom.plans import format_sql
 from sparkloom.sources import archives, corpus, detect, readers
 
 QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(format_sql.UNITS)
 
 
 def query(sql: str | None = None):
@@ -142,13 +143,38 @@ def plain_units(spark, d):
 @query()
 def pdf_pages(spark, d):
     p = readers.read_pages(_files(load(spark, d, "documents"), ".pdf", make_pdf))
-    return p.select("path", "number", "character_count", "image_coverage", "error_category")
+    return p.select("path", "number", "character_count", F.sha2("text", 256).alias("sha"), "image_coverage", "error_category")
 
 
 _KINDS = ((".docx", make_docx), (".pptx", make_pptx), (".html", make_html), (".eml", make_email), (".rtf", make_rtf), (".txt", lambda t: t.encode()), (".pdf", make_pdf), (".gz", lambda t: gzip.compress(t.encode(), mtime=0)), (".png", lambda t: b"\x89PNG\r\n\x1a\n" + t.encode()))
 
 
-@query()
+_BY_TURNS = ("word_ooxml", "presentation_ooxml", "html", "email", "rtf", "", "pdf", "archive_gzip", "image")
+_TOLD = ("container", "container", "text", "text", "signature", "text", "signature", "signature", "signature")
+_SUBTYPES = ("docx", "pptx", None, None, "rtf", "", "pdf", "gzip", "png")
+_EXPECTED = ("'.docx'", "'.pptx'", "'.html'", "'.eml'", "'.rtf'", "", "'.pdf'", "'.gz'", "'.png'")
+
+
+def _case(values, quote=True) -> str:
+    return "CASE doc_id % 9 " + " ".join(f"WHEN {k} THEN " + ("NULL" if v is None else f"'{v}'" if quote else v) for k, v in enumerate(values) if v != "") + " END"
+
+
+@query(rf"""
+WITH t AS (SELECT doc_id, text, regexp_replace(text, '^[\x{{feff}} \t\r\n]+', '') AS s FROM documents WHERE text IS NOT NULL),
+l AS (SELECT *, lower(substr(s, 1, 512)) AS head, list_filter(regexp_split_to_array(s, '\r\n|\r|\n')[1:8], lambda x: trim(x, ' ') <> '') AS ls FROM t),
+d AS (SELECT *, list_filter([',', ';', chr(9), '|'], lambda c: len(ls) >= 2 AND list_min(list_transform(ls, lambda x: length(x) - length(replace(x, c, '')))) >= 1
+             AND list_min(list_transform(ls, lambda x: length(x) - length(replace(x, c, '')))) = list_max(list_transform(ls, lambda x: length(x) - length(replace(x, c, ''))))) AS ds FROM l),
+p AS (SELECT *, CASE WHEN text = '' THEN 'empty' WHEN s = '' THEN 'plain_text' WHEN regexp_matches(s, '^[{{\[]') AND json_valid(s) THEN 'json'
+        WHEN starts_with(s, '<') THEN CASE WHEN starts_with(head, '<!doctype html') OR contains(head, '<html') THEN 'html' ELSE 'xml' END
+        WHEN regexp_matches(head, '^(from|received|return-path|message-id):') THEN 'email' WHEN len(ds) > 0 THEN 'delimited_text' ELSE 'plain_text' END AS own FROM d),
+f AS (SELECT *, CASE WHEN doc_id % 9 = 5 THEN own ELSE {_case(_BY_TURNS)} END AS family FROM p)
+SELECT doc_id || CASE WHEN doc_id % 10 = 0 THEN '.pdf' WHEN doc_id % 9 = 5 THEN '.txt' ELSE {_case(_EXPECTED, False)} END AS path, family,
+       CASE WHEN family = 'empty' THEN 'signature' ELSE {_case(_TOLD)} END AS confidence,
+       CASE WHEN doc_id % 9 <> 5 THEN {_case(_SUBTYPES)} WHEN family = 'delimited_text' THEN 'delimiter=' || chr(39) || replace(ds[1], chr(9), chr(92) || 't') || chr(39) END AS subtype,
+       CASE WHEN doc_id % 10 = 0 THEN family NOT IN ('pdf', 'plain_text', 'delimited_text', 'empty') ELSE doc_id % 9 = 5 AND family IN ('json', 'html', 'xml', 'email') END AS extension_conflict,
+       CASE WHEN doc_id % 9 IN (2, 3) OR doc_id % 9 = 5 AND family <> 'empty' THEN 'utf-8' END AS encoding
+FROM f
+""")
 def format_detect(spark, d):
     """Documents written in nine formats by turns, every tenth under a wrong extension, then detected."""
 
@@ -179,10 +205,18 @@ def archive_members(spark, d):
 
 
 _REGISTER = """
-SELECT table_id || '{suffix}' AS path, sum(n) AS n_cells FROM (SELECT table_id, row_no, len(json_keys(any_value(payload))) AS n FROM raw_register GROUP BY 1, 2) GROUP BY 1
+WITH r AS (SELECT table_id, row_no, any_value(payload) AS payload FROM raw_register GROUP BY 1, 2),
+c AS (SELECT r.table_id, r.row_no, j.id AS position, j.value ->> '$' AS v FROM r, json_each(r.payload) j WHERE r.payload IS NOT NULL)
+SELECT table_id || '{suffix}' AS path, count(*) AS n_cells, sha256(string_agg(coalesce(v, '-'), chr(10) ORDER BY row_no, position)) AS sha FROM c GROUP BY 1
 """
 
 
+def _contents(cells: DataFrame) -> DataFrame:
+    """Number of cells of each file and the hash of their texts, row by row."""
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("row_no", "position", "text"))), lambda x: x["text"])
+    return cells.groupBy("path").agg(F.count("text").alias("n_cells"), F.sha2(F.array_join(ordered, "\n"), 256).alias("sha"))
+
+
 def _register_rows(spark, d) -> DataFrame:
     r = load(spark, d, "raw_register").dropDuplicates(["table_id", "row_no"])
     cells = F.from_json("payload", "map<string,string>")
@@ -205,19 +239,32 @@ def make_csv(rows: list[list[str]]) -> bytes:
     return out.getvalue().encode()
 
 
-@query(_REGISTER.format(suffix=".csv").replace("sum(n)", "CAST(sum(n) AS BIGINT)"))
+@query(_REGISTER.replace("{suffix}", ".csv"))
 def csv_rows(spark, d):
     f = _tables(spark, d, ".csv", make_csv).withColumn("family", F.lit("delimited_text"))
-    return readers.read_cells(f).groupBy("path").agg(F.count("text").alias("n_cells"))
+    return _contents(readers.read_cells(f))
 
 
-@query(_REGISTER.format(suffix=".xlsx").replace("sum(n)", "CAST(sum(n) AS BIGINT)"))
+@query(_REGISTER.replace("{suffix}", ".xlsx"))
 def xlsx_cells(spark, d):
     f = _tables(spark, d, ".xlsx", make_xlsx).withColumn("family", F.lit("spreadsheet_ooxml"))
-    return readers.read_cells(f).groupBy("path").agg(F.count("text").alias("n_cells"))
-
-
-@query()
+    return _contents(readers.read_cells(f))
+
+
+@query("""
+WITH RECURSIVE f AS (SELECT return_id, any_value(payload) AS payload FROM raw_returns GROUP BY 1),
+ok AS (SELECT return_id, CAST(payload AS JSON) AS v FROM f WHERE payload IS NOT NULL AND json_valid(payload)),
+n AS (
+  SELECT return_id, CAST(j.key AS VARCHAR) AS top, j.id AS pos, CAST(j.key AS VARCHAR) AS path, j.value AS v FROM ok, json_each(ok.v) j
+  UNION ALL
+  SELECT n.return_id, n.top, n.pos, n.path || '.' || j.key, j.value FROM n, json_each(n.v) j WHERE json_type(n.v) IN ('OBJECT', 'ARRAY')
+),
+leaves AS (SELECT *, CASE WHEN json_type(v) IN ('OBJECT', 'ARRAY') THEN '(empty)' WHEN json_type(v) = 'NULL' THEN '' WHEN json_type(v) = 'DOUBLE' THEN CAST(CAST(v ->> '$' AS DOUBLE) AS VARCHAR) ELSE v ->> '$' END AS t
+           FROM n WHERE NOT (json_type(v) = 'OBJECT' AND len(json_keys(v)) > 0) AND NOT (json_type(v) = 'ARRAY' AND json_array_length(v) > 0)),
+units AS (SELECT return_id, top, pos, sum(length(path) + 2 + length(t)) + count(*) - 1 AS chars FROM leaves GROUP BY 1, 2, 3)
+SELECT return_id || '.json' AS path, 'field_path' AS unit_type, top AS unit_ref, CAST(row_number() OVER (PARTITION BY return_id ORDER BY pos) - 1 AS INTEGER) AS sequence, CAST(chars AS INTEGER) AS chars, NULL AS error_category FROM units
+UNION ALL SELECT return_id || '.json', NULL, NULL, NULL, NULL, 'CORRUPT_FILE' FROM f WHERE payload IS NULL OR NOT json_valid(payload)
+""")
 def json_units(spark, d):
     r = load(spark, d, "raw_returns").dropDuplicates(["return_id"])
     f = r.select(F.concat(F.col("return_id").cast("string"), F.lit(".json")).alias("path"), F.lit("json").alias("family"), F.col("payload").cast("binary").alias("content"))
@@ -225,13 +272,14 @@ def json_units(spark, d):
     return u.select("path", "unit_type", "unit_ref", "sequence", F.length("text").alias("chars"), "error_category")
 
 
-@query("SELECT s_suppkey || '.xml' AS path, 'supplier.name: ' || s_name AS line FROM supplier")
+@query("""
+SELECT s_suppkey || '.xml' AS path, unnest(['supplier.@key: ' || s_suppkey, 'supplier.name: ' || s_name, 'supplier.acct: ' || CAST(s_acctbal AS VARCHAR)]) AS line FROM supplier
+""")
 def xml_paths(spark, d):
     s = load(spark, d, "supplier")
     xml = F.format_string('<supplier key="%d"><name>%s</name><acct>%s</acct></supplier>', "s_suppkey", "s_name", F.col("s_acctbal").cast("string"))
     f = s.select(F.concat(F.col("s_suppkey").cast("string"), F.lit(".xml")).alias("path"), F.lit("xml").alias("family"), xml.cast("binary").alias("content"))
-    u = readers.read_units(f).select("path", F.explode(F.split("text", "\n")).alias("line"))
-    return u.where("line like 'supplier.name: %'")
+    return readers.read_units(f).select("path", F.explode(F.split("text", "\n")).alias("line"))
 
 
 @query()

@@ -115,7 +115,37 @@ FROM q LEFT JOIN settled s ON q.scope_id = s.scope_id AND q.content_hexdigest =
 WHERE s.scope_id IS NULL
 """
 
+_AS_ARRAY = """CASE WHEN json_type({v}) = 'VARCHAR' AND starts_with(ltrim({v} ->> '$', chr(32) || chr(9) || chr(10) || chr(13)), '[') AND json_valid({v} ->> '$') THEN CAST({v} ->> '$' AS JSON) ELSE {v} END"""
+
+#: Every object in an array: first the names of all members that hold an array, then the walk with lone objects under such names as arrays of one.
+_P5 = f"""
+WITH RECURSIVE src AS (SELECT DISTINCT return_id, CAST(payload AS JSON) AS v FROM raw_returns WHERE payload IS NOT NULL AND json_valid(payload)),
+n AS (
+  SELECT return_id, '$' AS name, {_AS_ARRAY.format(v='v')} AS v FROM src
+  UNION ALL
+  SELECT n.return_id, CASE WHEN json_type(n.v) = 'OBJECT' THEN CAST(j.key AS VARCHAR) ELSE n.name END, {_AS_ARRAY.format(v='j.value')}
+  FROM n, json_each(n.v) j WHERE json_type(n.v) IN ('OBJECT', 'ARRAY')
+),
+arrays AS (SELECT coalesce(list(DISTINCT name), []) AS names FROM n WHERE json_type(v) = 'ARRAY'),
+r AS (
+  SELECT return_id, '$' AS name, '$' AS path, '$' AS parent, false AS element, {_AS_ARRAY.format(v='v')} AS v FROM src
+  UNION ALL
+  SELECT return_id, name, path, parent, element, v FROM (
+    SELECT b.return_id, CASE WHEN b.kind = 'OBJECT' THEN CAST(j.key AS VARCHAR) ELSE b.name END AS name,
+           CASE WHEN b.kind = 'OBJECT' THEN b.own || '.' || j.key ELSE b.path || '[' || j.key || ']' END AS path,
+           CASE WHEN b.is_row THEN b.own ELSE b.parent END AS parent, b.kind = 'ARRAY' AS element, {_AS_ARRAY.format(v='j.value')} AS v
+    FROM (SELECT r.*, json_type(r.v) AS kind, json_type(r.v) = 'OBJECT' AND (r.element OR r.name <> '$' AND list_contains(arrays.names, r.name)) AS is_row,
+                 r.path || CASE WHEN json_type(r.v) = 'OBJECT' AND NOT r.element AND r.name <> '$' AND list_contains(arrays.names, r.name) THEN '[0]' ELSE '' END AS own
+          FROM r, arrays WHERE json_type(r.v) IN ('OBJECT', 'ARRAY')) b, json_each(b.v) j
+  )
+)
+SELECT DISTINCT r.return_id, r.path || CASE WHEN r.element THEN '' ELSE '[0]' END AS child_path, r.parent AS parent_path
+FROM r, arrays WHERE json_type(r.v) = 'OBJECT' AND (r.element OR r.name <> '$' AND list_contains(arrays.names, r.name))
+"""
+
 ORACLES = {
+    "p5_found": _P5,
     "p4_found": _P4.replace("{extra}", ""),
     "p4_pending_after_more_runs": _P4.replace("{extra}", ", q.wanted AS route_fingerprint"),
+    "p5_rejected": "SELECT DISTINCT return_id FROM raw_returns WHERE payload IS NULL OR NOT json_valid(payload)",
 }
