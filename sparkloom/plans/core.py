@@ -295,7 +295,20 @@ def version_ids(spark, d):
     return v.withColumn("parsed", versioning.ordinal_of(F.col("version")))
 
 
-@query()
+_FIELD = "CASE WHEN {c} IS NOT NULL THEN '\"{c}\":' || CAST(to_json({c}) AS VARCHAR) END"
+_LINE = "'{' || concat_ws(',', " + ", ".join(_FIELD.format(c=c) for c in ("content_hexdigest", "route", "route_fingerprint", "version_id", "run_ordinal", "status", "source_paths")) + ") || '}'"
+_NODE = "sha256(string_agg(h, chr(10) ORDER BY h))"
+
+
+@query(f"""
+WITH e AS (SELECT DISTINCT * FROM manifest_entries),
+l0 AS (SELECT scope_id, content_hexdigest AS b, {_LINE} AS h FROM e),
+l1 AS (SELECT scope_id, b, {_NODE} AS h, count(*) AS n FROM l0 GROUP BY 1, 2),
+l2 AS (SELECT scope_id, substr(b, 1, 5) AS b, {_NODE} AS h, sum(n) AS n FROM l1 GROUP BY 1, 2),
+l3 AS (SELECT scope_id, substr(b, 1, 3) AS b, {_NODE} AS h, sum(n) AS n FROM l2 GROUP BY 1, 2),
+l4 AS (SELECT scope_id, substr(b, 1, 1) AS b, {_NODE} AS h, sum(n) AS n FROM l3 GROUP BY 1, 2)
+SELECT scope_id, CAST(sum(n) AS BIGINT) AS n_entries, {_NODE} AS body_sha256 FROM l4 GROUP BY 1
+""")
 def manifest_seal(spark, d):
     return versioning.seal_body(load(spark, d, "manifest_entries").dropDuplicates())
 
@@ -438,7 +451,17 @@ def heading_units(spark, d):
     return chunking.heading_units(lines).select("doc_id", "unit_no", "heading", "n_lines", F.sha2("text", 256).alias("sha"))
 
 
-@query()
+@query("""
+WITH RECURSIVE l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS ord FROM documents WHERE text IS NOT NULL),
+k AS (SELECT doc_id, ord, lower(substr(line, 1, 1)) AS key, length(line) AS n FROM l),
+g AS (
+  SELECT doc_id, ord, 0 AS unit_no, key, n AS chars FROM k WHERE ord = 0
+  UNION ALL
+  SELECT k.doc_id, k.ord, CASE WHEN g.key = k.key AND g.chars + k.n <= 400 THEN g.unit_no ELSE g.unit_no + 1 END, k.key, CASE WHEN g.key = k.key AND g.chars + k.n <= 400 THEN g.chars + k.n ELSE k.n END
+  FROM g JOIN k ON k.doc_id = g.doc_id AND k.ord = g.ord + 1
+)
+SELECT doc_id, CAST(unit_no AS INTEGER) AS unit_no, key, CAST(min(ord) AS INTEGER) AS first, CAST(max(ord) AS INTEGER) AS last, CAST(max(chars) AS INTEGER) AS chars FROM g GROUP BY 1, 2, 3
+""")
 def unit_split(spark, d):
     """Lines of a text as entries keyed by their first letter, cut into units of at most 400 characters."""
     docs = load(spark, d, "documents").where("text is not null")
