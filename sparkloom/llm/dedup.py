@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.common import cut, work_path
@@ -94,6 +94,7 @@ class Signer:
         self.poly = rng.integers(1, 2**63, SHINGLE, dtype=np.uint64) | np.uint64(1)
         self.place = rng.integers(1, 2**63, PLACES, dtype=np.uint64)
         self.seen: dict[str, int] = {}
+        self.placed: dict[int, np.ndarray] = {}
 
     def _words(self, text: str) -> list[str]:
         if not text.isascii():
@@ -123,36 +124,53 @@ class Signer:
         """As sequence, with the numbers in their places."""
         return np.array([xxhash.xxh32_intdigest(w.translate(_FOLD)) for w in self._words(text)], dtype=np.uint32)
 
-    def _minima(self, tokens: np.ndarray, of: slice) -> np.ndarray:
+    def _minima(self, low: np.ndarray, of: slice) -> np.ndarray:
         mul, add = self.mul[of], self.add[of]
-        tokens = tokens ^ tokens >> np.uint64(31)
-        low = (tokens * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)).astype(np.uint32)
-        best = np.full(len(mul), 2**32 - 1, dtype=np.uint32)
-        for at in range(0, len(low), 1024):
-            part = low[at : at + 1024, None] * mul
+        if len(low) <= 1024:
+            part = low[:, None] * mul
             part += add
-            np.minimum(best, part.min(axis=0), out=best)
-        return best
+            return part.min(axis=0)
+        return np.minimum.reduce([self._minima(low[at : at + 1024], of) for at in range(0, len(low), 1024)])
+
+    def _place(self, n: int) -> np.ndarray:
+        """What the place of each of n words adds to its token."""
+        if (got := self.placed.get(n)) is None:
+            if len(self.placed) > 5000:
+                self.placed.clear()
+            got = self.placed[n] = self.place[np.arange(n) * PLACES // n]
+        return got
 
     def keys(self, words: np.ndarray, salt: int) -> np.ndarray:
-        """One key for each band: salt (the scope), band number and the band's minima. words: hashes of 16 bits or more, at least one."""
-        x = words.astype(np.uint64)
-        n = len(x)
-        tokens = x * self.poly[0] + self.place[np.arange(n) * PLACES // n]
-        minima = [self._minima(tokens, slice(SHINGLE_BANDS * ROWS, None))]
-        first = SHINGLE_BANDS
-        if n >= SHINGLE:
-            tokens = np.zeros(n - SHINGLE + 1, dtype=np.uint64)
-            for i in range(SHINGLE):
-                tokens = tokens * np.uint64(0x9E3779B97F4A7C15) + x[i : n - SHINGLE + 1 + i] * self.poly[i]
-            minima.insert(0, self._minima(tokens, slice(0, SHINGLE_BANDS * ROWS)))
-            first = 0
-        m = np.concatenate(minima).reshape(-1, ROWS).astype(np.uint64)
-        k = np.full(len(m), salt & 0xFFFFFFFFFFFFFFFF, np.uint64) + np.arange(first, BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        """One key for each band of one text."""
+        return self.all_keys([words], [salt])[0]
+
+    def all_keys(self, texts: list[np.ndarray], salts: list[int]) -> list[np.ndarray]:
+        """One key for each band: salt (the scope), band number and the band's minima. Texts: words' hashes of 16 bits or more, at least one; fewer than SHINGLE words have no shingle bands."""
+        if not texts:
+            return []
+        mix = lambda t: ((t ^ t >> np.uint64(31)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)).astype(np.uint32)
+        x = np.concatenate(texts).astype(np.uint64)
+        places = mix(x * self.poly[0] + np.concatenate([self._place(len(t)) for t in texts]))
+        # Shingles of all texts in one row; those that run from one text into the next are not used.
+        shingles, last = np.zeros(max(0, len(x) - SHINGLE + 1), dtype=np.uint64), len(x) - SHINGLE + 1
+        for i in range(SHINGLE if last > 0 else 0):
+            shingles = shingles * np.uint64(0x9E3779B97F4A7C15) + x[i : last + i] * self.poly[i]
+        shingles = mix(shingles)
+        minima, at = np.zeros((len(texts), BANDS * ROWS), np.uint64), 0
+        for k, t in enumerate(texts):
+            end = at + len(t)
+            minima[k, SHINGLE_BANDS * ROWS :] = self._minima(places[at:end], slice(SHINGLE_BANDS * ROWS, None))
+            if len(t) >= SHINGLE:
+                minima[k, : SHINGLE_BANDS * ROWS] = self._minima(shingles[at : end - SHINGLE + 1], slice(0, SHINGLE_BANDS * ROWS))
+            at = end
+        m = minima.reshape(len(texts), BANDS, ROWS)
+        salted = np.array([v & 0xFFFFFFFFFFFFFFFF for v in salts], np.uint64)
+        out = salted[:, None] + np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         for r in range(ROWS):
-            k = (k ^ m[:, r]) * np.uint64(0xFF51AFD7ED558CCD)
-            k ^= k >> np.uint64(32)
-        return k.view(np.int64)
+            out = (out ^ m[:, :, r]) * np.uint64(0xFF51AFD7ED558CCD)
+            out ^= out >> np.uint64(32)
+        own = out.view(np.int64)
+        return [own[k] if len(t) >= SHINGLE else own[k, SHINGLE_BANDS:] for k, t in enumerate(texts)]
 
 
 def common_in_order(a: np.ndarray, b: np.ndarray) -> int:
@@ -269,18 +287,18 @@ def band(entries: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = Signer()
         for b in batches:
-            ids, salts = b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_pylist()
-            keys, size, n = [], [], []
-            for salt, packed in zip(salts, b.column(2).to_pylist(), strict=True):
-                of = 0
+            salts, of, texts, own = b.column(1).to_pylist(), [], [], []
+            for i, packed in enumerate(b.column(2).to_pylist()):
                 for numbers, words in enumerate(_unpacked(packed)):
                     if len(words):
-                        keys.append(signer.keys(words, salt + numbers * 0x5851F42D4C957F2D))
-                        of += len(keys[-1])
-                        n.append(np.full(len(keys[-1]), len(words), np.int32))
-                size.append(of)
+                        of.append(i)
+                        texts.append(words)
+                        own.append(salts[i] + numbers * 0x5851F42D4C957F2D)
+            keys = signer.all_keys(texts, own)
+            size = [len(k) for k in keys]
+            ids = b.column(0).to_numpy(zero_copy_only=False)[np.array(of, np.int64)]
             flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-            lengths = np.concatenate(n) if n else np.zeros(0, np.int32)
+            lengths = np.repeat(np.array([len(t) for t in texts], np.int32), size) if keys else np.zeros(0, np.int32)
             yield pa.RecordBatch.from_pydict({"key": pa.array(flat, pa.int64()), "doc_id": pa.array(np.repeat(ids, size), pa.int64()), "n": pa.array(lengths, pa.int32())})
 
     return entries.select("doc_id", "scope_key", "words").mapInArrow(run, "key bigint, doc_id bigint, n int")
@@ -348,10 +366,12 @@ class HistoryIndex:
         own = self.entries().where(F.col("batch_no") == batch).join(self.representatives(batch).select("doc_id"), "doc_id", "left_semi")
         fresh = band(own).repartition(self.buckets, "key")
         leaders = self.keys().where((F.col("batch_no") < batch) & (F.col("standing") == LEADER)).select("key", F.col("doc_id").alias("a"), F.col("n").alias("n_a"))
-        met = fresh.join(leaders.hint("shuffle_hash"), "key", "left")
-        first = F.min("doc_id").over(Window.partitionBy("key"))
-        met = met.withColumn("standing", F.when(F.col("a") > F.col("doc_id"), EARLIER).when(F.col("a").isNotNull() | (first < F.col("doc_id")), FOLLOWER).otherwise(LEADER))
-        met.select("key", "doc_id", "n", "a", "n_a", F.lit(batch).alias("batch_no"), "standing").write.insertInto(self.keys_table)
+        # One row a key on the batch's side: that is what is held in memory, never a hot key's many rows nor the history.
+        firsts = fresh.groupBy("key").agg(F.min("doc_id").alias("first"))
+        met = firsts.hint("shuffle_hash").join(leaders, "key", "left")
+        rows = fresh.join(met.hint("shuffle_hash"), "key")
+        standing = F.when(F.col("a") > F.col("doc_id"), EARLIER).when(F.col("a").isNotNull() | (F.col("first") < F.col("doc_id")), FOLLOWER).otherwise(LEADER)
+        rows.select("key", "doc_id", "n", "a", "n_a", F.lit(batch).alias("batch_no"), standing.alias("standing")).write.insertInto(self.keys_table)
 
     def probe(self, batch: int) -> DataFrame:
         """(b, a): the smallest id of an earlier batch that each text of a batch repeats, for those that repeat one. b: its representative."""
