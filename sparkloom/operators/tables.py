@@ -48,25 +48,37 @@ def is_float(c: Column) -> Column:
     return check(c)
 
 
-def infer_types(cells: DataFrame) -> DataFrame:
-    """(table_name, name, n_values, null_count, type, rejected_reason) of columns of text cells (table_name, name, value).
-
-    Blank values are null in every type. Order: empty, whole number, number,
-    text. A column whose values read as numbers but are not written as such
-    stays text and says why.
+def infer_types(cells: DataFrame, infer: bool = True) -> DataFrame:
+    """(table_name, name, n_values, null_count, type, rejected_reason) of columns of cells (table_name, name, value and, if there is one, native_kind).
+
+    Blank values are null in every type. native_kind is what the file says a
+    value is: number, bool, date or text (null and anything else count as
+    text). Order: inference disabled, empty, whole numbers, numbers, bool,
+    date, mixed kinds, text. Text becomes a number only if every value is
+    written as that number would be written; a column whose values read as
+    numbers but are not written as such stays text and says why.
     """
     v = F.when(strip(F.col("value")) == "", None).otherwise(strip(F.col("value")))
-    c = cells.select("table_name", "name", v.alias("v"))
+    native = F.col("native_kind") if "native_kind" in cells.columns else F.lit("text")
+    native = F.when(native.isin("number", "bool", "date"), native).otherwise("text")
+    c = cells.select("table_name", "name", v.alias("v"), native.alias("k"))
     flags = c.select(
-        "table_name", "name", "v", is_int(F.col("v")).alias("i"), parses_int(F.col("v")).alias("p"),
-        F.when(F.col("v").isNotNull(), is_int(F.col("v")) | F.coalesce(is_float(F.when(F.col("v").rlike(NUMBER_LIKE), F.col("v"))), F.lit(False))).alias("f"), F.when(F.col("v").isNotNull(), F.col("v").try_cast("double").isNotNull()).alias("d"),
+        "table_name", "name", "v", F.when(F.col("v").isNotNull(), F.col("k")).alias("k"), is_int(F.col("v")).alias("i"), parses_int(F.col("v")).alias("p"),
+        F.when(F.col("v").isNotNull(), is_int(F.col("v")) | F.coalesce(is_float(F.when(F.col("v").rlike(NUMBER_LIKE), F.col("v"))), F.lit(False))).alias("f"),
+        F.when(F.col("v").isNotNull(), F.col("v").try_cast("double").isNotNull()).alias("d"),
+        F.when(F.col("v").isNotNull(), F.col("v").try_cast("timestamp_ntz").isNotNull()).alias("t"),
     )
     agg = flags.groupBy("table_name", "name").agg(
         F.count("v").alias("n_values"), F.sum(F.col("v").isNull().cast("int")).alias("null_count"),
         F.bool_and("i").alias("i"), F.bool_and("p").alias("p"), F.bool_and("f").alias("f"), F.bool_and("d").alias("d"),
+        F.bool_and("t").alias("t"), F.min("k").alias("k0"), F.max("k").alias("k1"),
+    )
+    one = F.when(F.col("k0") == F.col("k1"), F.col("k0"))
+    kind = (
+        F.when(F.lit(not infer) | (F.col("n_values") == 0), "string").when(F.col("i") & one.isin("number", "text"), "int64").when(F.col("d") & (one == "number"), "double")
+        .when(one == "bool", "bool").when((one == "date") & F.col("t"), "timestamp").when(one.isNull(), "string").when(F.col("f"), "double").otherwise("string")
     )
-    kind = F.when(F.col("n_values") == 0, "string").when(F.col("i"), "int64").when(F.col("f"), "double").otherwise("string")
-    reason = F.when((kind == "string") & F.col("p"), "integers that do not round-trip").when((kind == "string") & F.col("d"), "numbers that do not round-trip")
+    reason = F.when(F.lit(not infer), "inference disabled").when((F.col("n_values") > 0) & one.isNull(), "mixed kinds").when((one == "date") & ~F.col("t"), "times without a day").when((kind == "string") & F.col("p"), "integers that do not round-trip").when((kind == "string") & F.col("d"), "numbers that do not round-trip")
     return agg.select("table_name", "name", "n_values", "null_count", kind.alias("type"), reason.alias("rejected_reason"))
 
 
@@ -95,7 +107,7 @@ def column_names(labels: list[str]) -> list[str]:
 def coerce(c: Column, kind: str) -> Column:
     """A text in its column's type; blank is null, and no value is lost: what does not cast stays text by the profile's choice of type."""
     v = F.when(strip(c) == "", None).otherwise(strip(c))
-    return {"int64": v.try_cast("bigint"), "double": v.try_cast("double")}.get(kind, v)
+    return {"int64": v.try_cast("bigint"), "double": v.try_cast("double"), "bool": v.try_cast("boolean"), "timestamp": v.try_cast("timestamp_ntz")}.get(kind, v)
 
 
 def typed_table(cells: DataFrame, types: dict[str, str], keys: list[str]) -> DataFrame:
@@ -116,10 +128,3 @@ def key_jaccard(records: DataFrame) -> DataFrame:
     return sets.withColumn("p", pairs).where(F.size("p") > 0).select(
         "group_id", F.size("p").cast("bigint").alias("n_pairs"), F.round(F.aggregate("p", F.lit(0.0), lambda x, y: x + y) / F.size("p"), 9).alias("mean_jaccard")
     )
-
-
-def is_collection(elements: Column) -> Column:
-    """Whether an array of objects' member counts (struct n_members, n_scalars) is a table: three or more, seven in ten members scalar."""
-    members = F.aggregate(elements, F.lit(0), lambda s, x: s + x["n_members"])
-    scalars = F.aggregate(elements, F.lit(0), lambda s, x: s + x["n_scalars"])
-    return (F.size(elements) >= 3) & (scalars >= 0.7 * members)

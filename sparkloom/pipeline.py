@@ -62,7 +62,7 @@ def run(spark: SparkSession, root: str, scopes: DataFrame | None = None, whole_c
     large = large.select("path", F.lit("CONTENT_TOO_LARGE").alias("error_category"), F.lit(f"more than {limit} bytes; identified and recorded, not read").alias("error_message"))
     work = work.where("content is not null")
     units = cut(readers.read_units(work.where(F.col("route").isin("text_extract", "structured"))), "run-units")
-    cells = cut(readers.read_cells(work.where("route = 'tabular_parquet'")), "run-cells")
+    cells = cut(readers.read_cells(work.where("route in ('tabular_parquet', 'structured')")), "run-cells")
     read = readers.read_pages(work.where("route = 'pdf_text'"))
     pages = cut(read.withColumn("kind", F.when(F.col("error_category").isNull(), page_ops.page_kind(F.col("character_count"), F.col("image_coverage")))), "run-pages")
     seen = cut(_transcribed(pages.where(F.col("kind").isin("scanned", "mixed")), work, vision), "run-vision")

@@ -11,6 +11,7 @@ import re
 import zipfile
 import zlib
 from collections.abc import Callable, Iterator
+from datetime import datetime, timedelta
 from html.parser import HTMLParser
 from xml.etree import ElementTree
 
@@ -275,6 +276,60 @@ def read_structured(raw: bytes, xml: bool = False) -> list[Unit]:
     return out
 
 
+# What makes an array of a structured file a table.
+LEAST_ELEMENTS, OBJECT_SHARE, KEY_LIKENESS, KEY_SETS, SCALAR_SHARE, MOST_DEPTH = 3, 0.9, 0.8, 50, 0.7, 2
+
+
+def _depth(v) -> int:
+    """Levels of containers in a value, told without recursion; 0 for a scalar."""
+    level, deep = [v], 0
+    while level := [x for x in level if isinstance(x, (dict, list))]:
+        deep += 1
+        level = [y for x in level for y in (x.values() if isinstance(x, dict) else x)]
+    return deep
+
+
+def is_collection(value) -> bool:
+    """Whether an array is a table: enough elements, nearly all objects, with much the same members, most of them scalar, nested little."""
+    if not isinstance(value, list) or len(value) < LEAST_ELEMENTS:
+        return False
+    rows = [x for x in value if isinstance(x, dict)]
+    if len(rows) < OBJECT_SHARE * len(value):
+        return False
+    sets = [frozenset(r) for r in rows[:KEY_SETS]]
+    pairs = [len(a & b) / max(1, len(a | b)) for i, a in enumerate(sets) for b in sets[i + 1 :]]
+    if pairs and sum(pairs) / len(pairs) < KEY_LIKENESS:
+        return False
+    members = [v for r in rows for v in r.values()]
+    if sum(not isinstance(v, (dict, list)) for v in members) < SCALAR_SHARE * len(members):
+        return False
+    return all(_depth(r) <= MOST_DEPTH for r in rows)
+
+
+def collections(value) -> Iterator[tuple[str, list[dict]]]:
+    """(dotted path, objects) of every array in a value that is a table, outermost first; what lies inside a table is part of its rows."""
+    todo = [("", value)]
+    while todo:
+        path, v = todo.pop()
+        if is_collection(v):
+            yield path or "records", [x for x in v if isinstance(x, dict)]
+        elif isinstance(v, (dict, list)):
+            pairs = v.items() if isinstance(v, dict) else enumerate(v)
+            todo.extend(reversed([(f"{path}.{k}" if path else str(k), x) for k, x in pairs]))
+
+
+def read_collections(raw: bytes, xml: bool = False) -> list[Cell]:
+    """Cells of the tables in a structured file: a row of names (dotted, as they first occur), then a row for each object."""
+    value = parse_xml(raw)[0] if xml else json.loads(_decoded(raw))
+    out: list[Cell] = []
+    for name, rows in collections(value):
+        flat = [flatten_record(r) for r in rows]
+        columns = list(dict.fromkeys(k for r in flat for k in r))
+        out.extend((name, 0, i, c, "text") for i, c in enumerate(columns))
+        out.extend((name, n, i, r.get(c, ""), "text") for n, r in enumerate(flat, 1) for i, c in enumerate(columns))
+    return out
+
+
 def flatten_record(record) -> dict[str, str]:
     """A record's leaves by dotted key; a scalar is ``value``."""
     return dict(walk_paths(record)) if isinstance(record, (dict, list)) else {"value": next(walk_paths(record))[1]}
@@ -313,10 +368,54 @@ def _column(ref: str) -> int:
     return n - 1
 
 
+# Numbers of the built-in formats for dates and times.
+DATE_FORMATS = frozenset((*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)))
+_LITERAL = re.compile(r'"[^"]*"|\[[^\]]*\]|\\.|_.|\*.')
+
+
+def _is_date_format(code: str) -> bool:
+    """A number format with letters of dates or times outside its literal parts."""
+    return re.search(r"[dmyhs]", _LITERAL.sub("", code.split(";")[0]), re.I) is not None and "general" not in code.lower()
+
+
+def _date_styles(z: zipfile.ZipFile, names: list[str]) -> set[int]:
+    """Numbers of the cell styles whose format is a date or time."""
+    if "xl/styles.xml" not in names:
+        return set()
+    root = _part(z, "xl/styles.xml")
+    codes = {int(e.attrib["numFmtId"]): e.attrib.get("formatCode", "") for e in root.iter() if _local(e.tag) == "numFmt"}
+    styles = next((e for e in root if _local(e.tag) == "cellXfs"), ())
+    ids = [int(e.attrib.get("numFmtId", 0)) for e in styles]
+    return {k for k, i in enumerate(ids) if (_is_date_format(codes[i]) if i in codes else i in DATE_FORMATS)}
+
+
+def serial_date(value: str, epoch_1904: bool = False) -> str | None:
+    """A spreadsheet's day number as ISO date, time or both; None for what is no day. The 29th of February 1900, which never was, counts."""
+    try:
+        days = float(value)
+    except ValueError:
+        return None
+    if not 0 <= days < 2_958_466:
+        return None
+    if epoch_1904:
+        base = datetime(1904, 1, 1)
+    else:
+        base = datetime(1899, 12, 30) if days >= 60 else datetime(1899, 12, 31)
+    at = base + timedelta(seconds=round(days * 86_400))
+    if days < 1 and not epoch_1904:
+        return at.time().isoformat()
+    return at.isoformat() if at.hour or at.minute or at.second else at.date().isoformat()
+
+
 def read_xlsx(raw: bytes) -> list[Cell]:
-    """Stored values of every worksheet; macros are never run. A formula without stored value has kind ``uncached``."""
+    """Stored values of every worksheet; macros are never run. A formula without stored value has kind ``uncached``.
+
+    Kinds: text, number, bool, date (ISO, told from the cell's number format), uncached, empty.
+    """
     with zipfile.ZipFile(io.BytesIO(raw)) as z:
         names = z.namelist()
+        dates = _date_styles(z, names)
+        old_epoch = any(_local(e.tag) == "workbookPr" and e.attrib.get("date1904") in ("1", "true") for e in _part(z, "xl/workbook.xml").iter())
         shared = []
         if "xl/sharedStrings.xml" in names:
             shared = [_runs(e) for e in _part(z, "xl/sharedStrings.xml") if _local(e.tag) == "si"]
@@ -348,6 +447,10 @@ def read_xlsx(raw: bytes) -> list[Cell]:
                         text, native = ("TRUE" if v == "1" else "FALSE"), "bool"
                     elif v is None:
                         text, native = "", "uncached" if formula else "empty"
+                    elif kind == "d":
+                        text, native = v, "date"
+                    elif kind == "n" and int(c.attrib.get("s", -1)) in dates and (day := serial_date(v, old_epoch)) is not None:
+                        text, native = day, "date"
                     else:
                         text, native = (re.sub(r"\.0+$", "", v), "number") if kind == "n" else (v, "text")
                     cells.append((_column(c.attrib["r"]) if "r" in c.attrib else at, text, native))
@@ -413,7 +516,7 @@ READERS: dict[str, Callable[[bytes], list[Unit]]] = {
     "word_ooxml": read_docx, "presentation_ooxml": read_pptx, "html": read_html, "email": read_email, "rtf": read_rtf, "plain_text": read_plain,
     "json": read_structured, "xml": lambda raw: read_structured(raw, xml=True),
 }
-TABLE_READERS: dict[str, Callable[[bytes], list[Cell]]] = {"delimited_text": read_delimited, "spreadsheet_ooxml": read_xlsx}
+TABLE_READERS: dict[str, Callable[[bytes], list[Cell]]] = {"delimited_text": read_delimited, "spreadsheet_ooxml": read_xlsx, "json": read_collections, "xml": lambda raw: read_collections(raw, xml=True)}
 
 
 def _guarded(work: Callable[[], list]) -> tuple[list, str | None, str | None]:

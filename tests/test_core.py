@@ -175,3 +175,20 @@ def test_header_test_sees_every_table_of_the_register(spark, tmp_path):
     spark.createDataFrame(rows, "table_id bigint, row_no bigint, payload string").write.parquet(f"file://{tmp_path}/raw_register.parquet")
     got = {tuple(r) for r in core.header_detect_register(spark, f"file://{tmp_path}").collect()}
     assert got == {(1, True, True), (2, True, False), (3, False, False)}
+
+
+def test_types_by_native_kind(spark):
+    columns = {
+        "whole": [("1", "number"), ("2", "number"), ("", "empty")], "mix": [("1", "number"), ("2.50", "number")], "flag": [("TRUE", "bool"), ("FALSE", "bool")], "day": [("2024-01-01", "date"), ("2024-01-02T10:00:00", "date")],
+        "time": [("10:00:00", "date")], "both": [("1", "number"), ("x", "text")], "dated": [("2024-01-01", "date"), ("3", "number")], "text_day": [("2024-01-01", "text")], "text_int": [("7", "text")], "text_float": [("2.50", "text")], "none": [("", "empty")],
+    }
+    rows = [("t", n, v, k) for n, vs in columns.items() for v, k in vs]
+    df = spark.createDataFrame(rows, "table_name string, name string, value string, native_kind string")
+    got = {r.name: (r.type, r.rejected_reason) for r in tables.infer_types(df).collect()}
+    assert got == {
+        "whole": ("int64", None), "mix": ("double", None), "flag": ("bool", None), "day": ("timestamp", None), "time": ("string", "times without a day"), "both": ("string", "mixed kinds"), "dated": ("string", "mixed kinds"),
+        "text_day": ("string", None), "text_int": ("int64", None), "text_float": ("string", "numbers that do not round-trip"), "none": ("string", None),
+    }
+    assert {r.type for r in tables.infer_types(df, infer=False).collect()} == {"string"}
+    t = tables.typed_table(spark.createDataFrame([(0, "day", "2024-01-01"), (0, "flag", "TRUE")], "row_no int, name string, value string"), {"day": "timestamp", "flag": "bool"}, ["row_no"])
+    assert dict(t.dtypes) == {"row_no": "int", "day": "timestamp_ntz", "flag": "boolean"} and t.first().flag is True

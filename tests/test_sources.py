@@ -125,3 +125,33 @@ def test_large_and_lost_files(spark, tmp_path):
     assert rows["A/gone.txt"].failure.startswith("FILE_ACCESS_ERROR") and rows["A/big.txt"].content is None and len(rows["A/big.txt"].content_sha256) == 64 and bytes(rows["A/ok.txt"].content) == b"ok"
     found = {r.path: r.family for r in detect.detect_files(content.where("failure is null"), location="location").collect()}
     assert found == {"A/big.txt": "plain_text", "A/big.docx": "word_ooxml", "A/ok.txt": "plain_text"}
+
+
+def dated_xlsx(cells, codes=("General", "dd/mm/yyyy", "0.00", '"day" 0', "[h]:mm"), extra=b""):
+    """A workbook of one row; cells are (style, value)."""
+    fmts = "".join(f'<numFmt numFmtId="{164 + k}" formatCode="{c.replace(chr(34), "&quot;")}"/>' for k, c in enumerate(codes))
+    xfs = "".join(f'<xf numFmtId="{164 + k}"/>' for k in range(len(codes))) + '<xf numFmtId="14"/>'
+    row = "".join(f'<c s="{s}"><v>{v}</v></c>' for s, v in cells)
+    return mk.zipped({
+        "xl/workbook.xml": b"<workbook>" + extra + b'<sheets><sheet name="S"/></sheets></workbook>', "xl/styles.xml": f"<styleSheet><numFmts>{fmts}</numFmts><cellXfs>{xfs}</cellXfs></styleSheet>".encode(),
+        "xl/worksheets/sheet1.xml": f"<worksheet><sheetData><row>{row}</row></sheetData></worksheet>".encode(),
+    })
+
+
+def test_spreadsheet_dates():
+    got = [(c[3], c[4]) for c in readers.read_xlsx(dated_xlsx([(0, "45292"), (1, "45292"), (2, "45292.5"), (3, "3"), (4, "0.25"), (5, "45292.75"), (1, "60"), (1, "59"), (1, "text"), (1, "-1")]))]
+    assert got == [
+        ("45292", "number"), ("2024-01-01", "date"), ("45292.5", "number"), ("3", "number"), ("06:00:00", "date"), ("2024-01-01T18:00:00", "date"), ("1900-02-28", "date"), ("1900-02-28", "date"), ("text", "number"), ("-1", "number"),
+    ]
+    assert readers.read_xlsx(dated_xlsx([(1, "43830")], extra=b'<workbookPr date1904="1"/>'))[0][3] == "2024-01-01"
+
+
+def test_collections_become_tables():
+    row = lambda i, **more: {"id": i, "name": f"n{i}"} | more
+    value = {"meta": {"n": 1}, "items": [row(1), row(2), row(3, extra={"deep": 1}), row(4)], "few": [row(1), row(2)], "mixed": [row(1), 2, 3, 4], "unlike": [{"a": 1}, {"b": 1}, {"c": 1}],
+             "nested": [{"a": {"b": {"c": 1}}, "x": 1, "y": 1, "z": 1}] * 3, "boxes": [{"a": [1], "b": [2]}] * 3, "in": [[row(1), row(2), row(3)]]}
+    assert [(n, len(r)) for n, r in readers.collections(value)] == [("items", 4), ("in.0", 3)]
+    import json
+
+    cells = readers.read_collections(json.dumps(value["items"]).encode())
+    assert [c[3] for c in cells if c[1] == 0] == ["id", "name", "extra.deep"] and [c[3] for c in cells if c[1] == 3] == ["3", "n3", "1"] and [c[3] for c in cells if c[1] == 1] == ["1", "n1", ""]
