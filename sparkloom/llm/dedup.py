@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkloom.common import cut, work_path
@@ -364,15 +364,24 @@ class HistoryIndex:
     def add(self, batch: int) -> None:
         """Look up the band keys of a submitted batch and append them with the leader each met (a, of n_a words; null where it met none)."""
         own = self.entries().where(F.col("batch_no") == batch).join(self.representatives(batch).select("doc_id"), "doc_id", "left_semi")
-        fresh = band(own).repartition(self.buckets, "key")
+        fresh = band(own).where("key is not null and n is not null").repartition(self.buckets, "key")
         leaders = self.keys().where((F.col("batch_no") < batch) & (F.col("standing") == LEADER)).select("key", F.col("doc_id").alias("a"), F.col("n").alias("n_a"))
-        # One row a key on the batch's side: that is what is held in memory, never a hot key's many rows nor the history.
-        firsts = fresh.groupBy("key").agg(F.min("doc_id").alias("first"))
-        met = firsts.hint("shuffle_hash").join(leaders, "key", "left")
-        rows = fresh.join(met.hint("shuffle_hash"), "key")
+        if any(k < batch for k, _ in self._partitions()):
+            # One row a key on the batch's side: that is what is held in memory, never a hot key's many rows nor the history.
+            # Both uses of fresh need the same columns, so its exchange is made once.
+            firsts = fresh.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("n").alias("_n"))
+            met = firsts.hint("shuffle_hash").join(leaders, "key", "left").select("key", F.when(F.col("_n") >= 0, F.col("first")).alias("first"), "a", "n_a")
+            rows = fresh.join(met.hint("shuffle_hash"), "key")
+        else:
+            rows = fresh.select("*", F.min("doc_id").over(Window.partitionBy("key")).alias("first"), F.lit(None).cast("bigint").alias("a"), F.lit(None).cast("int").alias("n_a"))
         standing = F.when(F.col("a") > F.col("doc_id"), EARLIER).when(F.col("a").isNotNull() | (F.col("first") < F.col("doc_id")), FOLLOWER).otherwise(LEADER)
         rows.select("key", "doc_id", "n", "a", "n_a", F.lit(batch).alias("batch_no"), standing.alias("standing")).write.insertInto(self.keys_table)
 
+    def _partitions(self) -> list[tuple[int, int]]:
+        """(batch, standing) of the partitions of band keys."""
+        rows = self.spark.sql(f"SHOW PARTITIONS {self.keys_table}").collect()
+        return [tuple(int(x.partition("=")[2]) for x in r[0].split("/")) for r in rows]
+
     def probe(self, batch: int) -> DataFrame:
         """(b, a): the smallest id of an earlier batch that each text of a batch repeats, for those that repeat one. b: its representative."""
         fits = F.least("n", "n_a") >= SAME * F.greatest("n", "n_a")
@@ -382,7 +391,7 @@ class HistoryIndex:
         # Buckets whose leader is no match: their followers; other buckets: those that came later but have a smaller id.
         # Without followers in the index there is nothing more to try.
         followers = self.keys().where((F.col("batch_no") < batch) & (F.col("standing") != LEADER))
-        if not any(f"standing={LEADER}" not in r[0] and int(r[0].split("/")[0].partition("=")[2]) < batch for r in self.spark.sql(f"SHOW PARTITIONS {self.keys_table}").collect()):
+        if not any(k < batch and standing != LEADER for k, standing in self._partitions()):
             return held.groupBy("b").agg(F.min("a").alias("a"))
         below = held.withColumn("below", F.col("a"))
         best = held.groupBy("b").agg(F.min("a").alias("best"))
