@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.common import cut
@@ -18,7 +19,7 @@ Render = Callable[[bytes, int], bytes]
 Send = Callable[[bytes], tuple[int, str, str]]
 
 
-def run(spark: SparkSession, root: str, scopes: DataFrame | None = None, whole_categories: list[str] | None = None, config: str = "cfg", size: int = 1000, overlap: int = 120, vision: tuple[Render, Send] | None = None, limit: int = corpus.CONTENT_LIMIT) -> dict[str, DataFrame]:
+def run(spark: SparkSession, root: str, scopes: DataFrame | None = None, whole_categories: list[str] | None = None, config: str = "cfg", size: int = 1000, overlap: int = 120, vision: tuple[Render, Send] | None = None, limit: int = corpus.CONTENT_LIMIT, prior: DataFrame | None = None, ordinal: int = 1, settings: dict[str, dict] | None = None, force: bool = False) -> dict[str, DataFrame]:
     """Walk a corpus, identify, deduplicate within scopes, route and read.
 
     Returns the tables ``records`` (one row per file: scope, content, route,
@@ -28,6 +29,13 @@ def run(spark: SparkSession, root: str, scopes: DataFrame | None = None, whole_c
     archive and are identified, deduplicated, routed and read with the files,
     which come first, then members by depth. Every file and member has a record,
     unscoped, empty and unreadable ones too; one bad file never stops the others.
+    ``prior`` are the manifest entries of earlier sealed runs. Work (a content
+    of a scope on its route) whose latest outcome stands, under the same
+    settings, is not done again: its record says so (``decision``), its
+    outputs are those of the version named there. ``manifest`` holds the
+    run's own entries, one for each piece of work that was done, ``run_ordinal``
+    and all. ``force`` does everything again.
+
     Files of more than ``limit`` bytes are hashed and identified where they lie
     and recorded as CONTENT_TOO_LARGE.
 
@@ -56,7 +64,11 @@ def run(spark: SparkSession, root: str, scopes: DataFrame | None = None, whole_c
     inside = _identified(inner).join(lineage, "path").join(owned.select(F.col("path").alias("archive_path"), "scope_id"), "archive_path")
     # The first path of a content in a scope is read, the others are duplicates: before any reader runs.
     known = cut(_with_first(owned.unionByName(inside)), "run-routed")
-    fresh = known.where("path = first_path").select("path", "scope_id", "content_sha256", "family", "route")
+    prints = routing.route_fingerprints({"chunking": {"size": size, "overlap": overlap, "config": config}, "vision": {"enabled": vision is not None}} | (settings or {}))
+    print_of = F.create_map(*[F.lit(x) for kv in prints.items() for x in kv])
+    firsts = known.where("path = first_path").select("path", "scope_id", "content_sha256", "family", "route")
+    decided = cut(_decided(firsts, print_of, prior, force), "run-decided")
+    fresh = decided.where("decision <> 'reuse'").select("path", "scope_id", "content_sha256", "family", "route")
     work = fresh.join(content.select("path", "content").unionByName(inner.select("path", "content")), "path")
     large = fresh.join(content.where("content is null").select("path"), "path").where(~F.col("route").isin("no_reader", "non_data"))
     large = large.select("path", F.lit("CONTENT_TOO_LARGE").alias("error_category"), F.lit(f"more than {limit} bytes; identified and recorded, not read").alias("error_message"))
@@ -93,18 +105,65 @@ def run(spark: SparkSession, root: str, scopes: DataFrame | None = None, whole_c
     pages_left = F.when(F.size("_unseen") > 0, F.concat(F.lit("pages without transcription: "), F.array_join(F.col("_unseen").cast("array<string>"), ", "), F.lit(": "), F.col("_why")))
     route = F.when(F.col("_unseen").isNotNull(), "pdf_vision").otherwise(F.col("route"))
     one = errors.groupBy("path").agg(F.min(F.struct("error_category", "error_message")).alias("_e"))
-    told = known.join(one, "path", "left").join(broken, "path", "left").join(sighted, "path", "left").select(
-        "path", "scope_id", "content_sha256", "family", route.alias("route"), status.alias("status"), category.alias("error_category"),
-        F.coalesce("_e.error_message", pages_left).alias("error_message"),
+    kept = decided.select("path", "decision", "prior_status", "prior_route", "prior_version")
+    reused = F.col("decision") == "reuse"
+    told = known.join(one, "path", "left").join(broken, "path", "left").join(sighted, "path", "left").join(kept, "path", "left").select(
+        "path", "scope_id", "content_sha256", "family", F.when(reused, F.col("prior_route")).otherwise(route).alias("route"),
+        F.when(reused, F.col("prior_status")).otherwise(status).alias("status"), F.when(~F.coalesce(reused, F.lit(False)), category).alias("error_category"),
+        F.coalesce("_e.error_message", pages_left).alias("error_message"), "decision", "prior_version",
         "archive_path", "member_path", "depth",
     )
+    told = cut(told, "run-records")
+    paths = told.where("scope_id is not null").groupBy("scope_id", "content_sha256").agg(F.sort_array(F.collect_set("path")).alias("source_paths"))
+    done = told.where("decision is not null and decision <> 'reuse'").join(paths, ["scope_id", "content_sha256"])
+    manifest = done.select(
+        "scope_id", F.col("content_sha256").alias("content_hexdigest"), "route", F.element_at(print_of, F.col("route")).alias("route_fingerprint"),
+        versioning.version_id(F.lit(ordinal)).alias("version_id"), F.lit(ordinal).alias("run_ordinal"), "status", "source_paths",
+    )
     records, member_records = told.where("depth = 0").drop("archive_path", "member_path", "depth"), told.where("depth > 0")
     none = {c: F.lit(None).cast("string") for c in ("content_sha256", "family")}
     records = records.unionByName(unread.join(scope_of, "path", "left").select(
         "path", "scope_id", *[c.alias(n) for n, c in none.items()], F.lit("no_reader").alias("route"), F.lit("failed").alias("status"),
         F.lit("FILE_ACCESS_ERROR").alias("error_category"), F.col("failure").alias("error_message"),
+        F.lit(None).cast("string").alias("decision"), F.lit(None).cast("string").alias("prior_version"),
     ))
-    return {"records": records, "members": members, "member_records": member_records, "units": units, "cells": cells, "pages": pages, "vision": seen, "chunks": chunks}
+    return {"records": records, "members": members, "member_records": member_records, "units": units, "cells": cells, "pages": pages, "vision": seen, "chunks": chunks, "manifest": manifest}
+
+
+#: Routes under which work may have been recorded that is now on the first.
+REDIRECTED = {"pdf_text": "pdf_vision"}
+
+
+def _decided(firsts: DataFrame, print_of: Column, prior: DataFrame | None, force: bool) -> DataFrame:
+    """firsts with the decision about each piece of work and the outcome it rests on."""
+    none = F.lit(None).cast("string")
+    if prior is None:
+        return firsts.withColumns({"decision": F.lit("process_new"), "prior_status": none, "prior_route": none, "prior_version": none})
+    work = firsts.select("scope_id", F.col("content_sha256").alias("content_hexdigest"), "route", F.element_at(print_of, F.col("route")).alias("route_fingerprint")).distinct()
+    last = versioning.prior_outcome(work, versioning.latest_outcome(prior), REDIRECTED)
+    # The settings in force are those of the route under which the work was done.
+    now = F.element_at(print_of, F.coalesce("prior_route", "route"))
+    decision = versioning.reuse_decision(F.col("prior_status"), F.col("prior_fingerprint"), now, force=force)
+    last = last.select("scope_id", F.col("content_hexdigest").alias("content_sha256"), "route", decision.alias("decision"), "prior_status", "prior_route", versioning.version_id(F.col("prior_run")).alias("prior_version"))
+    return firsts.join(last, ["scope_id", "content_sha256", "route"], "left").withColumn("decision", F.coalesce("decision", F.lit("process_new")))
+
+
+def summary(tables: dict[str, DataFrame]) -> DataFrame:
+    """One row: what a run did, counted over files and members alike."""
+    told = tables["records"].withColumn("_m", F.lit(0)).unionByName(tables["member_records"].drop("archive_path", "member_path", "depth").withColumn("_m", F.lit(1)))
+    count = lambda c: F.count(F.when(c, 1))
+    is_ = lambda *s: F.col("status").isin(*s)
+    one = told.agg(
+        count(F.col("_m") == 0).alias("n_files"), count(F.col("_m") == 1).alias("n_members"), count(is_("success")).alias("n_success"), count(is_("partial")).alias("n_partial"), count(is_("locked")).alias("n_locked"),
+        count(is_("failed")).alias("n_failed"), count(is_("no_reader")).alias("n_no_reader"), count(is_("excluded_non_data")).alias("n_excluded"), count(is_("skipped_duplicate")).alias("n_duplicates"),
+        count(F.col("decision") == "reuse").alias("n_reused"), count(F.col("error_category") == "UNSCOPED_PATH").alias("n_unscoped"), F.count_distinct("scope_id").alias("n_scopes"),
+    )
+    for name, t, cond in (("n_chunks", "chunks", F.lit(True)), ("n_pages", "pages", F.col("error_category").isNull()), ("n_pages_unseen", "vision", F.col("failure").isNotNull()), ("n_tables", None, None)):
+        if t:
+            one = one.crossJoin(tables[t].agg(count(cond).alias(name)))  # one row by one row
+        else:
+            one = one.crossJoin(tables["cells"].where("table_name is not null").agg(F.count_distinct("path", "table_name").alias(name)))
+    return one
 
 
 def _identified(content: DataFrame) -> DataFrame:
@@ -148,12 +207,44 @@ def _transcribed(wanted: DataFrame, work: DataFrame, vision: tuple[Render, Send]
 
 
 def publish(tables: dict[str, DataFrame], out: str, ordinal: int) -> None:
-    """Write a run's tables as version r%06d below ``out``; nothing that exists is written over. The seal comes last."""
+    """Write a run's tables as version r%06d below ``out``; nothing that exists is written over.
+
+    The manifest is written after the outputs it speaks of, and the seals last:
+    one row for each scope with the hash of its entries, or one of no scope for
+    a run without entries. A run without seals never happened.
+    """
     version = f"r{ordinal:06d}"
-    for name, df in tables.items():
-        df.write.mode("errorifexists").parquet(f"{out}/{name}/version={version}")
+    for name in sorted(tables, key=lambda n: n == "manifest"):
+        tables[name].write.mode("errorifexists").parquet(f"{out}/{name}/version={version}")
     spark = next(iter(tables.values())).sparkSession
-    spark.createDataFrame([(ordinal, version)], "run_ordinal int, version string").write.mode("errorifexists").parquet(f"{out}/seals/run={ordinal}")
+    if "manifest" in tables:
+        seals = versioning.seal_body(spark.read.parquet(f"{out}/manifest/version={version}"))
+    else:
+        seals = spark.createDataFrame([], "scope_id string, n_entries bigint, body_sha256 string")
+    whole = spark.createDataFrame([(None, None, None)], "scope_id string, n_entries bigint, body_sha256 string")
+    seals.unionByName(whole).select(F.lit(ordinal).alias("run_ordinal"), F.lit(version).alias("version"), "scope_id", "n_entries", "body_sha256").write.mode("errorifexists").parquet(f"{out}/seals/run={ordinal}")
+
+
+def sealed_manifest(spark: SparkSession, out: str) -> DataFrame | None:
+    """The manifest entries of all sealed runs below ``out``, None if there are none. Entries that do not hash to their seal raise: a manifest is never trusted unread."""
+    try:
+        seals = spark.read.parquet(f"{out}/seals").select(F.col("run_ordinal"), "version", "scope_id", "n_entries", "body_sha256")
+    except AnalysisException:
+        return None
+    runs = [r.run_ordinal for r in seals.select("run_ordinal").distinct().collect()]  # one number a run
+    try:
+        entries = spark.read.parquet(f"{out}/manifest").where(F.col("run_ordinal").isin(runs)).drop("version")
+    except AnalysisException:
+        return None
+    have = None
+    for n in runs:
+        body = versioning.seal_body(entries.where(F.col("run_ordinal") == n)).withColumn("run_ordinal", F.lit(n))
+        have = body if have is None else have.unionByName(body)
+    want = seals.where("scope_id is not null").select("run_ordinal", "scope_id", F.col("n_entries").alias("_n"), F.col("body_sha256").alias("_h"))
+    bad = want.join(have, ["run_ordinal", "scope_id"], "full_outer").where(~(F.col("n_entries").eqNullSafe(F.col("_n")) & F.col("body_sha256").eqNullSafe(F.col("_h"))))
+    if not bad.isEmpty():
+        raise ValueError("a manifest does not agree with its seal")
+    return entries
 
 
 def build_index(chunks: DataFrame, encode=None) -> DataFrame:

@@ -130,3 +130,47 @@ def test_large_files_are_recorded(spark, tmp_path):
     t = pipeline.run(spark, str(tmp_path), limit=1000)
     got = {r.path.rsplit("/", 1)[-1]: (r.family, r.status, r.error_category) for r in t["records"].collect()}
     assert got == {"big.txt": ("plain_text", "failed", "CONTENT_TOO_LARGE"), "small.txt": ("plain_text", "success", None), "big.exe": ("executable", "excluded_non_data", "EXECUTABLE_NOT_PROCESSED")}
+
+
+def test_a_second_run_does_only_what_is_new(spark, tmp_path):
+    root, out = tmp_path / "corpus", f"file://{tmp_path}/lake"
+    for name, raw in {"Audit/North/a.txt": b"first words", "Audit/North/b.csv": b"PAN,Amount\n0012,5\n", "Audit/South/c.docx": b"PK\x03\x04 broken", "Audit/South/d.zip": mk.zipped({"in.txt": b"words inside"}), "Audit/North/s.pdf": scanned_pdf(("", True))}.items():
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes(raw)
+    assert pipeline.sealed_manifest(spark, out) is None
+    one = pipeline.run(spark, str(root), ordinal=1)
+    pipeline.publish(one, out, 1)
+    prior = pipeline.sealed_manifest(spark, out)
+    assert prior.count() == one["manifest"].count() == 6
+    (root / "Audit/North/new.txt").write_bytes(b"second words")
+    (root / "Audit/North/again.txt").write_bytes(b"first words")
+    two = pipeline.run(spark, str(root), prior=prior, ordinal=2)
+    told = {r.path.split("/")[-1]: (r.status, r.decision) for r in two["records"].collect()}
+    # The first path of a content in a scope stands for it; what failed or was partial is tried again.
+    assert told == {
+        "a.txt": ("success", "reuse"), "again.txt": ("skipped_duplicate", None), "b.csv": ("success", "reuse"), "c.docx": ("failed", "retry") if told["c.docx"][0] == "failed" else ("partial", "retry"),
+        "d.zip": ("success", "reuse"), "s.pdf": ("partial", "retry"), "new.txt": ("success", "process_new"),
+    }
+    assert {r.text for r in two["chunks"].collect()} == {"second words"} and two["cells"].count() == 0
+    pipeline.publish(two, out, 2)
+    assert pipeline.sealed_manifest(spark, out).count() == 6 + two["manifest"].count()
+    counts = pipeline.summary(two).first()
+    assert counts.n_files == 7 and counts.n_reused >= 3 and counts.n_duplicates == 1 and counts.n_chunks == 1
+    other = pipeline.run(spark, str(root), prior=pipeline.sealed_manifest(spark, out), ordinal=3, size=500)
+    assert {r.decision for r in other["records"].where("path like '%new.txt'").collect()} == {"reprocess_config_changed"}
+    forced = pipeline.run(spark, str(root), prior=prior, ordinal=3, force=True)
+    assert forced["records"].where("decision = 'reuse'").isEmpty()
+
+
+def test_a_changed_manifest_is_refused(spark, tmp_path):
+    root, out = tmp_path / "corpus", f"file://{tmp_path}/lake"
+    (root / "Audit/North").mkdir(parents=True)
+    (root / "Audit/North/a.txt").write_bytes(b"words")
+    t = pipeline.run(spark, str(root))
+    pipeline.publish(t, out, 1)
+    one = pipeline.sealed_manifest(spark, out)
+    assert one.count() == 1
+    forged = spark.createDataFrame([r.asDict() | {"status": "failed"} for r in one.collect()], one.schema)
+    forged.write.mode("append").parquet(f"{out}/manifest/version=r000001")
+    with pytest.raises(ValueError, match="seal"):
+        pipeline.sealed_manifest(spark, out)
