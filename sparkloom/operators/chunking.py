@@ -117,10 +117,30 @@ def split_units(units: DataFrame, size: int = 1000, overlap: int = 120, minimum:
     return units.select(*names[:4], F.col("unit_sequence").cast("int"), "text").mapInArrow(run, CHUNKS)
 
 
+#: Units of a document whose chunks are numbered together.
+UNITS_TOGETHER = 64
+
+
+def number_in_document(rows: DataFrame, document: list[str], unit: str, order: list[str], name: str) -> DataFrame:
+    """rows with ``name``, counting from 0 through each document by unit and ``order``.
+
+    A document's chunks are numbered stretch by stretch of UNITS_TOGETHER
+    units, and stretches are shifted by the sizes of those before them, so that
+    a document that holds a third of all chunks is no single task.
+    """
+    cut_up = rows.withColumn("_stretch", F.floor(F.col(unit) / UNITS_TOGETHER))
+    keys = [*document, "_stretch"]
+    sizes = cut_up.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    before = F.sum("_size").over(Window.partitionBy(*document).orderBy(F.col("_stretch").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1))
+    shifts = sizes.select(*[F.col(k).alias(f"_d{i}") for i, k in enumerate(keys)], F.coalesce(before, F.lit(0)).alias("_shift"))
+    same = [F.col(k).eqNullSafe(F.col(f"_d{i}")) for i, k in enumerate(keys)]
+    within = F.row_number().over(Window.partitionBy(*keys).orderBy(unit, *order)) - 1
+    return cut_up.withColumn("_at", within).join(shifts, same).withColumn(name, F.col("_at") + F.col("_shift")).drop("_at", "_shift", "_stretch", *[f"_d{i}" for i in range(len(keys))])
+
+
 def number_chunks(pieces: DataFrame, config: str) -> DataFrame:
     """pieces with ``seq``, running through a document's units, and ``chunk_id``."""
-    w = Window.partitionBy("scope_id", "content_sha256").orderBy("unit_sequence", "piece_no")
-    p = pieces.withColumn("seq", F.row_number().over(w) - 1)
+    p = number_in_document(pieces, ["scope_id", "content_sha256"], "unit_sequence", ["piece_no"], "seq").withColumn("seq", F.col("seq").cast("int"))
     return p.withColumn("chunk_id", chunk_id(F.col("scope_id"), F.col("content_sha256"), F.lit(config), F.col("unit_sequence"), F.col("seq"))).drop("piece_no")
 
 

@@ -247,6 +247,13 @@ def sealed_manifest(spark: SparkSession, out: str) -> DataFrame | None:
     return entries
 
 
+def active_chunks(spark: SparkSession, out: str, entries: DataFrame) -> DataFrame:
+    """The chunks of the versions that are active: of each piece of work those of its latest successful (or partial) run."""
+    active = versioning.latest_outcome(entries.where("status in ('success', 'partial')")).select("scope_id", F.col("content_hexdigest").alias("content_sha256"), F.col("version_id").alias("version")).distinct()
+    newest = active.groupBy("scope_id", "content_sha256").agg(F.max("version").alias("version"))
+    return spark.read.parquet(f"{out}/chunks").join(newest, ["scope_id", "content_sha256", "version"], "left_semi").drop("version")
+
+
 def build_index(chunks: DataFrame, encode=None) -> DataFrame:
     """Vectors of the chunks that are not blank, numbered within their scope."""
     rows = vectors.index_rows(chunks.where(~is_blank(F.col("text"))).dropDuplicates(["chunk_id"]))

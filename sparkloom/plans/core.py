@@ -437,8 +437,9 @@ FROM (SELECT DISTINCT client_scope_id, content_sha256, extraction_config_version
 """)
 def chunk_seq(spark, d):
     c = load(spark, d, "chunks").select("client_scope_id", "content_sha256", "extraction_config_version", "chunk_id", "unit_sequence", "seq").distinct()
-    w = Window.partitionBy("client_scope_id", "content_sha256", "extraction_config_version").orderBy("unit_sequence", "seq", "chunk_id")
-    return c.select("client_scope_id", "content_sha256", "extraction_config_version", "chunk_id", (F.row_number().over(w) - 1).cast("bigint").alias("running"))
+    document = ["client_scope_id", "content_sha256", "extraction_config_version"]
+    n = chunking.number_in_document(c, document, "unit_sequence", ["seq", "chunk_id"], "running")
+    return n.select(*document, "chunk_id", F.col("running").cast("bigint").alias("running"))
 
 
 @query("""
@@ -715,6 +716,36 @@ def json_paths(spark, d):
     return e.select("event_id", F.lit("k").alias("path"), F.get_json_object("props", "$.k").alias("leaf")).where("leaf is not null")
 
 
+@query("""
+WITH RECURSIVE ok AS (SELECT DISTINCT return_id, CAST(payload AS JSON) AS v FROM raw_returns WHERE payload IS NOT NULL AND json_valid(payload)),
+n AS (
+  SELECT return_id, CAST(j.key AS VARCHAR) AS path, j.value AS v FROM ok, json_each(ok.v) j
+  UNION ALL SELECT n.return_id, n.path || '.' || j.key, j.value FROM n, json_each(n.v) j WHERE json_type(n.v) IN ('OBJECT', 'ARRAY')
+)
+SELECT DISTINCT return_id, path, CASE WHEN json_type(v) IN ('OBJECT', 'ARRAY') THEN '(empty)' WHEN json_type(v) = 'NULL' THEN '' WHEN json_type(v) = 'DOUBLE' THEN CAST(CAST(v ->> '$' AS DOUBLE) AS VARCHAR) ELSE v ->> '$' END AS leaf
+FROM n WHERE NOT (json_type(v) = 'OBJECT' AND len(json_keys(v)) > 0) AND NOT (json_type(v) = 'ARRAY' AND json_array_length(v) > 0)
+""")
+def json_leaves(spark, d):
+    """The path walk over whole payloads: every leaf with its path."""
+    import json
+
+    from sparkloom.sources import readers
+
+    def run(batches):
+        import pandas as pd
+
+        for b in batches:
+            rows = []
+            for i, p in zip(b["return_id"], b["payload"], strict=True):
+                try:
+                    rows += [(i, path, leaf) for path, leaf in readers.walk_paths(json.loads(p))]
+                except ValueError:
+                    continue
+            yield pd.DataFrame(rows, columns=["return_id", "path", "leaf"])
+
+    return load(spark, d, "raw_returns").where("payload is not null").select("return_id", "payload").mapInPandas(run, "return_id bigint, path string, leaf string").distinct()
+
+
 # --- vectors ------------------------------------------------------------------------------------
 
 _Q = "(SELECT embedding AS q FROM embeddings WHERE vec_id = (SELECT min(vec_id) FROM embeddings))"

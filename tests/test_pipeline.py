@@ -174,3 +174,20 @@ def test_a_changed_manifest_is_refused(spark, tmp_path):
     forged.write.mode("append").parquet(f"{out}/manifest/version=r000001")
     with pytest.raises(ValueError, match="seal"):
         pipeline.sealed_manifest(spark, out)
+
+
+def test_the_command_line(spark, tmp_path, capsys, monkeypatch):
+    from sparkloom import cli
+
+    root, out = tmp_path / "corpus", f"file://{tmp_path}/lake"
+    (root / "Audit/North").mkdir(parents=True)
+    (root / "Audit/North/a.txt").write_bytes(b"the quick brown fox")
+    assert cli.main(["search", out, "fox"]) == 2 and cli.main(["gold", out]) == 2
+    assert cli.main(["run", str(root), out]) == 0 and cli.main(["search", out, "fox"]) == 2
+    assert cli.main(["gold", out]) == 0 and cli.main(["search", out, "quick fox", "--client", "North"]) == 0
+    assert "quick brown" in capsys.readouterr().out
+    (root / "Audit/North/bad.docx").write_bytes(b"PK\x03\x04 broken")
+    assert cli.main(["run", str(root), out]) in (0, 1) and cli.main(["config"]) == 0
+    assert "fingerprints" in capsys.readouterr().out
+    monkeypatch.setenv("SPARKLOOM_CHUNKING__OVERLAP", "5000")
+    assert cli.main(["config"]) == 2
