@@ -7,6 +7,7 @@ import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -44,12 +45,37 @@ def work_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def release(spark: SparkSession, keep: tuple[str, ...] = ()) -> int:
+    """Remove everything written to the shared folder so far, but for paths that begin with one of ``keep``; how much was removed.
+
+    For drivers that live long: call it when the results made so far have been
+    read or written. What cannot be removed stays on the list and is tried again.
+    """
+    jvm, conf, left, gone = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), [], 0
+    for path in _MADE:
+        if path.startswith(keep or ("\0",)):
+            left.append(path)
+            continue
+        try:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            gone += bool(p.getFileSystem(conf).delete(p, True))
+        except Py4JJavaError:
+            left.append(path)
+    _MADE[:] = left
+    return gone
+
+
+def local_path(path: str) -> str:
+    """A path of the shared folder for Python's own file functions; an error if it is not on a file system that all executors mount."""
+    scheme, sep, rest = path.partition(":")
+    if sep and scheme != "file":
+        raise ValueError(f"{path} is not on a mounted file system")
+    return "/" + rest.lstrip("/") if sep else path
+
+
 def _clean(spark: SparkSession) -> None:
     try:
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        for path in _MADE:
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(conf).delete(p, True)
+        release(spark)
     except Exception:  # noqa: BLE001 - the session may have ended before the driver did
         pass
 

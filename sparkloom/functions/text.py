@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -40,11 +43,24 @@ def token_jaccard(a: Column, b: Column) -> Column:
     return F.when(union == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(x, y)) / union)
 
 
+@functools.cache
+def _decomposed() -> tuple[str, str]:
+    """Every letter or digit beyond ASCII whose compatibility decomposition has exactly one ASCII character, and that character."""
+    pairs = []
+    for cp in (*range(0x80, 0x2E80), *range(0xFB00, 0xFB07), *range(0xFF01, 0xFF5F)):
+        c = chr(cp)
+        d = unicodedata.normalize("NFKD", c).encode("ascii", "ignore").decode()
+        if len(d) == 1:
+            pairs.append((c, d))
+    return "".join(c for c, _ in pairs), "".join(d for _, d in pairs)
+
+
 def ascii_slug(c: Column, limit: int = 40) -> Column:
-    """Slug of a text: accents decomposed by a table of Latin letters, other non-ASCII dropped, runs of the rest to ``_``."""
-    accented = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ"
-    plain = "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY"
-    s = F.regexp_replace(F.translate(c, accented, plain), r"[^\x00-\x7f]", "")
+    """Slug of a text: letters decomposed (NFKD) to ASCII, combining marks and what else is not ASCII dropped, runs of the rest to ``_``.
+
+    Characters that decompose to several ASCII characters (ligatures, fractions) are dropped too.
+    """
+    s = F.regexp_replace(F.translate(c, *_decomposed()), r"[^\x00-\x7f]", "")
     s = F.regexp_replace(F.lower(s), r"[^a-z0-9]+", "_")
     s = F.substring(F.regexp_replace(s, r"^_+|_+$", ""), 1, limit)
     s = F.regexp_replace(s, r"_+$", "")

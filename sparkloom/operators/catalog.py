@@ -177,3 +177,10 @@ def sanitise_member(path: Column) -> Column:
 
     segments = F.filter(F.split(F.replace(path, F.lit("\\"), F.lit("/")), "/"), lambda s: (s != "") & (s != "."))
     return F.array_join(F.transform(segments, one), "/")
+
+
+def dedup_bytes(sources: DataFrame) -> DataFrame:
+    """(scope_id, n_before, bytes_before, n_after, bytes_after): files of each scope and their bytes, before and after one content is kept once. Repeated rows count once, unknown sizes as nothing."""
+    files = sources.select("scope_id", "relative_path", "archive_chain", "content_sha256", "size_bytes").distinct()
+    per = files.groupBy("scope_id", "content_sha256").agg(F.count(F.lit(1)).alias("n"), F.sum(F.coalesce("size_bytes", F.lit(0))).alias("b"), F.coalesce(F.max("size_bytes"), F.lit(0)).alias("one"))
+    return per.groupBy("scope_id").agg(F.sum("n").alias("n_before"), F.sum("b").alias("bytes_before"), F.count(F.lit(1)).alias("n_after"), F.sum("one").alias("bytes_after"))

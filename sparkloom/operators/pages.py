@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Callable, Iterator
 
@@ -95,8 +96,11 @@ RETRY_CODES = frozenset({408, 409, 425, 429, 500, 502, 503, 504})
 def transcribe(images: DataFrame, send: Callable[[bytes], tuple[int, str, str]], attempts: int = 5, wait: Callable[[float], None] | None = None) -> DataFrame:
     """(image_id, status, attempts, reply, failure) of images (image_id, payload) by an injected transport.
 
-    send returns the HTTP code, the reply and the finish reason. Retried: the
+    send returns the HTTP code, the reply and the finish reason and, if the
+    service named one, the seconds to wait before asking again. Retried: the
     codes of RETRY_CODES and replies cut off by length; other errors are final.
+    Without a named time the waits double from half a second, each lengthened
+    by up to half by a number of the image's own, so that tasks do not ask in step.
     One failed image never fails the others.
     """
 
@@ -106,7 +110,7 @@ def transcribe(images: DataFrame, send: Callable[[bytes], tuple[int, str, str]],
             for image_id, payload in zip(b["image_id"], b["payload"], strict=True):
                 failure, reply, n = None, None, 0
                 for n in range(1, attempts + 1):
-                    code, body, finish = send(bytes(payload))
+                    code, body, finish, *after = send(bytes(payload))
                     if code == 200 and finish != "length":
                         failure = check_reply(body)
                         reply = body if failure is None else None
@@ -114,8 +118,9 @@ def transcribe(images: DataFrame, send: Callable[[bytes], tuple[int, str, str]],
                     failure = "cut off by length" if code == 200 else f"HTTP {code}"
                     if code != 200 and code not in RETRY_CODES:
                         break
-                    if wait is not None:
-                        wait(0.5 * 2 ** (n - 1))
+                    if wait is not None and n < attempts:
+                        spread = int(hashlib.sha256(f"{image_id}:{n}".encode()).hexdigest()[:4], 16) / 0xFFFF
+                        wait(float(after[0]) if after and after[0] is not None else 0.5 * 2 ** (n - 1) * (1 + spread / 2))
                 rows.append((image_id, "success" if failure is None else "failed", n, reply, failure))
             yield pd.DataFrame(rows, columns=["image_id", "status", "attempts", "reply", "failure"])
 

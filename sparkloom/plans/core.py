@@ -91,6 +91,17 @@ def dedup_report(spark, d):
     return catalog.dedup_in_scope(load(spark, d, "sources")).agg(F.count(F.lit(1)).alias("n_items"), F.sum("n_duplicates").alias("n_duplicate_paths"))
 
 
+@query("""
+WITH s AS (SELECT DISTINCT scope_id, relative_path, archive_chain, content_sha256, size_bytes FROM sources),
+k AS (SELECT scope_id, content_sha256, max(size_bytes) AS b FROM s GROUP BY 1, 2)
+SELECT scope_id, count(*) AS n_before, CAST(sum(coalesce(s.size_bytes, 0)) AS BIGINT) AS bytes_before,
+       (SELECT count(*) FROM k WHERE k.scope_id IS NOT DISTINCT FROM s.scope_id) AS n_after, (SELECT CAST(sum(coalesce(b, 0)) AS BIGINT) FROM k WHERE k.scope_id IS NOT DISTINCT FROM s.scope_id) AS bytes_after
+FROM s GROUP BY 1
+""")
+def dedup_bytes(spark, d):
+    return catalog.dedup_bytes(load(spark, d, "sources"))
+
+
 @query("""
 SELECT DISTINCT relative_path, array_to_string(list_transform(archive_chain, lambda x: x.archive_hash || '!' || x.member_path), '|') AS chain,
        CASE WHEN len(archive_chain) > 0 THEN regexp_extract(archive_chain[len(archive_chain)].member_path, '([^/]*)$', 1)

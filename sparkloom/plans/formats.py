@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.common import load, work_path
+from sparkloom.common import load, local_path, work_path
 from sparkloom.plans import format_sql
 from sparkloom.sources import archives, corpus, detect, readers
 
@@ -302,7 +302,7 @@ def corpus_scan(spark, d):
     """A small tree written to the shared folder, one file per nation (hidden and extensionless names among them), then walked."""
     import os
 
-    root = work_path(spark, "corpus").removeprefix("file://").removeprefix("file:")
+    root = local_path(work_path(spark, "corpus"))
     for r in load(spark, d, "nation").collect():  # a fixed table of 25 rows
         folder = os.path.join(root, f"region{r.n_regionkey}", "files")
         os.makedirs(folder, exist_ok=True)

@@ -192,3 +192,52 @@ def test_types_by_native_kind(spark):
     assert {r.type for r in tables.infer_types(df, infer=False).collect()} == {"string"}
     t = tables.typed_table(spark.createDataFrame([(0, "day", "2024-01-01"), (0, "flag", "TRUE")], "row_no int, name string, value string"), {"day": "timestamp", "flag": "bool"}, ["row_no"])
     assert dict(t.dtypes) == {"row_no": "int", "day": "timestamp_ntz", "flag": "boolean"} and t.first().flag is True
+
+
+def test_slugs_decompose_letters(spark):
+    cases = {"Çelik Ğ Ołtarz ṁ Ｆｕｌｌ": "celik_g_o_tarz_m_full", "नमस्ते": "unnamed", "Ångström & Søn": "angstrom_s_n", "ﬁle ½": "le", "a" * 60: "a" * 40}
+    df = spark.createDataFrame(list(cases.items()), "t string, want string")
+    import unicodedata
+
+    for r in df.select("t", "want", T.ascii_slug(F.col("t")).alias("s")).collect():
+        assert r.s == r.want, r
+        if all(len(unicodedata.normalize("NFKD", c).encode("ascii", "ignore")) < 2 for c in r.t):
+            plain = unicodedata.normalize("NFKD", r.t).encode("ascii", "ignore").decode().lower()
+            import re
+
+            assert r.s == (re.sub(r"[^a-z0-9]+", "_", plain).strip("_")[:40].rstrip("_") or "unnamed")
+
+
+def test_waits_between_requests(spark):
+    waits = []
+    sent = []
+
+    def send(payload):
+        sent.append(1)
+        return (429, "", "", 7) if len(sent) == 1 else (503, "", "") if len(sent) == 2 else (400, "", "")
+
+    import pandas as pd
+
+    class Frame:
+        def select(self, *_):
+            return self
+
+        def mapInPandas(self, run, _):
+            return list(run(iter([pd.DataFrame({"image_id": ["a"], "payload": [b"x"]})])))
+
+    out = pages.transcribe(Frame(), send, wait=waits.append)[0]
+    assert waits[0] == 7.0 and 1.0 <= waits[1] <= 1.5 and len(waits) == 2 and out.failure[0] == "HTTP 400" and out.attempts[0] == 3
+
+
+def test_released_work_is_gone(spark):
+    from sparkloom import common
+
+    df = common.cut(spark.range(5).toDF("x"), "to-go")
+    assert df.count() == 5
+    path = common._MADE[-1]
+    assert common.release(spark, keep=("file:/nowhere",)) >= 1 and path not in common._MADE
+    with pytest.raises(Exception, match="(?i)not exist|no such|not found"):
+        spark.read.parquet(path).count()
+    with pytest.raises(ValueError, match="mounted"):
+        common.local_path("hdfs://host/x")
+    assert common.local_path("file:///a/b") == common.local_path("file:/a/b") == "/a/b"
