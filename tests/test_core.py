@@ -195,7 +195,7 @@ def test_types_by_native_kind(spark):
 
 
 def test_slugs_decompose_letters(spark):
-    cases = {"Çelik Ğ Ołtarz ṁ Ｆｕｌｌ": "celik_g_o_tarz_m_full", "नमस्ते": "unnamed", "Ångström & Søn": "angstrom_s_n", "ﬁle ½": "le", "a" * 60: "a" * 40}
+    cases = {"Çelik Ğ Ołtarz ṁ Ｆｕｌｌ": "celik_g_otarz_m_full", "नमस्ते": "unnamed", "Ångström & Søn": "angstrom_sn", "ﬁle ½": "le", "a" * 60: "a" * 40}
     df = spark.createDataFrame(list(cases.items()), "t string, want string")
     import unicodedata
 
