@@ -28,6 +28,7 @@ import re
 import unicodedata
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +56,8 @@ BLOCK = 8192
 BUCKET_RECORDS = 25_000
 #: Parts into which a bucket's followers are spread.
 SALTS = 16
+#: Batches that are looked up at a time while later ones are appended.
+LOOKUPS = 3
 
 _WORD = re.compile(r"[^\W_]+")
 _FOLD = str.maketrans({"0": "o", "1": "l", "i": "l", "5": "s", "9": "g", "q": "g", "6": "b", "8": "b", "@": "a", "!": "l"})
@@ -435,11 +438,16 @@ def dedup_batches(docs: DataFrame, path: str | None = None, buckets: int | None
         return spark.createDataFrame([], schema)
     index = HistoryIndex(spark, path or work_path(spark, "dedup-index"), buckets or max(8, math.ceil(numbers[0].n / BUCKET_RECORDS)))
     index.submit(docs)
-    found = None
-    for i, row in enumerate(numbers):
-        index.add(row.k)
-        if i:
-            got = index.probe(row.k).select("b", "a", F.lit(row.k).alias("batch_no"))
+    # A batch is looked up once it is appended; that needs nothing of later batches, which are appended meanwhile.
+    with ThreadPoolExecutor(LOOKUPS) as pool:
+        asked = []
+        for i, row in enumerate(numbers):
+            index.add(row.k)
+            if i:
+                asked.append((row.k, pool.submit(index.probe, row.k)))
+        found = None
+        for k, answer in asked:
+            got = answer.result().select("b", "a", F.lit(k).alias("batch_no"))
             found = got if found is None else found.unionByName(got)
     if found is None:
         return spark.createDataFrame([], schema)
