@@ -1,17 +1,18 @@
 """Reading level of each document.
 
-Method: classic readability formulas, combined by the median of their grade
-estimates: Flesch-Kincaid, Gunning Fog, SMOG, Coleman-Liau and the Automated
-Readability Index, from words per sentence, syllables per word, share of words
-of three syllables or more, and letters per word. Syllables come from
+Method: classic readability formulas: Flesch-Kincaid, Gunning Fog, SMOG,
+Coleman-Liau and the Automated Readability Index, from words per sentence,
+syllables per word, share of words of three syllables or more, and letters per
+word. Without ratings the median of their grade estimates counts. Syllables come from
 hyphenation: patterns of letters and digits, made from rules, whose highest
 digit at a place says whether a word is divided there.
 
-As the formulas' authors did with their graded passages, each formula's
-weights are fitted by least squares, here on a bounded sample of documents
-rated by readers and on the logarithms of the formula's own measures: texts
-are demanding where sentences are long and words are, not where one makes up
-for the other. Cut points then put each formula on the readers' scale.
+As the formulas' authors did with their graded passages, weights are fitted,
+here on a bounded sample of documents rated by readers and on the logarithms of
+the formulas' measures: texts are demanding where sentences are long and words
+are, not where one makes up for the other. No formula has all of the measures,
+and the median of the five loses what only some of them see; so all measures
+are weighed together, by one logistic regression for each cut between bands.
 Sentences are cut into T-units, so that main clauses strung together with "and
 then" are as easy as they would be one by one.
 """
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +30,9 @@ from pyspark.sql import functions as F
 
 from sparkloom.common import cut
 
-#: Most rated documents the weights and cut points are fitted on (the smallest hashes of their ids).
+#: Most rated documents the weights are fitted on (the smallest hashes of their ids).
 FIT_SAMPLE = 20_000
-#: Fewest rated documents for a fit, and for a cut point in each of its two bands.
+#: Fewest rated documents for a fit.
 LEAST_RATED = 30
 MEASURES = ("words_per_sentence", "syllables_per_word", "hard_share", "letters_per_word")
 #: Grades between bands where there are no ratings: what the published formulas give at the ends of primary, middle and secondary school.
@@ -43,14 +45,10 @@ FORMULAS = {
     "coleman_liau": lambda w, y, h, c: 5.88 * c - 29.6 / w - 15.8,
     "automated_readability": lambda w, y, h, c: 4.71 * c + 0.5 * w - 21.43,
 }
-#: The measures of each formula; ``log`` is the logarithm of the library the values are in.
-LOGS = {
-    "flesch_kincaid": lambda w, y, h, c, log: (log(w), log(y)),
-    "gunning_fog": lambda w, y, h, c, log: (log(w), log(h + 0.02)),
-    "smog": lambda w, y, h, c, log: (log(h * w + 0.3),),
-    "coleman_liau": lambda w, y, h, c, log: (log(c), log(1 / w)),
-    "automated_readability": lambda w, y, h, c, log: (log(c), log(w)),
-}
+#: The logarithms the formulas are fitted on, over MEASURES; ``log`` is the logarithm of the library the values are in.
+LOGS = lambda w, y, h, c, log: [log(w), log(y), log(h + 0.02), log(h * w + 0.3), log(c)]
+#: What holds the weights of the logarithms, and of their squares and products, near 0: few ratings say little of the latter.
+HOLD, HOLD_PRODUCTS = 0.01, 1.0
 MIN_WORDS = 80
 
 _WORD = re.compile(r"[a-z]+(?:['’-][a-z]+)*(?![/a-z])")
@@ -192,57 +190,63 @@ def rated_bands(labels: DataFrame) -> DataFrame:
     return last.groupBy("doc_id").agg(F.expr("percentile_disc(0.5) within group (order by g)").cast("int").alias("band"))
 
 
-def fit(measured: DataFrame, labels: DataFrame, sample: int = FIT_SAMPLE) -> dict[str, tuple[list[float] | None, tuple[float, ...]]]:
-    """For each formula the weights of its measures' logarithms (and a constant), and the three cut points between bands.
+class Fitted(NamedTuple):
+    """Means, spreads, least and greatest of LOGS over the rated documents, and the weights of each cut's terms."""
+
+    mean: list[float]
+    spread: list[float]
+    low: list[float]
+    high: list[float]
+    cuts: list[list[float]]
+
+
+def terms(z: list) -> list:
+    """Scaled logarithms with their squares and products."""
+    return [*z, *(a * b for i, a in enumerate(z) for b in z[i:])]
+
 
-    At most ``sample`` rated documents come to the driver. With fewer than
-    LEAST_RATED of them the published formulas and GRADES hold (weights None);
-    a cut between bands of which one has fewer than five documents lies where
-    the fitted scale has it, half way between the bands.
+def fit(measured: DataFrame, labels: DataFrame, sample: int = FIT_SAMPLE) -> Fitted | None:
+    """What tells the bands 1|2, 2|3 and 3|4 apart by the ratings; None with fewer than LEAST_RATED of them: the published formulas and GRADES hold.
+
+    At most ``sample`` rated documents come to the driver. A cut with fewer than
+    five documents on a side lies where the other ratings have it, half way
+    between the bands of a straight line.
     """
     rated = measured.where(f"running and n_words >= {MIN_WORDS // 2}").join(rated_bands(labels), "doc_id")
     rows = rated.orderBy(F.xxhash64("doc_id")).limit(sample).select("band", *MEASURES).collect()
     if len(rows) < LEAST_RATED:
-        return {k: (None, GRADES) for k in FORMULAS}
+        return None
     band = np.array([r.band for r in rows], dtype=float)
-    x = [np.array([r[k] for r in rows], dtype=float) for k in MEASURES]
-    out = {}
-    for name, logs in LOGS.items():
-        a = np.column_stack([*logs(*x, np.log), np.ones(len(band))])
-        weights = np.linalg.lstsq(a, band, rcond=None)[0]
-        out[name] = (weights.tolist(), cut_points(a @ weights, band))
-    return out
+    x = np.column_stack(LOGS(*(np.array([r[k] for r in rows], dtype=float) for k in MEASURES), np.log))
+    mean, spread = x.mean(0), np.maximum(x.std(0), 1e-9)
+    z = (x - mean) / spread
+    a = np.column_stack([*terms(list(z.T)), np.ones(len(z))])
+    hold = np.array([HOLD] * z.shape[1] + [HOLD_PRODUCTS] * (a.shape[1] - 1 - z.shape[1]) + [1e-6])
+    line = np.linalg.solve(a.T @ a + np.diag(np.where(hold == HOLD_PRODUCTS, 1e9, hold)), a.T @ band)
+    cuts = []
+    for j in (1, 2, 3):
+        above = (band > j).astype(float)
+        if min(above.sum(), len(band) - above.sum()) < 5:
+            cuts.append([*line[:-1].tolist(), float(line[-1] - j - 0.5)])
+        else:
+            cuts.append(logistic(a, above, hold).tolist())
+    return Fitted(mean.tolist(), spread.tolist(), z.min(0).tolist(), z.max(0).tolist(), cuts)
 
 
-def cut_points(values: np.ndarray, band: np.ndarray) -> tuple[float, ...]:
-    """Values between bands 1|2, 2|3 and 3|4 at which a document is as likely in the one as in the other (logistic regression)."""
-    got = []
-    for j in (1, 2, 3):
-        near = (band == j) | (band == j + 1)
-        high, v = (band[near] > j).astype(float), values[near]
-        if high.sum() < 5 or (1 - high).sum() < 5:
-            got.append(j + 0.5)
-            continue
-        mean, spread = v.mean(), max(v.std(), 1e-9)
-        a, w = np.column_stack([(v - mean) / spread, np.ones(len(v))]), np.zeros(2)
-        for _ in range(50):
-            p = 1 / (1 + np.exp(-np.clip(a @ w, -50, 50)))
-            step = np.linalg.solve(a.T @ (a * (p * (1 - p))[:, None]) + 0.01 * np.eye(2), a.T @ (p - high) + 0.01 * w)
-            w = w - step * min(1.0, 5 / np.abs(step).max()) if step.any() else w
-        got.append(float(mean - spread * w[1] / w[0]) if w[0] > 1e-6 else j + 0.5)
-    return tuple(np.maximum.accumulate(got).tolist())
-
-
-def estimate(name: str, weights: list[float] | None, cuts: tuple[float, ...]) -> Column:
-    """A formula's level on the scale of the bands: 1.5, 2.5 and 3.5 at its cut points, straight lines between and beyond them."""
-    m = [F.col(k) for k in MEASURES]
-    if weights is None:
-        x = FORMULAS[name](*m)
-    else:
-        x = sum((F.lit(w) * c for w, c in zip(weights, LOGS[name](*m, F.log), strict=False)), F.lit(weights[-1]))
-    a, b, c = cuts
-    low, high = max(b - a, 1e-6), max(c - b, 1e-6)
-    return F.when(x < b, F.lit(1.5) + (x - a) / low).otherwise(F.lit(2.5) + (x - b) / high)
+def logistic(a: np.ndarray, y: np.ndarray, hold: np.ndarray) -> np.ndarray:
+    """Weights of logistic regression of y (0 or 1) on the columns of a, each held near 0."""
+    w = np.zeros(a.shape[1])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(a @ w, -50, 50)))
+        step = np.linalg.solve(a.T @ (a * (p * (1 - p))[:, None]) + np.diag(hold), a.T @ (p - y) + hold * w)
+        w = w - step * min(1.0, 5 / max(np.abs(step).max(), 1e-9))
+    return w
+
+
+def published(name: str) -> Column:
+    """A published formula's level on the scale of the bands: 1.5, 2.5 and 3.5 at GRADES, straight lines between and beyond them."""
+    x, (a, b, c) = FORMULAS[name](*(F.col(k) for k in MEASURES)), GRADES
+    return F.when(x < b, F.lit(1.5) + (x - a) / (b - a)).otherwise(F.lit(2.5) + (x - b) / (c - b))
 
 
 def reading_bands(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -257,8 +261,33 @@ def reading_bands(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return banded(measured, fit(measured, labels))
 
 
-def banded(measured: DataFrame, fitted: dict[str, tuple[list[float] | None, tuple[float, ...]]]) -> DataFrame:
-    """The median of the formulas' levels and its band, for measured documents."""
-    levels = [estimate(name, *f) for name, f in fitted.items()]
-    level = F.greatest(F.lit(0.5), F.least(F.lit(4.49), F.sort_array(F.array(*levels))[len(levels) // 2]))
-    return measured.select("doc_id", "n_words", "running", F.round(level, 6).alias("level"), F.greatest(F.lit(1), F.floor(level + 0.5)).cast("int").alias("band"))
+BANDED = "doc_id bigint, n_words int, running boolean, level double, band int"
+
+
+def banded(measured: DataFrame, fitted: Fitted | None) -> DataFrame:
+    """The level and its band for measured documents: where the log odds of the cuts put it, or the median of the published formulas."""
+    if fitted is None:
+        levels = [published(name) for name in FORMULAS]
+        level = F.greatest(F.lit(0.5), F.least(F.lit(4.49), F.sort_array(F.array(*levels))[len(levels) // 2]))
+        return measured.select("doc_id", "n_words", "running", F.round(level, 6).alias("level"), F.greatest(F.lit(1), F.floor(level + 0.5)).cast("int").alias("band"))
+
+    # As expressions of Spark the cuts' terms would be copied into every filter on the band.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            level = levels_of([b.column(k).to_numpy(zero_copy_only=False) for k in range(3, 3 + len(MEASURES))], fitted)
+            rest = {"level": pa.array(np.round(level, 6), pa.float64()), "band": pa.array(np.maximum(1, np.floor(level + 0.5)).astype(np.int32), pa.int32())}
+            yield pa.RecordBatch.from_pydict({k: b.column(k) for k in ("doc_id", "n_words", "running")} | rest)
+
+    return measured.select("doc_id", "n_words", "running", *MEASURES).mapInArrow(run, BANDED)
+
+
+def levels_of(measures: list[np.ndarray], fitted: Fitted) -> np.ndarray:
+    """Levels on the scale of the bands: 1.5, 2.5 and 3.5 where a cut's odds are even."""
+    # Beyond the rated documents' measures nothing is known of squares and products: their ends hold.
+    z = np.clip((np.column_stack(LOGS(*measures, np.log)) - fitted.mean) / fitted.spread, fitted.low, fitted.high)
+    a = np.column_stack([*terms(list(z.T)), np.ones(len(z))])
+    # A document beyond a cut is beyond all lower ones.
+    one, two, three = np.minimum.accumulate(np.clip(a @ np.array(fitted.cuts).T, -30, 30), axis=1).T
+    below, above = 0.5 + 2 / (1 + np.exp(-one)), 2.5 + 2 / (1 + np.exp(-three))
+    between = [low + x / np.maximum(x - y, 1e-12) for low, x, y in ((1.5, one, two), (2.5, two, three))]
+    return np.minimum(4.49, np.select([one < 0, two < 0, three < 0], [below, *between], above))

@@ -1,5 +1,6 @@
 """Reading bands: syllables, T-units, kinds of text, fit on ratings and held-out accuracy."""
 
+import math
 import os
 import random
 from datetime import datetime
@@ -69,6 +70,22 @@ def test_fit_and_held_out(spark):
     assert reading.reading_bands(docs, lab.limit(0)).count() == len(got)
 
 
+def test_measures_that_no_formula_has_together(spark):
+    """Bands that follow from sentences, hard words and letters together: no formula has all three, nor has the median of five."""
+    rng = random.Random(3)
+    rows, truth = [], {}
+    for i in range(1200):
+        a, b, c = rng.gauss(0, 1), rng.gauss(0, 1), rng.gauss(0, 1)
+        truth[i] = min(4, max(1, 1 + sum(a + b + c > x for x in (-1, 0, 1))))
+        h = 0.2 * math.exp(0.4 * b)
+        rows.append((i, 200, True, 18 * math.exp(0.4 * a), 1 + 2.5 * h, h, 5 * math.exp(0.2 * c)))
+    measured = spark.createDataFrame(rows, reading.MEASURED)
+    labels = spark.createDataFrame([(i, "a", truth[i], datetime(2024, 1, 1)) for i in range(600)], "doc_id bigint, rater string, grade_band int, rated_at timestamp_ntz")
+    held = [(r.band, truth[r.doc_id]) for r in reading.banded(measured, reading.fit(measured, labels)).where("doc_id >= 600").collect()]
+    found, true, both = sum(p == 4 for p, _ in held), sum(t == 4 for _, t in held), sum(p == t == 4 for p, t in held)
+    assert both / true > 0.95 and both / found > 0.95 and sum(p == t for p, t in held) / len(held) > 0.93
+
+
 def test_held_out_ratings(spark):
     """Fitted on three quarters of the rated documents, in turn: precision and recall of band 4 on the other quarter."""
     folder = "/root/testdata/sf0.1"
