@@ -17,7 +17,8 @@ from __future__ import annotations
 
 import re
 from collections import ChainMap, Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -597,30 +598,15 @@ def _labelled(pages: DataFrame, words: Lexicon, work, schema: str) -> DataFrame:
     types = [arrow[x.split()[1]] for x in schema.split(", ")]
     # Two texts of one page share its layout row; a text it does not fit is laid out again.
     ready = pages.select(*PAGE).join(layout.select(*KEYS, "_rep", "forms"), KEYS, "left").select(*KEYS, "text", "_rep", "forms")
-    extra = "array<struct<word:string,n:bigint>>"
+
+    def asks() -> Callable[..., Iterator[str]]:
+        own = Model(*shared.value[2])
+        return lambda t, rep, forms: _forms_looked_for(t, own.page(t, set(rep or ()), forms))
+
     if words.rare is None:
-        ready = ready.withColumn("_more", F.lit(None).cast(extra))
+        ready = ready.withColumn("_more", F.lit(None).cast(MORE))
     else:
-        # What a page looks for and is no frequent word is looked up among the rare ones.
-        def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            frequent, bits, parts = shared.value
-            own, known = Model(*parts), Looked(frequent, bits)
-            corrector = Corrector(known)
-            for b in batches:
-                take, asked = [], []
-                for i, (t, rep, forms) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True)):
-                    known.missed = set()
-                    # What is found changes what is looked for next: everything that can come up is asked for.
-                    for form in _forms_looked_for(t, own.page(t, set(rep or ()), forms)):
-                        corrector.ask(form)
-                    take += [i] * len(known.missed)
-                    asked += known.missed
-                idx = pa.array(take, pa.int64())
-                yield pa.RecordBatch.from_pydict({"record_table": b.column(0).take(idx), "record_key": b.column(1).take(idx), "word": pa.array(asked, pa.string())})
-
-        asked = ready.mapInArrow(look, "record_table string, record_key string, word string").distinct()
-        more = asked.join(words.rare, "word").groupBy(*KEYS).agg(F.collect_list(F.struct("word", "n")).alias("_more"))
-        ready = ready.join(more, KEYS, "left")
+        ready = ready.join(_rare_words(ready, KEYS, words.rare, shared, asks), KEYS, "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, _, parts = shared.value
@@ -628,8 +614,7 @@ def _labelled(pages: DataFrame, words: Lexicon, work, schema: str) -> DataFrame:
         for b in batches:
             take, rows = [], []
             for i, (t, rep, forms, more) in enumerate(zip(*(b.column(k).to_pylist() for k in (2, 3, 4, 5)), strict=True)):
-                c = Corrector(ChainMap({x["word"]: x["n"] for x in more}, frequent)) if more else corrector
-                for row in work(t, own.page(t, set(rep or ()), forms), c):
+                for row in work(t, own.page(t, set(rep or ()), forms), _with_more(corrector, frequent, more)):
                     take.append(i)
                     rows.append(row)
             if rows:
@@ -640,19 +625,73 @@ def _labelled(pages: DataFrame, words: Lexicon, work, schema: str) -> DataFrame:
     return ready.select(*KEYS, "text", "_rep", "forms", "_more").mapInArrow(run, f"record_table string, record_key string, {schema}")
 
 
+#: Rare words that a row found.
+MORE = "array<struct<word:string,n:bigint>>"
+
+
+def _rare_words(rows: DataFrame, keys: list[str], rare: DataFrame, shared, asks: Callable[[], Callable[..., Iterator[str]]]) -> DataFrame:
+    """(keys, _more): what each of ``rows`` (keys first) looks for and is no frequent word, if it is in the table of rare ones.
+
+    ``shared``: broadcast of a tuple that begins with the frequent words and the
+    filter. ``asks()`` gives, in a task, what yields the forms a row looks for,
+    from its columns beside ``keys``.
+    """
+    kinds = dict(rows.dtypes)
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forms_of_row, known = asks(), Looked(*shared.value[:2])
+        corrector = Corrector(known)
+        for b in batches:
+            take, asked = [], []
+            for i, row in enumerate(zip(*(b.column(k).to_pylist() for k in range(len(keys), b.num_columns)), strict=True)):
+                known.missed = set()
+                # What is found changes what is looked for next: everything that can come up is asked for.
+                for form in forms_of_row(*row):
+                    corrector.ask(form)
+                take += [i] * len(known.missed)
+                asked += known.missed
+            idx = pa.array(take, pa.int64())
+            yield pa.RecordBatch.from_pydict({k: b.column(n).take(idx) for n, k in enumerate(keys)} | {"word": pa.array(asked, pa.string())})
+
+    asked = rows.mapInArrow(look, ", ".join(f"{k} {kinds[k]}" for k in keys) + ", word string").distinct()
+    return asked.join(rare, "word").groupBy(*keys).agg(F.collect_list(F.struct("word", "n")).alias("_more"))
+
+
+def _with_more(corrector: Corrector, frequent: dict[str, int], more: list | None) -> Corrector:
+    """The corrector for a row that found rare words (_more), else the one of the frequent words."""
+    return Corrector(ChainMap({x["word"]: x["n"] for x in more}, frequent)) if more else corrector
+
+
 def _forms_looked_for(text: str, labels: list[int]) -> Iterator[str]:
     """Every word form that the correction of a page can ask the lexicon for, but for undone misreadings of it."""
     lines = [x for x, k in zip(text.split("\n"), labels, strict=True) if k in (BODY, BREAK)]
-    tokens = [x.split() for x in lines]
-    for i, row in enumerate(tokens):
-        for t in row:
-            low = t.strip(PUNCT.replace("!", "")).lower()
-            yield from (low, low.rstrip("!"))
-        following = next((r[0] for r in tokens[i + 1 :] if r), None)
-        if row and following and _BREAK_END.search(lines[i]):
-            a = row[-1].rstrip().rstrip(HYPHENS).lstrip(PUNCT.replace("!", "")).lower()
-            for b in {following.strip(PUNCT.replace("!", "")).lower(), following.strip(PUNCT.replace("!", "")).lower().rstrip("!'’")}:
-                yield from (a, b, a + b, f"{a}-{b}")
+    full = [s for x in lines if (s := x.strip())]
+    for t in (t for x in full for t in x.split()):
+        low = t.strip(PUNCT.replace("!", "")).lower()
+        yield from (low, low.rstrip("!"))
+    # Noise is found line by line; paragraphs go on beyond markers.
+    yield from _forms_of_breaks(full)
+    unmarked = [x for x in full if not _MARKER.match(x)]
+    if len(unmarked) < len(full):
+        yield from _forms_of_breaks(unmarked)
+
+
+def _forms_of_breaks(pieces: list[str]) -> Iterator[str]:
+    """The forms that are asked for where a word is broken between a piece of text and the next; a piece that is one word may be broken at both ends."""
+    carried: set[str] = set()
+    for piece, following in pairwise(pieces):
+        if not _BREAK_END.search(piece):
+            carried = set()
+            continue
+        row, right = piece.split(), following.split()[0]
+        lefts, carried = {row[-1]} | (carried if len(row) == 1 else set()), set()
+        b = right.strip(PUNCT.replace("!", "")).lower()
+        for left in lefts:
+            a = left.rstrip().rstrip(HYPHENS).lstrip(PUNCT.replace("!", "")).lower()
+            for end in {b, b.rstrip("!'’")}:
+                yield from (a, end, a + end, f"{a}-{end}")
+            # A word with a hyphen behind it is in no lexicon: it is carried on as it stands.
+            carried.add(_recase(left.rstrip(HYPHENS), a + b) + right[len(right.rstrip(PUNCT)) :])
 
 
 def page_noise(pages: DataFrame, words: Lexicon) -> DataFrame:
@@ -710,12 +749,22 @@ def paragraphs(pages: DataFrame, words: Lexicon) -> DataFrame:
     rows = rows.withColumn("_start", F.when(first, F.col("_before")).otherwise(F.col("page_no")))
     rows = rows.join(counts, ["record_table", "doc", "_start"]).withColumn("_no", F.when(first, F.col("_n") - 1).otherwise(F.col("i")))
     whole = rows.groupBy("record_table", "doc", "_start", "_no").agg(F.max("page_no").alias("last_page"), F.sort_array(F.collect_list(F.struct("page_no", "text"))).alias("_parts"))
-    frequent = real.sparkSession.sparkContext.broadcast(words.frequent)
+    whole = whole.withColumn("_texts", F.transform("_parts", lambda x: x["text"]))
+    shared = real.sparkSession.sparkContext.broadcast((words.frequent, words.bits))
+    if words.rare is None:
+        whole = whole.withColumn("_more", F.lit(None).cast(MORE))
+    else:
+        # Words broken at a page's end may be rare too.
+        own, whole = ["record_table", "doc", "_start", "_no"], cut(whole, "paragraph-parts")
+        over = whole.where("size(_texts) > 1").select(*own, "_texts")
+        whole = whole.join(_rare_words(over, own, words.rare, shared, lambda: _forms_of_breaks), own, "left")
 
     @F.pandas_udf("string")
-    def put_together(parts: pd.Series) -> pd.Series:
-        corrector, out = Corrector(frequent.value), []
-        for texts in parts:
+    def put_together(parts: pd.Series, found: pd.Series) -> pd.Series:
+        frequent, out = shared.value[0], []
+        usual = Corrector(frequent)
+        for texts, more in zip(parts, found, strict=True):
+            corrector = _with_more(usual, frequent, None if more is None else list(more))
             text = texts[0]
             for t in texts[1:]:
                 head, _, end = text.rpartition(" ")
@@ -729,5 +778,5 @@ def paragraphs(pages: DataFrame, words: Lexicon) -> DataFrame:
             out.append(text)
         return pd.Series(out, dtype=object)
 
-    text = F.when(F.size("_parts") == 1, F.col("_parts")[0]["text"]).otherwise(put_together(F.transform("_parts", lambda x: x["text"])))
+    text = F.when(F.size("_texts") == 1, F.col("_texts")[0]).otherwise(put_together("_texts", "_more"))
     return whole.select("record_table", "doc", F.col("_start").alias("first_page"), "last_page", F.col("_no").alias("paragraph_no"), text.alias("text"))

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.common import load
+from sparkloom.common import cut, load
 from sparkloom.llm import dedup, mixing, ocr, packing, pii, reading, splitting
 
 
@@ -124,20 +124,31 @@ def p6_left_over(spark: SparkSession, d: str) -> DataFrame:
     pages, words = _pages(spark, d).where("text is not null"), _trusted_words(spark, d)
     known = spark.sparkContext.broadcast(words.frequent)
 
-    @F.pandas_udf("struct<words:bigint,known:bigint>")
+    rare = words.rare is not None
+
+    @F.pandas_udf("struct<words:bigint,known:bigint,others:array<string>>")
     def count(texts: pd.Series) -> pd.DataFrame:
         rows = []
         for t in texts:
             tokens = [x for w in t.lower().split() if (x := w.strip(ocr.PUNCT)) and x.isalpha() and x.isascii()]
-            rows.append((len(tokens), sum(x in known.value for x in tokens)))
-        return pd.DataFrame(rows, columns=["words", "known"])
+            others = [x for x in tokens if x not in known.value]
+            rows.append((len(tokens), len(tokens) - len(others), others if rare else []))
+        return pd.DataFrame(rows, columns=["words", "known", "others"])
 
     made = ocr.paragraphs(pages, words)
     after = made.select(F.lit("after").alias("stage"), count("text").alias("c"), (F.col("last_page") > F.col("first_page")).cast("int").alias("over"))
     before = pages.dropDuplicates(ocr.KEYS).select(F.lit("before").alias("stage"), count("text").alias("c"), F.lit(0).alias("over"))
-    return before.unionByName(after).groupBy("stage").agg(
-        F.count(F.lit(1)).alias("n_texts"), F.sum("over").alias("n_over_pages"), F.sum("c.words").alias("n_words"), F.round(F.sum("c.known") / F.sum("c.words"), 6).alias("known_share")
-    )
+    both = before.unionByName(after)
+    if rare:
+        # What is no frequent word may be a rare one.
+        both = cut(both, "left-over")
+        others = both.select("stage", F.explode("c.others").alias("word")).groupBy("stage", "word").agg(F.count(F.lit(1)).alias("_times"))
+        looked_up = others.join(words.rare.select("word"), "word").groupBy("stage").agg(F.sum("_times").alias("_rare"))
+    else:
+        looked_up = spark.createDataFrame([], "stage string, _rare bigint")
+    told = both.groupBy("stage").agg(F.count(F.lit(1)).alias("n_texts"), F.sum("over").alias("n_over_pages"), F.sum("c.words").alias("n_words"), F.sum("c.known").alias("_known"))
+    share = (F.col("_known") + F.coalesce("_rare", F.lit(0))) / F.col("n_words")
+    return told.join(looked_up, "stage", "left").select("stage", "n_texts", "n_over_pages", "n_words", F.round(share, 6).alias("known_share"))
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:

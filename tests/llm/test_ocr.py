@@ -1,8 +1,11 @@
 """Scanned pages: furniture, broken words, misread characters, paragraphs."""
 
+import os
 import random
 
-from sparkloom.llm import ocr
+import pytest
+
+from sparkloom.llm import ocr, queries
 
 WORDS = {w: 50 for w in "the clerk bought customer statement going-concern confirmation on a basis amount of was paid by bank stock office returned signed first second third line here".split()}
 LEXICON = ocr.Lexicon(WORDS)
@@ -126,3 +129,27 @@ def test_rare_words_are_looked_up(spark, monkeypatch):
     few = ocr.lexicon(clean)
     assert len(few.frequent) == 4 and few.rare is not None and len(whole.frequent) > 20
     assert {tuple(r) for r in ocr.page_noise(pages(spark, rows), few).collect()} == want and len(want) > 10
+
+
+def test_rare_words_at_every_break(spark, monkeypatch):
+    """Words broken at a page's end, at a marker, or twice are looked up in the table too."""
+    clean = spark.createDataFrame([(" ".join(w for w in WORDS for _ in range(3 + len(w))),)], "text string")
+    rows = [
+        ("d", 1, "the clerk paid.\n\nthe bank bought the sta7e-"), ("d", 2, "rnent of the stock."), ("e", 1, "the bank paid the conf1r-\n[STAMP]\nmation of the stock."),
+        ("f", 1, "the bank paid the con-\nf1rma-\ntion of the stock."), ("g", 1, "the bank bought the con-"), ("g", 2, "f1rma-"), ("g", 3, "tion of the stock."),
+    ]
+    made = lambda lexicon: {(r.doc, r.first_page, r.paragraph_no, r.text) for r in ocr.paragraphs(pages(spark, rows), lexicon).collect()}
+    want = made(ocr.lexicon(clean))
+    assert ("d", 1, 1, "the bank bought the statement of the stock.") in want and sum("confirmation of the stock" in r[3] for r in want) == 3
+    monkeypatch.setattr(ocr, "SHARED", 1)
+    few = ocr.lexicon(clean)
+    assert not {"statement", "confirmation"} & set(few.frequent) and made(few) == want
+
+
+def test_report_counts_rare_words(spark, monkeypatch):
+    folder = "/root/testdata/sf0.001"
+    if not os.path.exists(folder):
+        pytest.skip("no pages here")
+    want = {tuple(r) for r in queries.p6_left_over(spark, folder).collect()}
+    monkeypatch.setattr(ocr, "SHARED", 40)
+    assert {tuple(r) for r in queries.p6_left_over(spark, folder).collect()} == want and len(want) == 2
