@@ -56,8 +56,10 @@ BLOCK = 8192
 BUCKET_RECORDS = 25_000
 #: Parts into which a bucket's followers are spread.
 SALTS = 16
-#: Batches that are looked up at a time while later ones are appended.
-LOOKUPS = 3
+#: Batches that are looked up at a time while later ones are appended: each holds plans and broadcast rows in the driver.
+LOOKUPS = 1
+#: Candidates that hold, of all batches: in a folder by batch, those of the second look beside those of the first.
+HELD = "b bigint, a bigint, batch_no int, look int"
 
 _WORD = re.compile(r"[^\W_]+")
 _FOLD = str.maketrans({"0": "o", "1": "l", "i": "l", "5": "s", "9": "g", "q": "g", "6": "b", "8": "b", "@": "a", "!": "l"})
@@ -387,22 +389,27 @@ class HistoryIndex:
 
     def probe(self, batch: int) -> DataFrame:
         """(b, a): the smallest id of an earlier batch that each text of a batch repeats, for those that repeat one. b: its representative."""
+        path = work_path(self.spark, "dedup-held")
+        self.hold(batch, path)
+        return self.spark.read.schema(HELD).parquet(path).groupBy("b").agg(F.min("a").alias("a"))
+
+    def hold(self, batch: int, path: str) -> None:
+        """Write the candidates of a batch that hold, enough of them for the smallest, to a folder (HELD, partitioned by batch and look)."""
         fits = F.least("n", "n_a") >= SAME * F.greatest("n", "n_a")
         new = self.keys().where((F.col("batch_no") == batch) & F.col("a").isNotNull()).select("key", F.col("doc_id").alias("b"), "n", "a", "n_a")
         tried = cut(new.where(fits).select("b", "a").distinct(), "dedup-tried")
-        held = self._held(tried, batch)
+        held = self._held(tried, batch, path, 1)
         # Buckets whose leader is no match: their followers; other buckets: those that came later but have a smaller id.
         # Without followers in the index there is nothing more to try.
         followers = self.keys().where((F.col("batch_no") < batch) & (F.col("standing") != LEADER))
         if not any(k < batch and standing != LEADER for k, standing in self._partitions()):
-            return held.groupBy("b").agg(F.min("a").alias("a"))
+            return
         below = held.withColumn("below", F.col("a"))
         best = held.groupBy("b").agg(F.min("a").alias("best"))
         open_ = new.join(below, ["b", "a"], "left").join(best, "b", "left").select("key", "b", "n", "below", "best")
         more = cut(self._followers(open_, followers).join(tried, ["b", "a"], "left_anti"), "dedup-more")
         if not more.isEmpty():
-            held = held.unionByName(self._held(more, batch))
-        return held.groupBy("b").agg(F.min("a").alias("a"))
+            self._held(more, batch, path, 2)
 
     def _followers(self, open_: DataFrame, followers: DataFrame) -> DataFrame:
         """(b, a), once: open records (key, b, n, below, best) with the followers of their buckets; each bucket's are spread over SALTS tasks."""
@@ -412,13 +419,15 @@ class HistoryIndex:
         pairs = salted.join(met, ["key", "salt"]).where(F.least("n", "n_a") >= SAME * F.greatest("n", "n_a"))
         return pairs.where("(below is null or earlier and a < below) and (best is null or a < best)").select("b", "a").distinct()
 
-    def _held(self, candidates: DataFrame, batch: int) -> DataFrame:
-        """The candidates (b, a) that hold. Only words of candidates leave their buckets; a record with very many candidates is split by adaptive execution."""
+    def _held(self, candidates: DataFrame, batch: int, path: str, look: int) -> DataFrame:
+        """The candidates (b, a) that hold, written below a folder of HELD. Only words of candidates leave their buckets; a record with very many candidates is split by adaptive execution."""
         ids = candidates.select(F.col("b").alias("doc_id")).unionByName(candidates.select(F.col("a").alias("doc_id"))).distinct()
         words = cut(self.entries().where(F.col("batch_no") <= batch).select("doc_id", "words").join(ids, "doc_id", "left_semi"), "dedup-words")
         for side in ("b", "a"):
             candidates = candidates.join(words.select(F.col("doc_id").alias(side), F.col("words").alias(f"words_{side}")), side)
-        return cut(verify(candidates).distinct(), "dedup-held")
+        own = f"{path}/batch_no={batch}/look={look}"
+        verify(candidates).distinct().write.parquet(own)
+        return self.spark.read.schema("b bigint, a bigint").parquet(own)
 
 
 def dedup_batches(docs: DataFrame, path: str | None = None, buckets: int | None = None) -> DataFrame:
@@ -438,19 +447,21 @@ def dedup_batches(docs: DataFrame, path: str | None = None, buckets: int | None
         return spark.createDataFrame([], schema)
     index = HistoryIndex(spark, path or work_path(spark, "dedup-index"), buckets or max(8, math.ceil(numbers[0].n / BUCKET_RECORDS)))
     index.submit(docs)
+    if len(numbers) == 1:
+        index.add(numbers[0].k)
+        return spark.createDataFrame([], schema)
     # A batch is looked up once it is appended; that needs nothing of later batches, which are appended meanwhile.
+    # All batches' answers are read from one folder: the plan does not grow with the batches, and the driver keeps none of theirs.
+    held = work_path(spark, "dedup-held")
     with ThreadPoolExecutor(LOOKUPS) as pool:
         asked = []
         for i, row in enumerate(numbers):
             index.add(row.k)
             if i:
-                asked.append((row.k, pool.submit(index.probe, row.k)))
-        found = None
-        for k, answer in asked:
-            got = answer.result().select("b", "a", F.lit(k).alias("batch_no"))
-            found = got if found is None else found.unionByName(got)
-    if found is None:
-        return spark.createDataFrame([], schema)
+                asked.append(pool.submit(index.hold, row.k, held))
+        for answer in asked:
+            answer.result()
+    found = spark.read.schema(HELD).parquet(held).groupBy("b", "batch_no").agg(F.min("a").alias("a"))
     # Copies inside a batch are one class: what its representative repeats, all repeat.
     lean = index.entries().select("doc_id", "class_key", "class_key2", "batch_no", "checked")
     classes = ["class_key", "class_key2", "batch_no"]

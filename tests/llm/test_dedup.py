@@ -209,3 +209,15 @@ def test_recall_of_the_bands_for_passages_put_in_or_moved():
         assert dedup.same_text(a.tobytes(), b.tobytes())
         met += bool(set(signer.keys(a, 1).tolist()) & set(signer.keys(b, 1).tolist()))
     assert met / 300 >= 0.95
+
+
+def test_plan_does_not_grow_with_batches(spark):
+    """All batches' answers are read in one scan, so the driver holds no plan for each of them."""
+    words = [f"word{i}x" for i in range(60)]
+    scans = []
+    for n in (3, 5):
+        rows = [(k, " ".join(words), "s", k) for k in range(n)]
+        got = dedup.dedup_batches(spark.createDataFrame(rows, "doc_id bigint, text string, scope_id string, batch_no int"))
+        assert {tuple(r) for r in got.collect()} == {(0, k, k) for k in range(1, n)}
+        scans.append(got._jdf.queryExecution().optimizedPlan().toString().count("Relation"))
+    assert scans[0] == scans[1]
